@@ -28,63 +28,58 @@ _CLOCK = rf"(?:(\d\d)(?::(\d\d)(?::(\d\d))?)?{_FRACTION}|(\d\d)(\d\d)(\d\d)?{_FR
 _STRAY = r"(?:(?<!\d[.,]\d{1,5})[^\dZ+-])?"
 _ISO = rf"(?s)\A(?:{_CALENDAR}|{_WEEK})(?:.{_CLOCK}(?:{_STRAY}([+-]){_CLOCK})?)?\z"
 
-# Groups of _ISO: two calendar dates, two week dates, the clock reading (extended,
-# basic), the sign and the clock reading of the offset.
-_GROUPS = 6 + 6 + 8 + 1 + 8
+# Rewrites a match as fields: calendar year, month, day; week year, week, day;
+# hour, minute, second, fraction; offset sign, hour, minute, second, fraction.
+_FIELDS = (
+    "$1$4|$2$5|$3$6|$7$10|$8$11|$9$12|$13$17|$14$18|$15$19|$16$20"
+    "|$21|$22$26|$23$27|$24$28|$25$29"
+)
 
 
-def _integer(text: Column) -> Column:
-    return F.coalesce(F.nullif(text, F.lit("")).cast("bigint"), F.lit(0).cast("bigint"))
+def _integer(text: Column, default: int = 0) -> Column:
+    return F.coalesce(text.try_cast("int"), F.lit(default))
 
 
-def _clock_us(parts: Column, at: int) -> tuple[Column, Column]:
-    """(micros of the clock reading at group ``at``, whether it is in range)."""
+def _clock_us(hour: Column, minute: Column, second: Column, fraction: Column) -> Column:
+    h, m, s = _integer(hour), _integer(minute), _integer(second)
+    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").cast("bigint")
+    return ((h * 60 + m) * 60 + s).cast("bigint") * _SECOND + micros
 
-    def pick(extended: int, basic: int) -> Column:
-        return _integer(F.concat(parts[at + extended], parts[at + basic]))
 
-    hour, minute, second = pick(0, 4), pick(1, 5), pick(2, 6)
-    digits = F.concat(parts[at + 3], parts[at + 7])
-    fraction = F.rpad(F.substring(digits, 1, 6), 6, "0").cast("bigint")
-    micros = ((hour * 60 + minute) * 60 + second) * _SECOND + fraction
-    return micros, (hour < 24) & (minute < 60) & (second < 60)
-
-
-def _date_days(parts: Column) -> Column:
+def _date_days(f: Column) -> Column:
     """Days since the epoch of the calendar or week date, null when out of range."""
-    calendar = F.concat_ws(
-        "-", F.concat(parts[0], parts[3]), F.concat(parts[1], parts[4]), F.concat(parts[2], parts[5])
-    ).try_cast("date")
-    week_year = F.concat(parts[6], parts[9])
-    week = _integer(F.concat(parts[7], parts[10]))
-    day = F.coalesce(
-        F.nullif(F.concat(parts[8], parts[11]), F.lit("")).cast("bigint"), F.lit(1).cast("bigint")
+    calendar = F.concat_ws("-", f[0], f[1], f[2]).try_cast("date")
+    week, day = _integer(f[4]), _integer(f[5], 1)
+    fourth = F.concat(f[3], F.lit("-01-04")).try_cast("date")
+    monday = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth))
+    # January 4th is always in week 1, so the Thursday tells the week's year.
+    in_year = F.year(F.date_add(monday, 3)) == F.year(fourth)
+    week_ok = in_year & (week >= 1) & (day >= 1) & (day <= 7)
+    week_days = F.when(week_ok, F.unix_date(monday) + day - 1)
+    return F.coalesce(F.unix_date(calendar), week_days).cast("bigint")
+
+
+def _micros(f: Column) -> Column:
+    in_range = (
+        (F.concat(f[0], f[3]) != "0000")
+        & (_integer(f[6]) < 24)
+        & (_integer(f[7]) < 60)
+        & (_integer(f[8]) < 60)
+        & (_integer(f[11]) * 3600 + _integer(f[12]) * 60 + _integer(f[13]) < 86_400)
     )
-    fourth = F.concat(week_year, F.lit("-01-04")).try_cast("date")
-    first_monday = F.date_sub(fourth, F.weekday(fourth))
-    monday = F.date_add(first_monday, ((week - 1) * 7).cast("int"))
-    week_ok = (week >= 1) & (day >= 1) & (day <= 7) & (F.weekofyear(monday) == week)
-    week_date = F.when(week_ok, F.unix_date(monday) + day - 1)
-    return F.when(week_year != "", week_date).otherwise(F.unix_date(calendar)).cast("bigint")
-
-
-def _micros(parts: Column) -> Column:
-    clock, clock_ok = _clock_us(parts, 12)
-    offset, _ = _clock_us(parts, 21)
-    signed = F.when(parts[20] == "-", -offset).otherwise(offset)
-    year = F.concat(parts[0], parts[3], parts[6], parts[9])
-    micros = _date_days(parts) * _DAY + clock - signed
-    in_range = (micros >= -62_135_596_800 * _SECOND) & (micros < 253_402_300_800 * _SECOND)
-    return F.when((year != "0000") & clock_ok & (offset < _DAY) & in_range, micros)
+    offset = _clock_us(f[11], f[12], f[13], f[14]) * F.when(f[10] == "-", -1).otherwise(1)
+    return F.when(in_range, _date_days(f) * _DAY + _clock_us(f[6], f[7], f[8], f[9]) - offset)
 
 
 def _general_event_time_us(text: Column) -> Column:
-    bare = F.regexp_replace(text, _EDGES, "")
-    zoned = F.regexp_replace(bare, r"Z\z", "+00:00")
-    groups = "|".join(f"${i}" for i in range(1, _GROUPS + 1))
-    parts = F.when(zoned.rlike(_ISO), F.split(F.regexp_replace(zoned, _ISO, groups), r"\|", -1))
-    # One lambda variable holds the split text, so it is computed only once.
-    return F.transform(F.array(parts), lambda p: F.when(p.isNotNull(), _micros(p)))[0]
+    zoned = F.regexp_replace(F.regexp_replace(text, _EDGES, ""), r"Z\z", "+00:00")
+    fields = F.when(
+        zoned.rlike(_ISO), F.split(F.regexp_replace(zoned, _ISO, _FIELDS), r"\|", -1)
+    )
+    # A lambda variable holds the fields, so the text is split only once.
+    micros = F.transform(F.array(fields), lambda f: F.when(f.isNotNull(), _micros(f)))[0]
+    years_1_to_9999 = micros.between(-62_135_596_800 * _SECOND, 253_402_300_800 * _SECOND - 1)
+    return F.when(years_1_to_9999, micros)
 
 
 def event_time_us(text: Column) -> Column:

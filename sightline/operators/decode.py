@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sightline.session import once
+
 JSON_PARSE_ERROR = "json_parse_error"
 INVALID_RECORD_TYPE = "invalid_record_type"
 PREVIEW_BYTES = 512
@@ -23,7 +25,8 @@ def decode_json(df: DataFrame) -> DataFrame:
     ``doc`` is a VARIANT array whose first element is the decoded value. The
     parser stops after one value and would accept trailing text, so the value is
     parsed as the first element of an array that ends in a random token: only a
-    complete value is followed by that token. ``reject`` is null for an object.
+    complete value is followed by that token. ``reject`` is null for an object,
+    and only then is ``doc`` set.
     """
     token = uuid.uuid4().hex
     raw = F.col("value").cast("string")
@@ -40,7 +43,8 @@ def decode_json(df: DataFrame) -> DataFrame:
         .when(~complete, JSON_PARSE_ERROR)
         .when(~is_object, INVALID_RECORD_TYPE)
     )
-    return parsed.withColumn("reject", reject)
+    doc = F.when(reject.isNull(), F.col("doc"))
+    return once(parsed, {"text": F.col("text"), "doc": doc, "reject": reject})
 
 
 def decodable(df: DataFrame) -> DataFrame:

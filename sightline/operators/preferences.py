@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sightline.functions import variants as V
 from sightline.operators.arrival import next_in_key
 from sightline.schemas import ARRIVAL
+from sightline.session import once
 
 KEY = ["user_id", "species_code"]
 
@@ -33,15 +34,16 @@ def preference_changes(decoded: DataFrame) -> DataFrame:
         .when(kind == "BOOLEAN", F.try_variant_get(radius, "$", "boolean").cast("double"))
         .when(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), number)
     )
-    return decoded.select(
-        F.coalesce(V.text(doc, "user_id"), F.lit("")).alias("user_id"),
-        F.coalesce(V.text(doc, "species_code"), F.lit("")).alias("species_code"),
-        text_or("priority", "medium").alias("priority"),
-        (active.isNull() | V.truthy(active)).alias("active"),
-        radius_km.alias("radius_km"),
-        text_or("updated_at", "").alias("updated_at"),
-        *ARRIVAL,
-    ).filter((F.col("user_id") != "") & (F.col("species_code") != "") & F.col("radius_km").isNotNull())
+    fields = {
+        "user_id": F.coalesce(V.text(doc, "user_id"), F.lit("")),
+        "species_code": F.coalesce(V.text(doc, "species_code"), F.lit("")),
+        "priority": text_or("priority", "medium"),
+        "active": active.isNull() | V.truthy(active),
+        "radius_km": radius_km,
+        "updated_at": text_or("updated_at", ""),
+    }
+    usable = (F.col("user_id") != "") & (F.col("species_code") != "") & F.col("radius_km").isNotNull()
+    return once(decoded, fields).select(*fields, *ARRIVAL).filter(usable)
 
 
 def preference_state(changes: DataFrame) -> DataFrame:

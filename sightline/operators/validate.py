@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions import variants as V
 from sightline.functions.times import event_time_us
+from sightline.session import once
 
 # Issue codes and messages, in the order they are reported.
 ISSUES = {
@@ -97,7 +98,8 @@ def validate(decoded: DataFrame) -> DataFrame:
         "count_out_of_range": integer & (number > 9_223_372_036_854_775_807),
     }
     issues = F.when(F.col("reject").isNull(), issue_list(rules))
-    return typed.withColumn("issues", issues).drop("count", "count_kind", "doc")
+    fields = {name: F.col(name) for name in [*_IDS, "event_id_is_text", "event_time", "et_us", "cnt"]}
+    return once(typed.drop("doc"), fields | {"issues": issues}).drop("count", "count_kind")
 
 
 def is_valid() -> Column:

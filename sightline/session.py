@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTINGS = {
     # Event times are UTC throughout.
@@ -56,3 +57,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` without its columns of these names, plus ``columns``, evaluated once.
+
+    Catalyst pushes filters through projections and so repeats costly expressions
+    in every predicate that reads them. It does not push them through a generator:
+    the columns are the one row an inline array yields.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
