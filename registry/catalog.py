@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from registry import fixture
 from sightline.functions.times import iso_z, window_end_us, window_start_us
 from sightline.operators import alerts, contracts, dedup, eventtime, hotspot, preferences, quality
-from sightline.operators.decode import decodable, decode_json, raw_preview
+from sightline.operators.decode import PREFERENCE_FIELDS, decodable, decode_json, raw_preview
 from sightline.operators.validate import is_valid, validate
 from sightline.plans.cleaning import clean_records
 
@@ -156,7 +156,9 @@ def quality_rates(spark, sf_dir):
 
 
 def preference_changes(spark, sf_dir):
-    changes = preferences.preference_changes(decodable(fixture.preference_log(spark, sf_dir)))
+    changes = preferences.preference_changes(
+        decodable(fixture.preference_log(spark, sf_dir), PREFERENCE_FIELDS)
+    )
     return changes.select("user_id", "species_code", "priority", "active", "radius_km", "seq")
 
 

@@ -17,10 +17,18 @@ from sightline.session import configure, stage
 _EPOCH_US = 1_704_067_200_000_000
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of few file splits over all cores; a large one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed sightings in arrival order ``(arrival_us, seq)``."""
     configure(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     rows = events.select(
         F.col("event_id").alias("n"),
         F.col("user_id").alias("uid"),

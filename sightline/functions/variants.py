@@ -11,12 +11,12 @@ FALSY = ["null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"]
 
 def field(doc: Column, name: str) -> Column:
     """Top-level field as VARIANT; null only when it is absent."""
-    return F.try_variant_get(doc, f"$[0].{name}", "variant")
+    return F.try_variant_get(doc, f"$.{name}", "variant")
 
 
-def text(doc: Column, name: str) -> Column:
-    """Top-level field as text; null when absent or JSON null."""
-    return F.try_variant_get(doc, f"$[0].{name}", "string")
+def scalar_text(value: Column) -> Column:
+    """The value as text; null when absent or JSON null."""
+    return F.try_variant_get(value, "$", "string")
 
 
 def truthy(value: Column) -> Column:
@@ -24,6 +24,17 @@ def truthy(value: Column) -> Column:
     return value.isNotNull() & ~F.to_json(value).isin(FALSY)
 
 
+def truthy_text(value: Column, name: str, document: Column) -> Column:
+    """Truthiness of a field that was read as text.
+
+    Only text that a false value could have rendered as needs the JSON type, and
+    only then is the document looked at again.
+    """
+    doubtful = value.isin("false", "[]", "{}") | value.startswith("0") | value.startswith("-0")
+    again = truthy(field(F.try_parse_json(document), name))
+    return F.when(doubtful, again).otherwise(F.coalesce(value != "", F.lit(False)))
+
+
 def kind(value: Column) -> Column:
     """Spark's name for the value's type, for example ``BIGINT`` or ``VOID``."""
     return F.schema_of_variant(value)

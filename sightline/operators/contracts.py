@@ -77,13 +77,14 @@ def _checks(name: str, rule: str) -> list[Column]:
 
 def contract_violations(decoded: DataFrame, contract: dict[str, str]) -> DataFrame:
     """Add ``violations``, in field order, to decoded JSON objects."""
-    values = {f"_{name}": V.field(F.col("doc"), name) for name in contract}
+    values = {f"_{name}": V.field(F.col("_doc"), name) for name in contract}
     kinds = {f"_{name}_kind": V.kind(F.col(f"_{name}")) for name in contract}
-    texts = {f"_{name}_text": F.try_variant_get(f"_{name}", "$", "string") for name in contract}
+    texts = {f"_{name}_text": V.scalar_text(F.col(f"_{name}")) for name in contract}
     found = [check for name, rule in contract.items() for check in _checks(name, rule)]
     return (
-        decoded.withColumns(values)
+        decoded.withColumn("_doc", F.try_parse_json("text"))
+        .withColumns(values)
         .withColumns(kinds | texts)
         .withColumn("violations", F.array_compact(F.array(*found)))
-        .drop(*values, *kinds, *texts)
+        .drop("_doc", *values, *kinds, *texts)
     )

@@ -18,25 +18,23 @@ def preference_changes(decoded: DataFrame) -> DataFrame:
 
     ``active`` goes by truthiness and defaults to true, so ``"false"`` is true.
     """
-    doc = F.col("doc")
+    active, radius = F.col("rec.active"), F.col("rec.radius_km")
+    kind = V.kind(radius)
 
     def text_or(name: str, default: str):
-        absent = V.field(doc, name).isNull()
-        return F.when(absent, default).otherwise(F.coalesce(V.text(doc, name), F.lit("None")))
+        value = F.col(f"rec.{name}")
+        given = F.coalesce(V.scalar_text(value), F.lit("None"))
+        return F.when(value.isNull(), default).otherwise(given)
 
-    active = V.field(doc, "active")
-    radius = V.field(doc, "radius_km")
-    kind = V.kind(radius)
-    number = F.try_variant_get(doc, "$[0].radius_km", "double")
     radius_km = (
         F.when(radius.isNull(), F.lit(0.0))
-        .when(kind == "STRING", V.float_text(V.text(doc, "radius_km")))
+        .when(kind == "STRING", V.float_text(V.scalar_text(radius)))
         .when(kind == "BOOLEAN", F.try_variant_get(radius, "$", "boolean").cast("double"))
-        .when(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), number)
+        .when(kind != "VOID", F.try_variant_get(radius, "$", "double"))
     )
     fields = {
-        "user_id": F.coalesce(V.text(doc, "user_id"), F.lit("")),
-        "species_code": F.coalesce(V.text(doc, "species_code"), F.lit("")),
+        "user_id": F.coalesce("rec.user_id", F.lit("")),
+        "species_code": F.coalesce("rec.species_code", F.lit("")),
         "priority": text_or("priority", "medium"),
         "active": active.isNull() | V.truthy(active),
         "radius_km": radius_km,

@@ -49,33 +49,47 @@ def count_delta(count: Column) -> Column:
     )
 
 
-_IDS = ["event_id", "user_id", "species_code", "location_id"]
+_FIELDS = ["event_id", "event_id_is_text", "user_id", "species_code", "location_id"]
+_FIELDS += ["event_time", "et_us", "cnt"]
 
 
 def sighting_fields(decoded: DataFrame) -> DataFrame:
     """Typed columns of a decoded sighting; ids are null when they are falsy."""
-    doc = F.col("doc")
-    values = {f"_{name}": V.field(doc, name) for name in _IDS}
+    event_id, count = F.col("rec.event_id"), F.col("rec.count")
     idents = {
-        name: F.when(V.truthy(F.col(f"_{name}")), F.try_variant_get(f"_{name}", "$", "string"))
-        for name in _IDS
-    }
-    return (
-        decoded.withColumns(values | {"count": V.field(doc, "count")})
-        .withColumns(
-            idents
-            | {
-                "event_id_is_text": V.is_text(F.col("_event_id")),
-                "event_time": V.text(doc, "event_time"),
-                "cnt": count_delta(F.col("count")),
-                "count_kind": F.coalesce(V.kind(F.col("count")), F.lit("VOID")),
-            }
+        name: F.when(
+            V.truthy_text(F.col(f"rec.{name}"), name, F.col("text")), F.col(f"rec.{name}")
         )
-        .withColumn("et_us", event_time_us(F.col("event_time")))
-        .drop(*values)
+        for name in ("user_id", "species_code", "location_id")
+    }
+    return decoded.withColumns(
+        idents
+        | {
+            "event_id": F.when(V.truthy(event_id), V.scalar_text(event_id)),
+            "event_id_is_text": V.is_text(event_id),
+            "event_time": F.col("rec.event_time"),
+            "count": count,
+            "count_kind": F.coalesce(V.kind(count), F.lit("VOID")),
+        }
+    ).withColumns(
+        {"cnt": count_delta(F.col("count")), "et_us": event_time_us(F.col("event_time"))}
     )
 
 
+def clean_fields(decoded: DataFrame) -> DataFrame:
+    """Typed columns of an already cleaned record; missing texts are empty."""
+    texts = {
+        name: F.coalesce(F.col(f"rec.{name}"), F.lit(""))
+        for name in ("user_id", "species_code", "location_id")
+    }
+    fields = texts | {
+        "event_id": V.scalar_text(F.col("rec.event_id")),
+        "et_us": event_time_us(F.col("rec.event_time")),
+        "cnt": count_delta(F.col("rec.count")),
+    }
+    return once(decoded, fields).select(*fields, "text", "arrival_us", "seq")
+
+
 def validate(decoded: DataFrame) -> DataFrame:
     """Typed columns plus ``issues``; a record is valid when the list is empty.
 
@@ -98,8 +112,8 @@ def validate(decoded: DataFrame) -> DataFrame:
         "count_out_of_range": integer & (number > 9_223_372_036_854_775_807),
     }
     issues = F.when(F.col("reject").isNull(), issue_list(rules))
-    fields = {name: F.col(name) for name in [*_IDS, "event_id_is_text", "event_time", "et_us", "cnt"]}
-    return once(typed.drop("doc"), fields | {"issues": issues}).drop("count", "count_kind")
+    fields = {name: F.col(name) for name in _FIELDS}
+    return once(typed.drop("rec"), fields | {"issues": issues}).drop("count", "count_kind")
 
 
 def is_valid() -> Column:
