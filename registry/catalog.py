@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import fixture
+from sightline import schemas as S
 from sightline.functions.times import iso_z, window_end_us, window_start_us
 from sightline.operators import alerts, contracts, dedup, eventtime, hotspot, preferences, quality
+from sightline.operators.arrival import cut_points, range_id
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable, decode_json, raw_preview
-from sightline.operators.validate import is_valid, validate
-from sightline.plans.cleaning import clean_records
+from sightline.operators.validate import clean_fields, is_valid, validate
+from sightline.plans.cleaning import clean_records, cleaning
+from sightline.plans.metrics import metrics
+from sightline.session import new_path, stage
+from sightline.sources.topics import json_value, message, stream_topic, topic_writer, write_topics
+from sightline.streaming.alerting import AlertStream
+from sightline.streaming.cleaning import cleaning_stream
+from sightline.streaming.metrics import HotspotStream, hotspot_native
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,9 +105,6 @@ def dq_duplicates(spark, sf_dir):
 
 
 def dq_all(spark, sf_dir):
-    from sightline.plans.cleaning import cleaning
-    from sightline.plans.metrics import metrics
-
     cleaned = cleaning(fixture.raw_log(spark, sf_dir))
     late = metrics(cleaned.clean).quality
     return cleaned.quality.unionByName(late).select("signal_type", "key", "event_id", "seq")
@@ -120,8 +126,6 @@ def window_closed(spark, sf_dir):
 
 
 def dq_late_events(spark, sf_dir):
-    from sightline.plans.metrics import metrics
-
     late = metrics(fixture.clean(spark, sf_dir)).quality
     return late.select("key", "signal_type", "event_id", "event_time", "window_end", "watermark")
 
@@ -217,6 +221,102 @@ def contract_alert(spark, sf_dir):
     return found.agg(F.count("*").alias("n"), broken.alias("broken"))
 
 
+def _slices(log: DataFrame, folder: str, run: Callable[[], None], slices: int = 3) -> None:
+    """Append the log in slices of arrival order, running the stream after each.
+
+    Every run resumes from the checkpoint of the run before, as after a restart.
+    """
+    cut = range_id(cut_points(log, slices))
+    sliced = stage(log.withColumn("slice", cut), "slices")
+    for number in range(slices):
+        part = sliced.filter(F.col("slice") == number).drop("slice")
+        write_topics(part, folder)
+        run()
+
+
+def _clean_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = {
+        "event_id": F.col("event_id"),
+        "user_id": F.col("user_id"),
+        "species_code": F.col("species_code"),
+        "location_id": F.col("location_id"),
+        "event_time": iso_z(F.col("et_us")),
+        "count": F.col("cnt"),
+    }
+    routed = message(S.CLEAN, F.col("location_id"), json_value(fields))
+    return fixture.clean(spark, sf_dir).select(F.inline(F.array(routed)), *S.ARRIVAL)
+
+
+def _run_now(writer) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def stream_clean(spark, sf_dir):
+    folder = new_path(spark, "stream-clean")
+    log = fixture.raw_log(spark, sf_dir).withColumn("topic", F.lit(S.RAW))
+
+    def run():
+        routed = cleaning_stream(stream_topic(spark, S.RAW, f"{folder}/in"))
+        _run_now(topic_writer(routed, f"{folder}/checkpoint", f"{folder}/out"))
+
+    _slices(log, f"{folder}/in", run)
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select("topic", F.col("key").cast("string").alias("key"), "seq")
+
+
+def stream_hotspot_exact(spark, sf_dir):
+    folder = new_path(spark, "stream-hotspot")
+    job = HotspotStream(spark, f"{folder}/job")
+
+    def run():
+        clean = clean_fields(decodable(stream_topic(spark, S.CLEAN, f"{folder}/in")))
+        writer = clean.writeStream.foreachBatch(job)
+        _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
+
+    _slices(_clean_topic(spark, sf_dir), f"{folder}/in", run)
+    out = spark.read.parquet(f"{folder}/job/out").filter(F.col("topic") == S.METRICS)
+    fields = T.StructType([*S.METRIC.fields, T.StructField("pane", T.StringType())])
+    value = F.from_json(F.col("value").cast("string"), fields)
+    return out.select(F.col("key").cast("string").alias("key"), value.alias("v")).select("key", "v.*")
+
+
+def stream_hotspot_native(spark, sf_dir):
+    folder = new_path(spark, "stream-native")
+
+    def run():
+        clean = clean_fields(decodable(stream_topic(spark, S.CLEAN, f"{folder}/in")))
+        writer = hotspot_native(clean).writeStream.format("parquet").outputMode("append")
+        writer = writer.option("path", f"{folder}/out")
+        _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
+
+    _slices(_clean_topic(spark, sf_dir), f"{folder}/in", run)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def stream_alerts(spark, sf_dir):
+    folder = new_path(spark, "stream-alerts")
+    job = AlertStream(spark, f"{folder}/job")
+    changes = fixture.changes(spark, sf_dir)
+    fields = {name: F.col(name) for name in ("user_id", "species_code", "priority", "active")}
+    routed = message(S.PREFERENCES, F.col("user_id"), json_value(fields))
+    changes = changes.select(F.inline(F.array(routed)), *S.ARRIVAL)
+    log = _clean_topic(spark, sf_dir).unionByName(changes)
+
+    def run():
+        topics = [
+            stream_topic(spark, topic, f"{folder}/in").withColumn("topic", F.lit(topic))
+            for topic in (S.CLEAN, S.PREFERENCES)
+        ]
+        writer = topics[0].unionByName(topics[1]).writeStream.foreachBatch(job)
+        _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
+
+    _slices(log, f"{folder}/in", run)
+    out = spark.read.parquet(f"{folder}/job/out").filter(F.col("topic") == S.ALERTS)
+    value = F.from_json(F.col("value").cast("string"), S.ALERT)
+    records = out.select(F.col("key").cast("string").alias("key"), value.alias("v"))
+    return records.select("key", "v.*").drop("detected_at")
+
+
 _QUERIES = [
     event_time_parse,
     window_bounds,
@@ -250,6 +350,10 @@ _QUERIES = [
     contract_sighting,
     contract_preference,
     contract_alert,
+    stream_clean,
+    stream_hotspot_exact,
+    stream_hotspot_native,
+    stream_alerts,
 ]
 
 

@@ -343,4 +343,15 @@ def oracle_sql() -> dict[str, str]:
                FROM pref WHERE n % 7 <> 3""",
         ),
     }
+    queries["stream_clean"] = _sql(
+        _JSON,
+        """SELECT 'bird_sightings_clean' AS topic, location_id AS key, n AS seq FROM jvalid WHERE rk = 1
+           UNION ALL SELECT 'data_quality_events', location_id, n FROM jvalid WHERE rk > 1
+           UNION ALL SELECT 'data_quality_events', location_id, n
+           FROM v WHERE reject IS NULL AND len(codes) > 0
+           UNION ALL SELECT 'dead_letter_events', location_id, n
+           FROM v WHERE reject IS NOT NULL OR len(codes) > 0""",
+    )
+    queries["stream_hotspot_exact"] = queries["hotspot_panes"]
+    queries["stream_alerts"] = queries["alert_records"]
     return queries

@@ -64,7 +64,10 @@ def with_lateness(
 
 
 def closings(
-    clean: DataFrame, lateness_us: int = LATENESS_US, width_us: int = WINDOW_US
+    clean: DataFrame,
+    lateness_us: int = LATENESS_US,
+    width_us: int = WINDOW_US,
+    more_ends: DataFrame | None = None,
 ) -> DataFrame:
     """For every window end the watermark reached: when, and the watermark then.
 
@@ -72,7 +75,7 @@ def closings(
     least ``end`` plus the lateness. The earliest arrival per window-sized step of
     event time combines on the map side; all that follows runs on about two rows
     per window, cut by day so that not even an event-time span of millennia makes
-    one large sort.
+    one large sort. ``more_ends`` are window ends without a row in ``clean``.
     """
     et = F.col("et_us")
     first = F.min(F.struct(*ARRIVAL, et)).alias("first")
@@ -80,9 +83,13 @@ def closings(
     steps = usable(clean).groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(first)
     reached = F.struct(F.col("step").alias("end_us"), "first")
     asked = F.struct(F.col("end").alias("end_us"), F.lit(None).alias("first"))
+    known = steps.select(F.inline(F.array(reached, asked)))
+    if more_ends is not None:
+        known = known.unionByName(
+            more_ends.select(F.col("window_end_us").alias("end_us")), allowMissingColumns=True
+        )
     ends = (
-        steps.select(F.inline(F.array(reached, asked)))
-        .groupBy("end_us", F.floor(F.col("end_us") / F.lit(_DAY_US)).alias("_day"))
+        known.groupBy("end_us", F.floor(F.col("end_us") / F.lit(_DAY_US)).alias("_day"))
         .agg(F.min("first").alias("first"))
     )
     later = W.partitionBy(F.lit(0)).orderBy(F.desc("_day")).rowsBetween(W.unboundedPreceding, -1)

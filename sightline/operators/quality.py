@@ -30,42 +30,55 @@ def record_key() -> Column:
     return F.coalesce(F.col("location_id"), message_key())
 
 
+def is_rejected() -> Column:
+    """Not a JSON object at all."""
+    return F.col("reject").isNotNull()
+
+
+def dead_letter_key() -> Column:
+    return F.when(is_rejected(), message_key()).otherwise(record_key())
+
+
+def dead_letter_fields(topic: str = S.RAW, ingested_at: Column | None = None) -> dict[str, Column]:
+    """Fields of a dead letter; ``payload`` is the record's JSON text."""
+    reason = F.coalesce(F.col("reject"), F.lit(VALIDATION_FAILED))
+    unparsed = reason == JSON_PARSE_ERROR
+    return {
+        "dead_letter_id": stable_id("dl_", F.lit(topic), F.col("seq")),
+        "original_topic": F.lit(topic),
+        "reason_code": reason,
+        "detail": F.when(unparsed, PARSE_DETAIL).when(reason == INVALID_RECORD_TYPE, TYPE_DETAIL),
+        "raw_preview": F.when(unparsed, raw_preview(F.col("value"))),
+        "payload": F.when(~unparsed, F.col("text")),
+        "issues": F.when(~is_rejected(), F.col("issues")),
+        "ingested_at": now_z() if ingested_at is None else ingested_at,
+    }
+
+
 def dead_letters(
     validated: DataFrame, topic: str = S.RAW, ingested_at: Column | None = None
 ) -> DataFrame:
     """One row per record that did not parse, is no object, or failed validation."""
-    rejected = F.col("reject").isNotNull()
-    reason = F.coalesce(F.col("reject"), F.lit(VALIDATION_FAILED))
-    return validated.filter(rejected | is_invalid()).select(
-        F.when(rejected, message_key()).otherwise(record_key()).alias("key"),
-        stable_id("dl_", F.lit(topic), F.col("seq")).alias("dead_letter_id"),
-        F.lit(topic).alias("original_topic"),
-        reason.alias("reason_code"),
-        F.when(F.col("reject") == JSON_PARSE_ERROR, PARSE_DETAIL)
-        .when(F.col("reject") == INVALID_RECORD_TYPE, TYPE_DETAIL)
-        .alias("detail"),
-        F.when(F.col("reject") == JSON_PARSE_ERROR, raw_preview(F.col("value"))).alias("raw_preview"),
-        F.when(reason != JSON_PARSE_ERROR, F.col("text")).alias("payload"),
-        F.when(~rejected, F.col("issues")).alias("issues"),
-        (now_z() if ingested_at is None else ingested_at).alias("ingested_at"),
-        *S.ARRIVAL,
+    fields = dead_letter_fields(topic, ingested_at)
+    return validated.filter(is_rejected() | is_invalid()).select(
+        dead_letter_key().alias("key"), *_named(fields), *S.ARRIVAL
     )
 
 
-def _signal(df: DataFrame, key: Column, observed_at: Column | None, **fields: Column) -> DataFrame:
-    """A data-quality row: the shared layout, null where a signal has no value."""
+def _named(fields: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in fields.items()]
+
+
+def _signal(observed_at: Column | None, **fields: Column) -> dict[str, Column]:
+    """A data-quality event: the shared layout, null where a signal has no value."""
     fields["observed_at"] = now_z() if observed_at is None else observed_at
-    columns = [
-        fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.QUALITY_EVENT.fields
-    ]
-    return df.select(key.alias("key"), *columns, *S.ARRIVAL)
+    return {
+        f.name: fields.get(f.name, F.lit(None)).cast(f.dataType) for f in S.QUALITY_EVENT.fields
+    }
 
 
-def validation_signals(validated: DataFrame, observed_at: Column | None = None) -> DataFrame:
-    """``validation_failed`` for every decoded record with issues."""
+def validation_signal(observed_at: Column | None = None) -> dict[str, Column]:
     return _signal(
-        validated.filter(is_invalid()),
-        record_key(),
         observed_at,
         signal_type=F.lit(VALIDATION_FAILED),
         event_id=F.when(F.col("event_id_is_text"), F.coalesce("event_id", F.lit(""))),
@@ -73,11 +86,8 @@ def validation_signals(validated: DataFrame, observed_at: Column | None = None)
     )
 
 
-def duplicate_signals(duplicates: DataFrame, observed_at: Column | None = None) -> DataFrame:
-    """``duplicate_event_id`` for every arrival after the first of its id."""
+def duplicate_signal(observed_at: Column | None = None) -> dict[str, Column]:
     return _signal(
-        duplicates,
-        F.col("location_id"),
         observed_at,
         signal_type=F.lit("duplicate_event_id"),
         event_id=F.col("event_id"),
@@ -85,11 +95,23 @@ def duplicate_signals(duplicates: DataFrame, observed_at: Column | None = None)
     )
 
 
+def validation_signals(validated: DataFrame, observed_at: Column | None = None) -> DataFrame:
+    """``validation_failed`` for every decoded record with issues."""
+    fields = validation_signal(observed_at)
+    return validated.filter(is_invalid()).select(
+        record_key().alias("key"), *_named(fields), *S.ARRIVAL
+    )
+
+
+def duplicate_signals(duplicates: DataFrame, observed_at: Column | None = None) -> DataFrame:
+    """``duplicate_event_id`` for every arrival after the first of its id."""
+    fields = duplicate_signal(observed_at)
+    return duplicates.select(F.col("location_id").alias("key"), *_named(fields), *S.ARRIVAL)
+
+
 def late_signals(late: DataFrame, observed_at: Column | None = None) -> DataFrame:
     """``late_event_dropped`` for every record beyond the allowed lateness."""
-    return _signal(
-        late,
-        F.col("location_id"),
+    fields = _signal(
         observed_at,
         signal_type=F.lit("late_event_dropped"),
         event_id=F.col("event_id"),
@@ -98,6 +120,7 @@ def late_signals(late: DataFrame, observed_at: Column | None = None) -> DataFram
         window_end=iso_z(F.col("window_end_us")),
         watermark=iso_z(F.col("watermark_us")),
     )
+    return late.select(F.col("location_id").alias("key"), *_named(fields), *S.ARRIVAL)
 
 
 def rates(events: DataFrame, reason: str, width_us: int = S.WINDOW_US) -> DataFrame:
