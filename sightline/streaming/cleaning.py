@@ -63,7 +63,7 @@ class FirstArrival(StatefulProcessor):
             yield self._out(earliest, True)
 
     def _out(self, row: Row, is_first: bool | None) -> Row:
-        return Row(*[row[name] for name in self._columns], is_first)
+        return Row(*self._columns, "is_first")(*[row[name] for name in self._columns], is_first)
 
     def close(self) -> None:
         pass
@@ -95,9 +95,9 @@ def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None) -> DataFr
     neutral = F.concat(F.lit("-"), F.pmod("seq", F.lit(4096)))
     state_key = F.when(is_valid(), F.concat(F.lit("+"), F.col("event_id"))).otherwise(neutral)
     valid = F.coalesce(is_valid(), F.lit(False))
-    rows = validated.withColumn("issues", F.to_json("issues")).select(
-        *_PASSED, valid.alias("valid"), state_key.alias("state_key")
-    )
+    # Nested values travel through the Python processor as text.
+    passed = [F.to_json(n).alias(n) if n == "issues" else F.col(n) for n in _PASSED]
+    rows = validated.select(*passed, valid.alias("valid"), state_key.alias("state_key"))
     marked = rows.groupBy("state_key").transformWithState(
         statefulProcessor=FirstArrival(list(_PASSED), ttl_ms),
         outputStructType=output,
