@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from sightline.schemas import WINDOW_US
 
 _SECOND = 1_000_000
-_DAY = 86_400 * _SECOND
 
 # What nearly every record looks like; anything else takes the general path.
 _COMMON = r"^(?!0000)\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d{1,6})?Z\z"
@@ -36,59 +35,59 @@ _FIELDS = (
 )
 
 
-def _integer(text: Column, default: int = 0) -> Column:
-    return F.coalesce(text.try_cast("int"), F.lit(default))
 
 
-def _clock_us(hour: Column, minute: Column, second: Column, fraction: Column) -> Column:
-    h, m, s = _integer(hour), _integer(minute), _integer(second)
-    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").cast("bigint")
-    return ((h * 60 + m) * 60 + s).cast("bigint") * _SECOND + micros
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` bound to ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _date_days(f: Column) -> Column:
-    """Days since the epoch of the calendar or week date, null when out of range."""
-    calendar = F.concat_ws("-", f[0], f[1], f[2]).try_cast("date")
-    week, day = _integer(f[4]), _integer(f[5], 1)
-    fourth = F.concat(f[3], F.lit("-01-04")).try_cast("date")
-    monday = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth))
-    # January 4th is always in week 1, so the Thursday tells the week's year.
-    in_year = F.year(F.date_add(monday, 3)) == F.year(fourth)
-    week_ok = in_year & (week >= 1) & (day >= 1) & (day <= 7)
-    week_days = F.when(week_ok, F.unix_date(monday) + day - 1)
-    return F.coalesce(F.unix_date(calendar), week_days).cast("bigint")
+def _number(group: int, default: int = 0) -> str:
+    return f"coalesce(try_cast(f[{group}] AS INT), {default})"
 
 
-def _micros(f: Column) -> Column:
-    in_range = (
-        (F.concat(f[0], f[3]) != "0000")
-        & (_integer(f[6]) < 24)
-        & (_integer(f[7]) < 60)
-        & (_integer(f[8]) < 60)
-        & (_integer(f[11]) * 3600 + _integer(f[12]) * 60 + _integer(f[13]) < 86_400)
-    )
-    offset = _clock_us(f[11], f[12], f[13], f[14]) * F.when(f[10] == "-", -1).otherwise(1)
-    return F.when(in_range, _date_days(f) * _DAY + _clock_us(f[6], f[7], f[8], f[9]) - offset)
+def _fraction(group: int) -> str:
+    return f"CAST(rpad(left(f[{group}], 6), 6, '0') AS INT)"
 
 
-def _general_event_time_us(text: Column) -> Column:
-    zoned = F.regexp_replace(F.regexp_replace(text, _EDGES, ""), r"Z\z", "+00:00")
-    fields = F.when(
-        zoned.rlike(_ISO), F.split(F.regexp_replace(zoned, _ISO, _FIELDS), r"\|", -1)
-    )
-    # A lambda variable holds the fields, so the text is split only once.
-    micros = F.transform(F.array(fields), lambda f: F.when(f.isNotNull(), _micros(f)))[0]
-    years_1_to_9999 = micros.between(-62_135_596_800 * _SECOND, 253_402_300_800 * _SECOND - 1)
-    return F.when(years_1_to_9999, micros)
+# The fields as numbers. Week 1 is the week that holds January 4th.
+_NUMBERS = f"""struct(
+  concat(f[0], f[3]) AS year,
+  unix_date(try_cast(concat_ws('-', f[0], f[1], f[2]) AS DATE)) AS date,
+  unix_date(date_trunc('week', try_cast(concat(f[3], '-01-04') AS DATE))::DATE) AS first_monday,
+  {_number(4)} AS week, {_number(5, 1)} AS weekday,
+  {_number(6)} AS h, {_number(7)} AS m, {_number(8)} AS s, {_fraction(9)} AS us,
+  if(f[10] = '-', -1, 1) AS sign,
+  {_number(11)} * 3600 + {_number(12)} * 60 + {_number(13)} AS offset, {_fraction(14)} AS offset_us)"""
 
+# A week belongs to the year of its Thursday.
+_WEEK_DATE = """CASE WHEN p.week >= 1 AND p.weekday BETWEEN 1 AND 7
+  AND year(date_from_unix_date(p.first_monday + p.week * 7 - 4)) = CAST(p.year AS INT)
+  THEN p.first_monday + p.week * 7 + p.weekday - 8 END"""
 
-def event_time_us(text: Column) -> Column:
-    """ISO-8601 text to UTC epoch micros, null when it does not parse.
+_MICROS = f"""CASE WHEN p.year <> '0000' AND p.h < 24 AND p.m < 60 AND p.s < 60 AND p.offset < 86400 THEN
+  (coalesce(p.date, {_WEEK_DATE}) * 86400L + p.h * 3600 + p.m * 60 + p.s - p.sign * p.offset)
+  * 1000000 + p.us - p.sign * p.offset_us END"""
 
-    One trailing ``Z`` means UTC, and so does a missing offset.
+_SPLIT = rf"split(regexp_replace(z, r'{_ISO}', '{_FIELDS}'), r'\|', -1)"
+_ZONED = rf"regexp_replace(regexp_replace(<text>, r'{_EDGES}', ''), r'Z\z', '+00:00')"
+_GENERAL = _let(
+    "z",
+    _ZONED,
+    f"CASE WHEN z RLIKE r'{_ISO}' THEN " + _let("f", _SPLIT, _let("p", _NUMBERS, _MICROS)) + " END",
+)
+_YEARS_1_TO_9999 = f"BETWEEN {-62_135_596_800 * _SECOND} AND {253_402_300_800 * _SECOND - 1}"
+_EVENT_TIME = rf"""CASE WHEN <text> RLIKE r'{_COMMON}' THEN unix_micros(try_cast(<text> AS TIMESTAMP))
+  ELSE {_let("us", _GENERAL, f"CASE WHEN us {_YEARS_1_TO_9999} THEN us END")} END"""
+
+
+def event_time_us(column: str) -> Column:
+    """ISO-8601 text in the named column to UTC epoch micros, null when it does not parse.
+
+    One trailing ``Z`` means UTC, and so does a missing offset. Text in the common
+    form is cast; only other text goes through the general grammar.
     """
-    common = F.unix_micros(text.try_cast("timestamp"))
-    return F.when(text.rlike(_COMMON), common).otherwise(_general_event_time_us(text))
+    return F.expr(_EVENT_TIME.replace("<text>", column))
 
 
 def iso_z(us: Column) -> Column:

@@ -56,7 +56,7 @@ def _checks(name: str, rule: str) -> list[Column]:
     rules = {
         "id": lambda: (is_string, {"minLength": text == ""}),
         "string": lambda: (is_string, {}),
-        "date-time": lambda: (is_string, {"format": event_time_us(text).isNull()}),
+        "date-time": lambda: (is_string, {"format": event_time_us(f"_{name}_text").isNull()}),
         "low|medium|high": lambda: (is_string, {"enum": ~text.isin("low", "medium", "high")}),
         "boolean": lambda: (kind == "BOOLEAN", {}),
         "number": lambda: (is_number, {}),

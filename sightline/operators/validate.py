@@ -72,7 +72,7 @@ def sighting_fields(decoded: DataFrame) -> DataFrame:
             "count_kind": F.coalesce(V.kind(count), F.lit("VOID")),
         }
     ).withColumns(
-        {"cnt": count_delta(F.col("count")), "et_us": event_time_us(F.col("event_time"))}
+        {"cnt": count_delta(F.col("count")), "et_us": event_time_us("event_time")}
     )
 
 
@@ -84,7 +84,7 @@ def clean_fields(decoded: DataFrame) -> DataFrame:
     }
     fields = texts | {
         "event_id": V.scalar_text(F.col("rec.event_id")),
-        "et_us": event_time_us(F.col("rec.event_time")),
+        "et_us": event_time_us("rec.event_time"),
         "cnt": count_delta(F.col("rec.count")),
     }
     return once(decoded, fields).select(*fields, "text", "arrival_us", "seq")
