@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 from registry import fixture
 from sightline import schemas as S
 from sightline.functions.times import iso_z, window_end_us, window_start_us
-from sightline.operators import alerts, contracts, dedup, eventtime, hotspot, preferences, quality
+from sightline.operators import alerts, contracts, dedup, eventtime, hotspot, preferences, quality, radius
 from sightline.operators.arrival import cut_points, range_id
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable, decode_json, raw_preview
 from sightline.operators.validate import clean_fields, is_valid, validate
 from sightline.plans.cleaning import clean_records, cleaning
 from sightline.plans.metrics import metrics
 from sightline.session import new_path, stage
+from sightline.sources.backfill import with_provenance
 from sightline.sources.topics import json_value, message, stream_topic, topic_writer, write_topics
 from sightline.streaming.alerting import AlertStream
 from sightline.streaming.cleaning import cleaning_stream
@@ -131,11 +132,11 @@ def dq_late_events(spark, sf_dir):
 
 
 def hotspot_totals(spark, sf_dir):
-    return hotspot.hotspot_totals(fixture.clean(spark, sf_dir))
+    return hotspot.hotspot_totals(fixture.clean(spark, sf_dir, once=True))
 
 
 def hotspot_salted(spark, sf_dir):
-    return hotspot.hotspot_salted(fixture.clean(spark, sf_dir))
+    return hotspot.hotspot_salted(fixture.clean(spark, sf_dir, once=True))
 
 
 def hotspot_panes(spark, sf_dir):
@@ -195,6 +196,18 @@ def alerts_snapshot(spark, sf_dir):
     return alerts.alerts_snapshot(fixture.clean(spark, sf_dir), snapshot)
 
 
+def alerts_radius(spark, sf_dir):
+    clean = fixture.clean(spark, sf_dir)
+    snapshot = preferences.preference_snapshot(fixture.changes(spark, sf_dir))
+    return radius.alerts_within_radius(clean, snapshot, radius.last_positions(clean))
+
+
+def backfill(spark, sf_dir):
+    history = fixture.sightings(spark, sf_dir).withColumn("event_id", F.lit(""))
+    provided = with_provenance(history, "archive", F.col("seq"))
+    return provided.select("event_id", "source", "provider_record_id", "arrival_us", "seq")
+
+
 def alert_records(spark, sf_dir):
     return alerts.alert_records(alerts_asof(spark, sf_dir)).drop("detected_at")
 
@@ -346,6 +359,8 @@ _QUERIES = [
     alert_matches,
     alerts_asof,
     alerts_snapshot,
+    alerts_radius,
+    backfill,
     alert_records,
     contract_sighting,
     contract_preference,

@@ -52,18 +52,23 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN n % 29 = 0 THEN '' ELSE concat('user_', uid % 40) END AS user_id",
         "CASE WHEN n % 31 = 0 THEN '' ELSE event_type END AS species_code",
         "concat('loc_', k % 3) AS location_id",
+        "CAST(37 + k % 3 AS DOUBLE) + CAST(uid % 100 AS DOUBLE) / 100 AS lat",
+        "CAST(-122 - k % 3 AS DOUBLE) - CAST(n % 100 AS DOUBLE) / 100 AS lng",
         "CASE WHEN n % 41 = 0 THEN -3L ELSE CAST(floor(value) AS BIGINT) % 8 END AS cnt",
     )
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid first arrivals, typed: the table the metric and alert jobs read."""
+def clean(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    """Valid first arrivals, typed: the table the metric and alert jobs read.
+
+    It is written out for jobs that pass over it more than once.
+    """
     valid = sightings(spark, sf_dir).filter(
         "user_id <> '' AND species_code <> '' AND event_id <> '' AND cnt >= 0"
     )
-    columns = ["event_id", "user_id", "species_code", "location_id", "et_us", "cnt"]
-    valid = valid.select("arrival_us", "seq", *columns)
-    return stage(dedup_first(valid), "clean")
+    columns = ["event_id", "user_id", "species_code", "location_id", "et_us", "cnt", "lat", "lng"]
+    first = dedup_first(valid.select("arrival_us", "seq", *columns))
+    return first if once else stage(first, "clean")
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ s AS (
     CASE WHEN n % 29 = 0 THEN '' ELSE 'user_' || (uid % 40) END AS user_id,
     CASE WHEN n % 31 = 0 THEN '' ELSE event_type END AS species_code,
     'loc_' || (k % 3) AS location_id,
+    CAST(37 + k % 3 AS DOUBLE) + CAST(uid % 100 AS DOUBLE) / 100 AS lat,
+    CAST(-122 - k % 3 AS DOUBLE) - CAST(n % 100 AS DOUBLE) / 100 AS lng,
     CASE WHEN n % 41 = 0 THEN -3 ELSE CAST(floor(value) AS BIGINT) % 8 END AS cnt
   FROM e0)"""
 
@@ -164,6 +166,18 @@ snap AS (
                                               ORDER BY arrival_us DESC, n DESC) AS rk FROM pref)
   WHERE rk = 1 AND active)"""
 
+_ANCHORS = """,
+anchors AS (
+  SELECT user_id, lat, lng FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arrival_us DESC, n DESC) AS last FROM clean)
+  WHERE last = 1),
+near AS (
+  SELECT p.user_id, c.species_code, c.location_id, c.ws, c.arrival_us, c.n, c.event_id, p.priority
+  FROM clean c JOIN snap p USING (species_code) JOIN anchors a ON a.user_id = p.user_id
+  WHERE p.user_id <> c.user_id AND 2 * 6371.0 * asin(least(1.0, sqrt(
+    pow(sin(radians(c.lat - a.lat) / 2), 2)
+    + cos(radians(a.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lng - a.lng) / 2), 2)))) <= p.radius_km)"""
+
 _JCLEAN = """SELECT location_id AS key, event_id, user_id, species_code, location_id,
        et_us, delta AS cnt, txt AS text, arrival_us, n AS seq FROM jvalid WHERE rk = 1"""
 
@@ -343,6 +357,19 @@ def oracle_sql() -> dict[str, str]:
                FROM pref WHERE n % 7 <> 3""",
         ),
     }
+    queries["backfill"] = _sql(
+        _SIGHTINGS,
+        f"""SELECT {_id("evt_", "'archive'", "n")} AS event_id, 'archive' AS source,
+            CAST(n AS VARCHAR) AS provider_record_id, arrival_us, n AS seq FROM s""",
+    )
+    queries["alerts_radius"] = _sql(
+        _HISTORY + _SNAPSHOT + _CLEAN[len(_SIGHTINGS) :] + _ANCHORS,
+        """SELECT user_id, species_code, location_id, ws AS window_start_us, arrival_us, n AS seq,
+           event_id, priority
+           FROM (SELECT *, row_number() OVER (PARTITION BY user_id, species_code, location_id, ws
+                                              ORDER BY arrival_us, n) AS rk FROM near)
+           WHERE rk = 1""",
+    )
     queries["stream_clean"] = _sql(
         _JSON,
         """SELECT 'bird_sightings_clean' AS topic, location_id AS key, n AS seq FROM jvalid WHERE rk = 1

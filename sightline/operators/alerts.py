@@ -39,7 +39,7 @@ BROADCAST_VERSIONS = 200_000
 _FIRST_US = -(1 << 63)
 
 
-def alertable(clean: DataFrame, width_us: int = WINDOW_US) -> DataFrame:
+def alertable(clean: DataFrame, width_us: int = WINDOW_US, *more: str) -> DataFrame:
     """Sightings that can raise an alert: a time, a species and a location."""
     rows = with_window(clean, width_us)
     rows = rows.filter((F.col("species_code") != "") & (F.col("location_id") != ""))
@@ -49,6 +49,7 @@ def alertable(clean: DataFrame, width_us: int = WINDOW_US) -> DataFrame:
         F.col("user_id").alias("birder_id"),
         *GROUP[:3],
         F.floor(F.col("arrival_us") / F.lit(CELL_US)).alias("cell"),
+        *more,
     )
 
 
