@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from registry import fixture
 from sightline import schemas as S
 from sightline.functions.times import iso_z, window_end_us, window_start_us
-from sightline.operators import alerts, contracts, dedup, eventtime, hotspot, preferences, quality, radius
+from sightline.operators import alerts, contracts, eventtime, hotspot, preferences, quality, radius
 from sightline.operators.arrival import cut_points, range_id
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable, decode_json, raw_preview
-from sightline.operators.validate import clean_fields, is_valid, validate
-from sightline.plans.cleaning import clean_records, cleaning
+from sightline.operators.validate import clean_fields, validate
+from sightline.plans.cleaning import cleaning
 from sightline.plans.metrics import metrics
 from sightline.session import new_path, stage
 from sightline.sources.backfill import with_provenance
@@ -35,10 +35,6 @@ def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(decode_json(fixture.raw_log(spark, sf_dir)))
 
 
-def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _validated(spark, sf_dir).filter(is_valid())
-
-
 def event_time_parse(spark, sf_dir):
     decoded = _validated(spark, sf_dir).filter(F.col("reject").isNull())
     return decoded.select("seq", "et_us", iso_z(F.col("et_us")).alias("event_time"))
@@ -94,15 +90,16 @@ def dq_validation_failed(spark, sf_dir):
 
 
 def clean_sightings(spark, sf_dir):
-    return clean_records(dedup.dedup_first(_valid(spark, sf_dir))).select(
+    return cleaning(fixture.raw_log(spark, sf_dir)).clean.select(
         "key", "event_id", "user_id", "species_code", "location_id", "et_us", "cnt", "text",
         "arrival_us", "seq",
     )
 
 
 def dq_duplicates(spark, sf_dir):
-    signals = quality.duplicate_signals(dedup.later_arrivals(_valid(spark, sf_dir)))
-    return signals.select("key", "signal_type", "event_id", "seq")
+    signals = cleaning(fixture.raw_log(spark, sf_dir)).quality
+    duplicates = signals.filter(F.col("signal_type") == "duplicate_event_id")
+    return duplicates.select("key", "signal_type", "event_id", "seq")
 
 
 def dq_all(spark, sf_dir):

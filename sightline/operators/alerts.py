@@ -165,7 +165,7 @@ def match_versions(clean: DataFrame, versions: DataFrame, width_us: int = WINDOW
     versions = versions.filter(
         F.col("valid_to_us").isNull() | (F.col("valid_from_us") < F.col("valid_to_us"))
     )
-    pairs = _pairs(groups, versions)
+    pairs = _pairs(groups, stage(versions, "preference-versions"))
     by_head = (F.col("valid_from_us") <= F.col("head.arrival_us")) & (
         F.col("user_id") != F.col("head.birder_id")
     )

@@ -49,8 +49,9 @@ def range_id(cuts: list[tuple[int, int]]) -> Column:
         return F.lit(0)
 
     def literal(at: int) -> Column:
+        # Folded to one array literal when the plan is optimised.
         joined = ",".join(str(cut[at]) for cut in cuts)
-        return F.transform(F.split(F.lit(joined), ","), lambda x: x.cast("bigint"))
+        return F.split(F.lit(joined), ",").cast("array<bigint>")
 
     first, second = (F.col(name) for name in ARRIVAL)
     steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sightline.operators.alerts import SUPPRESSION, alertable
 from sightline.operators.eventtime import usable
 from sightline.schemas import ARRIVAL, WINDOW_US
+from sightline.session import stage
 
 EARTH_KM = 6371.0
 _KM_PER_DEGREE = math.pi * EARTH_KM / 180
@@ -79,10 +80,9 @@ def _anchor_cells(wanted: DataFrame) -> DataFrame:
     return rows.drop("half", "turn", "low", "high").distinct()
 
 
-def _sighting_cells(placed: DataFrame) -> DataFrame:
+def _sighting_cells(placed: DataFrame, levels: list[int]) -> DataFrame:
     """A row per grid level: the cell that holds the sighting."""
-    levels = F.explode(F.sequence(F.lit(0), F.lit(_TOP_LEVEL))).alias("level")
-    rows = placed.select("*", levels)
+    rows = placed.withColumn("level", F.explode(F.array(*[F.lit(level) for level in levels])))
     rows = rows.withColumn("band", F.floor(F.col("lat") / _height(F.col("level"))))
     width = _width(F.col("band"), F.col("level"))
     return rows.withColumn("cell", F.floor(F.col("lng") / width))
@@ -106,9 +106,10 @@ def alerts_within_radius(
     first = F.min(F.struct(*ARRIVAL, "event_id")).alias("first")
     placed = alertable(clean, width_us, "lat", "lng").groupBy(*keys).agg(first)
     placed = placed.filter("lat IS NOT NULL AND lng IS NOT NULL")
-    pairs = _sighting_cells(placed).join(
-        _anchor_cells(wanted), ["species_code", "level", "band", "cell"]
-    )
+    cells = stage(_anchor_cells(wanted), "anchor-cells")
+    # Only the levels some radius needs, of at most thirteen.
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect()) or [0]
+    pairs = _sighting_cells(placed, levels).join(cells, ["species_code", "level", "band", "cell"])
     near = distance_km(*(F.col(c) for c in ("anchor_lat", "anchor_lng", "lat", "lng")))
     hits = pairs.filter((F.col("user_id") != F.col("birder_id")) & (near <= F.col("radius_km")))
     seen = F.min(F.struct("first.arrival_us", "first.seq", "first.event_id", "priority"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +26,22 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
 
 
+def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Flag rows that an earlier arrival of their id precedes in the same Arrow batch.
+
+    They are duplicates whatever the state says, so a hot id sends one row per
+    Arrow batch to its state and not all of them.
+    """
+    for batch in batches:
+        narrow = batch.select(["event_id", "arrival_us", "seq", "valid"]).to_pandas()
+        ordered = narrow[narrow["valid"]].sort_values(["arrival_us", "seq"])
+        repeated = ordered["event_id"].duplicated()
+        flags = repeated.reindex(narrow.index, fill_value=False)
+        yield batch.append_column("repeat", pa.array(flags, pa.bool_()))
+
+
 class FirstArrival(StatefulProcessor):
-    """Marks the first arrival of a key; rows of the empty kind pass untouched.
+    """Marks the first arrival of a key; rows decided without state pass through.
 
     The rows of one batch are read once and in any order: the earliest so far is
     held back, every other row is passed on as a later arrival.
@@ -44,8 +59,8 @@ class FirstArrival(StatefulProcessor):
         earliest = None
         known = None
         for row in rows:
-            if not row["valid"]:
-                yield self._out(row, None)
+            if not row["valid"] or row["repeat"]:
+                yield self._out(row, False if row["valid"] else None)
                 continue
             if known is None:
                 known = self._seen.exists()
@@ -86,18 +101,23 @@ _PASSED = {
 def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Stream twin of ``mark_first``; ``is_first`` is null for rows that are not valid.
 
-    Only valid rows have keyed state. The others are spread over neutral keys, so
-    one stateful operator sees every row and the source is read once.
+    Only valid rows that no row before them repeats have keyed state. The others
+    are spread over neutral keys, so one stateful operator sees every row and the
+    source is read once.
     """
     use_state_store(validated.sparkSession)
     layout = T.StructType.fromDDL(ddl(_PASSED))
     output = T.StructType([*layout.fields, T.StructField("is_first", T.BooleanType())])
-    neutral = F.concat(F.lit("-"), F.pmod("seq", F.lit(4096)))
-    state_key = F.when(is_valid(), F.concat(F.lit("+"), F.col("event_id"))).otherwise(neutral)
     valid = F.coalesce(is_valid(), F.lit(False))
     # Nested values travel through the Python processor as text.
     passed = [F.to_json(n).alias(n) if n == "issues" else F.col(n) for n in _PASSED]
-    rows = validated.select(*passed, valid.alias("valid"), state_key.alias("state_key"))
+    rows = validated.select(*passed, valid.alias("valid"))
+    layout_marked = T.StructType([*rows.schema.fields, T.StructField("repeat", T.BooleanType())])
+    rows = rows.mapInArrow(_mark_repeats, layout_marked)
+    neutral = F.concat(F.lit("-"), F.pmod("seq", F.lit(4096)))
+    keyed = F.col("valid") & ~F.col("repeat")
+    state_key = F.when(keyed, F.concat(F.lit("+"), F.col("event_id"))).otherwise(neutral)
+    rows = rows.withColumn("state_key", state_key)
     marked = rows.groupBy("state_key").transformWithState(
         statefulProcessor=FirstArrival(list(_PASSED), ttl_ms),
         outputStructType=output,
