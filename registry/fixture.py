@@ -72,8 +72,8 @@ def clean(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed preference changes."""
-    return (
+    """Typed preference changes, written out: their history takes several passes."""
+    rows = (
         sightings(spark, sf_dir)
         .filter("seq % 10 = 1")
         .selectExpr(
@@ -86,6 +86,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "seq",
         )
     )
+    return stage(rows, "changes")
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:

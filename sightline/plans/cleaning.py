@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators import quality
-from sightline.operators.decode import decode_json
+from sightline.operators.decode import JSON_PARSE_ERROR, decode_json
 from sightline.operators.dedup import mark_first
 from sightline.operators.validate import is_valid, validate
 from sightline.session import configure, stage
@@ -47,7 +47,9 @@ def cleaning(raw: DataFrame, now: Column | None = None) -> Cleaned:
     columns.
     """
     configure(raw.sparkSession)
-    validated = stage(validate(decode_json(raw)), "validated")
+    # Only a record that did not parse is still needed as bytes.
+    unparsed = F.when(F.col("reject") == JSON_PARSE_ERROR, F.col("value"))
+    validated = stage(validate(decode_json(raw)).withColumn("value", unparsed), "validated")
     marked = mark_first(validated.filter(is_valid()))
     duplicates = quality.duplicate_signals(marked.filter(~F.col("is_first")), now)
     return Cleaned(

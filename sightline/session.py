@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,10 @@ _SETTINGS = {
 }
 
 
+# Paths staged by the running thread inside ``released_after``.
+_STAGED = threading.local()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time SQL settings the operators depend on."""
     for name, value in _SETTINGS.items():
@@ -55,10 +62,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    if getattr(_STAGED, "paths", None) is not None:
+        _STAGED.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a written table, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def released_after(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``stage`` wrote inside the block once its outputs are written."""
+    outer, _STAGED.paths = getattr(_STAGED, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _STAGED.paths:
+            delete(spark, path)
+        _STAGED.paths = outer
+
+
 def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``df`` without its columns of these names, plus ``columns``, evaluated once.
 

@@ -14,7 +14,7 @@ from sightline import schemas as S
 from sightline.operators import alerts, preferences
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable
 from sightline.operators.validate import clean_fields
-from sightline.session import configure, stage
+from sightline.session import configure, released_after, stage
 from sightline.sources.topics import records
 from sightline.streaming.state import Versions, ddl
 
@@ -72,6 +72,10 @@ class AlertStream:
         )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with released_after(self._spark):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         rows = stage(batch, "alert-batch")
         clean = clean_fields(decodable(rows.filter(F.col("topic") == S.CLEAN)))
         clean = stage(clean, "alert-sightings")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sightline import schemas as S
 from sightline.operators import hotspot, quality
 from sightline.operators.eventtime import LATE, ON_TIME, closings, usable, with_lateness
-from sightline.session import configure, stage
+from sightline.session import configure, released_after, stage
 from sightline.sources.topics import records
 from sightline.streaming.state import Versions
 
@@ -42,12 +42,16 @@ class HotspotStream:
         now: Column | None = None,
     ) -> None:
         configure(spark)
-        self._folder, self._now = folder, now
+        self._spark, self._folder, self._now = spark, folder, now
         self._lateness_us, self._width_us = lateness_us, width_us
         self._open = Versions(spark, f"{folder}/state/open", _OPEN)
         self._largest = Versions(spark, f"{folder}/state/largest", _LARGEST)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with released_after(self._spark):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         before = self._largest.before(batch_id).first()
         seed = before["max_et_us"] if before else None
         rows = stage(usable(batch), "hotspot-batch")

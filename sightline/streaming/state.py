@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sightline.session import delete
+
 
 def ddl(layout: dict[str, str]) -> str:
     """Column names and types as a schema string."""
@@ -46,10 +48,7 @@ class Versions:
     def write(self, batch_id: int, rows: DataFrame) -> None:
         """Write the state after the batch, and drop versions no retry can need."""
         rows.select(*self._columns).write.mode("overwrite").parquet(f"{self._folder}/v={batch_id}")
-        jvm = self._spark._jvm
         for version in self._listed():
             # The batch before this one is committed, so its input is not needed.
             if version < batch_id - 1:
-                path = jvm.org.apache.hadoop.fs.Path(f"{self._folder}/v={version}")
-                fs = path.getFileSystem(self._spark._jsc.hadoopConfiguration())
-                fs.delete(path, True)
+                delete(self._spark, f"{self._folder}/v={version}")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import model
 import pytest
@@ -12,6 +13,7 @@ from test_eventtime import clean
 from sightline import schemas as S
 from sightline.functions.times import iso_z
 from sightline.operators import alerts, hotspot
+from sightline.session import shared_dir
 from sightline.sources.topics import (
     json_value,
     message,
@@ -41,6 +43,8 @@ def metric_rows(spark, folder):
 
 @pytest.mark.parametrize("size", [40, 120])
 def test_hotspot_stream_equals_batch(spark, tmp_path, size):
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    found_before = set(shared.glob("hotspot-*"))
     rows = model.random_sightings(random.Random(7), 120, 30 * model.MINUTE)
     job = HotspotStream(spark, str(tmp_path))
     parts = slices(rows, size)
@@ -50,6 +54,9 @@ def test_hotspot_stream_equals_batch(spark, tmp_path, size):
     HotspotStream(spark, str(tmp_path))(clean(spark, parts[-1]), len(parts) - 1)
     batch = hotspot.metric_records(hotspot.hotspot_panes(clean(spark, rows))).drop("key")
     assert metric_rows(spark, tmp_path) == sorted(map(tuple, batch.collect()))
+    # Staged tables are gone, and of the state only what a retry may need is left.
+    assert set(shared.glob("hotspot-*")) == found_before
+    assert len(list(tmp_path.glob("state/open/v=*"))) <= 2
     _, late, _ = model.hotspot(rows, S.LATENESS_US)
     signals = spark.read.parquet(f"{tmp_path}/out").filter(F.col("topic") == S.QUALITY)
     assert signals.count() == len(late) > 0
