@@ -1,4 +1,4 @@
-"""The provided ``events`` table mapped onto sightings and preference changes.
+"""Provided tables as sightings (``events``) and preference changes (``customer``).
 
 Event times are compressed 60-fold so that windows hold many rows, and arrival
 disorder, duplicates and invalid records are injected by the row number ``n``.
@@ -72,19 +72,21 @@ def clean(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed preference changes, written out: their history takes several passes."""
-    rows = (
-        sightings(spark, sf_dir)
-        .filter("seq % 10 = 1")
-        .selectExpr(
-            "concat('user_', uid % 40) AS user_id",
-            "event_type AS species_code",
-            "element_at(array('low', 'medium', 'high'), CAST(1 + seq % 3 AS INT)) AS priority",
-            "seq % 12 <> 5 AS active",
-            "CAST(5.0 + seq % 50 AS DOUBLE) AS radius_km",
-            "arrival_us",
-            "seq",
-        )
+    """Typed preference changes, one per customer, spread over the span of the events.
+
+    They are written out: their history takes several passes.
+    """
+    configure(spark)
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "concat('user_', c_custkey % 40) AS user_id",
+        """element_at(array('click', 'error', 'purchase', 'signup', 'view'),
+                      CAST(1 + c_nationkey % 5 AS INT)) AS species_code""",
+        """element_at(array('low', 'medium', 'high'),
+                      CAST(1 + length(c_mktsegment) % 3 AS INT)) AS priority""",
+        "c_acctbal >= 0 AS active",
+        "CAST(5 + 2 * c_nationkey AS DOUBLE) AS radius_km",
+        f"""{_EPOCH_US} + (c_custkey % 1000000) * 26843545601L % 43200000000L AS arrival_us""",
+        "CAST(c_custkey AS BIGINT) AS seq",
     )
     return stage(rows, "changes")
 

@@ -67,10 +67,13 @@ _HISTORY = (
     _SIGHTINGS
     + """,
 pref AS (
-  SELECT 'user_' || (uid % 40) AS user_id, event_type AS species_code,
-         ['low', 'medium', 'high'][1 + n % 3] AS priority, n % 12 <> 5 AS active,
-         5.0 + n % 50 AS radius_km, arrival_us, n
-  FROM s WHERE n % 10 = 1),
+  SELECT 'user_' || (c_custkey % 40) AS user_id,
+         ['click', 'error', 'purchase', 'signup', 'view'][1 + c_nationkey % 5] AS species_code,
+         ['low', 'medium', 'high'][1 + length(c_mktsegment) % 3] AS priority,
+         c_acctbal >= 0 AS active, CAST(5 + 2 * c_nationkey AS DOUBLE) AS radius_km,
+         1704067200000000 + (c_custkey % 1000000) * 26843545601 % 43200000000 AS arrival_us,
+         c_custkey AS n
+  FROM customer),
 hist AS (
   SELECT *, arrival_us AS vf,
     lead(arrival_us) OVER (PARTITION BY user_id, species_code ORDER BY arrival_us, n) AS vt
