@@ -35,6 +35,14 @@ def truthy_text(value: Column, name: str, document: Column) -> Column:
     return F.when(doubtful, again).otherwise(F.coalesce(value != "", F.lit(False)))
 
 
+def truthy_scalar(value: Column) -> Column:
+    """The value as text when it is truthy, else null."""
+    as_text = scalar_text(value)
+    return F.when(kind(value) == "STRING", F.nullif(as_text, F.lit(""))).otherwise(
+        F.when(truthy(value), as_text)
+    )
+
+
 def kind(value: Column) -> Column:
     """Spark's name for the value's type, for example ``BIGINT`` or ``VOID``."""
     return F.schema_of_variant(value)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sightline.functions import variants as V
 from sightline.functions.times import event_time_us
+from sightline.schemas import ISSUE
 from sightline.session import once
 
 # Issue codes and messages, in the order they are reported.
@@ -25,25 +30,29 @@ ISSUES = {
 
 
 def issue_list(rules: dict[str, Column]) -> Column:
-    """Ordered array of ``{code, message}`` for the rules that hold."""
+    """Ordered array of ``{code, message}`` for the rules that hold.
+
+    Most records break no rule; the list is put together only for the others.
+    """
+    broken = reduce(or_, (F.coalesce(rule, F.lit(False)) for rule in rules.values()))
     found = [
         F.when(rules[code], F.struct(F.lit(code).alias("code"), F.lit(message).alias("message")))
         for code, message in ISSUES.items()
         if code in rules
     ]
-    return F.array_compact(F.array(*found))
+    none = F.array().cast(T.ArrayType(ISSUE))
+    return F.when(broken, F.array_compact(F.array(*found))).otherwise(none)
 
 
-def count_delta(count: Column) -> Column:
+def count_delta(count: Column, kind: Column) -> Column:
     """Contribution of one record: a non-negative integer counts as itself, else 1.
 
     JSON booleans are integers here: true is 1, false is 0.
     """
-    name = V.kind(count)
     number = F.try_variant_get(count, "$", "bigint")
     return (
-        F.when(name == "BOOLEAN", F.when(F.try_variant_get(count, "$", "boolean"), 1).otherwise(0))
-        .when(V.is_integer(name) & (number >= 0), number)
+        F.when(V.is_integer(kind) & (number >= 0), number)
+        .when(kind == "BOOLEAN", F.try_variant_get(count, "$", "boolean").cast("bigint"))
         .otherwise(1)
         .cast("bigint")
     )
@@ -65,14 +74,14 @@ def sighting_fields(decoded: DataFrame) -> DataFrame:
     return decoded.withColumns(
         idents
         | {
-            "event_id": F.when(V.truthy(event_id), V.scalar_text(event_id)),
+            "event_id": V.truthy_scalar(event_id),
             "event_id_is_text": V.is_text(event_id),
             "event_time": F.col("rec.event_time"),
             "count": count,
             "count_kind": F.coalesce(V.kind(count), F.lit("VOID")),
         }
     ).withColumns(
-        {"cnt": count_delta(F.col("count")), "et_us": event_time_us("event_time")}
+        {"cnt": count_delta(F.col("count"), F.col("count_kind")), "et_us": event_time_us("event_time")}
     )
 
 
@@ -85,7 +94,7 @@ def clean_fields(decoded: DataFrame) -> DataFrame:
     fields = texts | {
         "event_id": V.scalar_text(F.col("rec.event_id")),
         "et_us": event_time_us("rec.event_time"),
-        "cnt": count_delta(F.col("rec.count")),
+        "cnt": count_delta(F.col("rec.count"), V.kind(F.col("rec.count"))),
     }
     return once(decoded, fields).select(*fields, "text", "arrival_us", "seq")
 
@@ -98,18 +107,19 @@ def validate(decoded: DataFrame) -> DataFrame:
     typed = sighting_fields(decoded)
     kind = F.col("count_kind")
     integer = V.is_integer(kind)
-    number = F.try_variant_get("count", "$", "decimal(38,0)")
+    small = F.try_variant_get("count", "$", "bigint")
+    large = F.try_variant_get("count", "$", "decimal(38,0)")
     rules = {
         "missing_user_id": F.col("user_id").isNull(),
         "missing_species_code": F.col("species_code").isNull(),
         "invalid_count_type": ~integer & ~kind.isin("VOID", "BOOLEAN"),
-        "negative_count": integer & (number < 0),
+        "negative_count": integer & F.when(kind == "BIGINT", small < 0).otherwise(large < 0),
         "missing_event_time": F.col("event_time").isNull(),
         "invalid_event_time": F.col("event_time").isNotNull() & F.col("et_us").isNull(),
         "missing_event_id": F.col("event_id").isNull(),
         "missing_location_id": F.col("location_id").isNull(),
         "invalid_event_id_type": F.col("event_id").isNotNull() & ~F.col("event_id_is_text"),
-        "count_out_of_range": integer & (number > 9_223_372_036_854_775_807),
+        "count_out_of_range": integer & (kind != "BIGINT") & (large > 0),
     }
     issues = F.when(F.col("reject").isNull(), issue_list(rules))
     fields = {name: F.col(name) for name in _FIELDS}
