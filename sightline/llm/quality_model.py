@@ -75,7 +75,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
     """
     rows, real = sample(docs, labels, "quality", per_class)
     rows = collected(rows.withColumn("f", _featured(F.col("text"), bits)))
-    weights = ftrl.train(rows, 1 << bits)
+    weights = ftrl.train(rows, 1 << bits, epochs=8, alpha=4.0, l1=0.1, l2=0.0)
     good = sum(label for _, _, label in rows)
     weights[-1] += ftrl.prior_shift((len(rows) - good, good), real)
     return weights.astype(np.float32)

@@ -22,9 +22,7 @@ from sightline.llm.common import free_name
 from sightline.session import once, stage
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-_BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANK, SYMBOL, CAPITAL = r"[\x20\x09-\x0D]", "[#*$%&|<>]", "[A-Z]"
 WINDOW = 8
 #: Words a text must have, and the largest share (in hundredths) of repeated words.
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -45,8 +43,8 @@ BROADCAST_STRATA = 10_000
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, "")).cast("long")
+def _number(text: Column, characters: str) -> Column:
+    return F.regexp_count(text, F.lit(characters)).cast("long")
 
 
 def with_counts(docs: DataFrame, text_col: str = "text", name: str = "counts") -> DataFrame:
@@ -58,12 +56,12 @@ def with_counts(docs: DataFrame, text_col: str = "text", name: str = "counts") -
     """
     text, tmp = F.coalesce(F.col(text_col), F.lit("")), free_name(docs, "rule_step")
     words = F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda line: _without(line, _BLANKS) > 0)
+    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line, F.lit(" \t\n\x0b\x0c\r")) != "")
     first = F.struct(
         F.transform(words, lambda w: F.xxhash64(w)).alias("words"),
-        _without(text, _BLANKS).alias("word_chars"),
-        (F.length(text) - _without(text, SYMBOLS)).alias("n_symbols"),
-        (F.length(text) - _without(text, _CAPITALS)).alias("n_capitals"),
+        (F.length(text) - _number(text, _BLANK)).alias("word_chars"),
+        _number(text, SYMBOL).alias("n_symbols"),
+        _number(text, CAPITAL).alias("n_capitals"),
         lines.alias("lines"),
     )
     step = F.col(tmp)

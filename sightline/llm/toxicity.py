@@ -1,9 +1,10 @@
 """Toxicity: character n-grams scaled by naive Bayes log-count ratios, linear classifier.
 
-N-grams are runs of 3 to 5 bytes of the text in lower case, with every ASCII mark read
-as a space, hashed to feature numbers. A feature is present or not. Its value is the log
-ratio of its smoothed rates in toxic and other training texts; a logistic regression on
-these values learns how far to trust each.
+N-grams are runs of 4, 6 or 8 bytes of the text in lower case, with every ASCII mark
+read as a space, hashed to feature numbers. A feature is present or not. Its value is the
+log ratio of its smoothed rates in toxic and other training texts; a logistic regression
+on these values learns how far to trust each, with a strong l1 term, so that a few
+thousand features have weights and the length of a text does not matter.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from sightline.llm.common import PLAIN, byte_slices, held_out
 from sightline.llm.training import FEATURES, collected, sample, struct_array
 
 #: Lengths of n-grams; feature numbers; labelled documents of each class; the cut-off.
-ORDERS, BITS, PER_CLASS, THRESHOLD = (3, 4, 5), 19, 2500, 0.5
+ORDERS, BITS, PER_CLASS, THRESHOLD = (4, 6, 8), 20, 2500, 0.5
 _BYTES, _PIECE = 4 << 20, 1 << 18
-_MIX = [np.uint32(m) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
+#: Odd multipliers, one per place in an n-gram.
+_MIX = [np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF) for k in range(max(ORDERS))]
 
 
 class Present:
@@ -92,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
         return np.append(np.zeros(1 << bits), -1e-6).astype(np.float32)
     ratio = log_count_ratios(rows, 1 << bits)
     scaled = [(at, ratio[at], label) for at, _, label in rows]
-    weights = ftrl.train(scaled, 1 << bits, epochs=4, alpha=0.02, l1=0.5, l2=1.0)
+    weights = ftrl.train(scaled, 1 << bits, epochs=4, alpha=0.1, l1=2.0, l2=0.1)
     weights[-1] += ftrl.prior_shift((len(rows) - toxic, toxic), real)
     weights[:-1] *= ratio
     return weights.astype(np.float32)
