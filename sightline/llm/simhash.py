@@ -202,23 +202,24 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     rows that go are found on narrow columns; the documents meet only their ids.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    mark, the_id, kept_fp = (free_name(docs, name) for name in ("fingerprint", "the_id", "kept_fp"))
     found = near_duplicates(docs, **options)
     smallest = F.when(F.col("doc_id") == F.col("component_id"), F.col("fingerprint"))
-    ids = found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("the_id"))
-    ids = ids.agg(F.count("*").alias("times"), F.min(smallest).alias("kept_fp"))
-    odd = stage(ids.filter("times > 1 or kept_fp is null"), "simhash-odd")
-    key = F.col(id_col) == F.col("the_id")
+    ids = found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(the_id))
+    ids = ids.agg(F.count("*").alias("times"), F.min(smallest).alias(kept_fp))
+    odd = stage(ids.filter((F.col("times") > 1) | F.col(kept_fp).isNull()), "simhash-odd")
+    key = F.col(id_col) == F.col(the_id)
     named = docs.filter(F.col(id_col).isNotNull())
-    single = named.join(odd.select("the_id"), key, "left_anti")
+    single = named.join(odd.select(the_id), key, "left_anti")
 
-    mark = free_name(docs, "fingerprint")
     value = fingerprint(F.col(text_col), options.get("shingle", 3))
-    more = odd.filter("times > 1 and kept_fp is not null").select("the_id", "kept_fp")
-    several = named.join(more.select("the_id"), key, "left_semi").withColumn(mark, value)
-    several = several.join(more, key & (F.col(mark) == F.col("kept_fp")), "left_semi")
-    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fingerprint").alias("kept_fp"))
+    same = F.col(mark) == F.col(kept_fp)
+    more = odd.filter((F.col("times") > 1) & F.col(kept_fp).isNotNull()).select(the_id, kept_fp)
+    several = named.join(more.select(the_id), key, "left_semi").withColumn(mark, value)
+    several = several.join(more, key & same, "left_semi")
+    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fingerprint").alias(kept_fp))
     nobody = docs.filter(F.col(id_col).isNull()).withColumn(mark, value)
-    nobody = nobody.join(nameless, F.col(mark) == F.col("kept_fp"), "left_semi")
+    nobody = nobody.join(nameless, same, "left_semi")
     return (
         single.unionByName(several.dropDuplicates([id_col]).drop(mark))
         .unionByName(nobody.dropDuplicates([mark]).drop(mark))
