@@ -54,7 +54,10 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('loc_', k % 3) AS location_id",
         "CAST(37 + k % 3 AS DOUBLE) + CAST(uid % 100 AS DOUBLE) / 100 AS lat",
         "CAST(-122 - k % 3 AS DOUBLE) - CAST(n % 100 AS DOUBLE) / 100 AS lng",
-        "CASE WHEN n % 41 = 0 THEN -3L ELSE CAST(floor(value) AS BIGINT) % 8 END AS cnt",
+        """CAST(CASE WHEN n % 41 = 0 THEN -3
+                     WHEN n % 997 = 0 THEN 9223372036854775807
+                     WHEN n % 1009 = 1 THEN 100000000000000000000000000007
+                     ELSE CAST(floor(value) AS BIGINT) % 8 END AS DECIMAL(38,0)) AS cnt""",
     )
 
 
@@ -84,7 +87,8 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         """element_at(array('low', 'medium', 'high'),
                       CAST(1 + length(c_mktsegment) % 3 AS INT)) AS priority""",
         "c_acctbal >= 0 AS active",
-        "CAST(5 + 2 * c_nationkey AS DOUBLE) AS radius_km",
+        """CAST(CASE WHEN c_custkey % 89 = 0 THEN 40030 WHEN c_custkey % 83 = 0 THEN 25000
+                     ELSE 5 + 2 * c_nationkey END AS DOUBLE) AS radius_km""",
         f"""{_EPOCH_US} + (c_custkey % 1000000) * 26843545601L % 43200000000L AS arrival_us""",
         "CAST(c_custkey AS BIGINT) AS seq",
     )

@@ -19,7 +19,10 @@ s AS (
     'loc_' || (k % 3) AS location_id,
     CAST(37 + k % 3 AS DOUBLE) + CAST(uid % 100 AS DOUBLE) / 100 AS lat,
     CAST(-122 - k % 3 AS DOUBLE) - CAST(n % 100 AS DOUBLE) / 100 AS lng,
-    CASE WHEN n % 41 = 0 THEN -3 ELSE CAST(floor(value) AS BIGINT) % 8 END AS cnt
+    CASE WHEN n % 41 = 0 THEN -3
+         WHEN n % 997 = 0 THEN CAST(9223372036854775807 AS HUGEINT)
+         WHEN n % 1009 = 1 THEN CAST(100000000000000000000000000007 AS HUGEINT)
+         ELSE CAST(floor(value) AS BIGINT) % 8 END AS cnt
   FROM e0)"""
 
 _CLEAN = (
@@ -54,12 +57,12 @@ closing AS (
   SELECT we, min(wm) AS cwm FROM (SELECT ends.we, l.wm FROM ends JOIN l ON l.wm >= ends.we) GROUP BY we),
 main_p AS (
   SELECT location_id, species_code, ws, we, 'main' AS pane, NULL::VARCHAR AS event_id,
-         CAST(sum(cnt) AS BIGINT) AS sighting_count, count(DISTINCT user_id) AS unique_birders
+         CAST(sum(cnt) AS VARCHAR) AS sighting_count, count(DISTINCT user_id) AS unique_birders
   FROM l WHERE st = 'on_time' GROUP BY ALL),
 panes AS (
   SELECT main_p.*, cwm AS wm FROM main_p JOIN closing USING (we)
   UNION ALL
-  SELECT location_id, species_code, ws, we, 'late', event_id, cnt, 1, wm
+  SELECT location_id, species_code, ws, we, 'late', event_id, CAST(cnt AS VARCHAR), 1, wm
   FROM l WHERE st = 'within_lateness')"""
 )
 
@@ -70,7 +73,9 @@ pref AS (
   SELECT 'user_' || (c_custkey % 40) AS user_id,
          ['click', 'error', 'purchase', 'signup', 'view'][1 + c_nationkey % 5] AS species_code,
          ['low', 'medium', 'high'][1 + length(c_mktsegment) % 3] AS priority,
-         c_acctbal >= 0 AS active, CAST(5 + 2 * c_nationkey AS DOUBLE) AS radius_km,
+         c_acctbal >= 0 AS active,
+         CAST(CASE WHEN c_custkey % 89 = 0 THEN 40030 WHEN c_custkey % 83 = 0 THEN 25000
+              ELSE 5 + 2 * c_nationkey END AS DOUBLE) AS radius_km,
          1704067200000000 + (c_custkey % 1000000) * 26843545601 % 43200000000 AS arrival_us,
          c_custkey AS n
   FROM customer),
@@ -154,7 +159,7 @@ def _id(prefix: str, *parts: str) -> str:
 
 
 _TOTALS = """SELECT location_id, species_code, ws AS window_start_us, we AS window_end_us,
-       CAST(sum(cnt) AS BIGINT) AS sighting_count, count(DISTINCT user_id) AS unique_birders
+       CAST(sum(cnt) AS VARCHAR) AS sighting_count, count(DISTINCT user_id) AS unique_birders
 FROM clean GROUP BY ALL"""
 
 _FIRST_ALERT = """SELECT user_id, species_code, location_id, ws AS window_start_us,
@@ -179,10 +184,10 @@ near AS (
   FROM clean c JOIN snap p USING (species_code) JOIN anchors a ON a.user_id = p.user_id
   WHERE p.user_id <> c.user_id AND 2 * 6371.0 * asin(least(1.0, sqrt(
     pow(sin(radians(c.lat - a.lat) / 2), 2)
-    + cos(radians(a.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lng - a.lng) / 2), 2)))) <= p.radius_km)"""
+    + cos(radians(a.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lng - a.lng) / 2), 2)))) <= CASE WHEN p.n % 71 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE p.radius_km END)"""
 
 _JCLEAN = """SELECT location_id AS key, event_id, user_id, species_code, location_id,
-       et_us, delta AS cnt, txt AS text, arrival_us, n AS seq FROM jvalid WHERE rk = 1"""
+       et_us, CAST(delta AS VARCHAR) AS cnt, txt AS text, arrival_us, n AS seq FROM jvalid WHERE rk = 1"""
 
 _LATE_SIGNALS = """SELECT location_id AS key, 'late_event_dropped' AS signal_type, event_id,
        {et} AS event_time, {we} AS window_end, {wm} AS watermark FROM l WHERE st = 'late'""".format(
@@ -277,16 +282,16 @@ def oracle_sql() -> dict[str, str]:
         "late_refresh_diff": _sql(
             _PANES,
             """, f AS (SELECT location_id, species_code, ws, we, sum(cnt) AS c FROM clean GROUP BY ALL),
-               e AS (SELECT location_id, species_code, ws, we, sum(sighting_count) AS c FROM panes GROUP BY ALL)
+               e AS (SELECT location_id, species_code, ws, we, sum(CAST(sighting_count AS HUGEINT)) AS c FROM panes GROUP BY ALL)
                SELECT location_id, species_code, ws AS window_start_us, we AS window_end_us,
-                 CAST(f.c AS BIGINT) AS full_count, CAST(e.c AS BIGINT) AS emitted_count,
-                 CAST(coalesce(f.c, 0) - coalesce(e.c, 0) AS BIGINT) AS missing
+                 CAST(f.c AS VARCHAR) AS full_count, CAST(e.c AS VARCHAR) AS emitted_count,
+                 CAST(coalesce(f.c, 0) - coalesce(e.c, 0) AS VARCHAR) AS missing
                FROM f FULL JOIN e USING (location_id, species_code, ws, we)""",
         ).replace("\n, f AS", ", f AS"),
         "hot_key_share": _sql(
             _CLEAN,
             """SELECT location_id, count(*) AS n,
-               CAST(floor(count(*) * 1000000 / (SELECT count(*) FROM clean)) AS BIGINT) AS share_ppm
+               count(*) * 1000000 // (SELECT count(*) FROM clean) AS share_ppm
                FROM clean GROUP BY location_id""",
         ),
         "quality_rates": _sql(
@@ -350,7 +355,13 @@ def oracle_sql() -> dict[str, str]:
                AS violations FROM pref""",
         ),
         "contract_alert": _sql(
-            _MATCHES, "SELECT count(*) AS n, 0 AS broken FROM (" + _FIRST_ALERT.format(matches="matches") + ")"
+            _MATCHES,
+            f"""SELECT {_id("al_", "user_id", "species_code", "location_id", "window_start_us")} AS alert_id,
+                array_to_string([x FOR x IN [
+                  CASE WHEN event_id LIKE '%1' THEN 'window_start: format' END,
+                  CASE WHEN event_id LIKE '%4' THEN 'detected_at: format' END,
+                  CASE WHEN event_id LIKE '%2' THEN 'priority: required' END] IF x IS NOT NULL], ',') AS violations
+                FROM ({_FIRST_ALERT.format(matches="matches")})""",
         ),
         "preference_changes": _sql(
             _HISTORY,

@@ -40,13 +40,16 @@ _FIRST_US = -(1 << 63)
 
 
 def alertable(clean: DataFrame, width_us: int = WINDOW_US, *more: str) -> DataFrame:
-    """Sightings that can raise an alert: a time, a species and a location."""
+    """Sightings that can raise an alert: a time, a species and a location.
+
+    A sighting without a user is nobody's own.
+    """
     rows = with_window(clean, width_us)
     rows = rows.filter((F.col("species_code") != "") & (F.col("location_id") != ""))
     return rows.select(
         *ARRIVAL,
         "event_id",
-        F.col("user_id").alias("birder_id"),
+        F.coalesce("user_id", F.lit("")).alias("birder_id"),
         *GROUP[:3],
         F.floor(F.col("arrival_us") / F.lit(CELL_US)).alias("cell"),
         *more,

@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import variants as V
-from sightline.functions.times import event_time_us
+
+# RFC 3339: a full date, a time and an offset. The day is checked by the calendar.
+_DATE_TIME = (
+    r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])[Tt]([01]\d|2[0-3]):[0-5]\d:([0-5]\d|60)"
+    r"(\.\d+)?([Zz]|[+-]([01]\d|2[0-3]):[0-5]\d)$"
+)
 
 # Field contracts. "id" is a non-empty string.
 SIGHTING_CONTRACT = {
@@ -47,6 +52,16 @@ ALERT_CONTRACT = {
 }
 
 
+def fields_of(contract: dict[str, str]) -> str:
+    """The fields to decode, each with its JSON type."""
+    return ", ".join(f"{name} variant" for name in contract)
+
+
+def _is_date_time(text: Column) -> Column:
+    day = F.substring(text, 1, 10).try_cast("date")
+    return text.rlike(_DATE_TIME) & day.isNotNull()
+
+
 def _checks(name: str, rule: str) -> list[Column]:
     value, kind, text = F.col(f"_{name}"), F.col(f"_{name}_kind"), F.col(f"_{name}_text")
     number = text.try_cast("double")
@@ -56,7 +71,7 @@ def _checks(name: str, rule: str) -> list[Column]:
     rules = {
         "id": lambda: (is_string, {"minLength": text == ""}),
         "string": lambda: (is_string, {}),
-        "date-time": lambda: (is_string, {"format": event_time_us(f"_{name}_text").isNull()}),
+        "date-time": lambda: (is_string, {"format": ~_is_date_time(text)}),
         "low|medium|high": lambda: (is_string, {"enum": ~text.isin("low", "medium", "high")}),
         "boolean": lambda: (kind == "BOOLEAN", {}),
         "number": lambda: (is_number, {}),
@@ -76,15 +91,14 @@ def _checks(name: str, rule: str) -> list[Column]:
 
 
 def contract_violations(decoded: DataFrame, contract: dict[str, str]) -> DataFrame:
-    """Add ``violations``, in field order, to decoded JSON objects."""
-    values = {f"_{name}": V.field(F.col("_doc"), name) for name in contract}
+    """Add ``violations``, in field order, to objects decoded with ``fields_of(contract)``."""
+    values = {f"_{name}": F.col(f"rec.{name}") for name in contract}
     kinds = {f"_{name}_kind": V.kind(F.col(f"_{name}")) for name in contract}
     texts = {f"_{name}_text": V.scalar_text(F.col(f"_{name}")) for name in contract}
     found = [check for name, rule in contract.items() for check in _checks(name, rule)]
     return (
-        decoded.withColumn("_doc", F.try_parse_json("text"))
-        .withColumns(values)
+        decoded.withColumns(values)
         .withColumns(kinds | texts)
         .withColumn("violations", F.array_compact(F.array(*found)))
-        .drop("_doc", *values, *kinds, *texts)
+        .drop(*values, *kinds, *texts)
     )

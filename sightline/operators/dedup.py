@@ -1,42 +1,63 @@
-"""First arrival per event id, and the later arrivals."""
+"""First arrival per event id, and the later arrivals.
+
+A record is identified by ``(key, arrival_us, seq)``, which must not repeat: two
+sources may use one ``seq`` for different records. The later arrivals are found on
+these three columns alone and written out. Usually they are few, so the wide rows
+meet them as a broadcast side that Catalyst sizes by the written bytes, and only a
+log with many repeats is shuffled.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.operators.arrival import position
 from sightline.schemas import ARRIVAL
+from sightline.session import stage
 
 
 def first_arrivals(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per key: the arrival position of its first record.
+    """One row per key: the position of its first record, as one number.
 
-    The minimum combines on the map side, so a key that holds a large share of
-    the rows costs one row per task in the shuffle.
+    The minimum is a hash aggregate that combines on the map side, so a key that
+    holds a large share of the rows costs one row per task in the shuffle.
     """
-    first = F.min(F.struct(*ARRIVAL)).alias("first")
-    return df.groupBy(key).agg(first).select(key, "first.*")
+    return df.groupBy(key).agg(F.min(position()).alias("first"))
 
 
-def mark_first(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """Add ``is_first``: whether the row is the first arrival of its key.
+def _later(df: DataFrame, key: str) -> DataFrame:
+    """Identities of the later arrivals, written out.
 
-    The winners are joined back on the record's own position (``seq``), not on
-    the key, so a hot key spreads over all tasks.
+    Rows meet the first arrivals by key *and* position, so a hot key spreads over
+    all tasks.
     """
-    winners = first_arrivals(df, key).select("seq", F.lit(True).alias("_winner"))
-    return (
-        df.join(winners, "seq", "left")
-        .withColumn("is_first", F.col("_winner").isNotNull())
-        .drop("_winner")
-    )
+    narrow = df.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in ARRIVAL])
+    at = position("_arrival_us", "_seq")
+    winners = first_arrivals(df, key).select(F.col(key).alias("_winner"), "first")
+    is_first = F.col("_key").eqNullSafe(F.col("_winner")) & (at == F.col("first"))
+    return stage(narrow.join(winners, is_first, "left_anti").distinct(), "later-arrivals")
+
+
+def _same(key: str):
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    for name in ARRIVAL:
+        same = same & (F.col(name) == F.col(f"_{name}"))
+    return same
+
+
+def mark_first(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Add ``is_first``: whether the row is the first arrival of its key."""
+    later = _later(df, key).withColumn("_late", F.lit(True))
+    marked = df.join(later, _same(key), "left").withColumn("is_first", F.col("_late").isNull())
+    return marked.drop("_late", "_key", *[f"_{c}" for c in ARRIVAL])
 
 
 def dedup_first(df: DataFrame, key: str = "event_id") -> DataFrame:
     """Only the first arrival of every key."""
-    return df.join(first_arrivals(df, key).select("seq"), "seq", "left_semi")
+    return df.join(_later(df, key), _same(key), "left_anti")
 
 
 def later_arrivals(df: DataFrame, key: str = "event_id") -> DataFrame:
     """Every arrival after the first of its key."""
-    return df.join(first_arrivals(df, key).select("seq"), "seq", "left_anti")
+    return df.join(_later(df, key), _same(key), "left_semi")

@@ -22,6 +22,9 @@ from sightline.operators.eventtime import (
 from sightline.schemas import LATENESS_US, WINDOW_US
 from sightline.session import stage
 
+# Counts are integers of up to 38 digits; a sum beyond that is null, not an error.
+TOTAL = "decimal(38,0)"
+
 KEYS = ["location_id", "species_code", "window_start_us", "window_end_us"]
 
 
@@ -30,6 +33,10 @@ def birder() -> Column:
     return F.nullif(F.col("user_id"), F.lit(""))
 
 
+def summed(count: str = "cnt") -> Column:
+    return F.try_sum(F.col(count).cast(TOTAL))
+
+
 def totals(rows: DataFrame, *extra: Column) -> DataFrame:
     """Summed counts and exact distinct birders per window.
 
@@ -37,7 +44,7 @@ def totals(rows: DataFrame, *extra: Column) -> DataFrame:
     its users before the final, small aggregation.
     """
     return rows.groupBy(*KEYS).agg(
-        F.sum("cnt").alias("sighting_count"),
+        summed().alias("sighting_count"),
         F.count_distinct(birder()).alias("unique_birders"),
         *extra,
     )
@@ -57,18 +64,10 @@ def hotspot_salted(clean: DataFrame, salts: int = 16, width_us: int = WINDOW_US)
     partial = (
         with_window(clean, width_us)
         .groupBy(*KEYS, salt)
-        .agg(F.sum("cnt").alias("part"), F.count_distinct(birder()).alias("users"))
+        .agg(summed().alias("part"), F.count_distinct(birder()).alias("users"))
     )
     return partial.groupBy(*KEYS).agg(
-        F.sum("part").alias("sighting_count"), F.sum("users").alias("unique_birders")
-    )
-
-
-def hotspot_approx(clean: DataFrame, width_us: int = WINDOW_US) -> DataFrame:
-    """Totals with an approximate distinct count, one shuffle instead of two."""
-    return with_window(clean, width_us).groupBy(*KEYS).agg(
-        F.sum("cnt").alias("sighting_count"),
-        F.approx_count_distinct(birder()).alias("unique_birders"),
+        summed("part").alias("sighting_count"), F.sum("users").alias("unique_birders")
     )
 
 
@@ -91,7 +90,7 @@ def late_panes(behind: DataFrame) -> DataFrame:
         *KEYS,
         F.lit("late").alias("pane"),
         "event_id",
-        F.col("cnt").alias("sighting_count"),
+        F.col("cnt").cast(TOTAL).alias("sighting_count"),
         birder().isNotNull().cast("bigint").alias("unique_birders"),
         "watermark_us",
     )
@@ -142,7 +141,8 @@ def late_refresh_diff(
 ) -> DataFrame:
     """Recomputed windows, late records included, against the emitted panes."""
     full = hotspot_totals(clean, width_us).withColumnRenamed("sighting_count", "full_count")
-    emitted = panes.groupBy(*KEYS).agg(F.sum("sighting_count").alias("emitted_count"))
+    emitted = panes.groupBy(*KEYS).agg(summed("sighting_count").alias("emitted_count"))
     joined = full.drop("unique_birders").join(emitted, KEYS, "full_outer")
     missing = F.coalesce("full_count", F.lit(0)) - F.coalesce("emitted_count", F.lit(0))
+    missing = missing.cast(TOTAL)
     return joined.withColumn("missing", missing)

@@ -144,4 +144,5 @@ def hot_key_share(df: DataFrame, key: str = "location_id") -> DataFrame:
     """Rows per key and their share of all rows, in parts per million."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     total = df.select(F.count("*").alias("total"))
-    return counts.withColumn("share_ppm", F.floor(F.col("n") * 1_000_000 / total.scalar()))
+    shares = counts.withColumn("_total", total.scalar())
+    return shares.withColumn("share_ppm", F.expr("n * 1000000 div _total")).drop("_total")

@@ -22,6 +22,8 @@ _KM_PER_DEGREE = math.pi * EARTH_KM / 180
 # Finest cells are about 5.5 km high; each level doubles that.
 _FINEST = 0.05
 _TOP_LEVEL = 12
+# Half a turn reaches every point: larger radii, infinity included, are cut to it.
+_HALF_TURN = 180.0
 _LEAST_COSINE = 1e-4
 
 
@@ -56,8 +58,12 @@ def _width(band: Column, level: Column) -> Column:
 
 
 def _anchor_cells(wanted: DataFrame) -> DataFrame:
-    """A row per cell the circle around the anchor may touch."""
-    degrees = F.col("radius_km") / F.lit(_KM_PER_DEGREE)
+    """A row per cell the circle around the anchor may touch.
+
+    A negative radius or one that is no number reaches nothing.
+    """
+    wanted = wanted.filter((F.col("radius_km") >= 0) & ~F.isnan("radius_km"))
+    degrees = F.least(F.col("radius_km") / F.lit(_KM_PER_DEGREE), F.lit(_HALF_TURN))
     level = F.ceil(F.log2(F.greatest(degrees, F.lit(_FINEST)) / F.lit(_FINEST))).cast("int")
     lat, lng, height = F.col("anchor_lat"), F.col("anchor_lng"), _height(F.col("level"))
     bands = F.sequence(F.floor((lat - degrees) / height), F.floor((lat + degrees) / height))
@@ -68,7 +74,7 @@ def _anchor_cells(wanted: DataFrame) -> DataFrame:
         F.greatest(F.cos(F.radians(lat)), F.lit(_LEAST_COSINE))
         * _band_cosine(F.col("band"), F.col("level"))
     )
-    half = F.when(reach >= 1, 180.0).otherwise(F.degrees(2 * F.asin(F.least(reach, F.lit(1.0)))))
+    half = F.when((reach >= 1) | (degrees >= _HALF_TURN), _HALF_TURN).otherwise(F.degrees(2 * F.asin(F.least(reach, F.lit(1.0)))))
     # The circle may cross the date line: also look one turn east and west.
     turn = F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0)))
     rows = rows.withColumn("half", half).withColumn("turn", turn)

@@ -25,7 +25,6 @@ ISSUES = {
     "missing_event_id": "event_id is required",
     "missing_location_id": "location_id is required",
     "invalid_event_id_type": "event_id must be a string",
-    "count_out_of_range": "count must fit a 64-bit integer",
 }
 
 
@@ -47,14 +46,15 @@ def issue_list(rules: dict[str, Column]) -> Column:
 def count_delta(count: Column, kind: Column) -> Column:
     """Contribution of one record: a non-negative integer counts as itself, else 1.
 
-    JSON booleans are integers here: true is 1, false is 0.
+    JSON booleans are integers here: true is 1, false is 0. Integers have up to 38
+    digits.
     """
-    number = F.try_variant_get(count, "$", "bigint")
+    number = F.try_variant_get(count, "$", "decimal(38,0)")
     return (
         F.when(V.is_integer(kind) & (number >= 0), number)
-        .when(kind == "BOOLEAN", F.try_variant_get(count, "$", "boolean").cast("bigint"))
+        .when(kind == "BOOLEAN", F.try_variant_get(count, "$", "boolean").cast("int"))
         .otherwise(1)
-        .cast("bigint")
+        .cast("decimal(38,0)")
     )
 
 
@@ -107,19 +107,17 @@ def validate(decoded: DataFrame) -> DataFrame:
     typed = sighting_fields(decoded)
     kind = F.col("count_kind")
     integer = V.is_integer(kind)
-    small = F.try_variant_get("count", "$", "bigint")
-    large = F.try_variant_get("count", "$", "decimal(38,0)")
+    number = F.try_variant_get("count", "$", "decimal(38,0)")
     rules = {
         "missing_user_id": F.col("user_id").isNull(),
         "missing_species_code": F.col("species_code").isNull(),
         "invalid_count_type": ~integer & ~kind.isin("VOID", "BOOLEAN"),
-        "negative_count": integer & F.when(kind == "BIGINT", small < 0).otherwise(large < 0),
+        "negative_count": integer & (number < 0),
         "missing_event_time": F.col("event_time").isNull(),
         "invalid_event_time": F.col("event_time").isNotNull() & F.col("et_us").isNull(),
         "missing_event_id": F.col("event_id").isNull(),
         "missing_location_id": F.col("location_id").isNull(),
         "invalid_event_id_type": F.col("event_id").isNotNull() & ~F.col("event_id_is_text"),
-        "count_out_of_range": integer & (kind != "BIGINT") & (large > 0),
     }
     issues = F.when(F.col("reject").isNull(), issue_list(rules))
     fields = {name: F.col(name) for name in _FIELDS}

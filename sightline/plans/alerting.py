@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from sightline.operators import alerts, preferences
-from sightline.schemas import WINDOW_US
-from sightline.session import configure
+from sightline.schemas import ARRIVAL, WINDOW_US
+from sightline.session import configure, stage
+
+_NEEDED = [*ARRIVAL, "event_id", "user_id", "species_code", "location_id", "et_us"]
 
 
 def alerting(
@@ -22,6 +24,8 @@ def alerting(
     before the first sighting.
     """
     configure(clean.sparkSession)
+    # Written once: the join passes over the sightings several times.
+    clean = stage(clean.select(*_NEEDED), "alerting-input")
     if mode == "asof":
         found = alerts.alerts_asof(clean, preferences.preference_history(changes), width_us)
     elif mode == "snapshot":

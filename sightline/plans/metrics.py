@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from sightline.operators import hotspot, quality
 from sightline.operators.eventtime import LATE, behind_watermark, closings
-from sightline.schemas import LATENESS_US, WINDOW_US
+from sightline.schemas import ARRIVAL, LATENESS_US, WINDOW_US
 from sightline.session import configure, stage
 
 
+_NEEDED = [*ARRIVAL, "event_id", "user_id", "species_code", "location_id", "et_us", "cnt"]
+
+
 @dataclass
 class Metrics:
     """The two outputs of the hotspot job."""
@@ -28,10 +31,15 @@ def metrics(
     now: Column | None = None,
     ranges: int | None = None,
 ) -> Metrics:
-    """Closed windows, late deltas and late signals of a bounded clean log."""
+    """Closed windows, late deltas and late signals of a bounded clean log.
+
+    The columns the job needs are written once, so whatever made ``clean`` runs once;
+    so are the rows behind the watermark, which both outputs read.
+    """
     configure(clean.sparkSession)
-    closed = stage(closings(clean, lateness_us, width_us), "closings")
-    behind = behind_watermark(clean, closed, lateness_us, width_us, ranges)
-    panes = hotspot.main_panes(clean, closed, width_us).unionByName(hotspot.late_panes(behind))
+    rows = stage(clean.select(*_NEEDED), "metrics-input")
+    closed = stage(closings(rows, lateness_us, width_us), "closings")
+    behind = stage(behind_watermark(rows, closed, lateness_us, width_us, ranges), "behind")
+    panes = hotspot.main_panes(rows, closed, width_us).unionByName(hotspot.late_panes(behind))
     late = quality.late_signals(behind.filter(F.col("lateness") == LATE), now)
     return Metrics(metrics=hotspot.metric_records(panes), quality=late)

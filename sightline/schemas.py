@@ -69,7 +69,7 @@ METRIC = T.StructType(
         T.StructField("species_code", T.StringType()),
         T.StructField("window_start", T.StringType()),
         T.StructField("window_end", T.StringType()),
-        T.StructField("sighting_count", T.LongType()),
+        T.StructField("sighting_count", T.DecimalType(38, 0)),
         T.StructField("unique_birders", T.LongType()),
         T.StructField("watermark_at_emit", T.StringType()),
     ]

@@ -25,7 +25,7 @@ _OPEN = {
     "window_start_us": "bigint",
     "window_end_us": "bigint",
     "user_id": "string",
-    "cnt": "bigint",
+    "cnt": hotspot.TOTAL,
 }
 _LARGEST = {"max_et_us": "bigint"}
 
@@ -61,7 +61,7 @@ class HotspotStream:
         users = [*hotspot.KEYS, "user_id"]
         opened = marked.filter(F.col("lateness") == ON_TIME).select(*users, "cnt")
         merged = opened.unionByName(self._open.before(batch_id))
-        merged = stage(merged.groupBy(*users).agg(F.sum("cnt").alias("cnt")), "hotspot-open")
+        merged = stage(merged.groupBy(*users).agg(hotspot.summed().alias("cnt")), "hotspot-open")
         ends = merged.select("window_end_us").distinct()
         closed = stage(closings(rows, self._lateness_us, self._width_us, ends), "closings")
 
@@ -82,19 +82,25 @@ class HotspotStream:
         self._largest.write(batch_id, rows.agg(largest).filter("max_et_us IS NOT NULL"))
 
 
-def hotspot_native(clean: DataFrame, lateness_us: int = S.LATENESS_US) -> DataFrame:
+def hotspot_native(
+    clean: DataFrame, lateness_us: int = S.LATENESS_US, width_us: int = S.WINDOW_US
+) -> DataFrame:
     """Streaming windows under Spark's own watermark, in append mode.
 
     Cheaper, and emits on the same rule, but the watermark moves per micro-batch:
     there are no late panes and no late signals, and rows dropped as late depend
-    on the batching.
+    on the batching. Users are counted in two steps, so no row holds a set of them.
     """
-    birders = F.collect_set(hotspot.birder())
-    return (
+    width = f"{width_us} microseconds"
+    by_user = (
         clean.withColumn("et", F.timestamp_micros("et_us"))
         .withWatermark("et", f"{lateness_us // 1000} milliseconds")
-        .groupBy(F.window("et", "15 minutes"), "location_id", "species_code")
-        .agg(F.sum("cnt").alias("sighting_count"), F.size(birders).alias("unique_birders"))
+        .groupBy(F.window("et", width), "location_id", "species_code", hotspot.birder().alias("birder"))
+        .agg(hotspot.summed().alias("cnt"))
+    )
+    return (
+        by_user.groupBy(F.window("window", width), "location_id", "species_code")
+        .agg(hotspot.summed().alias("sighting_count"), F.count("birder").alias("unique_birders"))
         .select(
             "location_id",
             "species_code",

@@ -63,6 +63,14 @@ def test_snapshot_mode(spark):
     assert got == sorted(model.alerts(rows, early))
 
 
+def test_a_sighting_without_user_is_nobodys_own(spark):
+    base = model.random_sightings(random.Random(0), 1, 0)[0]
+    rows = [{**base, "user_id": None, "species_code": "s", "location_id": "l"}]
+    prefs = [(u, "s", "low", True, 1.0, "", 0, i) for i, u in enumerate(["u1", "u2"])]
+    history = preferences.preference_history(spark.createDataFrame(prefs, CHANGES), ranges=1)
+    assert {r.user_id for r in alerts.alerts_asof(clean(spark, rows), history).collect()} == {"u1", "u2"}
+
+
 def test_off_and_on_again_stays_suppressed(spark):
     base = model.random_sightings(random.Random(0), 1, 0)[0]
     rows = [

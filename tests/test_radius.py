@@ -37,6 +37,20 @@ def test_cells_lose_no_neighbour(spark):
     assert got == want and want
 
 
+def test_any_radius_is_legal(spark):
+    spots = [(0.0, 0.0), (0.0, 179.9), (-89.9, 10.0), (10.0, 20.0)]
+    rows = [(i, i, f"e{i}", "finder", "s", f"l{i}", 0, 1, *spot) for i, spot in enumerate(spots)]
+    clean = spark.createDataFrame(rows, CLEAN + ", lat double, lng double")
+    radii = [20_015.0, 20_016.0, 25_000.0, 40_030.0, 1e6, 1e9, 1e15, math.inf, math.nan, -1.0]
+    anchors = spark.createDataFrame([(f"u{i}", 0.0, 0.0) for i in range(len(radii))], "user_id string, lat double, lng double")
+    wanted = spark.createDataFrame(
+        [(f"u{i}", "s", "low", r) for i, r in enumerate(radii)],
+        "user_id string, species_code string, priority string, radius_km double",
+    )
+    got = {(r.user_id, r.event_id) for r in alerts_within_radius(clean, wanted, anchors).collect()}
+    assert got == {(f"u{i}", f"e{k}") for i in range(8) for k in range(4)}
+
+
 def test_last_own_position(spark):
     rows = [(5, 1, "a", "u", "s", "l", 0, 1, 1.0, 2.0), (5, 2, "b", "u", "s", "l", 0, 1, 3.0, 4.0),
             (9, 3, "c", "u", "s", "l", 0, 1, None, 4.0), (9, 4, "d", "", "s", "l", 0, 1, 7.0, 4.0)]

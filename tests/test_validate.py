@@ -65,7 +65,8 @@ COUNTS = [
     ("3.0", ["invalid_count_type"], 1), ("1e3", ["invalid_count_type"], 1),
     ('"3"', ["invalid_count_type"], 1), ("[3]", ["invalid_count_type"], 1), ("{}", ["invalid_count_type"], 1),
     ("-1", ["negative_count"], 1), ("-0", [], 0), ("9223372036854775807", [], 9223372036854775807),
-    ("9223372036854775808", ["count_out_of_range"], 1), ("-9223372036854775809", ["negative_count"], 1),
+    ("9223372036854775808", [], 9223372036854775808), ("-9223372036854775809", ["negative_count"], 1),
+    ("123456789012345678901234567890", [], 123456789012345678901234567890),
 ]
 
 
@@ -132,3 +133,12 @@ def test_first_arrival_wins_not_first_row(spark, order):
     assert [r.seq for r in dedup_first(df).collect()] == [4]
     assert sorted(r.seq for r in later_arrivals(df).collect()) == [1, 5]
     assert {r.seq: r.is_first for r in mark_first(df).collect()} == {4: True, 5: False, 1: False}
+
+
+def test_sources_may_share_a_seq(spark):
+    from sightline.operators.dedup import dedup_first, mark_first
+
+    rows = [("a", 10, 1), ("b", 12, 1), ("a", 11, 1), ("b", 9, 1)]
+    df = spark.createDataFrame(rows, "event_id string, arrival_us bigint, seq bigint")
+    assert sorted((r.event_id, r.arrival_us) for r in dedup_first(df).collect()) == [("a", 10), ("b", 9)]
+    assert sorted(r.is_first for r in mark_first(df).collect()) == [False, False, True, True]
