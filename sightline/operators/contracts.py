@@ -77,7 +77,7 @@ def _checks(name: str, rule: str) -> list[Column]:
         "number": lambda: (is_number, {}),
         "number>=0": lambda: (is_number, {"minimum": number < 0}),
         "number 0..1": lambda: (is_number, {"minimum": number < 0, "maximum": number > 1}),
-        "integer>=0": lambda: (is_number & (number == F.floor(number)), {"minimum": number < 0}),
+        "integer>=0": lambda: (is_number & (number == F.rint(number)), {"minimum": number < 0}),
     }
     typed, limits = rules[rule]()
     present = value.isNotNull()
