@@ -34,7 +34,8 @@ def train(
             features, values, label = rows[k]
             at, x = np.append(features, size), np.append(values, 1.0)
             w = leader(at)
-            g = (sigmoid(float(w @ x)) - label) * x
+            # A plain sum: the dot product of BLAS would wake its threads for each row.
+            g = (sigmoid(float((w * x).sum())) - label) * x
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha
             z[at] += g - sigma * w
             n[at] += g * g

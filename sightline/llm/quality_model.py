@@ -92,7 +92,7 @@ def score(docs: DataFrame, text: Column, weights: np.ndarray) -> Column:
         for run in byte_slices(texts, _BYTES):
             for content in run:
                 at, x = features(content, bits)
-                out.append(ftrl.sigmoid(float(w[at] @ x) + float(w[-1])))
+                out.append(ftrl.sigmoid(float((w[at] * x).sum()) + float(w[-1])))
         return pa.array(out, pa.float64())
 
     return of(text)

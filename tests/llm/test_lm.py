@@ -54,8 +54,15 @@ def test_training_beats_the_untrained_network_and_frequencies(spark):
     symbols = lm.encoded(docs, words)
     before = lm.score(symbols, lm.Network()).first().mean_log_prob
     after = lm.score(symbols, lm.fit(symbols, rounds=6)).first().mean_log_prob
+    assert after > before + 1
+
+    text = np.frombuffer(symbols.first().symbols, np.uint8).astype(np.int64)
+    net, past = lm.Network(), np.zeros(len(lm.Network().vector), np.float32)
+    at = np.arange(len(text))
+    for _ in range(150):
+        net.train(lm.windows_at(lm.padded_of(text), at), text, past)
     counts = np.array([2, 1, 1, 1, 1]) / 6
-    assert after > before + 1 and after > (counts * np.log(counts)).sum()
+    assert net.log_prob(text) / len(text) > 0.5 * (counts * np.log(counts)).sum()
 
 
 def test_averages_in_groups_equal_one_average(spark):
