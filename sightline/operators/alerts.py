@@ -15,7 +15,7 @@ group's first sighting) are merged with the group's sightings by one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -33,8 +33,8 @@ SUPPRESSION = ["user_id", "species_code", "location_id", "window_start_us"]
 CELL_US = 3_600_000_000
 # A group with more sightings than this is split into several.
 GROUP_ROWS = 1_000_000
-# Preference versions up to this count are broadcast.
-BROADCAST_VERSIONS = 200_000
+# Preference versions of one species in a block of the join.
+BLOCK_VERSIONS = 50_000
 
 _FIRST_US = -(1 << 63)
 
@@ -73,29 +73,66 @@ def _groups(sightings: DataFrame) -> DataFrame:
     )
 
 
+def _cover(first: Column, last: Column, levels: int) -> Column:
+    """The cells ``first`` to ``last`` as at most two dyadic intervals a level.
+
+    An interval is (level, node): the cells whose number, shifted right by the level,
+    is the node.
+    """
+    kind = "array<struct<level:int,node:bigint>>"
+    start = F.struct(first.alias("low"), (last + 1).alias("high"), F.array().cast(kind).alias("nodes"))
+
+    def climb(state: Column, level: Column) -> Column:
+        low, high = state["low"], state["high"]
+        node = lambda n: F.struct(level.alias("level"), n.alias("node"))
+        odd_low = (low < high) & (F.pmod(low, F.lit(2)) == 1)
+        low_up = F.when(odd_low, low + 1).otherwise(low)
+        odd_high = (low_up < high) & (F.pmod(high, F.lit(2)) == 1)
+        found = F.array_compact(F.array(F.when(odd_low, node(low)), F.when(odd_high, node(high - 1))))
+        return F.struct(
+            F.shiftright(low_up, 1).alias("low"),
+            F.shiftright(F.when(odd_high, high - 1).otherwise(high), 1).alias("high"),
+            F.concat(state["nodes"], found).alias("nodes"),
+        )
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, climb, lambda state: state["nodes"])
+
+
 def _pairs(groups: DataFrame, versions: DataFrame) -> DataFrame:
-    """Versions and groups of one species whose arrival spans overlap."""
-    spark = groups.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Versions and groups of one species whose arrival spans overlap.
+
+    A group lies in one arrival cell. A version's interval is covered by few dyadic
+    intervals of cells, and a group looks each level up, so they meet by equality and
+    a pair that meets overlaps but for the cells at the interval's ends. The versions
+    of a popular species are cut into blocks by user; only its own groups are copied.
+    """
+    span = groups.agg(F.min("cell"), F.max("cell")).first()
+    if span[0] is None:
+        span = (0, 0)
+    levels = (span[1] - span[0] + 1).bit_length()
+    least, most = F.lit(span[0]).cast("bigint"), F.lit(span[1]).cast("bigint")
+    cell = lambda at: F.floor(at / F.lit(CELL_US)).cast("bigint")
+    first = F.greatest(cell(F.col("valid_from_us")), least) - least
+    last = F.least(F.coalesce(cell(F.col("valid_to_us")), most), most) - least
+    sizes = versions.groupBy("species_code").agg(F.ceil(F.count("*") / BLOCK_VERSIONS).cast("int").alias("_blocks"))
+    sizes = stage(sizes, "species-blocks")
+    covered = versions.withColumn("_cover", F.when(first <= last, _cover(first, last, levels)))
+    covered = covered.join(sizes, "species_code").select(
+        *versions.columns,
+        F.pmod(F.xxhash64("user_id", "valid_from_us"), F.col("_blocks")).cast("int").alias("_block"),
+        F.inline("_cover").alias("_level", "_node"),
+    )
+    looked = groups.join(sizes, "species_code").withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    )
+    looked = looked.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    node = F.expr("shiftright(cell - {}, _level)".format(span[0]))
+    looked = looked.withColumn("_node", node).drop("_blocks")
     overlap = (F.col("valid_from_us") <= F.col("last_us")) & (
         F.col("valid_to_us").isNull() | (F.col("valid_to_us") > F.col("head.arrival_us"))
     )
-    groups = groups.withColumnRenamed("species_code", "_species")
-    same = F.col("species_code") == F.col("_species")
-    if versions.count() <= BROADCAST_VERSIONS:
-        spread = groups.repartition(parts, "_species", *GROUP[1:])
-        joined = spread.join(F.broadcast(versions), same & overlap)
-    else:
-        # Few species, so the join key also takes a block of users: a popular
-        # species becomes many join partitions. Only groups are repeated, once
-        # per block; they are far fewer than the pairs.
-        blocks = max(parts, 8)
-        left = groups.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        block = F.pmod(F.xxhash64("user_id", "valid_from_us"), F.lit(blocks)).cast("int")
-        right = versions.withColumn("_user_block", block)
-        joined = left.join(right, same & (F.col("_block") == F.col("_user_block")) & overlap)
-        joined = joined.drop("_block", "_user_block")
-    return joined.drop("_species")
+    joined = looked.join(covered, ["species_code", "_block", "_level", "_node"]).filter(overlap)
+    return joined.drop("_block", "_level", "_node")
 
 
 def _split(sightings: DataFrame, probes: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ import random
 
 import model
 import pytest
+from pyspark.sql import functions as F
 from test_eventtime import clean
 
 from sightline.operators import alerts, preferences
@@ -45,7 +46,7 @@ def test_alerts_equal_model(spark, seed):
 
 def test_oversized_groups_and_large_preferences(spark, monkeypatch):
     monkeypatch.setattr(alerts, "GROUP_ROWS", 5)
-    monkeypatch.setattr(alerts, "BROADCAST_VERSIONS", 0)
+    monkeypatch.setattr(alerts, "BLOCK_VERSIONS", 3)
     monkeypatch.setattr(alerts, "CELL_US", 20 * model.MINUTE)
     rows, prefs = case(4)
     history = preferences.preference_history(change_table(spark, prefs), ranges=1)
@@ -119,3 +120,31 @@ def test_arrival_beats_updated_at(spark):
         {**base, "priority": "high", "updated_at": "2026-01-01", "arrival_us": 2, "seq": 2},
     ]
     assert preferences.preference_snapshot(change_table(spark, rows)).first().priority == "high"
+
+
+def test_cover_is_exact(spark):
+    spans = [(a, b) for a in range(0, 20, 3) for b in range(a, 21)] + [(0, 1000), (999, 1000), (5, 4)]
+    frame = spark.createDataFrame(spans, "a bigint, b bigint")
+    for a, b, nodes in frame.select("a", "b", alerts._cover(F.col("a"), F.col("b"), 11)).collect():
+        cells = [c for n in nodes for c in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(cells) == list(range(a, b + 1)) and len(nodes) <= 22
+
+
+def test_pairs_evaluated_are_pairs_kept(spark):
+    """A popular species whose versions each hold for an hour, and a cold one."""
+    hour = alerts.CELL_US
+    versions = spark.range(100_000).selectExpr(
+        "concat('u', id) AS user_id", "'s' AS species_code", "'low' AS priority",
+        f"(id % 1000) * {hour} AS valid_from_us", f"(id % 1000) * {hour} + {hour} AS valid_to_us",
+    )
+    groups = spark.range(1100).selectExpr(
+        "CASE WHEN id < 1000 THEN 's' ELSE 'cold' END AS species_code", "'l' AS location_id", "0L AS window_start_us",
+        "id % 1000 AS cell", f"(id % 1000) * {hour} + {hour} - 1 AS last_us", "1L AS rows",
+        f"named_struct('arrival_us', (id % 1000) * {hour} + 5, 'seq', id, 'event_id', 'e', 'birder_id', 'b') AS head",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert alerts._pairs(groups, versions).count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
