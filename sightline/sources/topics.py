@@ -26,10 +26,17 @@ def bootstrap_servers() -> str:
 
 
 def with_arrival(kafka: DataFrame) -> DataFrame:
-    """Kafka rows in topic layout: append time, then partition and offset."""
+    """Kafka rows in topic layout: append time, then partition and offset.
+
+    Arrival is the time the broker appended a record, so topics need
+    ``message.timestamp.type=LogAppendTime``. A row that carries the producer's clock
+    instead (``timestampType`` 0) would silently follow another order: it is an error.
+    """
     seq = F.shiftleft(F.col("partition").cast("bigint"), _OFFSET_BITS) + F.col("offset")
+    wrong = F.raise_error(F.lit("the topic needs message.timestamp.type=LogAppendTime"))
+    appended = F.when(F.col("timestampType") == 1, F.col("timestamp")).otherwise(wrong.cast("timestamp"))
     return kafka.select(
-        "key", "value", F.unix_micros("timestamp").alias("arrival_us"), seq.alias("seq")
+        "key", "value", F.unix_micros(appended).alias("arrival_us"), seq.alias("seq")
     )
 
 

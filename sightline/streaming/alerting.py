@@ -15,7 +15,7 @@ from sightline.operators import alerts, preferences
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable
 from sightline.operators.validate import clean_fields
 from sightline.session import configure, released_after, stage
-from sightline.sources.topics import records
+from sightline.sources.topics import records, write_topics
 from sightline.streaming.state import Versions, ddl
 
 _CHANGES = {
@@ -37,6 +37,7 @@ _RAISED = {
     "batch_id": "bigint",
     "day": "int",
 }
+_LIVE = {name: _RAISED[name] for name in [*alerts.SUPPRESSION, "arrival_us"]}
 _DAY_US = 86_400_000_000
 
 
@@ -44,7 +45,11 @@ class AlertStream:
     """``foreachBatch`` handler over rows ``(topic, key, value, arrival_us, seq)``.
 
     ``ttl_us`` lets a suppressed alert be raised again once that much arrival time
-    has passed; by default suppression never ends.
+    has passed; by default suppression never ends. With it, every batch writes the keys
+    that are still live and drops the rest, so the state stays as large as one span of
+    ``ttl_us``; without it the raised keys are an append-only table. Alerts go to topics
+    below ``folder``, or with ``kafka`` to Kafka, where a repeated batch sends the same
+    ids again.
     """
 
     def __init__(
@@ -54,11 +59,13 @@ class AlertStream:
         width_us: int = S.WINDOW_US,
         ttl_us: int | None = None,
         now: Column | None = None,
+        kafka: bool = False,
     ) -> None:
         configure(spark)
-        self._spark, self._folder, self._now = spark, folder, now
+        self._spark, self._folder, self._now, self._kafka = spark, folder, now, kafka
         self._width_us, self._ttl_us = width_us, ttl_us
         self._changes = Versions(spark, f"{folder}/state/preferences", _CHANGES)
+        self._live = Versions(spark, f"{folder}/state/live", _LIVE)
 
     def _raised(self, found: DataFrame, batch_id: int) -> DataFrame:
         """Keys of earlier batches, from the days the batch has windows of."""
@@ -87,22 +94,28 @@ class AlertStream:
         found = alerts.alerts_asof(clean, preferences.preference_history(known), self._width_us)
         day = F.floor(F.col("window_start_us") / F.lit(_DAY_US)).cast("int")
         found = stage(found.withColumn("day", day), "alerts-found")
-        raised = self._raised(found, batch_id)
         if self._ttl_us is not None:
-            raised = raised.withColumnRenamed("arrival_us", "raised_us")
+            kept = self._live.before(batch_id)
+            raised = kept.withColumnRenamed("arrival_us", "raised_us")
             same = [F.col(f"f.{k}") == F.col(f"r.{k}") for k in alerts.SUPPRESSION]
             live = F.col("f.arrival_us") - F.col("r.raised_us") < F.lit(self._ttl_us)
             new = found.alias("f").join(raised.alias("r"), [*same, live], "left_anti")
         else:
-            new = found.join(raised, alerts.SUPPRESSION, "left_anti")
+            new = found.join(self._raised(found, batch_id), alerts.SUPPRESSION, "left_anti")
         new = stage(new, "alerts-new")
 
         out = records(alerts.alert_records(new, self._now), S.ALERTS)
-        out.write.mode("overwrite").partitionBy("topic").parquet(
-            f"{self._folder}/out/batch_id={batch_id}"
-        )
-        keys = new.select(*alerts.SUPPRESSION, "arrival_us", "day")
-        keys.write.mode("overwrite").partitionBy("day").parquet(
-            f"{self._folder}/state/raised/batch_id={batch_id}"
-        )
+        write_topics(out, None if self._kafka else f"{self._folder}/out/batch_id={batch_id}", "overwrite")
+        if self._ttl_us is None:
+            keys = new.select(*alerts.SUPPRESSION, "arrival_us", "day")
+            keys.write.mode("overwrite").partitionBy("day").parquet(
+                f"{self._folder}/state/raised/batch_id={batch_id}"
+            )
+        else:
+            # No later sighting can arrive before the last one of this batch.
+            last = rows.agg(F.max("arrival_us").alias("last")).scalar()
+            raised = kept.unionByName(new.select(*_LIVE)).groupBy(*alerts.SUPPRESSION)
+            raised = raised.agg(F.max("arrival_us").alias("arrival_us"))
+            expired = last - F.col("arrival_us") >= F.lit(self._ttl_us)
+            self._live.write(batch_id, raised.filter(~F.coalesce(expired, F.lit(False))))
         self._changes.write(batch_id, preferences.preference_state(known))

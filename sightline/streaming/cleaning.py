@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sightline import schemas as S
 from sightline.operators import quality
-from sightline.operators.decode import decode_json
+from sightline.operators.decode import JSON_PARSE_ERROR, decode_json
 from sightline.operators.validate import is_invalid, is_valid, validate
 from sightline.session import configure
 from sightline.sources.topics import json_value, message, with_payload
@@ -110,7 +110,10 @@ def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None) -> DataFr
     output = T.StructType([*layout.fields, T.StructField("is_first", T.BooleanType())])
     valid = F.coalesce(is_valid(), F.lit(False))
     # Nested values travel through the Python processor as text.
-    passed = [F.to_json(n).alias(n) if n == "issues" else F.col(n) for n in _PASSED]
+    passed = {n: F.col(n) for n in _PASSED} | {"issues": F.to_json("issues")}
+    # Only a record that did not parse is still needed as bytes.
+    passed["value"] = F.when(F.col("reject") == JSON_PARSE_ERROR, F.col("value"))
+    passed = [column.alias(name) for name, column in passed.items()]
     rows = validated.select(*passed, valid.alias("valid"))
     layout_marked = T.StructType([*rows.schema.fields, T.StructField("repeat", T.BooleanType())])
     rows = rows.mapInArrow(_mark_repeats, layout_marked)

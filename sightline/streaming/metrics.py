@@ -16,7 +16,7 @@ from sightline import schemas as S
 from sightline.operators import hotspot, quality
 from sightline.operators.eventtime import LATE, ON_TIME, closings, usable, with_lateness
 from sightline.session import configure, released_after, stage
-from sightline.sources.topics import records
+from sightline.sources.topics import records, write_topics
 from sightline.streaming.state import Versions
 
 _OPEN = {
@@ -31,7 +31,11 @@ _LARGEST = {"max_et_us": "bigint"}
 
 
 class HotspotStream:
-    """``foreachBatch`` handler: call it with (batch of clean rows, batch id)."""
+    """``foreachBatch`` handler: call it with (batch of clean rows, batch id).
+
+    Records go to topics below ``folder``, or with ``kafka`` to Kafka, where a repeated
+    batch sends the same ids again.
+    """
 
     def __init__(
         self,
@@ -40,9 +44,10 @@ class HotspotStream:
         lateness_us: int = S.LATENESS_US,
         width_us: int = S.WINDOW_US,
         now: Column | None = None,
+        kafka: bool = False,
     ) -> None:
         configure(spark)
-        self._spark, self._folder, self._now = spark, folder, now
+        self._spark, self._folder, self._now, self._kafka = spark, folder, now, kafka
         self._lateness_us, self._width_us = lateness_us, width_us
         self._open = Versions(spark, f"{folder}/state/open", _OPEN)
         self._largest = Versions(spark, f"{folder}/state/largest", _LARGEST)
@@ -73,9 +78,7 @@ class HotspotStream:
         metrics = records(hotspot.metric_records(panes), S.METRICS)
         signals = records(late, S.QUALITY).select("topic", "key", "value")
         out = metrics.unionByName(signals)
-        out.write.mode("overwrite").partitionBy("topic").parquet(
-            f"{self._folder}/out/batch_id={batch_id}"
-        )
+        write_topics(out, None if self._kafka else f"{self._folder}/out/batch_id={batch_id}", "overwrite")
 
         self._open.write(batch_id, merged.join(closed, "window_end_us", "left_anti"))
         largest = F.greatest(F.max("et_us"), F.lit(seed).cast("bigint")).alias("max_et_us")

@@ -161,9 +161,11 @@ def test_topic_round_trip(spark, tmp_path):
 
 
 def test_kafka_layout_and_payload(spark):
-    kafka = spark.sql("SELECT X'6B' key, X'76' value, 3 partition, 7L offset, TIMESTAMP '2026-05-16 15:10:00Z' timestamp")
+    kafka = spark.sql("SELECT X'6B' key, X'76' value, 3 partition, 7L offset, TIMESTAMP '2026-05-16 15:10:00Z' timestamp, 1 timestampType")
     row = with_arrival(kafka).first()
     assert (row.arrival_us, row.seq) == (1778944200000000, (3 << 48) + 7)
+    with pytest.raises(Exception, match="LogAppendTime"):
+        with_arrival(kafka.withColumn("timestampType", F.lit(0))).collect()
     text = spark.range(1).select(with_payload(F.lit('{"a":1}'), F.lit('{"z":3.0,"b":1}'))).first()[0]
     assert text == '{"a":1,"payload":{"z":3.0,"b":1}}'
 
