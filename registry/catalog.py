@@ -19,7 +19,14 @@ from sightline.plans.cleaning import cleaning
 from sightline.plans.metrics import metrics
 from sightline.session import new_path, stage
 from sightline.sources.backfill import with_provenance
-from sightline.sources.topics import json_value, message, stream_topic, topic_writer, write_topics
+from sightline.sources.topics import (
+    json_value,
+    message,
+    read_topic,
+    stream_topic,
+    topic_writer,
+    write_topics,
+)
 from sightline.streaming.alerting import AlertStream
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream, hotspot_native
@@ -276,6 +283,14 @@ def _clean_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.clean(spark, sf_dir).select(F.inline(F.array(routed)), *S.ARRIVAL)
 
 
+def topic_replay(spark, sf_dir):
+    folder = new_path(spark, "topic-replay")
+    write_topics(fixture.raw_log(spark, sf_dir).withColumn("topic", F.lit(S.RAW)), folder)
+    rows = read_topic(spark, S.RAW, folder)
+    text = {name: F.col(name).cast("string") for name in ("key", "value")}
+    return rows.withColumns(text)
+
+
 def _run_now(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -379,6 +394,7 @@ _QUERIES = [
     alerts_radius,
     backfill,
     alert_records,
+    topic_replay,
     contract_sighting,
     contract_preference,
     contract_alert,

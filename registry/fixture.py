@@ -100,21 +100,27 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("seq").cast("string")
     rows = sightings(spark, sf_dir).withColumn("number", number)
     text = F.concat(
-        F.lit('{"event_id":"'), "event_id",
-        F.lit('","user_id":"'), "user_id",
-        F.lit('","species_code":"'), "species_code",
+        # Ids that are numbers, no location, no event time.
+        F.lit('{"event_id":'), F.expr("CASE WHEN seq % 79 = 0 THEN CAST(seq + 1 AS STRING) ELSE concat('\"', event_id, '\"') END"),
+        F.lit(',"user_id":'), F.expr("CASE WHEN seq % 83 = 0 THEN CAST(uid % 40 + 1 AS STRING) ELSE concat('\"', user_id, '\"') END"),
+        F.lit(',"species_code":"'), "species_code",
         F.lit('","common_name":"'), "event_type",
-        F.lit('","location_id":"'), "location_id",
+        F.lit('","location_id":"'), F.when(F.col("seq") % 73 != 0, F.col("location_id")).otherwise(""),
         F.lit('","lat":'), F.expr("37 + CAST(right(location_id, 1) AS INT)"),
         F.expr("concat('.', lpad(CAST(uid % 100 AS STRING), 2, '0'))"),
         F.lit(',"lng":'), F.expr("-122 - CAST(right(location_id, 1) AS INT)"),
         F.expr("concat('.', lpad(CAST(seq % 100 AS STRING), 2, '0'))"),
-        F.lit(',"event_time":"'),
-        F.when(F.col("seq") % 61 == 0, "not-a-timestamp").otherwise(iso_z(F.col("et_us"))),
+        F.when(F.col("seq") % 71 == 0, "").otherwise(
+            F.concat(
+                F.lit(',"event_time":"'),
+                F.when(F.col("seq") % 61 == 0, "not-a-timestamp").otherwise(iso_z(F.col("et_us"))),
+                F.lit('"'),
+            )
+        ),
         F.expr(
-            """CASE WHEN seq % 59 = 0 THEN '"'
-                    WHEN seq % 67 = 0 THEN '","count":2.0'
-                    ELSE concat('","count":', cnt) END"""
+            """CASE WHEN seq % 59 = 0 THEN ''
+                    WHEN seq % 67 = 0 THEN ',"count":2.0'
+                    ELSE concat(',"count":', cnt) END"""
         ),
         F.expr("CASE WHEN seq % 53 = 0 THEN ',\"confidence\":1.5' ELSE ',\"confidence\":0.92' END"),
         F.lit(',"source":"manual_log"'),

@@ -102,19 +102,26 @@ _JSON = (
     + """,
 j0 AS (
   SELECT *,
-    '{"event_id":"' || event_id || '","user_id":"' || user_id || '","species_code":"' || species_code
-    || '","common_name":"' || event_type || '","location_id":"' || location_id
+    '{"event_id":' || CASE WHEN n % 79 = 0 THEN CAST(n + 1 AS VARCHAR) ELSE '"' || event_id || '"' END
+    || ',"user_id":' || CASE WHEN n % 83 = 0 THEN CAST(uid % 40 + 1 AS VARCHAR) ELSE '"' || user_id || '"' END
+    || ',"species_code":"' || species_code
+    || '","common_name":"' || event_type
+    || '","location_id":"' || CASE WHEN n % 73 = 0 THEN '' ELSE location_id END
     || '","lat":' || (37 + k % 3) || '.' || lpad(CAST(uid % 100 AS VARCHAR), 2, '0')
     || ',"lng":' || (-122 - k % 3) || '.' || lpad(CAST(n % 100 AS VARCHAR), 2, '0')
-    || ',"event_time":"' || CASE WHEN n % 61 = 0 THEN 'not-a-timestamp' ELSE {et} END
-    || CASE WHEN n % 59 = 0 THEN '"' WHEN n % 67 = 0 THEN '","count":2.0' ELSE '","count":' || cnt END
+    || CASE WHEN n % 71 = 0 THEN ''
+       ELSE ',"event_time":"' || CASE WHEN n % 61 = 0 THEN 'not-a-timestamp' ELSE {et} END || '"' END
+    || CASE WHEN n % 59 = 0 THEN '' WHEN n % 67 = 0 THEN ',"count":2.0' ELSE ',"count":' || cnt END
     || CASE WHEN n % 53 = 0 THEN ',"confidence":1.5' ELSE ',"confidence":0.92' END
     || ',"source":"manual_log"' || CASE WHEN n % 43 = 0 THEN '' ELSE '}}' END AS body
   FROM s),
 j AS (
   SELECT *, CASE WHEN n % 47 = 0 THEN '[' || body || ']' ELSE body END AS txt FROM j0),
 r AS (
-  SELECT *, CASE WHEN NOT json_valid(txt) THEN 'json_parse_error'
+  SELECT * REPLACE (
+      CASE WHEN n % 79 = 0 THEN CAST(n + 1 AS VARCHAR) ELSE event_id END AS event_id,
+      CASE WHEN n % 83 = 0 THEN CAST(uid % 40 + 1 AS VARCHAR) ELSE user_id END AS user_id),
+    CASE WHEN NOT json_valid(txt) THEN 'json_parse_error'
                  WHEN json_type(txt) <> 'OBJECT' THEN 'invalid_record_type' END AS reject
   FROM j),
 v AS (
@@ -124,8 +131,10 @@ v AS (
       CASE WHEN species_code = '' THEN 'missing_species_code' END,
       CASE WHEN n % 59 <> 0 AND n % 67 = 0 THEN 'invalid_count_type' END,
       CASE WHEN n % 59 <> 0 AND n % 67 <> 0 AND cnt < 0 THEN 'negative_count' END,
-      CASE WHEN n % 61 = 0 THEN 'invalid_event_time' END,
-      CASE WHEN event_id = '' THEN 'missing_event_id' END] IF x IS NOT NULL] AS codes
+      CASE WHEN n % 71 = 0 THEN 'missing_event_time' WHEN n % 61 = 0 THEN 'invalid_event_time' END,
+      CASE WHEN event_id = '' THEN 'missing_event_id' END,
+      CASE WHEN n % 73 = 0 THEN 'missing_location_id' END,
+      CASE WHEN n % 79 = 0 THEN 'invalid_event_id_type' END] IF x IS NOT NULL] AS codes
   FROM r),
 jvalid AS (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival_us, n) AS rk,
@@ -200,8 +209,8 @@ def oracle_sql() -> dict[str, str]:
     queries = {
         "event_time_parse": _sql(
             _JSON,
-            f"""SELECT n AS seq, CASE WHEN n % 61 <> 0 THEN et_us END AS et_us,
-                CASE WHEN n % 61 <> 0 THEN {_iso("et_us")} END AS event_time
+            f"""SELECT n AS seq, CASE WHEN n % 61 <> 0 AND n % 71 <> 0 THEN et_us END AS et_us,
+                CASE WHEN n % 61 <> 0 AND n % 71 <> 0 THEN {_iso("et_us")} END AS event_time
                 FROM v WHERE reject IS NULL""",
         ),
         "window_bounds": _sql(
@@ -239,8 +248,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dq_validation_failed": _sql(
             _JSON,
-            f"""SELECT location_id AS key, 'validation_failed' AS signal_type, event_id,
-                {_CODES} AS codes FROM v WHERE reject IS NULL AND len(codes) > 0""",
+            f"""SELECT location_id AS key, 'validation_failed' AS signal_type,
+                CASE WHEN n % 79 <> 0 THEN event_id END AS event_id, {_CODES} AS codes FROM v WHERE reject IS NULL AND len(codes) > 0""",
         ),
         "clean_sightings": _sql(_JSON, _JCLEAN),
         "dq_duplicates": _sql(
@@ -253,7 +262,8 @@ def oracle_sql() -> dict[str, str]:
             """, jc AS (SELECT *, et_us - et_us % 900000000 + 900000000 AS we,
                  max(et_us) OVER (ORDER BY arrival_us, n ROWS UNBOUNDED PRECEDING) - 120000000 AS wm
                  FROM jvalid WHERE rk = 1)
-               SELECT 'validation_failed' AS signal_type, location_id AS key, event_id, n AS seq
+               SELECT 'validation_failed' AS signal_type, location_id AS key,
+                 CASE WHEN n % 79 <> 0 THEN event_id END AS event_id, n AS seq
                FROM v WHERE reject IS NULL AND len(codes) > 0
                UNION ALL SELECT 'duplicate_event_id', location_id, event_id, n FROM jvalid WHERE rk > 1
                UNION ALL SELECT 'late_event_dropped', location_id, event_id, n
@@ -337,10 +347,11 @@ def oracle_sql() -> dict[str, str]:
         "contract_sighting": _sql(
             _JSON,
             """SELECT n AS seq, array_to_string([x FOR x IN [
-                 CASE WHEN event_id = '' THEN 'event_id: minLength' END,
-                 CASE WHEN user_id = '' THEN 'user_id: minLength' END,
+                 CASE WHEN n % 79 = 0 THEN 'event_id: type' WHEN event_id = '' THEN 'event_id: minLength' END,
+                 CASE WHEN n % 83 = 0 THEN 'user_id: type' WHEN user_id = '' THEN 'user_id: minLength' END,
                  CASE WHEN species_code = '' THEN 'species_code: minLength' END,
-                 CASE WHEN n % 61 = 0 THEN 'event_time: format' END,
+                 CASE WHEN n % 73 = 0 THEN 'location_id: minLength' END,
+                 CASE WHEN n % 71 = 0 THEN 'event_time: required' WHEN n % 61 = 0 THEN 'event_time: format' END,
                  CASE WHEN n % 59 = 0 THEN 'count: required'
                       WHEN n % 67 <> 0 AND cnt < 0 THEN 'count: minimum' END,
                  CASE WHEN n % 53 = 0 THEN 'confidence: maximum' END] IF x IS NOT NULL], ',')
@@ -393,6 +404,7 @@ def oracle_sql() -> dict[str, str]:
            UNION ALL SELECT 'dead_letter_events', location_id, n
            FROM v WHERE reject IS NOT NULL OR len(codes) > 0""",
     )
+    queries["topic_replay"] = _sql(_JSON, "SELECT n AS seq, location_id AS key, txt AS value, arrival_us FROM j")
     queries["stream_hotspot_exact"] = queries["hotspot_panes"]
     queries["stream_alerts"] = queries["alert_records"]
     return queries
