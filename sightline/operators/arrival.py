@@ -132,8 +132,8 @@ def next_in_key(
     parts = W.partitionBy(*keys).orderBy("_range")
     heads = (
         ranged.groupBy(*keys, "_range")
-        .agg(F.min(F.struct(*ARRIVAL, F.col(value).alias("_value"))).alias("_head"))
-        .select(*keys, "_range", F.lead("_head._value").over(parts).alias("_after"))
+        .agg(F.min_by(value, position()).alias("_head"))
+        .select(*keys, "_range", F.lead("_head").over(parts).alias("_after"))
     )
     return (
         inside.join(heads, [*keys, "_range"], "left")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sightline.functions.times import window_end_us, window_start_us
-from sightline.operators.arrival import cut_points, running_max
+from sightline.operators.arrival import cut_points, position, running_max
 from sightline.schemas import ARRIVAL, LATENESS_US, WINDOW_US
 
 ON_TIME = "on_time"
@@ -78,9 +78,11 @@ def closings(
     one large sort. ``more_ends`` are window ends without a row in ``clean``.
     """
     et = F.col("et_us")
-    first = F.min(F.struct(*ARRIVAL, et)).alias("first")
+    # Numbers only, so the pass over all rows is a hash aggregate.
+    first = [F.min(position()).alias("at"), F.min_by(et, position()).alias("et_us")]
     step = window_start_us(et - F.lit(lateness_us), width_us)
-    steps = usable(clean).groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(first)
+    steps = usable(clean).groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(*first)
+    steps = steps.select("step", "end", F.struct("at", "et_us").alias("first"))
     reached = F.struct(F.col("step").alias("end_us"), "first")
     asked = F.struct(F.col("end").alias("end_us"), F.lit(None).alias("first"))
     known = steps.select(F.inline(F.array(reached, asked)))
@@ -106,7 +108,7 @@ def closings(
         .filter(F.col("closing").isNotNull())
         .select(
             F.col("end_us").alias("window_end_us"),
-            F.struct("closing.arrival_us", "closing.seq").alias("closed_at"),
+            F.col("closing.at").alias("closed_at"),
             (F.col("closing.et_us") - F.lit(lateness_us)).alias("closing_watermark_us"),
         )
     )
@@ -125,7 +127,7 @@ def with_window(clean: DataFrame, width_us: int = WINDOW_US) -> DataFrame:
 
 def in_time() -> Column:
     """Whether a row joined to ``closings`` arrived before its window closed."""
-    return F.struct(*ARRIVAL) < F.col("closed_at")
+    return position() < F.col("closed_at")
 
 
 def behind_watermark(

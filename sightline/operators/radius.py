@@ -11,8 +11,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from sightline.operators.alerts import SUPPRESSION, alertable
+from sightline.operators.arrival import position
 from sightline.operators.eventtime import usable
 from sightline.schemas import ARRIVAL, WINDOW_US
 from sightline.session import stage
@@ -39,8 +41,8 @@ def distance_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 def last_positions(sightings: DataFrame) -> DataFrame:
     """Each user's position at their last own sighting."""
     placed = usable(sightings).filter("user_id <> '' AND lat IS NOT NULL AND lng IS NOT NULL")
-    last = F.max_by(F.struct("lat", "lng"), F.struct(*ARRIVAL)).alias("at")
-    return placed.groupBy("user_id").agg(last).select("user_id", "at.lat", "at.lng")
+    last = [F.max_by(c, position()).alias(c) for c in ("lat", "lng")]
+    return placed.groupBy("user_id").agg(*last)
 
 
 def _height(level: Column) -> Column:
@@ -99,8 +101,9 @@ def alerts_within_radius(
 ) -> DataFrame:
     """First sighting within ``radius_km`` per user, species, location and window.
 
-    Sightings at one position by one birder are reduced to the first per window
-    before they meet the preferences.
+    Sightings at one position are reduced to the first ones of two birders per window
+    before they meet the preferences: one of the two is not the user's own, so a
+    crowded site is two rows.
     """
     wanted = snapshot.join(
         anchors.select(
@@ -112,6 +115,8 @@ def alerts_within_radius(
     first = F.min(F.struct(*ARRIVAL, "event_id")).alias("first")
     placed = alertable(clean, width_us, "lat", "lng").groupBy(*keys).agg(first)
     placed = placed.filter("lat IS NOT NULL AND lng IS NOT NULL")
+    spot = W.partitionBy(*SUPPRESSION[1:], "lat", "lng").orderBy("first.arrival_us", "first.seq")
+    placed = placed.withColumn("_n", F.row_number().over(spot)).filter("_n <= 2").drop("_n")
     cells = stage(_anchor_cells(wanted), "anchor-cells")
     # Only the levels some radius needs, of at most thirteen.
     levels = sorted(r["level"] for r in cells.select("level").distinct().collect()) or [0]

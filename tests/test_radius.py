@@ -51,6 +51,15 @@ def test_any_radius_is_legal(spark):
     assert got == {(f"u{i}", f"e{k}") for i in range(8) for k in range(4)}
 
 
+def test_a_crowded_site_alerts_everyone_once(spark):
+    rows = [(i, i, f"e{i}", f"u{i % 50}", "s", "l", 0, 1, 5.0, 5.0) for i in range(400)]
+    clean = spark.createDataFrame(rows, CLEAN + ", lat double, lng double")
+    anchors = spark.createDataFrame([(f"u{i}", 5.0, 5.0) for i in range(60)], "user_id string, lat double, lng double")
+    wanted = anchors.selectExpr("user_id", "'s' species_code", "'low' priority", "1.0D radius_km")
+    got = {r.user_id: r.event_id for r in alerts_within_radius(clean, wanted, anchors).collect()}
+    assert got == {f"u{i}": "e1" if i == 0 else "e0" for i in range(60)}
+
+
 def test_last_own_position(spark):
     rows = [(5, 1, "a", "u", "s", "l", 0, 1, 1.0, 2.0), (5, 2, "b", "u", "s", "l", 0, 1, 3.0, 4.0),
             (9, 3, "c", "u", "s", "l", 0, 1, None, 4.0), (9, 4, "d", "", "s", "l", 0, 1, 7.0, 4.0)]
