@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sightline.llm import ftrl
 from sightline.llm.common import byte_chunks, byte_slices, held_out
-from sightline.llm.training import FEATURES, collected, sample, struct_array
+from sightline.llm.training import FEATURES, learned, sample, struct_array
 
 #: Feature numbers; labelled documents read of each class at most; the cut-off.
 BITS, PER_CLASS, THRESHOLD = 18, 4000, 0.3
@@ -74,11 +74,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
     and every score is 0.5.
     """
     rows, real = sample(docs, labels, "quality", per_class)
-    rows = collected(rows.withColumn("f", _featured(F.col("text"), bits)))
-    weights = ftrl.train(rows, 1 << bits, epochs=8, alpha=4.0, l1=0.1, l2=0.0)
-    good = sum(label for _, _, label in rows)
-    weights[-1] += ftrl.prior_shift((len(rows) - good, good), real)
-    return weights.astype(np.float32)
+
+    def learn(rows: list) -> np.ndarray:
+        weights = ftrl.train(rows, 1 << bits, epochs=8, alpha=4.0, l1=0.1, l2=0.0)
+        good = sum(label for _, _, label in rows)
+        weights[-1] += ftrl.prior_shift((len(rows) - good, good), real)
+        return weights
+
+    return learned(rows.withColumn("f", _featured(F.col("text"), bits)), 1 << bits, learn)
 
 
 def score(docs: DataFrame, text: Column, weights: np.ndarray) -> Column:

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from sightline.llm import ftrl
 from sightline.llm.common import PLAIN, byte_slices, held_out
-from sightline.llm.training import FEATURES, collected, sample, struct_array
+from sightline.llm.training import FEATURES, learned, sample, struct_array
 
 #: Lengths of n-grams; feature numbers; labelled documents of each class; the cut-off.
-ORDERS, BITS, PER_CLASS, THRESHOLD = (4, 6, 8), 20, 2500, 0.5
+ORDERS, BITS, PER_CLASS, THRESHOLD = (4, 6, 8), 20, 2000, 0.5
 _BYTES, _PIECE = 4 << 20, 1 << 18
 #: Odd multipliers, one per place in an n-gram.
 _MIX = [np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF) for k in range(max(ORDERS))]
@@ -88,16 +88,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
     0.5, so no document is called toxic.
     """
     rows, real = sample(docs, labels, "toxic", per_class)
-    rows = collected(rows.withColumn("f", _featured(F.col("text"), bits)))
-    toxic = sum(label for _, _, label in rows)
-    if not 0 < toxic < len(rows):
-        return np.append(np.zeros(1 << bits), -1e-6).astype(np.float32)
-    ratio = log_count_ratios(rows, 1 << bits)
-    scaled = [(at, ratio[at], label) for at, _, label in rows]
-    weights = ftrl.train(scaled, 1 << bits, epochs=4, alpha=0.1, l1=2.0, l2=0.1)
-    weights[-1] += ftrl.prior_shift((len(rows) - toxic, toxic), real)
-    weights[:-1] *= ratio
-    return weights.astype(np.float32)
+
+    def learn(rows: list) -> np.ndarray:
+        toxic = sum(label for _, _, label in rows)
+        if not 0 < toxic < len(rows):
+            return np.append(np.zeros(1 << bits), -1e-6)
+        ratio = log_count_ratios(rows, 1 << bits)
+        values = ratio.astype(np.float32)
+        scaled = [(at, values[at], label) for at, _, label in rows]
+        weights = ftrl.train(scaled, 1 << bits, epochs=4, alpha=0.1, l1=2.0, l2=0.1)
+        weights[-1] += ftrl.prior_shift((len(rows) - toxic, toxic), real)
+        weights[:-1] *= ratio
+        return weights
+
+    return learned(rows.withColumn("f", _featured(F.col("text"), bits)), 1 << bits, learn)
 
 
 def score(docs: DataFrame, text: Column, weights: np.ndarray) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,21 +45,40 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int) -
     return texts, (counts.get(0, 0), counts.get(1, 0))
 
 
-def collected(rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """(feature numbers, values, label) of a bounded sample, in order of id and features.
-
-    Expects ``doc_id``, ``label`` and ``f`` (a FEATURES struct); rows without features
-    stay, they teach the intercept.
-    """
-    got = rows.select("doc_id", "label", "f.at", "f.x").toArrow()
-    at, x = got.column("at").combine_chunks(), got.column("x").combine_chunks()
+def _rows(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(feature numbers, values, label) in order of id and features."""
     out = []
-    for i, (doc_id, label) in enumerate(zip(got.column("doc_id").to_pylist(), got.column("label").to_pylist())):
-        out.append((doc_id, at[i].values.to_numpy(), x[i].values.to_numpy().astype(float), label))
+    for batch in batches:
+        ids, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for i, (doc_id, label) in enumerate(zip(ids, labels)):
+            at = batch.column(2)[i].values.to_numpy().copy()
+            out.append((doc_id, at, batch.column(3)[i].values.to_numpy().astype(float), label))
     out.sort(key=lambda r: (r[0], len(r[1]), r[1][:1].tolist()))
     return [r[1:] for r in out]
 
 
+def learned(rows: DataFrame, size: int, learn: Callable[[list], np.ndarray]) -> np.ndarray:
+    """The ``size + 1`` weights that ``learn`` finds from a bounded sample, in one task.
+
+    Expects ``doc_id``, ``label`` and ``f`` (a FEATURES struct). The learners go through
+    their rows one after the other, so the sample, whose length is bounded, meets in one
+    task; the driver gets the weights that are not zero.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = learn(_rows(batches)).astype(np.float32)
+        at = np.flatnonzero(weights).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights[at])], names=["at", "w"])
+
+    narrow = rows.select("doc_id", "label", "f.at", "f.x").repartition(1)
+    got = narrow.mapInArrow(run, "at int, w float").toArrow()
+    if not got.num_rows:  # an empty sample may be planned as no task at all
+        return learn([]).astype(np.float32)
+    weights = np.zeros(size + 1, np.float32)
+    weights[got.column("at").to_numpy()] = got.column("w").to_numpy()
+    return weights
+
+
 def struct_array(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
     """FEATURES structs of (feature numbers, values)."""
     columns = []
