@@ -170,6 +170,37 @@ def test_kafka_layout_and_payload(spark):
     assert text == '{"a":1,"payload":{"z":3.0,"b":1}}'
 
 
+def test_broker_comes_from_the_environment(monkeypatch):
+    from sightline.sources.topics import bootstrap_servers, kafka_options
+
+    monkeypatch.delenv("KAFKA_BOOTSTRAP_SERVERS", raising=False)
+    assert bootstrap_servers() == "localhost:19092"
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "a:1,b:2")
+    options = kafka_options(["x", "y"])
+    assert options["kafka.bootstrap.servers"] == "a:1,b:2"
+    assert (options["subscribe"], options["startingOffsets"]) == ("x,y", "earliest")
+
+
+def test_live_alert_keys_stay_as_few_as_a_span_of_the_ttl(spark, tmp_path):
+    minute = 60_000_000
+    job = AlertStream(spark, str(tmp_path), ttl_us=3 * minute)
+    change = '{"user_id":"u","species_code":"s","priority":"low","active":true}'
+    sizes, raised = [], []
+    for batch in range(8):
+        at = batch * minute
+        sighting = f'{{"event_id":"e{batch}","user_id":"x","species_code":"s","location_id":"l{batch % 2}",'
+        sighting += '"event_time":"2026-05-16T15:10:00Z"}'
+        rows = [(S.CLEAN, b"k", sighting.encode(), at + 1, batch)]
+        if batch == 0:
+            rows.append((S.PREFERENCES, b"u", change.encode(), 0, 99))
+        job(spark.createDataFrame(rows, "topic string, key binary, value binary, arrival_us bigint, seq bigint"), batch)
+        sizes.append(spark.read.parquet(f"{tmp_path}/state/live/v={batch}").count())
+        out = spark.read.schema("value binary").parquet(f"{tmp_path}/out/batch_id={batch}")
+        raised.append(out.count())
+    # A key is raised again four minutes after it was raised: every other time it is seen.
+    assert raised == [1, 1, 0, 0, 1, 1, 0, 0] and max(sizes) <= 2
+
+
 def test_key_may_be_null(spark):
     out = spark.range(1).select(message("t", F.lit(None).cast("string"), F.lit("{}")).alias("m")).select("m.*")
     assert out.first().key is None and "alert_id" in S.ALERT.fieldNames() and alerts.SUPPRESSION
