@@ -5,14 +5,16 @@ groups of the other words by the hash of their last three bytes. The network pre
 every symbol from the two before and the two after it; the sum of the log-probabilities
 scores a document.
 
-Training reads every document. Vocabulary counts are summed over all words. Each round,
-every partition starts from the same parameters and trains on one of ``STRIDE`` windows
-of each of its texts (another one each round); the parameters come back as one row a
-partition and are averaged by their number of windows in groups of bounded size.
+Training reads every document. Vocabulary counts are summed over all words. The windows
+of every text are dealt out over the rounds, so that every position is predicted in one
+of them. Each round, every partition starts from the same parameters and trains on its
+windows of that round; the parameters come back as one row a partition and are averaged
+by their number of windows in groups of bounded size.
 """
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,13 +30,25 @@ from sightline.session import stage
 
 #: Symbols; frequent words among them; symbols seen on each side; width of the network.
 SYMBOLS, WORDS, SIDE, HIDDEN = 256, 191, 2, 24
-#: One in so many windows trains in a round; rounds; windows in a step; step size.
-STRIDE, ROUNDS, STEP, RATE = 16, 2, 512, 0.1
+#: Rounds, over which all windows are dealt out; windows in a step; step size.
+ROUNDS, STEP, RATE = 2, 512, 0.1
 #: Words counted before a partition hands its counts on; rows averaged in one group.
 KEPT_COUNTS, FAN_IN = 200_000, 64
 _BYTES = 4 << 20
 #: Positions scored at a time, so a long text needs no more memory than a short one.
-_CHUNK = 1 << 12
+_CHUNK = 1 << 9
+
+
+def one_thread() -> None:
+    """Keep BLAS to the core of the task: on products this small its threads mostly spin.
+
+    Changes only the speed; a BLAS without either name keeps its threads.
+    """
+    blas = ctypes.CDLL(np._core._multiarray_umath.__file__)
+    for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads"):
+        if hasattr(blas, name):
+            getattr(blas, name)(1)
+            return
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -104,6 +118,21 @@ class Network:
         parts = np.split(self.vector, np.cumsum(sizes)[:-1])
         self.embed, self.hidden, self.out, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES.values()))
 
+    def unscaled(self, around: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hidden values, exponentials of all symbols, their sums, log-probabilities of ``target``."""
+        h = self.embed[0][around[:, 0]]
+        for k in range(1, 2 * SIDE):
+            h += self.embed[k][around[:, k]]
+        h += self.hidden
+        np.maximum(h, 0, out=h)
+        logits = h @ self.out
+        logits += self.bias
+        logits -= logits.max(axis=1, keepdims=True)
+        found = logits[np.arange(len(target)), target]
+        np.exp(logits, out=logits)
+        sums = logits.sum(axis=1, keepdims=True)
+        return h, logits, sums, found - np.log(sums[:, 0])
+
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and log-probabilities of all symbols for (n, 2 SIDE) neighbours."""
         h = self.hidden + sum(self.embed[k][around[:, k]] for k in range(2 * SIDE))
@@ -116,18 +145,18 @@ class Network:
     def train(self, around: np.ndarray, target: np.ndarray, past: np.ndarray, rate: float = RATE) -> float:
         """One AdaGrad step on the mean log-loss; ``past`` holds squared gradients."""
         n = len(target)
-        h, logs = self.forward(around)
-        loss = -float(logs[np.arange(n), target].mean())
-        error = np.exp(logs)
-        error[np.arange(n), target] -= 1
-        error /= n
+        h, error, sums, logs = self.unscaled(around, target)
+        loss = -float(logs.mean())
+        error *= np.float32(1 / n) / sums
+        error[np.arange(n), target] -= np.float32(1 / n)
         back = (error @ self.out.T) * (h > 0)
+        # Sums of ``back`` by place and symbol: equal ones are made neighbours.
+        cells = (around + np.arange(2 * SIDE) * SYMBOLS).astype(np.uint16).ravel()
+        order = np.argsort(cells, kind="stable")
+        cells = cells[order]
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
         embed = np.zeros_like(self.embed)
-        ones = np.zeros((SYMBOLS, n), np.float32)
-        for k in range(2 * SIDE):
-            ones[:] = 0
-            ones[around[:, k], np.arange(n)] = 1
-            embed[k] = ones @ back
+        embed.reshape(-1, HIDDEN)[cells[starts]] = np.add.reduceat(back[order // (2 * SIDE)], starts, axis=0)
         gradient = np.concatenate([embed.ravel(), back.sum(axis=0), (h.T @ error).ravel(), error.sum(axis=0)])
         past += gradient * gradient
         self.vector -= (rate * gradient / (np.sqrt(past) + 1e-4)).astype(np.float32)
@@ -139,8 +168,8 @@ class Network:
         padded = padded_of(symbols)
         for start in range(0, len(symbols), _CHUNK):
             at = np.arange(start, min(start + _CHUNK, len(symbols)))
-            _, logs = self.forward(windows_at(padded, at))
-            total += float(logs[np.arange(len(at)), symbols[at]].sum(dtype=np.float64))
+            logs = self.unscaled(windows_at(padded, at), symbols[at])[-1]
+            total += float(logs.sum(dtype=np.float64))
         return total
 
 
@@ -154,10 +183,18 @@ def windows_at(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     return padded[at[:, None] + np.array(places)]
 
 
-def _trained(vector: np.ndarray, number: int):
+def positions(text: bytes, number: int, rounds: int) -> Iterator[np.ndarray]:
+    """The positions of ``text`` that train in round ``number``; all of them over the rounds."""
+    first = (zlib.crc32(text) + number) % rounds
+    for begin in range(first, len(text), rounds * STEP):
+        yield np.arange(begin, min(begin + rounds * STEP, len(text)), rounds)
+
+
+def _trained(vector: np.ndarray, number: int, rounds: int):
     """A partition's pass: parameters after its windows, and how many there were."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         net, past, windows = Network(vector.copy()), np.zeros(len(vector), np.float32), 0
         around: list[np.ndarray] = []
         target: list[np.ndarray] = []
@@ -177,10 +214,9 @@ def _trained(vector: np.ndarray, number: int):
             for start in range(0, len(batch), 64):
                 for text in batch.column(0).slice(start, 64).to_pylist():
                     symbols = np.frombuffer(text, np.uint8).astype(np.int64)
-                    first = (zlib.crc32(text) + number) % STRIDE
-                    for begin in range(first, len(symbols), STRIDE * _CHUNK):
-                        at = np.arange(begin, min(begin + STRIDE * _CHUNK, len(symbols)), STRIDE)
-                        around.append(windows_at(padded_of(symbols), at))
+                    padded = padded_of(symbols)
+                    for at in positions(text, number, rounds):
+                        around.append(windows_at(padded, at))
                         target.append(symbols[at])
                         windows += len(at)
                         waiting += len(at)
@@ -210,10 +246,10 @@ def _average(group: pa.Table) -> pa.Table:
 
 
 def fit(symbols: DataFrame, rounds: int = ROUNDS) -> Network:
-    """The network after ``rounds`` passes over all ``symbols``; without words, untrained."""
+    """The network after all windows of ``symbols``, in ``rounds`` parts; without words, untrained."""
     net = Network()
     for number in range(rounds):
-        parts = symbols.select("symbols").mapInArrow(_trained(net.vector, number * (STRIDE // max(1, rounds))), _PARAMETERS)
+        parts = symbols.select("symbols").mapInArrow(_trained(net.vector, number, rounds), _PARAMETERS)
         while True:
             parts = stage(parts.groupBy((F.col("part") / FAN_IN).cast("long").alias("g")).applyInArrow(_average, _PARAMETERS), "lm-round")
             left = parts.count()
@@ -230,6 +266,7 @@ def score(symbols: DataFrame, net: Network) -> DataFrame:
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
+        one_thread()
         model, out = Network(shared.value), []
         for start in range(0, len(texts), 64):
             for text in texts.slice(start, 64).to_pylist():

@@ -89,3 +89,18 @@ def test_real_texts_run_alike_twice(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     first, second = (sorted(map(tuple, lm.lm_scores(docs).collect())) for _ in range(2))
     assert first == second and len(first) == docs.count()
+
+
+def test_every_position_is_a_target_in_one_round(spark, monkeypatch):
+    texts = ["one", "two words", "a few words of a text", "seven words that are in no rest", "fish " * 5000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    symbols = lm.encoded(docs, lm.vocabulary(docs))
+    staged, plain = [], lm.stage
+    monkeypatch.setattr(lm, "stage", lambda df, label: staged.append(plain(df, label)) or staged[-1])
+    for rounds in (1, 2, 3):
+        staged.clear()
+        lm.fit(symbols, rounds)
+        assert sum(r.windows for t in staged for r in t.collect()) == 3 * sum(len(t.split()) for t in texts)
+        for text in (b"", b"a", b"abcdefg", bytes(5000)):
+            seen = np.concatenate([[], *(at for number in range(rounds) for at in lm.positions(text, number, rounds))])
+            assert sorted(seen) == list(range(len(text)))
