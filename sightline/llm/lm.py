@@ -2,8 +2,12 @@
 
 Words become 256 symbols: the edge of a text, the most frequent words of the corpus, and
 groups of the other words by the hash of their last three bytes. The network predicts
-every symbol from the two before and the two after it; the sum of the log-probabilities
-scores a document.
+every symbol from the two before and the two after it; a word of a group then has its
+share of the group, by the counts of all words. The sum of both log-probabilities over
+all words scores a document.
+
+The shares of up to ``COMMON`` words travel with the tasks; those of all rarer words are
+joined to the texts that have them.
 
 Training reads every document. Vocabulary counts are summed over all words. The windows
 of every text are dealt out over the rounds, so that every position is predicted in one
@@ -15,6 +19,7 @@ by their number of windows in groups of bounded size.
 from __future__ import annotations
 
 import ctypes
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.common import PLAIN, byte_slices
@@ -34,6 +39,10 @@ SYMBOLS, WORDS, SIDE, HIDDEN = 256, 191, 2, 24
 ROUNDS, STEP, RATE = 2, 512, 0.1
 #: Words counted before a partition hands its counts on; rows averaged in one group.
 KEPT_COUNTS, FAN_IN = 200_000, 64
+#: Words whose counts are broadcast; those of the others are joined.
+COMMON = 1 << 16
+#: Steps in which the logarithms of joined words are added, so that any order adds up alike.
+_FINE = 1 << 24
 _BYTES = 4 << 20
 #: Positions scored at a time, so a long text needs no more memory than a short one.
 _CHUNK = 1 << 9
@@ -55,8 +64,8 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(PLAIN).split()
 
 
-def vocabulary(docs: DataFrame, size: int = WORDS, text_col: str = "text") -> list[bytes]:
-    """The most frequent words of all texts, most frequent first, ties by the word."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n) of every word of all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -75,8 +84,64 @@ def vocabulary(docs: DataFrame, size: int = WORDS, text_col: str = "text") -> li
         yield rows()
 
     counted = docs.select(text_col).mapInArrow(count, "word binary, n long")
-    counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.orderBy(F.col("n").desc(), "word").limit(size).collect()]
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent(counted: DataFrame, size: int = WORDS) -> list[tuple[bytes, int]]:
+    """The words with the largest counts, largest first, ties by the word."""
+    return [(bytes(r.word), r.n) for r in counted.orderBy(F.col("n").desc(), "word").limit(size).collect()]
+
+
+def vocabulary(docs: DataFrame, size: int = WORDS, text_col: str = "text") -> list[bytes]:
+    """The most frequent words of all texts, most frequent first, ties by the word."""
+    return [w for w, _ in frequent(word_counts(docs, text_col), size)]
+
+
+def group_of(word: bytes, groups: int) -> int:
+    return zlib.crc32(word[-3:]) % groups
+
+
+class Shares:
+    """log P(word | its group) by Witten and Bell: a word seen n times in a group of N words
+    of T kinds has n / (N + T), all unseen words together have T / (N + T).
+
+    ``logs`` has the words of the vocabulary, which are no group, and common others;
+    ``rest`` is the counts of all others, or None if there are none.
+    """
+
+    def __init__(self, counted: DataFrame, known: list[tuple[bytes, int]]) -> None:
+        self.groups = SYMBOLS - len(known) - 1
+        total, kinds = np.zeros(self.groups, np.int64), np.zeros(self.groups, np.int64)
+        for r in counted.groupBy(self._group().alias("g")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
+            total[r.g], kinds[r.g] = r.n, r.kinds
+        for word, n in known:
+            total[group_of(word, self.groups)] -= n
+            kinds[group_of(word, self.groups)] -= 1
+        self.kinds = [max(1, int(k)) for k in kinds]
+        self.all = [math.log(max(1, int(n + k))) for n, k in zip(total, kinds)]
+
+        level = F.floor(F.log2("n") * 8)
+        edge, room = None, COMMON
+        for r in sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level):
+            room -= r["count"]
+            if room < 0:
+                edge = r.level
+                break
+        common = counted if edge is None else counted.where(level > edge)
+        self.logs = {bytes(r.word): math.log(r.n) - self.all[group_of(r.word, self.groups)] for r in common.collect()}
+        self.logs |= {word: 0.0 for word, _ in known}
+        self.rest = None if edge is None else counted.where(level <= edge)
+
+    def _group(self) -> Column:
+        return (F.crc32(F.substring("word", -3, 3)) % self.groups).cast("int")
+
+    def of_rest(self, symbols: DataFrame) -> DataFrame:
+        """(row, rest): the sum over the words in ``tail``, in steps of 1 / _FINE."""
+        of = lambda values: F.get(F.array(*map(F.lit, values)), self._group())
+        tails = symbols.select("row", F.inline("tail")).withColumnRenamed("n", "times")
+        log = F.log(F.coalesce("n", of(self.kinds)).cast("double")) - of(self.all)
+        steps = F.round(log * _FINE).cast("long") * F.col("times")
+        return tails.join(self.rest, "word", "left").groupBy("row").agg(F.sum(steps).alias("rest"))
 
 
 def encoder(words: list[bytes]):
@@ -87,21 +152,48 @@ def encoder(words: list[bytes]):
 
     class Symbols(dict):
         def __missing__(self, word: bytes) -> int:
-            return first + zlib.crc32(word[-3:]) % groups
+            return first + group_of(word, groups)
 
     return Symbols(known)
 
 
-def encoded(docs: DataFrame, words: list[bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, symbols) with a byte per word of the whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    @F.arrow_udf("binary")
-    def of(texts: pa.Array) -> pa.Array:
-        get = encoder(shared.value).__getitem__
-        return pa.array([bytes(map(get, words_of(t))) for run in byte_slices(texts, _BYTES) for t in run], pa.binary())
+def encoded(docs: DataFrame, words: list[bytes], logs: dict[bytes, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, symbols, within, tail) with a byte per word of the whole text.
 
-    return docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("symbols"))
+    ``within`` sums ``logs`` over the words that are there; ``tail`` counts the others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((words, logs if logs is not None else dict.fromkeys(words, 0.0)))
+    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, log_of = shared.value
+        symbol = encoder(known)
+        symbol.update({w: symbol[w] for w in log_of})
+        get = symbol.__getitem__
+        for batch in batches:
+            at = 0
+            for run in byte_slices(batch.column(2), _BYTES):
+                symbols, within, tails = [], [], []
+                for text in run:
+                    found = words_of(text)
+                    symbols.append(bytes(map(get, found)))
+                    total, others = 0.0, []
+                    for word, n in Counter(found).items():
+                        log = log_of.get(word)
+                        if log is None:
+                            others.append((word, n))
+                        else:
+                            total += n * log
+                    within.append(total)
+                    tails.append([{"word": w, "n": n} for w, n in others])
+                ids = batch.slice(at, len(run))
+                at += len(run)
+                columns = [ids.column(0), ids.column(1), pa.array(symbols, pa.binary()), pa.array(within, pa.float64()), pa.array(tails, tail)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "symbols", "within", "tail"])
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(of, f"row long, doc_id {kind}, symbols binary, within double, tail array<struct<word: binary, n: long>>")
 
 
 class Network:
@@ -119,19 +211,19 @@ class Network:
         self.embed, self.hidden, self.out, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES.values()))
 
     def unscaled(self, around: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hidden values, exponentials of all symbols, their sums, log-probabilities of ``target``."""
+        """Hidden values, exponentials by (symbol, n), their sums, log-probabilities of ``target``."""
         h = self.embed[0][around[:, 0]]
         for k in range(1, 2 * SIDE):
             h += self.embed[k][around[:, k]]
         h += self.hidden
         np.maximum(h, 0, out=h)
-        logits = h @ self.out
-        logits += self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        found = logits[np.arange(len(target)), target]
+        logits = self.out.T @ h.T
+        logits += self.bias[:, None]
+        logits -= logits.max(axis=0)
+        found = logits[target, np.arange(len(target))]
         np.exp(logits, out=logits)
-        sums = logits.sum(axis=1, keepdims=True)
-        return h, logits, sums, found - np.log(sums[:, 0])
+        sums = logits.sum(axis=0)
+        return h, logits, sums, found - np.log(sums)
 
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and log-probabilities of all symbols for (n, 2 SIDE) neighbours."""
@@ -148,8 +240,8 @@ class Network:
         h, error, sums, logs = self.unscaled(around, target)
         loss = -float(logs.mean())
         error *= np.float32(1 / n) / sums
-        error[np.arange(n), target] -= np.float32(1 / n)
-        back = (error @ self.out.T) * (h > 0)
+        error[target, np.arange(n)] -= np.float32(1 / n)
+        back = (error.T @ self.out.T) * (h > 0)
         # Sums of ``back`` by place and symbol: equal ones are made neighbours.
         cells = (around + np.arange(2 * SIDE) * SYMBOLS).astype(np.uint16).ravel()
         order = np.argsort(cells, kind="stable")
@@ -157,7 +249,7 @@ class Network:
         starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
         embed = np.zeros_like(self.embed)
         embed.reshape(-1, HIDDEN)[cells[starts]] = np.add.reduceat(back[order // (2 * SIDE)], starts, axis=0)
-        gradient = np.concatenate([embed.ravel(), back.sum(axis=0), (h.T @ error).ravel(), error.sum(axis=0)])
+        gradient = np.concatenate([embed.ravel(), back.sum(axis=0), (h.T @ error.T).ravel(), error.sum(axis=1)])
         past += gradient * gradient
         self.vector -= (rate * gradient / (np.sqrt(past) + 1e-4)).astype(np.float32)
         return loss
@@ -260,8 +352,11 @@ def fit(symbols: DataFrame, rounds: int = ROUNDS) -> Network:
     return net
 
 
-def score(symbols: DataFrame, net: Network) -> DataFrame:
-    """(doc_id, n_words, log_prob, mean_log_prob); a text without words scores 0, mean null."""
+def score(symbols: DataFrame, net: Network, shares: Shares | None = None) -> DataFrame:
+    """(doc_id, n_words, log_prob, mean_log_prob); a text without words scores 0, mean null.
+
+    Without ``shares`` the words in ``tail`` count by their group only.
+    """
     shared = symbols.sparkSession.sparkContext.broadcast(net.vector)
 
     @F.arrow_udf("double")
@@ -273,9 +368,13 @@ def score(symbols: DataFrame, net: Network) -> DataFrame:
                 out.append(model.log_prob(np.frombuffer(text, np.uint8).astype(np.int64)))
         return pa.array(out, pa.float64())
 
-    rows = symbols.select("doc_id", F.octet_length("symbols").cast("long").alias("n_words"), of(F.col("symbols")).alias("log_prob"))
+    log_prob = of(F.col("symbols")) + F.col("within")
+    rows = symbols.select("row", "doc_id", F.octet_length("symbols").cast("long").alias("n_words"), log_prob.alias("log_prob"))
+    if shares and shares.rest is not None:
+        rows = rows.join(shares.of_rest(symbols), "row", "left")
+        rows = rows.withColumn("log_prob", F.col("log_prob") + F.coalesce(F.col("rest") / _FINE, F.lit(0.0))).drop("rest")
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
-    return rows.withColumn("mean_log_prob", mean)
+    return rows.drop("row").withColumn("mean_log_prob", mean)
 
 
 def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -285,5 +384,8 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     no words. Ids may be null or repeat; each row gives a row. Only ``doc_id`` and
     ``text`` are read. An empty table gives no rows.
     """
-    symbols = stage(encoded(docs, vocabulary(docs)), "lm-symbols")
-    return score(symbols, fit(symbols, rounds))
+    counted = stage(word_counts(docs), "lm-words")
+    known = frequent(counted)
+    shares = Shares(counted, known)
+    symbols = stage(encoded(docs, [w for w, _ in known], shares.logs), "lm-symbols")
+    return score(symbols, fit(symbols, rounds), shares)

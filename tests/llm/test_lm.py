@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import zlib
+from collections import Counter
 
 import numpy as np
 from conftest import SF_DIR
@@ -104,3 +106,28 @@ def test_every_position_is_a_target_in_one_round(spark, monkeypatch):
         for text in (b"", b"a", b"abcdefg", bytes(5000)):
             seen = np.concatenate([[], *(at for number in range(rounds) for at in lm.positions(text, number, rounds))])
             assert sorted(seen) == list(range(len(text)))
+
+
+def test_every_word_has_its_share_of_its_group(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"{'xyz'[k % 3] * (k % 5)}{k % 40}ing" for k in rng.integers(0, 300, 60)) + " a of é" for _ in range(30)]
+    texts += ["bring", "qqqing", None, "a", "bring bring"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(lm, "fit", lambda symbols, rounds: lm.Network(np.zeros_like(lm.Network().vector)))
+
+    size = 5
+    plain = lm.frequent
+    monkeypatch.setattr(lm, "frequent", lambda counted: plain(counted, size))
+    split = [lm.words_of((t or "").encode()) for t in texts]
+    counts = Counter(w for words in split for w in words)
+    known = sorted(counts, key=lambda w: (-counts[w], w))[:size]
+    group = {w: zlib.crc32(w[-3:]) % (lm.SYMBOLS - size - 1) for w in counts if w not in known}
+    total = Counter()
+    for w, g in group.items():
+        total[g] += counts[w] + 1
+    expected = [sum(-math.log(lm.SYMBOLS) + (math.log(counts[w] / total[group[w]]) if w in group else 0) for w in words) for words in split]
+    assert expected[30] != expected[31]
+    for common in (1 << 16, 20, 0):
+        monkeypatch.setattr(lm, "COMMON", common)
+        got = {r.doc_id: r.log_prob for r in lm.lm_scores(docs).collect()}
+        assert all(abs(got[i] - e) < 1e-3 for i, e in enumerate(expected)), common
