@@ -183,44 +183,65 @@ def near_duplicates(
     Only the two columns named are read, so other columns may have any name. The key
     rows are 28 per distinct fingerprint with the defaults.
     """
+    rows = _fingerprints(docs, id_col, text_col, shingle)
+    member = _members(rows, max_bits, blocks)
+    lows = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = stage(member.join(lows, "root").select("fingerprint", "component_id"), "simhash-members")
+    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def _fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fingerprint"))
-    rows = stage(rows, "simhash")
+    return stage(rows, "simhash")
+
+
+def _members(rows: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(fingerprint, low, root): the smallest id of a fingerprint and the root of its component."""
     classes = stage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low")), "simhash-classes")
     root = components(links(classes.select("fingerprint"), max_bits, blocks))
     member = classes.join(root, classes.fingerprint == root.node, "left")
-    member = member.select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root"))
-    lows = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stage(member.join(lows, "root").select("fingerprint", "component_id"), "simhash-members")
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return member.select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    max_bits: int = 2,
+    blocks: int = 8,
+) -> DataFrame:
     """The rows of ``docs`` with one document of each group of near-duplicates.
 
-    The document with the smallest id stays; of rows that repeat that id, one. A row
-    without an id stays if no row of its group has one (one row per fingerprint). The
-    rows that go are found on narrow columns; the documents meet only their ids.
+    The document with the smallest id stays; of rows that repeat that id in the group,
+    one with the smallest fingerprint. A row without an id stays if no row of its group
+    has one. An id in several groups is a document in each. The rows that go are found
+    on narrow columns; the documents meet only their ids.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     mark, the_id, kept_fp = (free_name(docs, name) for name in ("fingerprint", "the_id", "kept_fp"))
-    found = near_duplicates(docs, **options)
-    smallest = F.when(F.col("doc_id") == F.col("component_id"), F.col("fingerprint"))
-    ids = found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(the_id))
-    ids = ids.agg(F.count("*").alias("times"), F.min(smallest).alias(kept_fp))
-    odd = stage(ids.filter((F.col("times") > 1) | F.col(kept_fp).isNull()), "simhash-odd")
-    key = F.col(id_col) == F.col(the_id)
+    odd_id = free_name(docs, "odd_id")
+    rows = _fingerprints(docs, id_col, text_col, shingle)
+    member = _members(rows, max_bits, blocks)
+    best = F.min(F.struct(F.col("low").isNull().alias("nameless"), "low", "fingerprint"))
+    first = member.groupBy("root").agg(best.alias("best"))
+    kept = stage(first.select(F.col("best.low").alias(the_id), F.col("best.fingerprint").alias(kept_fp)), "simhash-kept")
+
+    stays = F.coalesce(F.col("doc_id") == F.col(the_id), F.lit(False))
+    ids = rows.filter(F.col("doc_id").isNotNull()).join(kept, F.col("fingerprint") == F.col(kept_fp), "left")
+    ids = ids.groupBy("doc_id").agg(F.count("*").alias("times"), F.max(stays).alias("stays"))
+    odd = stage(ids.filter((F.col("times") > 1) | ~F.col("stays")).withColumnRenamed("doc_id", odd_id), "simhash-odd")
+    again = odd.filter((F.col("times") > 1) & F.col("stays"))
+    key = F.col(id_col) == F.col(odd_id)
     named = docs.filter(F.col(id_col).isNotNull())
-    single = named.join(odd.select(the_id), key, "left_anti")
+    single = named.join(odd.select(odd_id), key, "left_anti")
 
-    value = fingerprint(F.col(text_col), options.get("shingle", 3))
+    value = fingerprint(F.col(text_col), shingle)
     same = F.col(mark) == F.col(kept_fp)
-    more = odd.filter((F.col("times") > 1) & F.col(kept_fp).isNotNull()).select(the_id, kept_fp)
-    several = named.join(more.select(the_id), key, "left_semi").withColumn(mark, value)
-    several = several.join(more, key & same, "left_semi")
-    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fingerprint").alias(kept_fp))
+    several = named.join(again.select(odd_id), key, "left_semi").withColumn(mark, value)
+    several = several.join(kept, (F.col(id_col) == F.col(the_id)) & same, "left_semi")
     nobody = docs.filter(F.col(id_col).isNull()).withColumn(mark, value)
-    nobody = nobody.join(nameless, same, "left_semi")
+    nobody = nobody.join(kept.filter(F.col(the_id).isNull()).select(kept_fp), same, "left_semi")
     return (
-        single.unionByName(several.dropDuplicates([id_col]).drop(mark))
+        single.unionByName(several.dropDuplicates([id_col, mark]).drop(mark))
         .unionByName(nobody.dropDuplicates([mark]).drop(mark))
     )

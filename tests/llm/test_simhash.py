@@ -114,3 +114,18 @@ def test_a_repeated_id_with_two_texts_keeps_the_right_row(spark):
 def test_hex(spark):
     row = spark.range(1).select(simhash.hex_of(F.lit(-1).cast("long")), simhash.hex_of(F.lit(255).cast("long"))).first()
     assert tuple(row) == ("f" * 16, "0" * 14 + "ff")
+
+
+def test_an_id_of_two_groups_stays_in_both(spark):
+    rows = [(5, "a b c"), (5, "quite another text"), (9, "quite another text"), (7, "a b c"), (5, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == [(5, "a b c"), (5, "quite another text")]
+
+
+def test_a_linked_group_without_ids_keeps_one_row(spark):
+    rows = [(None, "one two three"), (None, "quite another text"), (None, "one two three"), (3, "a b c"), (None, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.near_duplicates(docs, max_bits=63, blocks=64).select("component_id").distinct().count() == 1
+    nameless = docs.filter("doc_id is null")
+    assert simhash.keep_one(nameless, max_bits=63, blocks=64).count() == 1
+    assert [r.doc_id for r in simhash.keep_one(docs, max_bits=63, blocks=64).collect()] == [3]
