@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import decontam, lm, mixing, quality_model, rules, simhash, tokens, toxicity, urls, warc
+from sightline.llm import centroids, decontam, lm, mixing, quality_model, rules, simhash, tokens, toxicity, urls, warc
 from sightline.llm import sql as S
 from sightline.llm.common import table
 
@@ -75,6 +75,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustering(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed="1:")
+
+
 _QUERIES = [
     op1_simhash,
     op2_token_counts,
@@ -86,6 +90,7 @@ _QUERIES = [
     op8_url_filter,
     op9_quality_rules,
     op10_decontamination,
+    op13_centroids,
 ]
 
 

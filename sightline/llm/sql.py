@@ -195,6 +195,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_ca
 FROM c LEFT JOIN over USING (n)"""
 
 
+def _centroids(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64, seed: str = "1:") -> str:
+    """Rounds one after the other: distances of all vectors to all centroids, then exact means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT n, any_value(vec_id) AS vec_id, any_value(v) AS v, arg_min(c, distance) AS c, min(distance) AS distance
+  FROM (SELECT n, vec_id, v, c, CAST(list_sum([(v[i] - w[i]) * (v[i] - w[i]) for i in range(1, {dims + 1})]) AS BIGINT) AS distance
+    FROM kept CROSS JOIN (SELECT * FROM c{r} ORDER BY c)) GROUP BY n)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT c, list(mean ORDER BY i) AS w
+  FROM (SELECT c, i, CAST(floor_div AS BIGINT) AS mean FROM (
+    SELECT c, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+    FROM (SELECT c, unnest(v) AS x, unnest(range(1, {dims + 1})) AS i FROM a{r}) GROUP BY c, i)) GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m{r}.w, c{r}.w) AS w FROM c{r} LEFT JOIN m{r} USING (c))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, [CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS w
+  FROM (SELECT v, sha256('{seed}' || CAST(vec_id AS VARCHAR)) AS h FROM kept ORDER BY h, v LIMIT {k})),{",".join(steps)}
+SELECT vec_id, CAST(c AS INT) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_mixing": _mixing(),
@@ -202,4 +233,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_url_filter": _URLS,
         "op9_quality_rules": _rules(),
         "op10_decontamination": _DECONTAM,
+        "op13_centroids": _centroids(),
     }
