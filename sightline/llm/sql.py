@@ -76,6 +76,32 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit_words USING (n) LEFT JOIN hit_items USING (n)"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LEXICAL = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') AS w
+  FROM documents),
+size AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT n, term, count(*) AS tf FROM (SELECT n, unnest(w) AS term FROM d) GROUP BY n, term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS term
+  FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * (SELECT docs FROM size) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf GROUP BY term),
+scored AS (
+  SELECT item_id, n, CAST(sum(weights.w * ((1000000000 * tf) // (1000 * tf + 8 *
+      (10 + (90 * len(d.w) * (SELECT docs FROM size)) // (SELECT total FROM size))))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN d USING (n)
+  GROUP BY item_id, n)
+SELECT item_id, CAST(row_number() OVER best AS INT) AS rank, doc_id, score
+FROM scored JOIN d USING (n) WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER best <= 10"""
+
 
 def _time_of(course) -> str:
     cases = []
@@ -233,5 +259,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_url_filter": _URLS,
         "op9_quality_rules": _rules(),
         "op10_decontamination": _DECONTAM,
+        "op11_lexical_search": _LEXICAL,
         "op13_centroids": _centroids(),
     }
