@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import centroids, decontam, lexical, lm, mixing, quality_model, rules, simhash, tokens, toxicity, urls, warc
+from sightline.llm import centroids, decontam, lexical, lm, minhash, mixing, quality_model, rules, simhash, tokens, toxicity, urls, warc
 from sightline.llm import sql as S
 from sightline.llm.common import table
 
@@ -79,6 +79,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustering(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64, seed="1:")
 
@@ -95,6 +99,7 @@ _QUERIES = [
     op9_quality_rules,
     op10_decontamination,
     op11_lexical_search,
+    op12_minhash,
     op13_centroids,
 ]
 

@@ -102,6 +102,28 @@ FROM scored JOIN d USING (n) WHERE score > 0
 WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
 QUALIFY row_number() OVER best <= 10"""
 
+_MINHASH = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS w
+  FROM documents),
+runs AS MATERIALIZED (
+  SELECT DISTINCT n, array_to_string(w[i:i + 2], ' ') AS run
+  FROM (SELECT n, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT n, count(*) AS size FROM runs GROUP BY n),
+links AS MATERIALIZED (
+  SELECT x, y FROM (
+    SELECT a.n AS x, b.n AS y, count(*) AS common FROM runs a JOIN runs b USING (run) WHERE a.n <> b.n GROUP BY a.n, b.n)
+  JOIN sizes p ON p.n = x JOIN sizes q ON q.n = y
+  WHERE 100 * common >= 85 * (p.size + q.size - common)),
+reached AS (
+  SELECT n AS x, n AS y FROM d
+  UNION
+  SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+lows AS (SELECT x AS n, min(e.doc_id) AS component_id FROM reached JOIN d e ON e.n = y GROUP BY x)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN lows USING (n) LEFT JOIN sizes USING (n)"""
+
 
 def _time_of(course) -> str:
     cases = []
@@ -260,5 +282,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_quality_rules": _rules(),
         "op10_decontamination": _DECONTAM,
         "op11_lexical_search": _LEXICAL,
+        "op12_minhash": _MINHASH,
         "op13_centroids": _centroids(),
     }
