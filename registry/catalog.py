@@ -24,15 +24,19 @@ from sightline.sources.topics import (
     message,
     read_topic,
     stream_topic,
+    stream_topics,
     topic_writer,
     write_topics,
 )
-from sightline.streaming.alerting import AlertStream
+from sightline.streaming.alerting import alerting_stream
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream, hotspot_native
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Arrival time after which ``stream_alerts_ttl`` raises an alert again.
+ALERT_TTL_US = 300_000_000
+
 
 def _codes() -> Column:
     return F.array_join("issues.code", ",").alias("codes")
@@ -338,9 +342,8 @@ def stream_hotspot_native(spark, sf_dir):
     return _as_text(spark.read.parquet(f"{folder}/out"), "sighting_count")
 
 
-def stream_alerts(spark, sf_dir):
+def _alert_stream(spark: SparkSession, sf_dir: str, ttl_us: int | None) -> DataFrame:
     folder = new_path(spark, "stream-alerts")
-    job = AlertStream(spark, f"{folder}/job")
     changes = fixture.changes(spark, sf_dir)
     fields = {name: F.col(name) for name in ("user_id", "species_code", "priority", "active")}
     routed = message(S.PREFERENCES, F.col("user_id"), json_value(fields))
@@ -348,20 +351,25 @@ def stream_alerts(spark, sf_dir):
     log = _clean_topic(spark, sf_dir).unionByName(changes)
 
     def run():
-        topics = [
-            stream_topic(spark, topic, f"{folder}/in").withColumn("topic", F.lit(topic))
-            for topic in (S.CLEAN, S.PREFERENCES)
-        ]
-        writer = topics[0].unionByName(topics[1]).writeStream.foreachBatch(job)
-        _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
+        rows = stream_topics(spark, [S.CLEAN, S.PREFERENCES], f"{folder}/in")
+        alerting = alerting_stream(rows, ttl_us=ttl_us)
+        _run_now(topic_writer(alerting, f"{folder}/checkpoint", f"{folder}/out"))
 
     _slices(log, f"{folder}/in", run)
-    out = spark.read.parquet(f"{folder}/job/out").filter(F.col("topic") == S.ALERTS)
+    out = spark.read.parquet(f"{folder}/out").filter(F.col("topic") == S.ALERTS)
     value = F.from_json(F.col("value").cast("string"), S.ALERT)
     records = out.select(F.col("key").cast("string").alias("key"), value.alias("v"))
     return records.select("key", "v.*").drop("detected_at")
 
 
+def stream_alerts(spark, sf_dir):
+    return _alert_stream(spark, sf_dir, None)
+
+
+def stream_alerts_ttl(spark, sf_dir):
+    return _alert_stream(spark, sf_dir, ALERT_TTL_US)
+
+
 _QUERIES = [
     event_time_parse,
     window_bounds,
@@ -402,6 +410,7 @@ _QUERIES = [
     stream_hotspot_exact,
     stream_hotspot_native,
     stream_alerts,
+    stream_alerts_ttl,
 ]
 
 

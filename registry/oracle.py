@@ -407,4 +407,21 @@ def oracle_sql() -> dict[str, str]:
     queries["topic_replay"] = _sql(_JSON, "SELECT n AS seq, location_id AS key, txt AS value, arrival_us FROM j")
     queries["stream_hotspot_exact"] = queries["hotspot_panes"]
     queries["stream_alerts"] = queries["alert_records"]
+    queries["stream_alerts_ttl"] = _sql(
+        _MATCHES,
+        f""",
+        keyed AS MATERIALIZED (
+          SELECT user_id, species_code, location_id, ws, arrival_us, n, event_id, priority FROM matches),
+        raised AS (
+          SELECT * FROM keyed
+          QUALIFY row_number() OVER (PARTITION BY user_id, species_code, location_id, ws ORDER BY arrival_us, n) = 1
+          UNION ALL
+          SELECT k.* FROM raised r JOIN keyed k USING (user_id, species_code, location_id, ws)
+          WHERE k.arrival_us >= r.arrival_us + 300000000
+          QUALIFY row_number() OVER (PARTITION BY user_id, species_code, location_id, ws ORDER BY k.arrival_us, k.n) = 1)
+        SELECT user_id AS key, {_id("al_", "user_id", "species_code", "location_id", "ws")} AS alert_id,
+          user_id, species_code, location_id, {_iso("ws")} AS window_start,
+          {_iso("ws + 900000000")} AS window_end, event_id AS sighting_event_id, priority
+        FROM raised""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1).replace(")\n,", "),", 1)
     return queries

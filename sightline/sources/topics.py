@@ -25,7 +25,7 @@ def bootstrap_servers() -> str:
     return os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:19092")
 
 
-def with_arrival(kafka: DataFrame) -> DataFrame:
+def with_arrival(kafka: DataFrame, *more: str) -> DataFrame:
     """Kafka rows in topic layout: append time, then partition and offset.
 
     Arrival is the time the broker appended a record, so topics need
@@ -36,7 +36,7 @@ def with_arrival(kafka: DataFrame) -> DataFrame:
     wrong = F.raise_error(F.lit("the topic needs message.timestamp.type=LogAppendTime"))
     appended = F.when(F.col("timestampType") == 1, F.col("timestamp")).otherwise(wrong.cast("timestamp"))
     return kafka.select(
-        "key", "value", F.unix_micros(appended).alias("arrival_us"), seq.alias("seq")
+        *more, "key", "value", F.unix_micros(appended).alias("arrival_us"), seq.alias("seq")
     )
 
 
@@ -68,6 +68,19 @@ def stream_topic(
     return _folder_topic(source.parquet(folder), topic)
 
 
+def stream_topics(spark: SparkSession, topics: list[str], folder: str | None = None, **options: str) -> DataFrame:
+    """Several topics as one stream, with a column ``topic``.
+
+    One source takes its batches from all of them together.
+    """
+    configure(spark)
+    if folder is None:
+        rows = spark.readStream.format("kafka").options(**kafka_options(topics), **options).load()
+        return with_arrival(rows, "topic")
+    rows = spark.readStream.schema(_ROUTED).options(**options).parquet(folder)
+    return rows.filter(F.col("topic").isin(topics)).select("topic", "key", "value", *ARRIVAL)
+
+
 _ROUTED = T.StructType([*LOG.fields, T.StructField("topic", T.StringType())])
 
 

@@ -1,32 +1,48 @@
-"""Alert job on micro-batches: preferences as of arrival, suppression across batches.
+"""Alert job as one stream: preferences as of arrival, suppression with expiry.
 
-Every micro-batch is a slice of the arrival order of sightings and preference
-changes together. State carried between slices: the last change per user and
-species, and the alerts already raised.
+Sightings and preference changes meet in one stateful operator, keyed by species and a
+block of its users. Its state is what users look for, one entry per user, and the alerts
+raised per location and window; a change writes the entry of its user and a window with
+new alerts its own, so what a micro-batch writes follows what it changes. Inside a
+micro-batch the records of a key are taken in order of arrival, one by one, expiry
+included: the alerts do not depend on how the arrivals were cut into batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections import deque
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sightline import schemas as S
 from sightline.operators import alerts, preferences
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable
 from sightline.operators.validate import clean_fields
-from sightline.session import configure, released_after, stage
-from sightline.sources.topics import records, write_topics
-from sightline.streaming.state import Versions, ddl
+from sightline.session import configure
+from sightline.sources.topics import records
+from sightline.streaming.state import ddl, use_state_store
 
-_CHANGES = {
-    "user_id": "string",
+#: Blocks a species' users are dealt into; each sighting goes to all of them.
+BLOCKS = 4
+
+Group = tuple[str, int]
+
+_ENTERED = {
     "species_code": "string",
-    "priority": "string",
-    "active": "boolean",
-    "radius_km": "double",
-    "updated_at": "string",
+    "block": "int",
     "arrival_us": "bigint",
+    "kind": "int",
     "seq": "bigint",
+    "user_id": "string",
+    "priority": "string",
+    "event_id": "string",
+    "location_id": "string",
+    "window_start_us": "bigint",
 }
 _RAISED = {
     "user_id": "string",
@@ -34,88 +50,188 @@ _RAISED = {
     "location_id": "string",
     "window_start_us": "bigint",
     "arrival_us": "bigint",
-    "batch_id": "bigint",
-    "day": "int",
+    "seq": "bigint",
+    "event_id": "string",
+    "priority": "string",
 }
-_LIVE = {name: _RAISED[name] for name in [*alerts.SUPPRESSION, "arrival_us"]}
-_DAY_US = 86_400_000_000
+# At one instant changes come before the sightings that see them.
+_CHANGE, _SIGHTING = 0, 1
+
+
+class _Raised:
+    """Alerts of one location and window: who has one, and who is still to get one."""
+
+    def __init__(self, raised: dict[str, int], wishes: dict[str, str], changes: int) -> None:
+        self.raised = raised
+        self.waiting = wishes.keys() - raised.keys()
+        self.expiring = deque(sorted((at, user) for user, at in raised.items()))
+        self.changes = changes
+        self.changed = False
 
 
-class AlertStream:
-    """``foreachBatch`` handler over rows ``(topic, key, value, arrival_us, seq)``.
+class Matcher:
+    """Matches the records of one key, given in order of arrival.
 
-    ``ttl_us`` lets a suppressed alert be raised again once that much arrival time
-    has passed; by default suppression never ends. With it, every batch writes the keys
-    that are still live and drops the rest, so the state stays as large as one span of
-    ``ttl_us``; without it the raised keys are an append-only table. Alerts go to topics
-    below ``folder``, or with ``kafka`` to Kafka, where a repeated batch sends the same
-    ids again.
+    ``wishes`` has the users that look for the species and their priority; ``load`` gives
+    the alerts of a location and window, user to arrival. A window is compared with all
+    users once; after that a sighting costs the alerts it raises and the changes and
+    expiries since the last one there.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        folder: str,
-        width_us: int = S.WINDOW_US,
-        ttl_us: int | None = None,
-        now: Column | None = None,
-        kafka: bool = False,
-    ) -> None:
-        configure(spark)
-        self._spark, self._folder, self._now, self._kafka = spark, folder, now, kafka
-        self._width_us, self._ttl_us = width_us, ttl_us
-        self._changes = Versions(spark, f"{folder}/state/preferences", _CHANGES)
-        self._live = Versions(spark, f"{folder}/state/live", _LIVE)
-
-    def _raised(self, found: DataFrame, batch_id: int) -> DataFrame:
-        """Keys of earlier batches, from the days the batch has windows of."""
-        folder = f"{self._folder}/state/raised"
-        span = found.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
-        if batch_id == 0 or span["low"] is None:
-            return self._spark.createDataFrame([], ddl(_RAISED))
-        earlier = self._spark.read.schema(ddl(_RAISED)).parquet(folder)
-        return earlier.filter(
-            (F.col("batch_id") < batch_id) & F.col("day").between(span["low"], span["high"])
-        )
+    def __init__(self, wishes: dict[str, str], load: Callable[[Group], dict[str, int]], ttl_us: int | None) -> None:
+        self.wishes, self._load, self._ttl_us = wishes, load, ttl_us
+        self.groups: dict[Group, _Raised] = {}
+        self.changed: list[str] = []
+
+    def change(self, user: str, priority: str | None) -> None:
+        """``user`` looks for the species from now on, or with no priority no longer."""
+        self.wishes.pop(user, None)
+        if priority is not None:
+            self.wishes[user] = priority
+        self.changed.append(user)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        with released_after(self._spark):
-            self._process(batch, batch_id)
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
-        rows = stage(batch, "alert-batch")
-        clean = clean_fields(decodable(rows.filter(F.col("topic") == S.CLEAN)))
-        clean = stage(clean, "alert-sightings")
-        changed = rows.filter(F.col("topic") == S.PREFERENCES)
-        changed = preferences.preference_changes(decodable(changed, PREFERENCE_FIELDS))
-        known = changed.select(*_CHANGES).unionByName(self._changes.before(batch_id))
-        known = stage(known, "alert-preferences")
-
-        found = alerts.alerts_asof(clean, preferences.preference_history(known), self._width_us)
-        day = F.floor(F.col("window_start_us") / F.lit(_DAY_US)).cast("int")
-        found = stage(found.withColumn("day", day), "alerts-found")
+    def sighting(self, group: Group, birder: str, at: int) -> list[str]:
+        """Users who get an alert for a sighting by ``birder``."""
+        state = self.groups.get(group)
+        if state is None:
+            state = self.groups[group] = _Raised(self._load(group), self.wishes, len(self.changed))
+        for user in self.changed[state.changes :]:
+            state.waiting.discard(user)
+            if user in self.wishes and user not in state.raised:
+                state.waiting.add(user)
+        state.changes = len(self.changed)
         if self._ttl_us is not None:
-            kept = self._live.before(batch_id)
-            raised = kept.withColumnRenamed("arrival_us", "raised_us")
-            same = [F.col(f"f.{k}") == F.col(f"r.{k}") for k in alerts.SUPPRESSION]
-            live = F.col("f.arrival_us") - F.col("r.raised_us") < F.lit(self._ttl_us)
-            new = found.alias("f").join(raised.alias("r"), [*same, live], "left_anti")
-        else:
-            new = found.join(self._raised(found, batch_id), alerts.SUPPRESSION, "left_anti")
-        new = stage(new, "alerts-new")
-
-        out = records(alerts.alert_records(new, self._now), S.ALERTS)
-        write_topics(out, None if self._kafka else f"{self._folder}/out/batch_id={batch_id}", "overwrite")
+            while state.expiring and state.expiring[0][0] + self._ttl_us <= at:
+                _, user = state.expiring.popleft()
+                del state.raised[user]
+                state.changed = True
+                if user in self.wishes:
+                    state.waiting.add(user)
+        users = sorted(state.waiting - {birder})
+        if users:
+            state.changed = True
+            state.waiting &= {birder}
+            state.raised.update(dict.fromkeys(users, at))
+            state.expiring.extend((at, user) for user in users)
+        return users
+
+
+class AlertState(StatefulProcessor):
+    """Keeps a key's wishes and alerts in Spark's state.
+
+    With a time to live, ``due`` lists the windows by the span of arrivals that raised
+    their last alerts, so those that are over are removed when the key is next seen.
+    """
+
+    def __init__(self, ttl_us: int | None) -> None:
+        self._ttl_us = ttl_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        group = "location_id string, window_start_us bigint"
+        self._wishes = handle.getMapState("wishes", "user_id string", "priority string")
+        self._raised = handle.getMapState("raised", group, "users array<string>, arrivals array<bigint>")
+        self._due = handle.getMapState("due", "span bigint", "locations array<string>, starts array<bigint>")
+
+    def _load(self, group: Group) -> dict[str, int]:
+        held = self._raised.getValue(group)
+        return dict(zip(held[0], held[1])) if held else {}
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["arrival_us", "kind", "seq"])
+        matcher = Matcher({user: wish[0] for (user,), wish in self._wishes.iterator()}, self._load, self._ttl_us)
+        found: list[tuple] = []
+        names = ["kind", "user_id", "priority", "location_id", "window_start_us", "arrival_us", "seq", "event_id"]
+        for kind, user, priority, place, start, at, seq, event_id in zip(*(batch[n].tolist() for n in names)):
+            if kind == _CHANGE:
+                matcher.change(user, priority)
+                continue
+            for other in matcher.sighting((place, start), user, at):
+                found.append((other, key[0], place, start, at, seq, event_id, matcher.wishes[other]))
+        for user in set(matcher.changed):
+            if user in matcher.wishes:
+                self._wishes.updateValue((user,), (matcher.wishes[user],))
+            else:
+                self._wishes.removeKey((user,))
+        self._store(matcher, int(batch["arrival_us"].max()))
+        if found:
+            yield pd.DataFrame(found, columns=list(_RAISED))
+
+    def _store(self, matcher: Matcher, last: int) -> None:
+        spans: dict[int, set[Group]] = {}
+        for group, state in matcher.groups.items():
+            if not state.changed:
+                continue
+            if state.raised:
+                self._raised.updateValue(group, (list(state.raised), list(state.raised.values())))
+            else:
+                self._raised.removeKey(group)
+            if self._ttl_us is not None and state.raised:
+                spans.setdefault(max(state.raised.values()) // self._ttl_us, set()).add(group)
         if self._ttl_us is None:
-            keys = new.select(*alerts.SUPPRESSION, "arrival_us", "day")
-            keys.write.mode("overwrite").partitionBy("day").parquet(
-                f"{self._folder}/state/raised/batch_id={batch_id}"
-            )
-        else:
-            # No later sighting can arrive before the last one of this batch.
-            last = rows.agg(F.max("arrival_us").alias("last")).scalar()
-            raised = kept.unionByName(new.select(*_LIVE)).groupBy(*alerts.SUPPRESSION)
-            raised = raised.agg(F.max("arrival_us").alias("arrival_us"))
-            expired = last - F.col("arrival_us") >= F.lit(self._ttl_us)
-            self._live.write(batch_id, raised.filter(~F.coalesce(expired, F.lit(False))))
-        self._changes.write(batch_id, preferences.preference_state(known))
+            return
+        for span, groups in spans.items():
+            held = self._due.getValue((span,))
+            groups |= set(zip(held[0], held[1])) if held else set()
+            self._due.updateValue((span,), ([g[0] for g in groups], [g[1] for g in groups]))
+        over = [span for (span,) in self._due.keys() if (span + 2) * self._ttl_us <= last]
+        for span in over:
+            for group in zip(*self._due.getValue((span,))):
+                held = self._load(group)
+                if held and max(held.values()) + self._ttl_us <= last:
+                    self._raised.removeKey(group)
+            self._due.removeKey((span,))
+
+    def close(self) -> None:
+        pass
+
+
+def _entered(rows: DataFrame, width_us: int, blocks: int) -> DataFrame:
+    """Sightings and changes in one layout, dealt to the keys of the state."""
+    clean = clean_fields(decodable(rows.filter(F.col("topic") == S.CLEAN)))
+    all_blocks = F.explode(F.array(*[F.lit(b) for b in range(blocks)]))
+    seen = alerts.alertable(clean, width_us).withColumns({"block": all_blocks, "kind": F.lit(_SIGHTING)})
+    seen = seen.withColumnRenamed("birder_id", "user_id")
+    changed = preferences.preference_changes(decodable(rows.filter(F.col("topic") == S.PREFERENCES), PREFERENCE_FIELDS))
+    changed = changed.withColumns(
+        {
+            "block": F.pmod(F.xxhash64("user_id"), F.lit(blocks)).cast("int"),
+            "kind": F.lit(_CHANGE),
+            "priority": F.when(F.col("active"), F.col("priority")),
+        }
+    )
+    both = seen.unionByName(changed, allowMissingColumns=True).fillna(0, ["window_start_us"])
+    return both.select(*[F.col(name).cast(kind) for name, kind in _ENTERED.items()])
+
+
+def raised_alerts(rows: DataFrame, width_us: int = S.WINDOW_US, ttl_us: int | None = None, blocks: int = BLOCKS) -> DataFrame:
+    """Alerts raised by a stream of rows ``(topic, key, value, arrival_us, seq)``.
+
+    Every micro-batch must be a slice of the arrival order of both topics. ``ttl_us``
+    lets a suppressed alert be raised again once that much arrival time has passed since
+    it was; by default suppression never ends. A micro-batch of one key is sorted in
+    memory, so bound it by the source's rate; ``blocks`` bounds a key's users.
+    """
+    configure(rows.sparkSession)
+    use_state_store(rows.sparkSession)
+    return (
+        _entered(rows, width_us, blocks)
+        .groupBy("species_code", "block")
+        .transformWithStateInPandas(
+            statefulProcessor=AlertState(ttl_us),
+            outputStructType=T.StructType.fromDDL(ddl(_RAISED)),
+            outputMode="Append",
+            timeMode="None",
+        )
+        .withColumn("window_end_us", F.col("window_start_us") + F.lit(width_us))
+    )
+
+
+def alerting_stream(
+    rows: DataFrame,
+    width_us: int = S.WINDOW_US,
+    ttl_us: int | None = None,
+    now: Column | None = None,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """Stream of both topics to alert records; write it with ``topic_writer``."""
+    return records(alerts.alert_records(raised_alerts(rows, width_us, ttl_us, blocks), now), S.ALERTS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,14 +16,7 @@ from sightline.operators.decode import JSON_PARSE_ERROR, decode_json
 from sightline.operators.validate import is_invalid, is_valid, validate
 from sightline.session import configure
 from sightline.sources.topics import json_value, message, with_payload
-from sightline.streaming.state import ddl
-
-_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_state_store(spark: SparkSession) -> None:
-    """Keyed state with its own columns needs the RocksDB store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+from sightline.streaming.state import ddl, use_state_store
 
 
 def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
-"""Versioned state tables for ``foreachBatch`` jobs.
+"""What the streaming jobs keep: settings of keyed state, and versioned state tables.
 
-Each batch reads the newest complete version below its own id and writes a
-version under its own id, replacing what a failed attempt may have left. Running
-a batch again therefore starts from the same state and ends in the same state.
+Versioned tables are for ``foreachBatch`` jobs: each batch reads the newest complete
+version below its own id and writes a version under its own id, replacing what a failed
+attempt may have left. Running a batch again therefore starts from the same state and
+ends in the same state.
 """
 
 from __future__ import annotations
@@ -17,6 +18,14 @@ def ddl(layout: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in layout.items())
 
 
+_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """Keyed state with its own columns needs the RocksDB store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
+
+
 class Versions:
     """Versions of one table below ``folder``."""
 

@@ -40,16 +40,17 @@ def hotspot(rows: list[dict], lateness: int, width: int = WINDOW) -> tuple[list,
     return panes, late, left
 
 
-def alerts(sightings: list[dict], changes: list[dict], width: int = WINDOW) -> list[tuple]:
+def alerts(sightings: list[dict], changes: list[dict], width: int = WINDOW, ttl_us: int | None = None) -> list[tuple]:
     """First alert per user, species, location and window, by arrival.
 
-    A change applies to sightings that arrive at the same instant.
+    A change applies to sightings that arrive at the same instant. After ``ttl_us`` an
+    alert may be raised again.
     """
     log = [(c["arrival_us"], 0, c["seq"], c) for c in changes]
     log += [(s["arrival_us"], 1, s["seq"], s) for s in sightings]
     wanted: dict[tuple, str] = {}
-    seen, out = set(), []
-    for _, kind, _, row in sorted(log, key=lambda entry: entry[:3]):
+    seen, out = {}, []
+    for at, kind, _, row in sorted(log, key=lambda entry: entry[:3]):
         if kind == 0:
             key = (row["species_code"], row["user_id"])
             wanted.pop(key, None)
@@ -59,8 +60,9 @@ def alerts(sightings: list[dict], changes: list[dict], width: int = WINDOW) -> l
         start, _ = window(row["et_us"], width)
         for (species, user), priority in wanted.items():
             key = (user, species, row["location_id"], start)
-            if species == row["species_code"] and user != row["user_id"] and key not in seen:
-                seen.add(key)
+            held = key in seen and (ttl_us is None or at - seen[key] < ttl_us)
+            if species == row["species_code"] and user != row["user_id"] and not held:
+                seen[key] = at
                 out.append((*key, row["event_id"], priority))
     return out
 

@@ -4,6 +4,7 @@ import random
 from pathlib import Path
 
 import model
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +21,13 @@ from sightline.sources.topics import (
     read_topic,
     records,
     stream_topic,
+    stream_topics,
     topic_writer,
     with_arrival,
     with_payload,
     write_topics,
 )
-from sightline.streaming.alerting import AlertStream
+from sightline.streaming.alerting import AlertState, Matcher, alerting_stream
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream
 
@@ -78,37 +80,120 @@ def as_topics(spark, rows, prefs):
     return left.unionByName(right)
 
 
-@pytest.mark.parametrize("pieces", [1, 4])
-def test_alert_stream_equals_model(spark, tmp_path, pieces):
-    rows, prefs = case(6, n=150, changes=40)
-    job = AlertStream(spark, str(tmp_path))
-    ends = sorted({r["arrival_us"] for r in rows})
-    cuts = [ends[len(ends) * i // pieces] for i in range(1, pieces)]
-    batches = []
-    for batch_id, (low, high) in enumerate(zip([0, *cuts], [*cuts, 1 << 62])):
-        part = [r for r in rows if low <= r["arrival_us"] < high]
-        changed = [p for p in prefs if low <= p["arrival_us"] < high]
-        batches.append((as_topics(spark, part, changed), batch_id))
-    for batch in [*batches, batches[-1]]:
-        job(*batch)
+def alert_rows(spark, tmp_path, parts, blocks=3, **options):
+    """Alerts of the stream over ``parts``, one micro-batch each, resumed halfway; and its state."""
+    source = str(tmp_path / "in")
+
+    def run():
+        rows = stream_topics(spark, [S.CLEAN, S.PREFERENCES], source, maxFilesPerTrigger="1")
+        writer = topic_writer(alerting_stream(rows, now=F.lit("now"), blocks=blocks, **options), f"{tmp_path}/checkpoint", f"{tmp_path}/out")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for number, part in enumerate(parts):
+            part.coalesce(1).write.mode("append").parquet(source)
+            if number == len(parts) // 2:
+                run()
+        run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     value = F.from_json(F.col("value").cast("string"), S.ALERT).alias("v")
-    got = spark.read.parquet(f"{tmp_path}/out").select(value).select("v.*").collect()
-    want = {(u, s, loc, e, p) for u, s, loc, _, e, p in model.alerts(rows, prefs)}
-    assert len(got) == len(model.alerts(rows, prefs))
-    assert {(r.user_id, r.species_code, r.location_id, r.sighting_event_id, r.priority) for r in got} == want
+    found = spark.read.parquet(f"{tmp_path}/out").select(value).select("v.*").collect()
+    return sorted((r.user_id, r.species_code, r.location_id, r.sighting_event_id, r.priority) for r in found)
 
 
-def test_suppression_can_expire(spark, tmp_path):
-    rows, prefs = case(6, n=80, changes=20)
-    for change in prefs:
-        change["arrival_us"] = 0
-    again = [{**r, "seq": r["seq"] + 10_000, "arrival_us": r["arrival_us"] + 10**12} for r in rows]
-    for ttl_us, grows in ((None, False), (10**11, True)):
-        job = AlertStream(spark, f"{tmp_path}/{ttl_us}", ttl_us=ttl_us)
-        job(as_topics(spark, rows, prefs), 0)
-        first = spark.read.parquet(f"{tmp_path}/{ttl_us}/out").count()
-        job(as_topics(spark, again, []), 1)
-        assert (spark.read.parquet(f"{tmp_path}/{ttl_us}/out").count() > first) == grows
+def cut_batches(spark, rows, prefs, size):
+    """Both tables as slices of arrival order of about ``size`` records; one instant stays whole."""
+    log = sorted({r["arrival_us"] for r in [*rows, *prefs]})
+    starts = log[::size]
+    for low, high in zip(starts, [*starts[1:], 1 << 62]):
+        yield as_topics(spark, [r for r in rows if low <= r["arrival_us"] < high], [p for p in prefs if low <= p["arrival_us"] < high])
+
+
+@pytest.mark.parametrize("size", [25, 1000])
+def test_alert_stream_equals_model(spark, tmp_path, size):
+    rows, prefs = case(6, n=150, changes=40)
+    got = alert_rows(spark, tmp_path, list(cut_batches(spark, rows, prefs, size)))
+    assert got == sorted((u, s, loc, e, p) for u, s, loc, _, e, p in model.alerts(rows, prefs))
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_expiry_does_not_depend_on_batches(spark, tmp_path, size):
+    rows, prefs = case(8, n=24, changes=12)
+    for change in prefs[::2]:
+        change |= {"arrival_us": rows[0]["arrival_us"], "active": True}
+    ttl_us = 2 * model.MINUTE
+    want = model.alerts(rows, prefs, ttl_us=ttl_us)
+    assert len(want) > len(model.alerts(rows, prefs)) > 0
+    got = alert_rows(spark, tmp_path, list(cut_batches(spark, rows, prefs, size)), ttl_us=ttl_us)
+    assert got == sorted((u, s, loc, e, p) for u, s, loc, _, e, p in want)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_matcher_equals_model(seed):
+    """The state's logic on random records, with state carried from batch to batch."""
+    rows, prefs = case(seed, n=200, changes=60)
+    ttl_us = [None, 3 * model.MINUTE, 20 * model.MINUTE][seed % 3]
+    log = [(p["arrival_us"], 0, p["seq"], p) for p in prefs] + [(r["arrival_us"], 1, r["seq"], r) for r in rows]
+    wishes, raised, out = {}, {}, []
+    for at, kind, _, row in sorted(log, key=lambda entry: entry[:3]):
+        species = row["species_code"]
+        matcher = Matcher(wishes.setdefault(species, {}), lambda g: dict(raised.get((species, g), {})), ttl_us)  # noqa: B023
+        if kind == 0:
+            matcher.change(row["user_id"], row["priority"] if row["active"] else None)
+            continue
+        group = (row["location_id"], model.window(row["et_us"])[0])
+        for user in matcher.sighting(group, row["user_id"], at):
+            out.append((user, species, *group, row["event_id"], wishes[species][user]))
+        raised[species, group] = matcher.groups[group].raised
+    assert sorted(out) == sorted(model.alerts(rows, prefs, ttl_us=ttl_us))
+
+
+class FakeMap:
+    """A map of Spark's state in memory."""
+
+    def __init__(self):
+        self.held = {}
+
+    def getValue(self, key):
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.held.pop(key, None)
+
+    def keys(self):
+        return list(self.held)
+
+    def iterator(self):
+        return list(self.held.items())
+
+
+def test_state_stays_as_small_as_a_span_of_the_ttl():
+    state, maps = AlertState(3 * model.MINUTE), {}
+
+    class Handle:
+        def getMapState(self, name, key, value):
+            return maps.setdefault(name, FakeMap())
+
+    state.init(Handle())
+    columns = ["arrival_us", "kind", "seq", "user_id", "priority", "event_id", "location_id", "window_start_us"]
+    raised, sizes = [], []
+    for batch in range(40):
+        at = batch * model.MINUTE
+        rows = [(at + 1, 1, batch, "x", None, f"e{batch}", f"l{batch % 20}", 0)]
+        rows += [(0, 0, 99, "u", "low", None, None, 0)] * (batch == 0)
+        found = list(state.handleInputRows(("s", 0), iter([pd.DataFrame(rows, columns=columns)]), None))
+        raised.append(sum(len(f) for f in found))
+        sizes.append(len(maps["raised"].held))
+    assert raised == [1] * 40 and max(sizes) <= 9 and max(sizes[20:]) <= max(sizes[:20])
+    assert maps["wishes"].held == {("u",): ("low",)} and len(maps["due"].held) <= 3
+    # A wish that ends leaves the state.
+    off = pd.DataFrame([(10**12, 0, 100, "u", None, None, None, 0)], columns=columns)
+    assert list(state.handleInputRows(("s", 0), iter([off]), None)) == [] and not maps["wishes"].held
 
 
 def raw_rows(spark, texts, start):
@@ -181,26 +266,6 @@ def test_broker_comes_from_the_environment(monkeypatch):
     assert (options["subscribe"], options["startingOffsets"]) == ("x,y", "earliest")
 
 
-def test_live_alert_keys_stay_as_few_as_a_span_of_the_ttl(spark, tmp_path):
-    minute = 60_000_000
-    job = AlertStream(spark, str(tmp_path), ttl_us=3 * minute)
-    change = '{"user_id":"u","species_code":"s","priority":"low","active":true}'
-    sizes, raised = [], []
-    for batch in range(8):
-        at = batch * minute
-        sighting = f'{{"event_id":"e{batch}","user_id":"x","species_code":"s","location_id":"l{batch % 2}",'
-        sighting += '"event_time":"2026-05-16T15:10:00Z"}'
-        rows = [(S.CLEAN, b"k", sighting.encode(), at + 1, batch)]
-        if batch == 0:
-            rows.append((S.PREFERENCES, b"u", change.encode(), 0, 99))
-        job(spark.createDataFrame(rows, "topic string, key binary, value binary, arrival_us bigint, seq bigint"), batch)
-        sizes.append(spark.read.parquet(f"{tmp_path}/state/live/v={batch}").count())
-        out = spark.read.schema("value binary").parquet(f"{tmp_path}/out/batch_id={batch}")
-        raised.append(out.count())
-    # A key is raised again four minutes after it was raised: every other time it is seen.
-    assert raised == [1, 1, 0, 0, 1, 1, 0, 0] and max(sizes) <= 2
-
-
 def test_key_may_be_null(spark):
     out = spark.range(1).select(message("t", F.lit(None).cast("string"), F.lit("{}")).alias("m")).select("m.*")
     assert out.first().key is None and "alert_id" in S.ALERT.fieldNames() and alerts.SUPPRESSION
