@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,6 +19,9 @@ from sightline.session import configure
 from sightline.sources.topics import json_value, message, with_payload
 from sightline.streaming.state import ddl, use_state_store
 
+#: Keys of the state: as many tasks as can share it.
+BUCKETS = 128
+
 
 def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Flag rows that an earlier arrival of their id precedes in the same Arrow batch.
@@ -33,45 +37,32 @@ def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.append_column("repeat", pa.array(flags, pa.bool_()))
 
 
-class FirstArrival(StatefulProcessor):
-    """Marks the first arrival of a key; rows decided without state pass through.
+class FirstArrivals(StatefulProcessor):
+    """Marks the first arrivals of a bucket of ids; rows decided without state pass through.
 
-    The rows of one batch are read once and in any order: the earliest so far is
-    held back, every other row is passed on as a later arrival.
+    A micro-batch of the bucket is one table: the earliest of each id in it is looked up
+    in the ids seen before, all else follows from the table.
     """
 
-    def __init__(self, columns: list[str], ttl_ms: int | None = None) -> None:
-        self._columns = columns
+    def __init__(self, ttl_ms: int | None = None) -> None:
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("seen", T.BooleanType())])
-        self._seen = handle.getValueState("seen", schema, self._ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        earliest = None
-        known = None
-        for row in rows:
-            if not row["valid"] or row["repeat"]:
-                yield self._out(row, False if row["valid"] else None)
-                continue
-            if known is None:
-                known = self._seen.exists()
-            if known:
-                yield self._out(row, False)
-            elif earliest is None:
-                earliest = row
-            elif (row["arrival_us"], row["seq"]) < (earliest["arrival_us"], earliest["seq"]):
-                yield self._out(earliest, False)
-                earliest = row
-            else:
-                yield self._out(row, False)
-        if earliest is not None:
-            self._seen.update((True,))
-            yield self._out(earliest, True)
-
-    def _out(self, row: Row, is_first: bool | None) -> Row:
-        return Row(*self._columns, "is_first")(*[row[name] for name in self._columns], is_first)
+        self._seen = handle.getMapState("seen", "event_id string", "arrival_us bigint", self._ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        open_ = batch.loc[batch["valid"] & ~batch["repeat"], ["event_id", *S.ARRIVAL]]
+        earliest = open_.sort_values(list(S.ARRIVAL)).drop_duplicates("event_id")
+        first = []
+        for at, event_id, arrival in zip(earliest.index, earliest["event_id"], earliest["arrival_us"].tolist()):
+            if not self._seen.containsKey((event_id,)):
+                self._seen.updateValue((event_id,), (arrival,))
+                first.append(at)
+        is_first = pd.Series(False, batch.index, dtype="boolean")
+        is_first[first] = True
+        batch["is_first"] = is_first.mask(~batch["valid"])
+        yield batch.drop(columns=["valid", "repeat", "bucket"])
 
     def close(self) -> None:
         pass
@@ -91,12 +82,15 @@ _PASSED = {
 }
 
 
-def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Stream twin of ``mark_first``; ``is_first`` is null for rows that are not valid.
 
-    Only valid rows that no row before them repeats have keyed state. The others
-    are spread over neutral keys, so one stateful operator sees every row and the
-    source is read once.
+    The state has one key per bucket of ids, so its operator works on whole columns.
+    Only valid rows that no row before them repeats are looked up, and are dealt by their
+    id; the others are dealt by their place, so that neither a hot id nor a run of bad
+    records fills one bucket, and pass in the same columns: a branch without state would
+    read and decode the source a second time. ``buckets`` bounds the tasks that share the
+    state and is fixed by the checkpoint.
     """
     use_state_store(validated.sparkSession)
     layout = T.StructType.fromDDL(ddl(_PASSED))
@@ -110,15 +104,17 @@ def mark_first_stream(validated: DataFrame, ttl_ms: int | None = None) -> DataFr
     rows = validated.select(*passed, valid.alias("valid"))
     layout_marked = T.StructType([*rows.schema.fields, T.StructField("repeat", T.BooleanType())])
     rows = rows.mapInArrow(_mark_repeats, layout_marked)
-    neutral = F.concat(F.lit("-"), F.pmod("seq", F.lit(4096)))
-    keyed = F.col("valid") & ~F.col("repeat")
-    state_key = F.when(keyed, F.concat(F.lit("+"), F.col("event_id"))).otherwise(neutral)
-    rows = rows.withColumn("state_key", state_key)
-    marked = rows.groupBy("state_key").transformWithState(
-        statefulProcessor=FirstArrival(list(_PASSED), ttl_ms),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+    looked_up = F.col("valid") & ~F.col("repeat")
+    dealt_by = F.when(looked_up, F.xxhash64("event_id")).otherwise(F.xxhash64(*S.ARRIVAL))
+    marked = (
+        rows.withColumn("bucket", F.pmod(dealt_by, F.lit(buckets)).cast("int"))
+        .groupBy("bucket")
+        .transformWithStateInPandas(
+            statefulProcessor=FirstArrivals(ttl_ms),
+            outputStructType=output,
+            outputMode="Append",
+            timeMode="None" if ttl_ms is None else "ProcessingTime",
+        )
     )
     return marked.withColumn("issues", F.from_json("issues", T.ArrayType(S.ISSUE)))
 
