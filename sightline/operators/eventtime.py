@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sightline.functions.times import window_end_us, window_start_us
-from sightline.operators.arrival import cut_points, position, running_max
+from sightline.operators.arrival import position, ranges_of, running_max
 from sightline.schemas import ARRIVAL, LATENESS_US, WINDOW_US
 
 ON_TIME = "on_time"
@@ -53,7 +53,7 @@ def with_lateness(
     seed: int | None = None,
 ) -> DataFrame:
     """Add window bounds, ``max_et_us``, ``watermark_us`` and ``lateness``."""
-    cuts = cut_points(usable(clean), ranges)
+    cuts = ranges_of(usable(clean), ranges)
     marked = running_max(with_window(clean, width_us), "et_us", "max_et_us", seed=seed, cuts=cuts)
     return marked.withColumn("watermark_us", F.col("max_et_us") - F.lit(lateness_us)).withColumn(
         "lateness",
@@ -148,7 +148,7 @@ def behind_watermark(
     bare = rows.join(closed, "window_end_us", "left").select(
         *ARRIVAL, "et_us", F.when(behind, F.struct(*columns)).alias("row")
     )
-    cuts = cut_points(usable(clean), ranges)
+    cuts = ranges_of(usable(clean), ranges)
     marked = running_max(bare, "et_us", "max_et_us", cuts=cuts).filter(F.col("row").isNotNull())
     watermark = F.col("max_et_us") - F.lit(lateness_us)
     return marked.select(

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sightline.operators import hotspot
-from sightline.operators.arrival import cut_points, next_in_key, range_id, running_max
+from sightline.operators import arrival, hotspot
+from sightline.operators.arrival import cut_points, next_in_key, range_id, ranges_of, running_max
 from sightline.operators.eventtime import (
     behind_watermark,
     closings,
@@ -72,6 +72,29 @@ def test_one_crowded_instant_is_cut(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 5000 // 4
 
 
+@pytest.mark.parametrize("parts, rows_per_range", [(4, 8), (16, 3)])
+def test_ranges_beyond_the_literals_are_cut_again(spark, monkeypatch, parts, rows_per_range):
+    monkeypatch.setattr(arrival, "MAX_RANGES", 5)
+    monkeypatch.setattr(arrival, "MAX_PARTS", parts)
+    monkeypatch.setattr(arrival, "ROWS_PER_RANGE", rows_per_range)
+    rows = model.random_sightings(random.Random(parts), 300, 3_600_000_000, ties=True)
+    df = clean(spark, rows)
+    ranges = ranges_of(df)
+    sizes = [r["count"] for r in ranges.of(df).groupBy("_range").count().collect()]
+    # The literals stay five; the ranges are as many, and as small, as the rows ask for.
+    assert len(ranges.cuts) < 5 and len(sizes) > 12 and max(sizes) < 300 // 5
+    ordered = ranges.of(df).orderBy("arrival_us", "seq").select("_range").collect()
+    assert [r[0] for r in ordered] == sorted(r[0] for r in ordered)
+    naive = F.max("et_us").over(W.orderBy("arrival_us", "seq").rowsBetween(W.unboundedPreceding, 0))
+    want = {r.seq: r.m for r in df.select("seq", naive.alias("m")).collect()}
+    assert {r.seq: r.m for r in running_max(df, "et_us", "m").select("seq", "m").collect()} == want
+    keys = ["species_code", "location_id"]
+    lead = F.lead("arrival_us").over(W.partitionBy(*keys).orderBy("arrival_us", "seq"))
+    following = {r.seq: r.n for r in df.select("seq", lead.alias("n")).collect()}
+    got = next_in_key(df, keys, "arrival_us", "n", cuts=ranges).collect()
+    assert {r.seq: r.n for r in got} == following
+
+
 @pytest.mark.parametrize("ranges", [1, 7])
 def test_next_in_key_equals_lead(spark, ranges):
     rng = random.Random(3)
