@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sightline.llm import ftrl
 from sightline.llm.common import byte_chunks, byte_slices, held_out
-from sightline.llm.training import FEATURES, learned, sample, struct_array
+from sightline.llm.training import FEATURES, Rows, learned, sample, struct_array
 
 #: Feature numbers; labelled documents read of each class at most; the cut-off.
 BITS, PER_CLASS, THRESHOLD = 18, 4000, 0.3
@@ -27,12 +27,15 @@ _BYTES, _PIECE = 4 << 20, 1 << 20
 _SAME = np.uint32(0x5EED)
 
 
-def _numbers(text: bytes, bits: int) -> np.ndarray:
+def _words(text: bytes) -> np.ndarray:
     crc = zlib.crc32
-    words = np.fromiter((crc(w.encode()) for w in _TOKEN.findall(text.decode())), np.uint32)
-    if not len(words):
-        return words
-    left, right = words[:-1], words[1:]
+    return np.fromiter((crc(w.encode()) for w in _TOKEN.findall(text.decode())), np.uint32)
+
+
+def _numbers(words: np.ndarray, before: np.ndarray, bits: int) -> np.ndarray:
+    """Feature numbers of the words and of their pairs, the first with ``before`` if there is one."""
+    run = np.concatenate([before, words])
+    left, right = run[:-1], run[1:]
     pairs = left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)
     pairs = np.where(left == right, _SAME, pairs)
     both = np.concatenate([words, pairs])
@@ -42,15 +45,18 @@ def _numbers(text: bytes, bits: int) -> np.ndarray:
 def features(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers without repeats, in order, and their values; none for no words.
 
-    A long text is read in pieces that end at white space; a pair across two pieces is
-    not counted.
+    A long text is read in pieces that end at white space; the last word of a piece makes
+    a pair with the first of the next.
     """
+    before = np.empty(0, np.uint32)
     if len(text) <= _PIECE:
-        at, n = np.unique(_numbers(text, bits), return_counts=True)
+        at, n = np.unique(_numbers(_words(text), before, bits), return_counts=True)
     else:
         total = np.zeros(1 << bits, np.int64)
         for piece in byte_chunks(text, _PIECE):
-            total += np.bincount(_numbers(piece, bits), minlength=1 << bits)
+            words = _words(piece)
+            total += np.bincount(_numbers(words, before, bits), minlength=1 << bits)
+            before = words[-1:] if len(words) else before
         at = np.flatnonzero(total)
         n = total[at]
     if not len(at):
@@ -75,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
     """
     rows, real = sample(docs, labels, "quality", per_class)
 
-    def learn(rows: list) -> np.ndarray:
+    def learn(rows: Rows) -> np.ndarray:
         weights = ftrl.train(rows, 1 << bits, epochs=8, alpha=4.0, l1=0.1, l2=0.0)
         good = sum(label for _, _, label in rows)
         weights[-1] += ftrl.prior_shift((len(rows) - good, good), real)
