@@ -34,6 +34,8 @@ from sightline.streaming.metrics import HotspotStream, hotspot_native
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Share of the rows from which a location and species is hot.
+HOT_PPM = 66_700
 #: Arrival time after which ``stream_alerts_ttl`` raises an alert again.
 ALERT_TTL_US = 300_000_000
 
@@ -261,6 +263,29 @@ def contract_alert(spark, sf_dir):
     return found.select("alert_id", F.array_join("violations", ",").alias("violations"))
 
 
+def hot_keys(spark, sf_dir):
+    return quality.hot_keys(fixture.clean(spark, sf_dir), ["location_id", "species_code"], HOT_PPM)
+
+
+def hotspot_salted_hot(spark, sf_dir):
+    return _as_text(hotspot.hotspot_salted_hot(fixture.clean(spark, sf_dir), HOT_PPM), "sighting_count")
+
+
+def hotspot_birders_sketch(spark, sf_dir):
+    """Main and late panes merged, the estimate held against the exact number."""
+    clean = fixture.clean(spark, sf_dir)
+    found = hotspot.merged_birders(hotspot.sketched_panes(clean))
+    closed = eventtime.closings(clean)
+    late = eventtime.behind_watermark(clean, closed).filter(F.col("lateness") == eventtime.LATE).select(*S.ARRIVAL)
+    counted = eventtime.with_window(clean).join(late, list(S.ARRIVAL), "left_anti")
+    exact = counted.groupBy(*hotspot.KEYS).agg(F.count_distinct(hotspot.birder()).alias("unique_birders"))
+    # Three standard errors.
+    bound = F.ceil(3 * 1.04 / 2 ** (hotspot.SKETCH_BITS / 2) * F.col("unique_birders"))
+    near = F.abs(F.col("birders_estimate") - F.col("unique_birders")) <= bound
+    joined = found.join(exact, hotspot.KEYS).withColumn("within_bound", near)
+    return _as_text(joined.drop("birders_estimate"), "sighting_count")
+
+
 def _slices(log: DataFrame, folder: str, run: Callable[[], None], slices: int = 3) -> None:
     """Append the log in slices of arrival order, running the stream after each.
 
@@ -392,6 +417,9 @@ _QUERIES = [
     hotspot_open,
     late_refresh_diff,
     hot_key_share,
+    hot_keys,
+    hotspot_salted_hot,
+    hotspot_birders_sketch,
     quality_rates,
     preference_changes,
     pref_history,

@@ -404,6 +404,20 @@ def oracle_sql() -> dict[str, str]:
            UNION ALL SELECT 'dead_letter_events', location_id, n
            FROM v WHERE reject IS NOT NULL OR len(codes) > 0""",
     )
+    queries["hotspot_salted_hot"] = queries["hotspot_totals"]
+    queries["hot_keys"] = _sql(
+        _CLEAN,
+        """SELECT location_id, species_code, count(*) AS n,
+           count(*) * 1000000 // (SELECT count(*) FROM clean) AS share_ppm
+           FROM clean GROUP BY location_id, species_code
+           HAVING count(*) * 1000000 >= 66700 * (SELECT count(*) FROM clean)""",
+    )
+    queries["hotspot_birders_sketch"] = _sql(
+        _PANES,
+        """SELECT l.location_id, l.species_code, l.ws AS window_start_us, l.we AS window_end_us,
+           CAST(sum(l.cnt) AS VARCHAR) AS sighting_count, count(DISTINCT l.user_id) AS unique_birders, true AS within_bound
+           FROM l JOIN closing USING (we) WHERE l.st <> 'late' GROUP BY ALL""",
+    )
     queries["topic_replay"] = _sql(_JSON, "SELECT n AS seq, location_id AS key, txt AS value, arrival_us FROM j")
     queries["stream_hotspot_exact"] = queries["hotspot_panes"]
     queries["stream_alerts"] = queries["alert_records"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,3 +148,42 @@ def hot_key_share(df: DataFrame, key: str = "location_id") -> DataFrame:
     total = df.select(F.count("*").alias("total"))
     shares = counts.withColumn("_total", total.scalar())
     return shares.withColumn("share_ppm", F.expr("n * 1000000 div _total")).drop("_total")
+
+
+def _key_text(keys: list[str]) -> Column:
+    return F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+
+
+def heavy_keys(df: DataFrame, keys: list[str], share_ppm: int) -> tuple[list[str], int]:
+    """Texts of the keys that may hold ``share_ppm`` of the rows or more, and the rows.
+
+    One pass with a frequent-items sketch of fixed size: it misses no key whose share is
+    above twice its error, and its error is a quarter of the share asked for. The keys
+    it gives too many hold at least half of that share, so they are few as well.
+    """
+    share = share_ppm / 1_000_000
+    if not 0 < share <= 1:
+        raise ValueError("share_ppm must be above 0 and at most 1000000")
+    # A map of that size has an error of 3.5 / size of the rows.
+    size = max(64, math.ceil(4 * 3.5 / share))
+    wanted = min(math.ceil(2 / share), size)
+    row = df.select(_key_text(keys).alias("_key")).agg(
+        F.expr(f"approx_top_k(_key, {wanted}, {size})").alias("top"), F.count("*").alias("rows")
+    ).first()
+    return [item["item"] for item in row["top"] or []], row["rows"]
+
+
+def is_heavy(keys: list[str], heavy: list[str]) -> Column:
+    return _key_text(keys).isin(heavy) if heavy else F.lit(False)
+
+
+def hot_keys(df: DataFrame, keys: list[str], share_ppm: int = 10_000) -> DataFrame:
+    """Every key with ``share_ppm`` of the rows or more: its exact rows and share.
+
+    Only rows of the keys the sketch found are counted, so nothing is shuffled but those
+    counts, however many keys there are.
+    """
+    heavy, total = heavy_keys(df, keys, share_ppm)
+    counts = df.filter(is_heavy(keys, heavy)).groupBy(*keys).agg(F.count("*").alias("n"))
+    shares = counts.withColumn("share_ppm", F.expr(f"n * 1000000 div {max(total, 1)}"))
+    return shares.filter(F.col("share_ppm") >= share_ppm)
