@@ -36,6 +36,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Share of the rows from which a location and species is hot.
 HOT_PPM = 66_700
+#: How far ahead of its arrival a record may move the guarded watermark.
+MAX_FUTURE_US = 3_600_000_000
 #: Arrival time after which ``stream_alerts_ttl`` raises an alert again.
 ALERT_TTL_US = 300_000_000
 
@@ -286,6 +288,14 @@ def hotspot_birders_sketch(spark, sf_dir):
     return _as_text(joined.drop("birders_estimate"), "sighting_count")
 
 
+def lateness_guarded(spark, sf_dir):
+    """Classes under a guarded watermark, with some records ten days ahead."""
+    ahead = F.when(F.col("seq") % 499 == 7, 10 * 86_400_000_000).otherwise(0)
+    rows = fixture.clean(spark, sf_dir).withColumn("et_us", F.col("et_us") + ahead)
+    found = eventtime.with_lateness(rows, max_future_us=MAX_FUTURE_US)
+    return found.select("seq", "watermark_us", "lateness")
+
+
 def _slices(log: DataFrame, folder: str, run: Callable[[], None], slices: int = 3) -> None:
     """Append the log in slices of arrival order, running the stream after each.
 
@@ -320,6 +330,16 @@ def topic_replay(spark, sf_dir):
     return rows.withColumns(text)
 
 
+def topic_replay_span(spark, sf_dir):
+    """Hours of the log that begin on one day and end on the next."""
+    folder = new_path(spark, "topic-span")
+    log = fixture.raw_log(spark, sf_dir).withColumn("arrival_us", F.col("arrival_us") * 4 - 3 * fixture.EPOCH_US)
+    write_topics(log.withColumn("topic", F.lit(S.RAW)), folder)
+    rows = read_topic(spark, S.RAW, folder, since_us=fixture.EPOCH_US + 60_000_000_000, until_us=fixture.EPOCH_US + 100_000_000_000)
+    text = {name: F.col(name).cast("string") for name in ("key", "value")}
+    return rows.withColumns(text)
+
+
 def _run_now(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -417,6 +437,7 @@ _QUERIES = [
     hotspot_open,
     late_refresh_diff,
     hot_key_share,
+    lateness_guarded,
     hot_keys,
     hotspot_salted_hot,
     hotspot_birders_sketch,
@@ -431,6 +452,7 @@ _QUERIES = [
     backfill,
     alert_records,
     topic_replay,
+    topic_replay_span,
     contract_sighting,
     contract_preference,
     contract_alert,

@@ -14,7 +14,7 @@ from sightline.functions.times import iso_z
 from sightline.operators.dedup import dedup_first
 from sightline.session import configure, stage
 
-_EPOCH_US = 1_704_067_200_000_000
+EPOCH_US = 1_704_067_200_000_000
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.expr(
-            f"{_EPOCH_US} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_EPOCH_US}) div 60"
+            f"{EPOCH_US} + (unix_micros(CAST(ts AS TIMESTAMP)) - {EPOCH_US}) div 60"
         ).alias("et_us"),
     )
     return rows.selectExpr(
@@ -89,7 +89,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_acctbal >= 0 AS active",
         """CAST(CASE WHEN c_custkey % 89 = 0 THEN 40030 WHEN c_custkey % 83 = 0 THEN 25000
                      ELSE 5 + 2 * c_nationkey END AS DOUBLE) AS radius_km""",
-        f"""{_EPOCH_US} + (c_custkey % 1000000) * 26843545601L % 43200000000L AS arrival_us""",
+        f"""{EPOCH_US} + (c_custkey % 1000000) * 26843545601L % 43200000000L AS arrival_us""",
         "CAST(c_custkey AS BIGINT) AS seq",
     )
     return stage(rows, "changes")

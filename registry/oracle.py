@@ -404,6 +404,16 @@ def oracle_sql() -> dict[str, str]:
            UNION ALL SELECT 'dead_letter_events', location_id, n
            FROM v WHERE reject IS NOT NULL OR len(codes) > 0""",
     )
+    queries["lateness_guarded"] = _sql(
+        _CLEAN,
+        """, g AS (SELECT n, arrival_us, et_us + CASE WHEN n % 499 = 7 THEN 864000000000 ELSE 0 END AS et_us FROM clean),
+           w AS (SELECT *, et_us - et_us % 900000000 + 900000000 AS we,
+             max(CASE WHEN et_us <= arrival_us + 3600000000 THEN et_us END)
+               OVER (ORDER BY arrival_us, n ROWS UNBOUNDED PRECEDING) - 120000000 AS wm FROM g)
+           SELECT n AS seq, wm AS watermark_us,
+             CASE WHEN wm IS NULL OR wm < we OR et_us >= we THEN 'on_time'
+                  WHEN wm <= et_us + 120000000 THEN 'within_lateness' ELSE 'late' END AS lateness FROM w""",
+    ).replace(")\n, g AS", "), g AS")
     queries["hotspot_salted_hot"] = queries["hotspot_totals"]
     queries["hot_keys"] = _sql(
         _CLEAN,
@@ -419,6 +429,12 @@ def oracle_sql() -> dict[str, str]:
            FROM l JOIN closing USING (we) WHERE l.st <> 'late' GROUP BY ALL""",
     )
     queries["topic_replay"] = _sql(_JSON, "SELECT n AS seq, location_id AS key, txt AS value, arrival_us FROM j")
+    queries["topic_replay_span"] = _sql(
+        _JSON,
+        """SELECT * FROM (
+             SELECT n AS seq, location_id AS key, txt AS value, arrival_us * 4 - 3 * 1704067200000000 AS arrival_us FROM j)
+           WHERE arrival_us >= 1704067200000000 + 60000000000 AND arrival_us < 1704067200000000 + 100000000000""",
+    )
     queries["stream_hotspot_exact"] = queries["hotspot_panes"]
     queries["stream_alerts"] = queries["alert_records"]
     queries["stream_alerts_ttl"] = _sql(

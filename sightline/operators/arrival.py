@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sightline.schemas import ARRIVAL
-from sightline.session import stage
+from sightline.session import once, stage
 
 ROWS_PER_RANGE = 2_000_000
 # Cut points that are literals of the plan, and the parts each such range may be cut
@@ -98,31 +98,29 @@ def range_id(cuts: list[tuple[int, int]]) -> Column:
 class Ranges:
     """Ranges of arrival order: cut points, and cut points inside each of those ranges.
 
-    Ranges are numbered in order; ``upper`` of a number is its first-level range.
+    Ranges are numbered in order, with ``MAX_PARTS`` numbers for each first-level range.
     """
 
     def __init__(self, cuts: list[tuple[int, int]], parts: DataFrame | None = None) -> None:
-        self.cuts, self._parts = cuts, parts
+        self.cuts, self.parts = cuts, parts
 
     @property
     def single(self) -> bool:
-        return not self.cuts and self._parts is None
+        return not self.cuts and self.parts is None
 
     def of(self, df: DataFrame) -> DataFrame:
         """``df`` with ``_range``."""
-        numbered = df.withColumn("_range", range_id(self.cuts).cast("bigint"))
-        if self._parts is None:
+        # Below a generator, as Catalyst infers a filter across joins from an alias of lambdas.
+        numbered = once(df, {"_range": range_id(self.cuts)})
+        if self.parts is None:
             return numbered
         # At most MAX_RANGES rows of MAX_PARTS positions, some 16 MB.
-        joined = numbered.join(F.broadcast(self._parts), F.col("_range") == F.col("_upper"), "left")
+        joined = numbered.join(F.broadcast(self.parts), F.col("_range") == F.col("_upper"), "left")
         first, second = (F.col(name) for name in ARRIVAL)
         part = _cuts_passed(first, second, F.col("_first"), F.col("_second"), _halvings(MAX_PARTS))
         number = F.col("_range") * MAX_PARTS + F.coalesce(part, F.lit(0))
         return joined.withColumn("_range", number).drop("_upper", "_first", "_second")
 
-    def upper(self) -> Column:
-        return F.col("_range") if self._parts is None else F.floor(F.col("_range") / MAX_PARTS)
-
 
 def ranges_of(df: DataFrame, ranges: int | None = None) -> Ranges:
     """Ranges of at most about ``ROWS_PER_RANGE`` rows, or ``ranges`` of them.
@@ -137,7 +135,7 @@ def ranges_of(df: DataFrame, ranges: int | None = None) -> Ranges:
     if wanted <= MAX_RANGES or rows == 0:
         return Ranges(cuts)
     each = min(-(-wanted // MAX_RANGES), MAX_PARTS)
-    upper = range_id(cuts).cast("bigint").alias("_upper")
+    upper = range_id(cuts).alias("_upper")
     found = _sampled(positions, rows, MAX_RANGES * each).groupBy(upper).agg(F.sort_array(F.collect_list(F.struct(*ARRIVAL))).alias("all"))
     steps = F.transform(F.sequence(F.lit(1), F.lit(each - 1)), lambda i: F.floor(F.size("all") * i / each).cast("int"))
     chosen = F.array_distinct(F.transform(steps, lambda at: F.get("all", at))) if each > 1 else F.array()
@@ -147,6 +145,21 @@ def ranges_of(df: DataFrame, ranges: int | None = None) -> Ranges:
     return Ranges(cuts, stage(parts, "range-parts"))
 
 
+def _carried(highs: DataFrame, cuts: Ranges) -> DataFrame:
+    """The maximum of all ranges before each one."""
+    before = lambda *keys: W.partitionBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    if cuts.parts is None:
+        earlier = before(F.lit(0)).orderBy("_range")
+        return highs.select("_range", F.max("_max").over(earlier).alias("_carried"))
+    highs = stage(highs.withColumn("_upper", F.floor(F.col("_range") / MAX_PARTS)), "range-maxima")
+    uppers = highs.groupBy("_upper").agg(F.max("_max").alias("_max"))
+    uppers = uppers.select("_upper", F.max("_max").over(before(F.lit(0)).orderBy("_upper")).alias("_before"))
+    inside = highs.withColumn("_inside", F.max("_max").over(before("_upper").orderBy("_range")))
+    # One row per first-level range, at most MAX_RANGES + 1.
+    joined = inside.join(F.broadcast(uppers), "_upper")
+    return joined.select("_range", F.greatest("_inside", "_before").alias("_carried"))
+
+
 def running_max(
     df: DataFrame,
     value: str,
@@ -162,13 +175,7 @@ def running_max(
     """
     cuts = ranges_of(df, ranges) if cuts is None else cuts
     ranged = cuts.of(df)
-    highs = ranged.groupBy("_range").agg(F.max(value).alias("_max")).withColumn("_upper", cuts.upper())
-    inside = W.partitionBy("_upper").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    across = W.partitionBy(F.lit(0)).orderBy("_upper").rowsBetween(W.unboundedPreceding, -1)
-    uppers = highs.groupBy("_upper").agg(F.max("_max").alias("_max"))
-    uppers = uppers.select("_upper", F.max("_max").over(across).alias("_before"))
-    carried = highs.select("_upper", "_range", F.max("_max").over(inside).alias("_inside")).join(F.broadcast(uppers), "_upper")
-    carried = carried.select("_range", F.greatest("_inside", "_before").alias("_carried"))
+    carried = _carried(ranged.groupBy("_range").agg(F.max(value).alias("_max")), cuts)
     within = (
         W.partitionBy("_range").orderBy(*ARRIVAL).rowsBetween(W.unboundedPreceding, W.currentRow)
     )

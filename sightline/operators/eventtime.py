@@ -28,6 +28,19 @@ def usable(clean: DataFrame) -> DataFrame:
     return clean.filter(F.col("et_us").isNotNull())
 
 
+def moving(max_future_us: int | None) -> Column:
+    """Event time of a record that may move the watermark, else null.
+
+    One record far in the future would make all later ones late. With ``max_future_us``,
+    records further ahead of their own arrival than that leave the watermark where it is;
+    they are classified like any other. By default every record moves it.
+    """
+    et = F.col("et_us")
+    if max_future_us is None:
+        return et
+    return F.when(et <= F.col("arrival_us") + F.lit(max_future_us), et)
+
+
 def lateness_class(
     et_us: Column, end_us: Column, watermark_us: Column, lateness_us: Column
 ) -> Column:
@@ -51,10 +64,12 @@ def with_lateness(
     width_us: int = WINDOW_US,
     ranges: int | None = None,
     seed: int | None = None,
+    max_future_us: int | None = None,
 ) -> DataFrame:
     """Add window bounds, ``max_et_us``, ``watermark_us`` and ``lateness``."""
     cuts = ranges_of(usable(clean), ranges)
-    marked = running_max(with_window(clean, width_us), "et_us", "max_et_us", seed=seed, cuts=cuts)
+    rows = with_window(clean, width_us).withColumn("_moving", moving(max_future_us))
+    marked = running_max(rows, "_moving", "max_et_us", seed=seed, cuts=cuts).drop("_moving")
     return marked.withColumn("watermark_us", F.col("max_et_us") - F.lit(lateness_us)).withColumn(
         "lateness",
         lateness_class(
@@ -68,6 +83,7 @@ def closings(
     lateness_us: int = LATENESS_US,
     width_us: int = WINDOW_US,
     more_ends: DataFrame | None = None,
+    max_future_us: int | None = None,
 ) -> DataFrame:
     """For every window end the watermark reached: when, and the watermark then.
 
@@ -81,7 +97,13 @@ def closings(
     # Numbers only, so the pass over all rows is a hash aggregate.
     first = [F.min(position()).alias("at"), F.min_by(et, position()).alias("et_us")]
     step = window_start_us(et - F.lit(lateness_us), width_us)
-    steps = usable(clean).groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(*first)
+    rows = usable(clean)
+    if max_future_us is not None:
+        # These close nothing, but their windows are asked for.
+        idle = rows.filter(moving(max_future_us).isNull()).select(window_end_us(et, width_us).alias("window_end_us"))
+        more_ends = idle if more_ends is None else idle.unionByName(more_ends.select("window_end_us"))
+        rows = rows.filter(moving(max_future_us).isNotNull())
+    steps = rows.groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(*first)
     steps = steps.select("step", "end", F.struct("at", "et_us").alias("first"))
     reached = F.struct(F.col("step").alias("end_us"), "first")
     asked = F.struct(F.col("end").alias("end_us"), F.lit(None).alias("first"))
@@ -136,6 +158,7 @@ def behind_watermark(
     lateness_us: int = LATENESS_US,
     width_us: int = WINDOW_US,
     ranges: int | None = None,
+    max_future_us: int | None = None,
 ) -> DataFrame:
     """The rows that are not on time, with their exact watermark and class.
 
@@ -146,10 +169,10 @@ def behind_watermark(
     columns = [c for c in rows.columns if c not in (*ARRIVAL, "et_us")]
     behind = F.coalesce(~in_time(), F.lit(False))
     bare = rows.join(closed, "window_end_us", "left").select(
-        *ARRIVAL, "et_us", F.when(behind, F.struct(*columns)).alias("row")
+        *ARRIVAL, "et_us", moving(max_future_us).alias("_moving"), F.when(behind, F.struct(*columns)).alias("row")
     )
     cuts = ranges_of(usable(clean), ranges)
-    marked = running_max(bare, "et_us", "max_et_us", cuts=cuts).filter(F.col("row").isNotNull())
+    marked = running_max(bare, "_moving", "max_et_us", cuts=cuts).filter(F.col("row").isNotNull())
     watermark = F.col("max_et_us") - F.lit(lateness_us)
     return marked.select(
         *ARRIVAL, "et_us", "row.*", "max_et_us", watermark.alias("watermark_us")

@@ -17,6 +17,7 @@ from sightline.operators.eventtime import (
     behind_watermark,
     closings,
     in_time,
+    moving,
     with_window,
 )
 from sightline.operators.quality import heavy_keys, is_heavy
@@ -126,10 +127,11 @@ def hotspot_panes(
     lateness_us: int = LATENESS_US,
     width_us: int = WINDOW_US,
     ranges: int | None = None,
+    max_future_us: int | None = None,
 ) -> DataFrame:
-    """Every emission: main panes and late deltas."""
-    closed = stage(closings(clean, lateness_us, width_us), "closings")
-    behind = behind_watermark(clean, closed, lateness_us, width_us, ranges)
+    """Every emission: main panes and late deltas. ``max_future_us``: see ``moving``."""
+    closed = stage(closings(clean, lateness_us, width_us, max_future_us=max_future_us), "closings")
+    behind = behind_watermark(clean, closed, lateness_us, width_us, ranges, max_future_us)
     return main_panes(clean, closed, width_us).unionByName(late_panes(behind))
 
 
@@ -169,14 +171,18 @@ def merged_birders(panes: DataFrame, *keys: str) -> DataFrame:
 
 
 def hotspot_open(
-    clean: DataFrame, lateness_us: int = LATENESS_US, width_us: int = WINDOW_US
+    clean: DataFrame,
+    lateness_us: int = LATENESS_US,
+    width_us: int = WINDOW_US,
+    max_future_us: int | None = None,
 ) -> DataFrame:
     """Windows the watermark has not reached; they are not emitted.
 
     The watermark was never at their end, so all their records are on time.
     """
-    last = clean.agg((F.max("et_us") - F.lit(lateness_us)).alias("w")).scalar()
-    return totals(with_window(clean, width_us).filter(F.col("window_end_us") > last))
+    last = clean.agg((F.max(moving(max_future_us)) - F.lit(lateness_us)).alias("w")).scalar()
+    unreached = F.coalesce(F.col("window_end_us") > last, F.lit(True))
+    return totals(with_window(clean, width_us).filter(unreached))
 
 
 def metric_records(panes: DataFrame) -> DataFrame:

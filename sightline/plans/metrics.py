@@ -30,16 +30,18 @@ def metrics(
     width_us: int = WINDOW_US,
     now: Column | None = None,
     ranges: int | None = None,
+    max_future_us: int | None = None,
 ) -> Metrics:
     """Closed windows, late deltas and late signals of a bounded clean log.
 
     The columns the job needs are written once, so whatever made ``clean`` runs once;
-    so are the rows behind the watermark, which both outputs read.
+    so are the rows behind the watermark, which both outputs read. ``max_future_us``
+    guards the watermark, see ``eventtime.moving``.
     """
     configure(clean.sparkSession)
     rows = stage(clean.select(*_NEEDED), "metrics-input")
-    closed = stage(closings(rows, lateness_us, width_us), "closings")
-    behind = stage(behind_watermark(rows, closed, lateness_us, width_us, ranges), "behind")
+    closed = stage(closings(rows, lateness_us, width_us, max_future_us=max_future_us), "closings")
+    behind = stage(behind_watermark(rows, closed, lateness_us, width_us, ranges, max_future_us), "behind")
     panes = hotspot.main_panes(rows, closed, width_us).unionByName(hotspot.late_panes(behind))
     late = quality.late_signals(behind.filter(F.col("lateness") == LATE), now)
     return Metrics(metrics=hotspot.metric_records(panes), quality=late)

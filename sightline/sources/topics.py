@@ -6,6 +6,7 @@ Kafka needs the connector package on the class path.
 
 from __future__ import annotations
 
+import datetime
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from sightline.schemas import ARRIVAL, LOG
 from sightline.session import configure
 
+# Folders are partitioned by topic and by day of arrival.
+DAY = "arrival_day"
+
 # Offsets of one partition stay below 2^48.
 _OFFSET_BITS = 48
 
@@ -48,12 +52,50 @@ def kafka_options(topics: list[str]) -> dict[str, str]:
     }
 
 
-def read_topic(spark: SparkSession, topic: str, folder: str | None = None) -> DataFrame:
-    """The whole topic as a bounded table, for replay."""
+def _span_options(since_us: int | None, until_us: int | None) -> dict[str, str]:
+    """Kafka options for a span of append times; the broker keeps milliseconds."""
+    options = {}
+    if since_us is not None:
+        options["startingTimestamp"] = str(since_us // 1000)
+    if until_us is not None:
+        options["endingTimestamp"] = str(-(-until_us // 1000))
+    return options
+
+
+def _in_span(rows: DataFrame, since_us: int | None, until_us: int | None) -> DataFrame:
+    """Rows that arrived from ``since_us`` on and before ``until_us``.
+
+    In a folder the days prune directories; files of no day are read.
+    """
+    if since_us is not None:
+        rows = rows.filter(F.col("arrival_us") >= F.lit(since_us))
+    if until_us is not None:
+        rows = rows.filter(F.col("arrival_us") < F.lit(until_us))
+    if DAY not in rows.columns:
+        return rows
+    for bound, of in ((since_us, "__ge__"), (until_us, "__le__")):
+        if bound is not None:
+            within = getattr(F.col(DAY), of)(F.lit(_day_of(bound)))
+            rows = rows.filter(F.col(DAY).isNull() | within)
+    return rows
+
+
+def read_topic(
+    spark: SparkSession,
+    topic: str,
+    folder: str | None = None,
+    since_us: int | None = None,
+    until_us: int | None = None,
+) -> DataFrame:
+    """The topic as a bounded table, for replay; or what arrived in a span of time.
+
+    Of a span only its days are read from a folder, and only its offsets from Kafka.
+    """
     configure(spark)
     if folder is None:
-        return with_arrival(spark.read.format("kafka").options(**kafka_options([topic])).load())
-    return _folder_topic(spark.read.schema(_ROUTED).parquet(folder), topic)
+        options = kafka_options([topic]) | _span_options(since_us, until_us)
+        return _in_span(with_arrival(spark.read.format("kafka").options(**options).load()), since_us, until_us)
+    return _folder_topic(_in_span(spark.read.schema(_ROUTED).parquet(folder), since_us, until_us), topic)
 
 
 def stream_topic(
@@ -81,11 +123,11 @@ def stream_topics(spark: SparkSession, topics: list[str], folder: str | None = N
     return rows.filter(F.col("topic").isin(topics)).select("topic", "key", "value", *ARRIVAL)
 
 
-_ROUTED = T.StructType([*LOG.fields, T.StructField("topic", T.StringType())])
+_ROUTED = T.StructType([*LOG.fields, T.StructField("topic", T.StringType()), T.StructField(DAY, T.DateType())])
 
 
 def _folder_topic(rows: DataFrame, topic: str) -> DataFrame:
-    # Topics share a folder, partitioned by name; the filter prunes directories.
+    # The filter prunes directories.
     return rows.filter(F.col("topic") == topic).select("key", "value", *ARRIVAL)
 
 
@@ -117,13 +159,26 @@ def records(df: DataFrame, topic: str, key: str = "key") -> DataFrame:
     return routed.select("m.*", *order)
 
 
+def _day_of(arrival_us: int) -> datetime.date:
+    return datetime.date(1970, 1, 1) + datetime.timedelta(days=arrival_us // 86_400_000_000)
+
+
+def _dated(routed: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows that carry their arrival get its day, and the columns to partition by."""
+    if ARRIVAL[0] not in routed.columns:
+        return routed, ["topic"]
+    day = F.to_date(F.timestamp_micros(F.col(ARRIVAL[0])))
+    return routed.withColumn(DAY, day), ["topic", DAY]
+
+
 def write_topics(routed: DataFrame, folder: str | None = None, mode: str = "append") -> None:
     """Write routed rows ``(topic, key, value, …)`` of a bounded table."""
     if folder is None:
         options = {"kafka.bootstrap.servers": bootstrap_servers()}
         routed.select("topic", "key", "value").write.format("kafka").options(**options).save()
     else:
-        routed.write.mode(mode).partitionBy("topic").parquet(folder)
+        dated, parts = _dated(routed)
+        dated.write.mode(mode).partitionBy(*parts).parquet(folder)
 
 
 def topic_writer(
@@ -134,5 +189,6 @@ def topic_writer(
         writer = routed.select("topic", "key", "value").writeStream.format("kafka")
         writer = writer.option("kafka.bootstrap.servers", bootstrap_servers())
     else:
-        writer = routed.writeStream.format("parquet").partitionBy("topic").option("path", folder)
+        dated, parts = _dated(routed)
+        writer = dated.writeStream.format("parquet").partitionBy(*parts).option("path", folder)
     return writer.outputMode("append").option("checkpointLocation", checkpoint)

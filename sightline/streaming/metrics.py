@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sightline import schemas as S
 from sightline.operators import hotspot, quality
-from sightline.operators.eventtime import LATE, ON_TIME, closings, usable, with_lateness
+from sightline.operators.eventtime import LATE, ON_TIME, closings, moving, usable, with_lateness
 from sightline.session import configure, released_after, stage
 from sightline.sources.topics import records, write_topics
 from sightline.streaming.state import Versions
@@ -34,7 +34,7 @@ class HotspotStream:
     """``foreachBatch`` handler: call it with (batch of clean rows, batch id).
 
     Records go to topics below ``folder``, or with ``kafka`` to Kafka, where a repeated
-    batch sends the same ids again.
+    batch sends the same ids again. ``max_future_us`` guards the watermark.
     """
 
     def __init__(
@@ -45,9 +45,11 @@ class HotspotStream:
         width_us: int = S.WINDOW_US,
         now: Column | None = None,
         kafka: bool = False,
+        max_future_us: int | None = None,
     ) -> None:
         configure(spark)
         self._spark, self._folder, self._now, self._kafka = spark, folder, now, kafka
+        self._max_future_us = max_future_us
         self._lateness_us, self._width_us = lateness_us, width_us
         self._open = Versions(spark, f"{folder}/state/open", _OPEN)
         self._largest = Versions(spark, f"{folder}/state/largest", _LARGEST)
@@ -61,14 +63,16 @@ class HotspotStream:
         seed = before["max_et_us"] if before else None
         rows = stage(usable(batch), "hotspot-batch")
         marked = stage(
-            with_lateness(rows, self._lateness_us, self._width_us, seed=seed), "hotspot-marked"
+            with_lateness(rows, self._lateness_us, self._width_us, seed=seed, max_future_us=self._max_future_us),
+            "hotspot-marked",
         )
         users = [*hotspot.KEYS, "user_id"]
         opened = marked.filter(F.col("lateness") == ON_TIME).select(*users, "cnt")
         merged = opened.unionByName(self._open.before(batch_id))
         merged = stage(merged.groupBy(*users).agg(hotspot.summed().alias("cnt")), "hotspot-open")
         ends = merged.select("window_end_us").distinct()
-        closed = stage(closings(rows, self._lateness_us, self._width_us, ends), "closings")
+        closed = closings(rows, self._lateness_us, self._width_us, ends, self._max_future_us)
+        closed = stage(closed, "closings")
 
         main = hotspot.totals(
             merged.join(closed, "window_end_us"), F.max("closing_watermark_us").alias("watermark_us")
@@ -81,7 +85,7 @@ class HotspotStream:
         write_topics(out, None if self._kafka else f"{self._folder}/out/batch_id={batch_id}", "overwrite")
 
         self._open.write(batch_id, merged.join(closed, "window_end_us", "left_anti"))
-        largest = F.greatest(F.max("et_us"), F.lit(seed).cast("bigint")).alias("max_et_us")
+        largest = F.greatest(F.max(moving(self._max_future_us)), F.lit(seed).cast("bigint")).alias("max_et_us")
         self._largest.write(batch_id, rows.agg(largest).filter("max_et_us IS NOT NULL"))
 
 

@@ -12,14 +12,15 @@ def window(et: int, width: int = WINDOW) -> tuple[int, int]:
     return et // width * width, et // width * width + width
 
 
-def hotspot(rows: list[dict], lateness: int, width: int = WINDOW) -> tuple[list, list, list]:
+def hotspot(rows: list[dict], lateness: int, width: int = WINDOW, max_future: int | None = None) -> tuple[list, list, list]:
     """(panes, late events, open windows) for rows in arrival order."""
     largest = None
     accumulators: dict[tuple, list] = {}
     panes, late = [], []
     for row in rows:
-        largest = row["et_us"] if largest is None else max(largest, row["et_us"])
-        mark = largest - lateness
+        if max_future is None or row["et_us"] <= row["arrival_us"] + max_future:
+            largest = row["et_us"] if largest is None else max(largest, row["et_us"])
+        mark = -(1 << 62) if largest is None else largest - lateness
         start, end = window(row["et_us"], width)
         status = "on_time"
         if mark >= end:

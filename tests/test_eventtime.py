@@ -132,6 +132,27 @@ def test_hotspot_equals_model(spark, seed, lateness, disorder):
     assert {r[0]: r[1] for r in statuses}.get("late", 0) == len(want_late)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_guarded_watermark_equals_model(spark, seed):
+    rng = random.Random(seed)
+    rows = model.random_sightings(rng, 300, 30 * model.MINUTE, ties=seed == 2)
+    for row in rng.sample(rows, 20) + rows[:2]:
+        row["et_us"] += 10 * 86_400_000_000
+    guard = 60 * model.MINUTE
+    want_panes, want_late, want_open = model.hotspot(rows, L, max_future=guard)
+    df = clean(spark, rows)
+    # Without the guard nearly all is late; with it the odd records alone stay open.
+    assert len(model.hotspot(rows, L)[1]) > 200 > 20 * len(want_late) // 10
+    assert panes(hotspot.hotspot_panes(df, L, ranges=5, max_future_us=guard)) == sorted(want_panes, key=str)
+    got = behind_watermark(df, closings(df, L, max_future_us=guard), L, ranges=3, max_future_us=guard)
+    late = got.filter("lateness = 'late'").select("event_id", "et_us", "window_end_us", "watermark_us").collect()
+    assert sorted(map(tuple, late)) == sorted(want_late)
+    opened = hotspot.hotspot_open(df, L, max_future_us=guard).select(*hotspot.KEYS, "sighting_count", "unique_birders")
+    assert sorted(map(tuple, opened.collect())) == sorted(want_open)
+    statuses = {r[0]: r[1] for r in with_lateness(df, L, ranges=4, max_future_us=guard).groupBy("lateness").count().collect()}
+    assert statuses.get("late", 0) == len(want_late)
+
+
 def test_salted_and_plain_totals_agree(spark):
     df = clean(spark, model.random_sightings(random.Random(9), 300, 0))
     plain, salted = hotspot.hotspot_totals(df), hotspot.hotspot_salted(df, salts=3)

@@ -16,6 +16,7 @@ from sightline.functions.times import iso_z
 from sightline.operators import alerts, hotspot
 from sightline.session import shared_dir
 from sightline.sources.topics import (
+    _span_options,
     json_value,
     message,
     read_topic,
@@ -245,6 +246,31 @@ def test_topic_round_trip(spark, tmp_path):
     assert read_topic(spark, "other", f"{tmp_path}/t").count() == 0
 
 
+def test_a_replay_of_a_span_reads_its_days(spark, tmp_path):
+    day = 86_400_000_000
+    rows = spark.range(40).selectExpr("'t' AS topic", "CAST('k' AS BINARY) AS key", "CAST(CAST(id AS STRING) AS BINARY) AS value", f"id * {day // 4} AS arrival_us", "id AS seq")
+    write_topics(rows, f"{tmp_path}/t")
+    assert len(list(tmp_path.glob("t/topic=t/arrival_day=*"))) == 10
+    span = read_topic(spark, "t", f"{tmp_path}/t", since_us=2 * day + 1, until_us=4 * day)
+    assert sorted(r.seq for r in span.collect()) == list(range(9, 16))
+    plan = span._jdf.queryExecution().executedPlan().toString()
+    assert "arrival_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    # Only the files of those days are there for the tasks to read.
+    for k in (0, 1, 5, 9):
+        for file in tmp_path.glob(f"t/topic=t/arrival_day=1970-01-{k + 1:02}/*.parquet"):
+            file.write_bytes(b"unreadable")
+    assert read_topic(spark, "t", f"{tmp_path}/t", since_us=2 * day + 1, until_us=4 * day).count() == 7
+    assert read_topic(spark, "t", f"{tmp_path}/t", since_us=3 * day, until_us=3 * day + 1).count() == 1
+    # Files that have no day are read, too.
+    rows.filter("id = 12").write.mode("append").parquet(f"{tmp_path}/u")
+    assert read_topic(spark, "t", f"{tmp_path}/u", since_us=3 * day).count() == 1
+
+
+def test_kafka_spans(monkeypatch):
+    assert _span_options(1_500, 2_500) == {"startingTimestamp": "1", "endingTimestamp": "3"}
+    assert _span_options(None, None) == {}
+
+
 def test_kafka_layout_and_payload(spark):
     kafka = spark.sql("SELECT X'6B' key, X'76' value, 3 partition, 7L offset, TIMESTAMP '2026-05-16 15:10:00Z' timestamp, 1 timestampType")
     row = with_arrival(kafka).first()
