@@ -34,6 +34,9 @@ from sightline.streaming.metrics import HotspotStream, hotspot_native
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+NOW = "2024-01-01T00:00:00Z"
+#: More than any record of the fixture is behind, so nothing is dropped whatever the batches.
+NATIVE_LATENESS_US = 1_800_000_000
 #: Share of the rows from which a location and species is hot.
 HOT_PPM = 66_700
 #: How far ahead of its arrival a record may move the guarded watermark.
@@ -288,6 +291,29 @@ def hotspot_birders_sketch(spark, sf_dir):
     return _as_text(joined.drop("birders_estimate"), "sighting_count")
 
 
+def _odd_clean(spark, sf_dir):
+    """Clean rows as another writer may leave them: no time, no user, no species, no place."""
+    without = lambda name, rest, empty: F.when(F.col("seq") % 23 == rest, empty).otherwise(F.col(name))
+    nothing = F.lit(None).cast("bigint")
+    return fixture.clean(spark, sf_dir).withColumns(
+        {
+            "et_us": without("et_us", 5, nothing),
+            "user_id": without("user_id", 6, F.lit("")),
+            "species_code": without("species_code", 7, F.lit("")),
+            "location_id": without("location_id", 8, F.lit("")),
+        }
+    )
+
+
+def hotspot_odd_rows(spark, sf_dir):
+    found = hotspot.hotspot_panes(_odd_clean(spark, sf_dir))
+    return _as_text(found.select(*hotspot.KEYS, "pane", "event_id", "sighting_count", "unique_birders", "watermark_us"), "sighting_count")
+
+
+def alerts_odd_rows(spark, sf_dir):
+    return alerts.alerts_asof(_odd_clean(spark, sf_dir), _history(spark, sf_dir))
+
+
 def lateness_guarded(spark, sf_dir):
     """Classes under a guarded watermark, with some records ten days ahead."""
     ahead = F.when(F.col("seq") % 499 == 7, 10 * 86_400_000_000).otherwise(0)
@@ -344,22 +370,46 @@ def _run_now(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def _cleaning_values(out: DataFrame) -> DataFrame:
+    """Key and value of every record of the cleaning topics, all fields of the values."""
+    value = F.col("value").cast("string")
+    fields = T.StructType(
+        [
+            *[T.StructField(name, T.StringType()) for name in ("dead_letter_id", "original_topic", "reason_code", "raw_preview", "ingested_at")],
+            *S.QUALITY_EVENT.fields,
+        ]
+    )
+    v = F.from_json(value, fields).alias("v")
+    clean, dead = F.col("topic") == S.CLEAN, F.col("topic") == S.DEAD_LETTERS
+    # A dead letter ends with its payload, JSON text as it came.
+    payload = F.get(F.split(F.col("value"), ',"payload":', 2), F.lit(1))
+    rows = out.select("topic", F.col("key").cast("string").alias("key"), value.alias("value"), v, "arrival_us", "seq")
+    return rows.select(
+        "topic",
+        "key",
+        F.when(clean, F.col("value")).when(dead, F.substring(payload, F.lit(1), F.length(payload) - 1)).alias("text"),
+        *[F.when(~clean, F.col(f"v.{name}")).alias(name) for name in fields.names if name != "issues"],
+        F.when(~clean, F.array_join("v.issues.code", ",")).alias("codes"),
+        "arrival_us",
+        "seq",
+    )
+
+
 def stream_clean(spark, sf_dir):
     folder = new_path(spark, "stream-clean")
     log = fixture.raw_log(spark, sf_dir).withColumn("topic", F.lit(S.RAW))
 
     def run():
-        routed = cleaning_stream(stream_topic(spark, S.RAW, f"{folder}/in"))
+        routed = cleaning_stream(stream_topic(spark, S.RAW, f"{folder}/in"), now=F.lit(NOW))
         _run_now(topic_writer(routed, f"{folder}/checkpoint", f"{folder}/out"))
 
     _slices(log, f"{folder}/in", run)
-    out = spark.read.parquet(f"{folder}/out")
-    return out.select("topic", F.col("key").cast("string").alias("key"), "seq")
+    return _cleaning_values(spark.read.parquet(f"{folder}/out"))
 
 
 def stream_hotspot_exact(spark, sf_dir):
     folder = new_path(spark, "stream-hotspot")
-    job = HotspotStream(spark, f"{folder}/job")
+    job = HotspotStream(spark, f"{folder}/job", now=F.lit(NOW))
 
     def run():
         clean = clean_fields(decodable(stream_topic(spark, S.CLEAN, f"{folder}/in")))
@@ -367,11 +417,11 @@ def stream_hotspot_exact(spark, sf_dir):
         _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
 
     _slices(_clean_topic(spark, sf_dir), f"{folder}/in", run)
-    out = spark.read.parquet(f"{folder}/job/out").filter(F.col("topic") == S.METRICS)
-    fields = T.StructType([*S.METRIC.fields, T.StructField("pane", T.StringType())])
-    value = F.from_json(F.col("value").cast("string"), fields)
-    out = out.select(F.col("key").cast("string").alias("key"), value.alias("v")).select("key", "v.*")
-    return _as_text(out, "sighting_count")
+    metric = [*S.METRIC.fields, T.StructField("pane", T.StringType())]
+    signal = [f for f in S.QUALITY_EVENT.fields if f.name not in S.METRIC.names]
+    value = F.from_json(F.col("value").cast("string"), T.StructType([*metric, *signal])).alias("v")
+    out = spark.read.parquet(f"{folder}/job/out").select("topic", F.col("key").cast("string").alias("key"), value)
+    return _as_text(out.select("topic", "key", "v.*").drop("issues"), "sighting_count")
 
 
 def stream_hotspot_native(spark, sf_dir):
@@ -379,7 +429,7 @@ def stream_hotspot_native(spark, sf_dir):
 
     def run():
         clean = clean_fields(decodable(stream_topic(spark, S.CLEAN, f"{folder}/in")))
-        writer = hotspot_native(clean).writeStream.format("parquet").outputMode("append")
+        writer = hotspot_native(clean, lateness_us=NATIVE_LATENESS_US).writeStream.format("parquet").outputMode("append")
         writer = writer.option("path", f"{folder}/out")
         _run_now(writer.option("checkpointLocation", f"{folder}/checkpoint"))
 
@@ -437,6 +487,8 @@ _QUERIES = [
     hotspot_open,
     late_refresh_diff,
     hot_key_share,
+    hotspot_odd_rows,
+    alerts_odd_rows,
     lateness_guarded,
     hot_keys,
     hotspot_salted_hot,

@@ -152,6 +152,7 @@ def _iso(us: str) -> str:
 
 
 _JSON = _JSON.replace("{et}", _iso("et_us")).replace("}}", "}")
+_NOW = "2024-01-01T00:00:00Z"
 _CODES = "array_to_string(codes, ',')"
 
 
@@ -395,15 +396,56 @@ def oracle_sql() -> dict[str, str]:
                                               ORDER BY arrival_us, n) AS rk FROM near)
            WHERE rk = 1""",
     )
+    empty = "NULL::VARCHAR"
+    now = f"'{_NOW}'"
     queries["stream_clean"] = _sql(
         _JSON,
-        """SELECT 'bird_sightings_clean' AS topic, location_id AS key, n AS seq FROM jvalid WHERE rk = 1
-           UNION ALL SELECT 'data_quality_events', location_id, n FROM jvalid WHERE rk > 1
-           UNION ALL SELECT 'data_quality_events', location_id, n
+        f"""SELECT 'bird_sightings_clean' AS topic, location_id AS key, txt AS text, {empty} AS dead_letter_id,
+             {empty} AS original_topic, {empty} AS reason_code, {empty} AS raw_preview, {empty} AS ingested_at,
+             {empty} AS signal_type, {empty} AS event_id, {empty} AS detail, {empty} AS event_time, {empty} AS window_end,
+             {empty} AS watermark, {empty} AS observed_at, {empty} AS codes, arrival_us, n AS seq
+           FROM jvalid WHERE rk = 1
+           UNION ALL SELECT 'data_quality_events', location_id, NULL, NULL, NULL, NULL, NULL, NULL, 'duplicate_event_id', event_id,
+             'Duplicate event_id after retry or at-least-once replay', NULL, NULL, NULL, {now}, NULL, arrival_us, n
+           FROM jvalid WHERE rk > 1
+           UNION ALL SELECT 'data_quality_events', location_id, NULL, NULL, NULL, NULL, NULL, NULL, 'validation_failed',
+             CASE WHEN n % 79 <> 0 THEN event_id END, NULL, NULL, NULL, NULL, {now}, {_CODES}, arrival_us, n
            FROM v WHERE reject IS NULL AND len(codes) > 0
-           UNION ALL SELECT 'dead_letter_events', location_id, n
+           UNION ALL SELECT 'dead_letter_events', location_id,
+             CASE WHEN reject IS DISTINCT FROM 'json_parse_error' THEN txt END, {_id("dl_", "'bird_sightings_raw'", "n")},
+             'bird_sightings_raw', coalesce(reject, 'validation_failed'),
+             CASE WHEN reject = 'json_parse_error' THEN substr(txt, 1, 512) END, {now}, NULL, NULL,
+             CASE reject WHEN 'json_parse_error' THEN 'Record is not one complete JSON value'
+                         WHEN 'invalid_record_type' THEN 'Record JSON must be an object' END,
+             NULL, NULL, NULL, NULL, CASE WHEN reject IS NULL THEN {_CODES} END, arrival_us, n
            FROM v WHERE reject IS NOT NULL OR len(codes) > 0""",
     )
+    odd = """),
+odd AS (
+  SELECT * REPLACE (
+      CASE WHEN n % 23 = 5 THEN NULL ELSE et_us END AS et_us, CASE WHEN n % 23 = 6 THEN '' ELSE user_id END AS user_id,
+      CASE WHEN n % 23 = 7 THEN '' ELSE species_code END AS species_code,
+      CASE WHEN n % 23 = 8 THEN '' ELSE location_id END AS location_id)
+  FROM whole),
+clean AS (
+  SELECT * REPLACE (et_us - et_us % 900000000 AS ws, et_us - et_us % 900000000 + 900000000 AS we)
+  FROM odd WHERE et_us IS NOT NULL)"""
+
+    def with_odd(base: str) -> str:
+        head, tail = base.split("clean AS (", 1)
+        inner, rest = tail.split("WHERE rk = 1)", 1)
+        return f"{head}whole AS ({inner}WHERE rk = 1{odd}{rest}"
+
+    queries["hotspot_odd_rows"] = _sql(
+        with_odd(_PANES).replace("count(DISTINCT user_id)", "count(DISTINCT nullif(user_id, ''))").replace(
+            "CAST(cnt AS VARCHAR), 1, wm", "CAST(cnt AS VARCHAR), CASE WHEN user_id = '' THEN 0 ELSE 1 END, wm"
+        ),
+        """SELECT location_id, species_code, ws AS window_start_us, we AS window_end_us, pane, event_id,
+           sighting_count, unique_birders, wm AS watermark_us FROM panes""",
+    )
+    queries["alerts_odd_rows"] = _sql(
+        with_odd(_MATCHES), _FIRST_ALERT.format(matches="(SELECT * FROM matches WHERE species_code <> '' AND location_id <> '')")
+    )
     queries["lateness_guarded"] = _sql(
         _CLEAN,
         """, g AS (SELECT n, arrival_us, et_us + CASE WHEN n % 499 = 7 THEN 864000000000 ELSE 0 END AS et_us FROM clean),
@@ -435,7 +477,23 @@ def oracle_sql() -> dict[str, str]:
              SELECT n AS seq, location_id AS key, txt AS value, arrival_us * 4 - 3 * 1704067200000000 AS arrival_us FROM j)
            WHERE arrival_us >= 1704067200000000 + 60000000000 AND arrival_us < 1704067200000000 + 100000000000""",
     )
-    queries["stream_hotspot_exact"] = queries["hotspot_panes"]
+    queries["stream_hotspot_exact"] = _sql(
+        _PANES,
+        f"""SELECT 'hotspot_activity_metrics' AS topic, location_id AS key,
+              {_id("hm_", "location_id", "species_code", "ws", "pane", "event_id")} AS metric_id, location_id, species_code,
+              {_iso("ws")} AS window_start, {_iso("we")} AS window_end, sighting_count, unique_birders,
+              {_iso("wm")} AS watermark_at_emit, pane, {empty} AS signal_type, {empty} AS event_id, {empty} AS detail,
+              {empty} AS event_time, {empty} AS watermark, {empty} AS observed_at
+            FROM panes
+            UNION ALL SELECT 'data_quality_events', location_id, NULL, NULL, NULL, NULL, {_iso("we")}, NULL, NULL, NULL, NULL,
+              'late_event_dropped', event_id, 'Event arrived beyond allowed lateness after watermark',
+              {_iso("et_us")}, {_iso("wm")}, {now}
+            FROM l WHERE st = 'late'""",
+    )
+    queries["stream_hotspot_native"] = _sql(
+        _CLEAN,
+        _TOTALS.replace("FROM clean", "FROM clean WHERE we <= (SELECT max(et_us) - 1800000000 FROM clean)"),
+    )
     queries["stream_alerts"] = queries["alert_records"]
     queries["stream_alerts_ttl"] = _sql(
         _MATCHES,
