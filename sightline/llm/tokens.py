@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from sightline.llm.common import byte_slices
 
-#: Bytes encoded at a time; words whose counts a worker keeps; words in one encoding.
-BATCH_BYTES, KEPT_WORDS, JOINED = 4 << 20, 500_000, 2048
+#: Bytes encoded at a time; words whose counts a worker keeps, and the longest of them, so
+#: that it keeps 100 MB at most; words in one encoding.
+BATCH_BYTES, KEPT_WORDS, KEPT_LETTERS, JOINED = 4 << 20, 500_000, 32, 2048
 #: Words of letters whose lower case and normal form are themselves single letters, with
 #: at most one full stop or comma: the letters are one pre-token, the mark another.
 _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
@@ -31,19 +32,40 @@ _SAFE = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
 
 
 class _ByWord:
-    """Counts for a tokenizer that drops white space."""
+    """Counts for a tokenizer that drops white space.
+
+    Counts of short words are kept from batch to batch, those of longer ones (text
+    without spaces) are used once. What the tokenizer does to letter case, and to a mark
+    after a word, is asked of it, not assumed.
+    """
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.known: dict[str, int] = {"": 0}
-        self.marks = {m: len(tokenizer.encode(m, add_special_tokens=False)) for m in (".", ",")} | {"": 0}
-
-    def _learn(self, words: set[str]) -> None:
+        self.marks = {m: self._count(m) for m in (".", ",")} | {"": 0}
+        split = tokenizer.pre_tokenizer
+        pieces = lambda text: [p for p, _ in split.pre_tokenize_str(text)] if split else []
+        self.marks_apart = pieces("ab.") == ["ab", "."] and pieces("ab,") == ["ab", ","]
+        normal = tokenizer.normalizer
+        upper, lower = "AZÀÉÖØÞ", "azàéöøþ"
+        self.one_case = normal is not None and normal.normalize_str(upper) == normal.normalize_str(lower)
+
+    def _count(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False))
+
+    def _each(self, words: list[str]) -> Iterator[int]:
+        for at in range(0, len(words), JOINED):
+            yield from map(len, self.tokenizer.encode_batch(words[at : at + JOINED], add_special_tokens=False))
+
+    def _learned(self, words: set[str]) -> dict[str, int]:
+        found: dict[str, int] = {}
         letters: dict[str, list[tuple[str, int]]] = {}
         others = []
         for word in words:
-            if found := _LETTERS.fullmatch(word):
-                letters.setdefault(found[1].lower(), []).append((word, self.marks[found[2]]))
+            match = _LETTERS.fullmatch(word)
+            if match and (self.marks_apart or not match[2]):
+                base = match[1].lower() if self.one_case else match[1]
+                letters.setdefault(base, []).append((word, self.marks[match[2]]))
             else:
                 others.append(word)
         bare = list(letters)
@@ -51,22 +73,23 @@ class _ByWord:
             part = bare[at : at + JOINED]
             encoding = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             counts = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part)).tolist()
-            if len(counts) != len(part):
-                raise ValueError("a word of letters was not one pre-token")
+            if len(counts) != len(part):  # words of letters are not one pre-token each
+                counts = list(self._each(part))
             for base, count in zip(part, counts):
-                for word, more in letters[base]:
-                    self.known[word] = count + more
-        for at in range(0, len(others), JOINED):
-            part = others[at : at + JOINED]
-            encoded = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            self.known.update(zip(part, map(len, encoded)))
+                found.update((word, count + more) for word, more in letters[base])
+        found.update(zip(others, self._each(others)))
+        return found
 
     def counts(self, texts: list[str]) -> list[int]:
         if len(self.known) > KEPT_WORDS:
             self.known = {"": 0}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn({w for words in split for w in words}.difference(self.known))
+        fresh = self._learned({w for words in split for w in words}.difference(self.known))
+        long = {word: n for word, n in fresh.items() if len(word) > KEPT_LETTERS}
+        self.known.update((word, n) for word, n in fresh.items() if word not in long)
         get = self.known.__getitem__
+        if long:
+            get = lambda word: long[word] if word in long else self.known[word]
         return [sum(map(get, words)) for words in split]
 
 

@@ -52,3 +52,33 @@ def test_empty_table_and_repeats(spark):
     docs = spark.createDataFrame([(None, "one two"), (1, "one"), (1, "one")], "doc_id long, text string")
     assert sorted(r.n_tokens for r in tokens.count_tokens(docs, path, 1).collect()) == [1, 1, 2]
     assert tokens.count_tokens(docs.limit(0), path, 1).count() == 0
+
+
+def test_kept_words_are_bounded_in_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter = tokens._ByWord(Tokenizer.from_file(path))
+    whole = Tokenizer.from_file(path)
+    texts = ["".join(chr(0x4E00 + (i * 7 + k) % 5000) for k in range(1300)) + f" word{i} short" for i in range(60)]
+    assert counter.counts(texts) == [len(whole.encode(t, add_special_tokens=False)) for t in texts]
+    assert max(map(len, counter.known)) <= tokens.KEPT_LETTERS and len(counter.known) == 62
+
+
+@pytest.mark.parametrize("split", ["Whitespace", "WhitespaceSplit", "BertPreTokenizer"])
+@pytest.mark.parametrize("lower", [False, True])
+def test_case_and_marks_are_the_tokenizers(split, lower):
+    """Small vocabularies made by hand: cased ones, and marks that stay with their word."""
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+
+    letters = "abcdefghijklmnopqrstuvwxyzHELOWRDTCAé.,'"
+    pairs = [("t", "h"), ("th", "e"), ("w", "o"), ("wo", "r"), ("l", "d"), ("e", "."), ("the", ".")]
+    vocab = {c: i for i, c in enumerate([*letters, *("".join(p) for p in pairs), "[u]"])}
+    whole = Tokenizer(models.BPE(vocab, pairs, unk_token="[u]"))
+    whole.pre_tokenizer = getattr(pre_tokenizers, split)()
+    if lower:
+        whole.normalizer = normalizers.Lowercase()
+    texts = ["HELLO World the CAT", "the. the, world. THE. don't the", "Été été ÉTÉ", "a.b the.. .", ""]
+    counter = tokens._ByWord(whole)
+    assert counter.counts(texts) == [len(whole.encode(t, add_special_tokens=False)) for t in texts]
+    assert counter.counts(texts[::-1]) == [len(whole.encode(t, add_special_tokens=False)) for t in texts[::-1]]
