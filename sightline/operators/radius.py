@@ -27,6 +27,9 @@ _TOP_LEVEL = 12
 # Half a turn reaches every point: larger radii, infinity included, are cut to it.
 _HALF_TURN = 180.0
 _LEAST_COSINE = 1e-4
+# Sightings, or users, that a cell's part holds at most on average.
+CELL_ROWS = 20_000
+_CELL = ["species_code", "level", "band", "cell"]
 
 
 def distance_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
@@ -96,6 +99,27 @@ def _sighting_cells(placed: DataFrame, levels: list[int]) -> DataFrame:
     return rows.withColumn("cell", F.floor(F.col("lng") / width))
 
 
+def _dealt(sightings: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the cells with ``_users`` and ``_spots``, the part of a crowded cell.
+
+    The users of a crowded cell are split by their hash and its sightings by theirs; a
+    user asks every part of the sightings, a sighting goes to every part of the users, so
+    a pair still meets once and no part grows with the cell. Other cells are one part.
+    There is a row for each crowded cell, so few that Catalyst can tell them by their size.
+    """
+    parts = lambda n: F.ceil(F.col(n) / CELL_ROWS).cast("int")
+    users = anchors.groupBy(*_CELL).agg(F.count("*").alias("users"))
+    spots = sightings.groupBy(*_CELL).agg(F.count("*").alias("spots"))
+    crowded = users.join(spots, _CELL).select(*_CELL, parts("users").alias("_m"), parts("spots").alias("_n"))
+    crowded = stage(crowded.filter("_m > 1 OR _n > 1"), "crowded-cells")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
+    own = lambda n, *by: F.pmod(F.xxhash64(*by), F.coalesce(F.col(n), F.lit(1))).cast("int")
+    seen = sightings.join(crowded, _CELL, "left").withColumn("_users", all_of("_m"))
+    seen = seen.withColumn("_spots", own("_n", "first.seq", "first.arrival_us"))
+    asked = anchors.join(crowded, _CELL, "left").withColumn("_spots", all_of("_n"))
+    return seen.drop("_m", "_n"), asked.withColumn("_users", own("_m", "user_id")).drop("_m", "_n")
+
+
 def alerts_within_radius(
     clean: DataFrame, snapshot: DataFrame, anchors: DataFrame, width_us: int = WINDOW_US
 ) -> DataFrame:
@@ -103,7 +127,7 @@ def alerts_within_radius(
 
     Sightings at one position are reduced to the first ones of two birders per window
     before they meet the preferences: one of the two is not the user's own, so a
-    crowded site is two rows.
+    crowded site is two rows. Cells with many sites or many users are split.
     """
     wanted = snapshot.join(
         anchors.select(
@@ -120,7 +144,8 @@ def alerts_within_radius(
     cells = stage(_anchor_cells(wanted), "anchor-cells")
     # Only the levels some radius needs, of at most thirteen.
     levels = sorted(r["level"] for r in cells.select("level").distinct().collect()) or [0]
-    pairs = _sighting_cells(placed, levels).join(cells, ["species_code", "level", "band", "cell"])
+    seen, asked = _dealt(stage(_sighting_cells(placed, levels), "sighting-cells"), cells)
+    pairs = seen.join(asked, [*_CELL, "_users", "_spots"])
     near = distance_km(*(F.col(c) for c in ("anchor_lat", "anchor_lng", "lat", "lng")))
     hits = pairs.filter((F.col("user_id") != F.col("birder_id")) & (near <= F.col("radius_km")))
     seen = F.min(F.struct("first.arrival_us", "first.seq", "first.event_id", "priority"))

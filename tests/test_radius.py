@@ -5,6 +5,7 @@ import random
 
 from test_eventtime import CLEAN
 
+from sightline.operators import radius
 from sightline.operators.radius import alerts_within_radius, last_positions
 from sightline.sources.backfill import with_provenance
 
@@ -60,6 +61,29 @@ def test_a_crowded_site_alerts_everyone_once(spark):
     assert got == {f"u{i}": "e1" if i == 0 else "e0" for i in range(60)}
 
 
+def test_a_crowded_cell_is_split(spark, monkeypatch):
+    """Most sites and users of a species in one cell, some elsewhere."""
+    monkeypatch.setattr(radius, "CELL_ROWS", 50)
+    rng = random.Random(3)
+    near = lambda: (10 + rng.uniform(-0.02, 0.02), 20 + rng.uniform(-0.02, 0.02))
+    far = lambda: (rng.uniform(-50, 0), rng.uniform(-50, 0))
+    spots = [near() for _ in range(500)] + [far() for _ in range(20)]
+    homes = [near() for _ in range(300)] + [far() for _ in range(20)]
+    rows = [(i, i, f"e{i}", "finder", "s", f"l{i}", 0, 1, *spot) for i, spot in enumerate(spots)]
+    clean = spark.createDataFrame(rows, CLEAN + ", lat double, lng double")
+    anchors = spark.createDataFrame([(f"u{i}", *home) for i, home in enumerate(homes)], "user_id string, lat double, lng double")
+    wanted = anchors.selectExpr("user_id", "'s' species_code", "'low' priority", "CAST(1.5 AS DOUBLE) radius_km")
+    got = {(r.user_id, r.event_id) for r in alerts_within_radius(clean, wanted, anchors).collect()}
+    want = {(f"u{i}", f"e{k}") for i, home in enumerate(homes) for k, spot in enumerate(spots) if haversine(*home, *spot) <= 1.5}
+    assert got == want and len(want) > 300
+    # Every pair of the cell meets in one part, and the parts are alike in size.
+    cell = lambda n: spark.range(n).selectExpr("'s' species_code", "0 level", "0L band", "0L cell", "id", "concat('u', id) user_id", "struct(id AS seq, id AS arrival_us) AS first")
+    seen, asked = radius._dealt(cell(500), cell(300))
+    keys = [*radius._CELL, "_users", "_spots"]
+    sizes = [r["count"] for r in seen.select(*keys).join(asked.select(*keys), keys).groupBy(*keys).count().collect()]
+    assert sum(sizes) == 500 * 300 and len(sizes) == 60 and max(sizes) < 3 * sorted(sizes)[30]
+
+
 def test_last_own_position(spark):
     rows = [(5, 1, "a", "u", "s", "l", 0, 1, 1.0, 2.0), (5, 2, "b", "u", "s", "l", 0, 1, 3.0, 4.0),
             (9, 3, "c", "u", "s", "l", 0, 1, None, 4.0), (9, 4, "d", "", "s", "l", 0, 1, 7.0, 4.0)]
