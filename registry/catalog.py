@@ -15,6 +15,7 @@ from sightline.operators import alerts, contracts, eventtime, hotspot, preferenc
 from sightline.operators.arrival import cut_points, range_id
 from sightline.operators.decode import PREFERENCE_FIELDS, decodable, decode_json, raw_preview
 from sightline.operators.validate import clean_fields, validate
+from sightline.plans import refresh
 from sightline.plans.cleaning import cleaning
 from sightline.plans.metrics import metrics
 from sightline.session import new_path, stage
@@ -291,6 +292,19 @@ def hotspot_birders_sketch(spark, sf_dir):
     return _as_text(joined.drop("birders_estimate"), "sighting_count")
 
 
+def late_refresh_totals(spark, sf_dir):
+    """Totals of the records in time, refreshed for the windows that got others."""
+    hour = 3_600_000_000
+    clean, totals = new_path(spark, "clean-table"), new_path(spark, "totals-table")
+    marked = stage(eventtime.with_lateness(fixture.clean(spark, sf_dir)), "marked")
+    in_time = marked.filter(F.col("lateness") == eventtime.ON_TIME)
+    columns = [*S.ARRIVAL, "event_id", "user_id", "species_code", "location_id", "et_us", "cnt"]
+    refresh.write_totals(in_time, totals, hour)
+    refresh.append_clean(marked.select(*columns), clean, hour)
+    refresh.refresh_totals(clean, refresh.touched_windows(marked), totals, hour)
+    return _as_text(spark.read.parquet(totals).drop(refresh.PART), "sighting_count")
+
+
 def _odd_clean(spark, sf_dir):
     """Clean rows as another writer may leave them: no time, no user, no species, no place."""
     without = lambda name, rest, empty: F.when(F.col("seq") % 23 == rest, empty).otherwise(F.col(name))
@@ -486,6 +500,7 @@ _QUERIES = [
     hotspot_panes,
     hotspot_open,
     late_refresh_diff,
+    late_refresh_totals,
     hot_key_share,
     hotspot_odd_rows,
     alerts_odd_rows,

@@ -456,6 +456,7 @@ clean AS (
              CASE WHEN wm IS NULL OR wm < we OR et_us >= we THEN 'on_time'
                   WHEN wm <= et_us + 120000000 THEN 'within_lateness' ELSE 'late' END AS lateness FROM w""",
     ).replace(")\n, g AS", "), g AS")
+    queries["late_refresh_totals"] = queries["hotspot_totals"]
     queries["hotspot_salted_hot"] = queries["hotspot_totals"]
     queries["hot_keys"] = _sql(
         _CLEAN,
