@@ -17,26 +17,20 @@ from sightline.schemas import ARRIVAL
 from sightline.session import stage
 
 
-def first_arrivals(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per key: the position of its first record, as one number.
-
-    The minimum is a hash aggregate that combines on the map side, so a key that
-    holds a large share of the rows costs one row per task in the shuffle.
-    """
-    return df.groupBy(key).agg(F.min(position()).alias("first"))
-
-
 def _later(df: DataFrame, key: str) -> DataFrame:
     """Identities of the later arrivals, written out.
 
-    Rows meet the first arrivals by key *and* position, so a hot key spreads over
-    all tasks.
+    Only keys that repeat have any. They are found by a count, a hash aggregate over all
+    rows that combines on the map side; what follows sees their rows alone. Rows meet the
+    first arrivals by key *and* position, so a hot key spreads over all tasks.
     """
     narrow = df.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in ARRIVAL])
+    repeated = narrow.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("_key").alias("_repeated"))
+    rows = stage(narrow.join(repeated, F.col("_key").eqNullSafe(F.col("_repeated")), "left_semi"), "repeated")
     at = position("_arrival_us", "_seq")
-    winners = first_arrivals(df, key).select(F.col(key).alias("_winner"), "first")
+    winners = rows.groupBy(F.col("_key").alias("_winner")).agg(F.min(at).alias("first"))
     is_first = F.col("_key").eqNullSafe(F.col("_winner")) & (at == F.col("first"))
-    return stage(narrow.join(winners, is_first, "left_anti").distinct(), "later-arrivals")
+    return stage(rows.join(winners, is_first, "left_anti").distinct(), "later-arrivals")
 
 
 def _same(key: str):

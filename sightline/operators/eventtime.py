@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sightline.functions.times import window_end_us, window_start_us
-from sightline.operators.arrival import position, ranges_of, running_max
+from sightline.operators.arrival import ranges_of, running_max
 from sightline.schemas import ARRIVAL, LATENESS_US, WINDOW_US
 
 ON_TIME = "on_time"
@@ -94,8 +94,6 @@ def closings(
     one large sort. ``more_ends`` are window ends without a row in ``clean``.
     """
     et = F.col("et_us")
-    # Numbers only, so the pass over all rows is a hash aggregate.
-    first = [F.min(position()).alias("at"), F.min_by(et, position()).alias("et_us")]
     step = window_start_us(et - F.lit(lateness_us), width_us)
     rows = usable(clean)
     if max_future_us is not None:
@@ -103,8 +101,11 @@ def closings(
         idle = rows.filter(moving(max_future_us).isNull()).select(window_end_us(et, width_us).alias("window_end_us"))
         more_ends = idle if more_ends is None else idle.unionByName(more_ends.select("window_end_us"))
         rows = rows.filter(moving(max_future_us).isNotNull())
-    steps = rows.groupBy(step.alias("step"), window_end_us(et, width_us).alias("end")).agg(*first)
-    steps = steps.select("step", "end", F.struct("at", "et_us").alias("first"))
+    # One long over all rows, in a hash aggregate; only rows of that instant are compared further.
+    rows = rows.select(*ARRIVAL, "et_us", step.alias("step"), window_end_us(et, width_us).alias("end"))
+    lows = rows.groupBy("step", "end").agg(F.min("arrival_us").alias("low"))
+    earliest = F.min(F.struct(*ARRIVAL, "et_us")).alias("first")
+    steps = rows.join(lows, ["step", "end"]).filter("arrival_us = low").groupBy("step", "end").agg(earliest)
     reached = F.struct(F.col("step").alias("end_us"), "first")
     asked = F.struct(F.col("end").alias("end_us"), F.lit(None).alias("first"))
     known = steps.select(F.inline(F.array(reached, asked)))
@@ -130,7 +131,7 @@ def closings(
         .filter(F.col("closing").isNotNull())
         .select(
             F.col("end_us").alias("window_end_us"),
-            F.col("closing.at").alias("closed_at"),
+            *[F.col(f"closing.{c}").alias(f"closing_{c}") for c in ARRIVAL],
             (F.col("closing.et_us") - F.lit(lateness_us)).alias("closing_watermark_us"),
         )
     )
@@ -149,7 +150,9 @@ def with_window(clean: DataFrame, width_us: int = WINDOW_US) -> DataFrame:
 
 def in_time() -> Column:
     """Whether a row joined to ``closings`` arrived before its window closed."""
-    return position() < F.col("closed_at")
+    arrival, seq = (F.col(c) for c in ARRIVAL)
+    same = (arrival == F.col("closing_arrival_us")) & (seq < F.col("closing_seq"))
+    return (arrival < F.col("closing_arrival_us")) | same
 
 
 def behind_watermark(
