@@ -33,15 +33,17 @@ from sightline.session import stage
 
 #: Coordinates of a signature, and the chance that a link has too few matches.
 COORDINATES, MISS = 64, 1e-9
-#: Members of a list in one half of a cell, and partners a member gets in a round.
-HALF, PARTNERS = 2048, 16
+#: Members of a list in one half of a cell; partners a member gets in the first turn, and
+#: at most in a later one (four times as many as in the turn before).
+HALF, PARTNERS, MOST_PARTNERS = 2048, 16, 1024
 _SEED = 42
 #: Bytes of text split into words at a time, shingles in one block of signature work.
-_PIECE, _BLOCK = 1 << 20, 2048
+_PIECE, _BLOCK = 1 << 20, 512
+_BREAKS = b" \t\n\x0b\x0c\r"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _SIGNED = T.StructType(
     [T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.ArrayType(T.IntegerType()))]
 )
-_FULL = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("members", T.ArrayType(T.LongType()))])
 
 
 def least_matches(coordinates: int, percent: int, miss: float = MISS) -> int:
@@ -61,34 +63,78 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """Hashes of words, each computed once."""
+def _numbers(count: int, start: int) -> np.ndarray:
+    return _mix(np.arange(start, start + count, dtype=np.uint64) * _STEP)
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word, _SEED)
-        return value
 
+#: A number per byte, none for white space; a word's hash is a polynomial in them.
+_LETTER = _numbers(256, _SEED << 8)
+_LETTER[[9, 10, 11, 12, 13, 32]] = 0
+_BASE = int(_numbers(1, _SEED)[0]) | 1
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-def shingle_set(text: bytes, size: int, hashes: _Hashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a whole text."""
-    pieces = [text] if len(text) <= _PIECE else byte_chunks(text, _PIECE)
-    parts = []
-    for piece in pieces:
-        words = piece.lower().split()
-        parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-    words = np.concatenate(parts) if len(parts) > 1 else parts[0]
-    run = min(size, len(words))
-    if not run:
-        return words
-    out = np.full(len(words) - run + 1, run, np.uint64)
-    for k in range(run):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - run + 1 + k])
-    return np.unique(out)
+
+def _powers(length: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``length`` of them."""
+    if len(_POWERS[0]) < length:
+        for k, factor in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(2 * length, factor, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and starting byte of every word, A-Z in lower case."""
+    letters = np.frombuffer(text.lower(), np.uint8)
+    value = _LETTER[letters]
+    inside = np.zeros(len(letters) + 2, np.int8)
+    inside[1:-1] = value != 0
+    edges = np.diff(inside)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    powers, inverse = _powers(len(letters))
+    total = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(value * powers[: len(letters)], out=total[1:])
+    # The sum over a word, moved to its start; equal words have equal values.
+    moved = (total[ends] - total[starts]) * inverse[starts]
+    return _mix(moved + (ends - starts).astype(np.uint64) * _STEP), starts
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words."""
+    out = np.full(max(len(words) - size + 1, 0) if size else 0, size, np.uint64)
+    for k in range(size):
+        out = _mix(out * _STEP + words[k : k + len(out)])
+    return out
+
+
+def _distinct(runs: np.ndarray) -> np.ndarray:
+    runs = np.sort(runs)
+    first = np.ones(len(runs), bool)
+    first[1:] = runs[1:] != runs[:-1]
+    return runs[first]
+
+
+def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """Sorted 64-bit hashes of the distinct shingles of each whole text.
+
+    Short texts are hashed together, a long one piece by piece.
+    """
+    if len(texts) == 1:
+        parts = [word_hashes(piece)[0] for piece in byte_chunks(texts[0], _PIECE, _BREAKS)]
+        words, cuts = np.concatenate(parts), None
+    else:
+        words, starts = word_hashes(b" ".join(texts))
+        cuts = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    runs = _runs(words, size)
+    for low, high in [(0, len(words))] if cuts is None else zip(cuts, cuts[1:]):
+        few = high - low < size
+        yield _distinct(_runs(words[low:high], high - low) if few else runs[low : high - size + 1])
 
 
 def _rows_of(count: int) -> tuple[np.ndarray, np.ndarray]:
-    seeds = _mix(np.arange(1, 2 * count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return seeds[:count] | np.uint64(1), seeds[count:]
+    seeds = _numbers(2 * count, 1)
+    return seeds[:count, None] | np.uint64(1), seeds[count:, None]
 
 
 def signature(members: np.ndarray, count: int = COORDINATES) -> np.ndarray:
@@ -96,18 +142,15 @@ def signature(members: np.ndarray, count: int = COORDINATES) -> np.ndarray:
     factor, shift = _rows_of(count)
     best = np.full(count, np.iinfo(np.uint64).max)
     for start in range(0, len(members), _BLOCK):
-        block = members[start : start + _BLOCK, None] * factor + shift
-        best = np.minimum(best, block.min(axis=0))
+        block = factor * members[start : start + _BLOCK]
+        block += shift
+        np.minimum(best, block.min(axis=1), out=best)
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    for run in byte_slices(texts, 4 * _PIECE):
-        hashes = _Hashes()
-        for text in run:
-            yield shingle_set(text, size, hashes)
-            if len(hashes) > 1 << 18:
-                hashes.clear()
+    for run in byte_slices(texts, _PIECE):
+        yield from shingle_sets(run, size)
 
 
 def _key(members: np.ndarray) -> tuple[int, int]:
@@ -131,17 +174,18 @@ def _signed(text: Column, size: int, count: int) -> Column:
     return of(text)
 
 
-def _full(text: Column, size: int) -> Column:
-    """Key and hashes of a text's set."""
+def _full(size: int):
+    """Key and hashes of the sets of a partition's texts."""
 
-    @F.arrow_udf(_FULL)
-    def of(texts: pa.Array) -> pa.Array:
-        sets = [s.view(np.int64) for s in _sets(texts, size)]
-        keys = [_key(s) if len(s) else (None, None) for s in sets]
-        columns = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
-        return pa.StructArray.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=["k1", "k2", "members"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in byte_slices(batch.column(0), 4 * _PIECE):
+                sets = [s.view(np.int64) for s in _sets(pa.array(texts, pa.binary()), size)]
+                keys = [_key(s) if len(s) else (None, None) for s in sets]
+                columns = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.list_(pa.int64()))], names=["k1", "k2", "members"])
 
-    return of(text)
+    return run
 
 
 def posts(sets: DataFrame, matches: int) -> DataFrame:
@@ -179,12 +223,12 @@ def _leader_pairs(lists: DataFrame, sets: DataFrame, matches: int, percent: int)
     return both.filter(count >= matches).select("a", "b")
 
 
-def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool, turn: int, matches: int, percent: int, partners: int):
+def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool, low: int, high: int, matches: int, percent: int):
     """Pairs of one cell to confirm in this turn, and whether later turns have more.
 
-    Members of different components meet; a turn takes ``partners`` of each member's
-    candidates, which are counted by the components before the first turn, so that turns
-    do not overlap.
+    Members of different components meet; a turn takes the candidates ``low`` to ``high``
+    of each member, counted by the components before the first turn, so that turns do not
+    overlap.
     """
     kinds, number = np.unique(first, return_inverse=True)
     main = np.bincount(number).argmax()
@@ -200,8 +244,8 @@ def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool
         met = np.flatnonzero(able)
         met = met[(signatures[met] == signatures[x]).sum(axis=1) >= matches]
         open_ = current[met] != current[x]
-        more |= bool(open_[(turn + 1) * partners :].any())
-        met = met[turn * partners : (turn + 1) * partners][open_[turn * partners : (turn + 1) * partners]]
+        more |= bool(open_[high:].any())
+        met = met[low:high][open_[low:high]]
         a.append(np.minimum(ids[met], ids[x]))
         b.append(np.maximum(ids[met], ids[x]))
     return a, b, more
@@ -210,7 +254,7 @@ def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool
 _CELL = "list, low, high, id, first, current, n, half, leader, sig"
 
 
-def _cells(turn: int, matches: int, percent: int, partners: int):
+def _cells(start: int, end: int, matches: int, percent: int):
     """The pairs of the cells of one partition, sorted by (list, low, high)."""
 
     def pairs(rows: list[np.ndarray], signatures: np.ndarray) -> pa.RecordBatch:
@@ -219,10 +263,10 @@ def _cells(turn: int, matches: int, percent: int, partners: int):
         new[1:-1] = (lists[1:] != lists[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         at = np.flatnonzero(new)
         a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], False
-        for start, end in zip(at[:-1], at[1:]):
-            s = slice(start, end)
+        for i, j in zip(at[:-1], at[1:]):
+            s = slice(i, j)
             got = cell_pairs(
-                ids[s], first[s], current[s], sizes[s], half[s], signatures[s], leader[start], low[start] != high[start], turn, matches, percent, partners
+                ids[s], first[s], current[s], sizes[s], half[s], signatures[s], leader[i], low[i] != high[i], start, end, matches, percent
             )
             a, b, more = a + got[0], b + got[1], more | got[2]
         found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
@@ -280,18 +324,18 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
     links = stage(confirmed(pairs, full, percent), "minhash-links")
     root = components(links)
     first = root.select(F.col("node").alias("id"), F.col("root").alias("first"))
-    turn, more = 0, True
+    low, high, more = 0, partners, True
     while more:
         current = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
         members = _open_members(lists, sets, first, current, half)
-        found = stage(members.mapInArrow(_cells(turn, matches, percent, partners), "a long, b long"), "minhash-pairs")
+        found = stage(members.mapInArrow(_cells(low, high, matches, percent), "a long, b long"), "minhash-pairs")
         more = not found.filter("a is null").isEmpty()
         pairs = found.filter("a is not null").distinct()
         fresh = stage(confirmed(pairs, full, percent), "minhash-links")
         if not fresh.isEmpty():
             links = links.union(fresh)
             root = components(links)
-        turn += 1
+        low, high = high, high + min(4 * (high - low), MOST_PARTNERS)
     return root.select(F.col("node").alias("id"), "root")
 
 
@@ -324,7 +368,9 @@ def near_duplicates(
     def full_of(ids: DataFrame) -> DataFrame:
         wanted = stage(classes.join(ids, "id", "left_semi").select("id", "k1", "k2", F.col("low").alias("low_id")), "minhash-wanted")
         read = texts.join(wanted.select("low_id").distinct(), F.col("doc_id").eqNullSafe(F.col("low_id")), "left_semi")
-        made = read.select(_full(F.col("text"), shingle).alias("f")).select("f.*").join(wanted, ["k1", "k2"])
+        # No filter passes a map over batches, so only the texts wanted are hashed.
+        made = read.select("text").mapInArrow(_full(shingle), "k1 long, k2 long, members array<long>")
+        made = made.join(wanted, ["k1", "k2"])
         return made.select("id", "members").dropDuplicates(["id"])
 
     root = linked(classes.select("id", "n", "sig"), full_of, least_matches(coordinates, percent), percent, half, partners)

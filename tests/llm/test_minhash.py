@@ -97,14 +97,29 @@ def test_odd_rows(spark):
 
 def test_a_long_text_is_one_set(monkeypatch):
     text = " ".join(f"W{k % 97} x{k % 31}" for k in range(3000)).encode()
-    whole = minhash.shingle_set(text, 3, minhash._Hashes())
+    (whole,) = minhash.shingle_sets([text], 3)
     monkeypatch.setattr(minhash, "_PIECE", 100)
-    assert (minhash.shingle_set(text, 3, minhash._Hashes()) == whole).all()
+    assert (next(minhash.shingle_sets([text], 3)) == whole).all()
     assert len(whole) == len(plain_set(text.decode(), 3))
     monkeypatch.setattr(minhash, "_BLOCK", 7)
     assert (minhash.signature(whole) == minhash.signature(whole[::-1])).all()
 
 
+def test_sets_of_texts_hashed_together_are_those_of_each():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["a", "B", "ab", "ba", "É", "aa"], k=rng.choice([0, 1, 2, 3, 40]))) for _ in range(200)]
+    texts += ["\t a\x0bb\r\n c", "", " ", "\x1cx\x85 y", "a\u3000b"]
+    together = list(minhash.shingle_sets([t.encode() for t in texts], 3))
+    assert len(together) == len(texts)
+    seen = {}
+    for text, members in zip(texts, together):
+        assert (next(minhash.shingle_sets([text.encode()], 3)) == members).all()
+        assert len(members) == len(plain_set(text, 3))
+        # Equal sets, and only they, have equal hashes.
+        assert seen.setdefault(members.tobytes(), plain_set(text, 3)) == plain_set(text, 3)
+    assert len(seen) == len({plain_set(t, 3) for t in texts})
+
+
 def test_signatures_agree_as_often_as_sets():
     rng = np.random.default_rng(3)
     members = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
@@ -144,7 +159,7 @@ def test_turns_of_a_cell_cover_each_pair_once():
     for split in (False, True):
         seen, turn, more = [], 0, True
         while more:
-            a, b, more = minhash.cell_pairs(np.arange(n), first, first, sizes, half, sig, 0, split, turn, 4, 80, 3)
+            a, b, more = minhash.cell_pairs(np.arange(n), first, first, sizes, half, sig, 0, split, 3 * turn, 3 * turn + 3, 4, 80)
             seen += list(zip(np.concatenate(a).tolist(), np.concatenate(b).tolist()))
             turn += 1
         wanted = [
