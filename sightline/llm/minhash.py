@@ -6,8 +6,11 @@ its value is a posting list. Two sets at the wanted similarity agree on at least
 meet too few others in any list is skipped at once; of the rest each posts only its
 prefix, its rarest lists: ``coordinates - matches + 1`` of them, in which lists of one
 member count, so two sets with enough matches share a list of both prefixes. Sets that
-meet have their collisions counted over whole signatures, those above the threshold are
-confirmed on full sets, and confirmed links are merged into components.
+meet have their collisions counted over whole signatures; those above the threshold are
+confirmed on full sets, and confirmed links are merged into components. Before that a
+parity sketch turns away pairs that surely differ too much: each element that only one
+of the sets has flips one bit, so two sketches never differ in more bits than the sets
+in elements.
 
 Lists are taken in rounds, so that a group of copies is never expanded into its pairs.
 First every member meets the list's leader. What that merged is skipped from then on:
@@ -42,7 +45,13 @@ _PIECE, _BLOCK = 1 << 20, 512
 _BREAKS = b" \t\n\x0b\x0c\r"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SIGNED = T.StructType(
-    [T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.ArrayType(T.IntegerType()))]
+    [
+        T.StructField("n", T.LongType()),
+        T.StructField("k1", T.LongType()),
+        T.StructField("k2", T.LongType()),
+        T.StructField("sig", T.ArrayType(T.IntegerType())),
+        T.StructField("odd", T.ArrayType(T.LongType())),
+    ]
 )
 
 
@@ -148,6 +157,53 @@ def signature(members: np.ndarray, count: int = COORDINATES) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def odd_sketch(members: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of members that fall on each bit: 2 to 4 bits a member, 512 to 32,768 in all."""
+    bits = 1 << min(max((2 * len(members) - 1).bit_length(), 9), 15)
+    count = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _folded(sketches: np.ndarray) -> np.ndarray:
+    """The sketches of half the size."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
+class Sketches:
+    """Parity sketches of several sizes."""
+
+    def __init__(self, words: np.ndarray, ends: np.ndarray) -> None:
+        self.length = np.diff(ends)
+        self.place, self.rows = np.zeros(len(self.length), np.int64), {}
+        for n in np.unique(self.length):
+            of_size = np.flatnonzero(self.length == n)
+            self.place[of_size] = np.arange(len(of_size))
+            self.rows[int(n)] = words[ends[of_size][:, None] + np.arange(n)]
+
+    def differing(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Bits in which the sketches differ from that of ``x``, at the smaller size of the two.
+
+        Sizes further apart than by one half belong to sets too unlike in size: 0.
+        """
+        out = np.zeros(len(others), np.int64)
+        own = int(self.length[x])
+        mine = self.rows[own][self.place[x]]
+        for n in (own // 2, own, 2 * own):
+            at = np.flatnonzero(self.length[others] == n)
+            if not len(at):
+                continue
+            theirs = self.rows[n][self.place[others[at]]]
+            a, b = (_folded(mine), theirs) if n < own else (mine, theirs if n == own else _folded(theirs))
+            out[at] = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1)
+        return out
+
+
+def _may_link(differing, sizes, percent: int):
+    """Whether sets of together ``sizes`` elements may differ in so few that they link."""
+    return differing * (100 + percent) <= sizes * (100 - percent)
+
+
 def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     for run in byte_slices(texts, _PIECE):
         yield from shingle_sets(run, size)
@@ -163,13 +219,15 @@ def _signed(text: Column, size: int, count: int) -> Column:
 
     @F.arrow_udf(_SIGNED)
     def of(texts: pa.Array) -> pa.Array:
-        n, keys, signatures = [], [], []
+        n, keys, signatures, odd = [], [], [], []
         for members in _sets(texts, size):
             n.append(len(members))
             keys.append(_key(members) if len(members) else (None, None))
             signatures.append(signature(members, count) if len(members) else None)
+            odd.append(odd_sketch(members) if len(members) else None)
         columns = [pa.array(n, pa.int64()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))]
-        return pa.StructArray.from_arrays([*columns, pa.array(signatures, pa.list_(pa.int32()))], names=["n", "k1", "k2", "sig"])
+        lists = [pa.array(signatures, pa.list_(pa.int32())), pa.array(odd, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays([*columns, *lists], names=_SIGNED.names)
 
     return of(text)
 
@@ -189,18 +247,41 @@ def _full(size: int):
 
 
 def posts(sets: DataFrame, matches: int) -> DataFrame:
-    """(list, id): the prefixes of all sets that can reach ``matches`` collisions."""
+    """(list, id, mask): the prefixes of all sets that can reach ``matches`` collisions.
+
+    A list's coordinate is its number above 32 bits; the mask has a bit for each
+    coordinate of the set's prefix.
+    """
     key = F.shiftleft(F.col("pos").cast("long"), 32) + F.col("col").cast("long").bitwiseAND(F.lit((1 << 32) - 1))
     rows = sets.select("id", F.posexplode("sig")).select("id", key.alias("list"))
     shared = rows.groupBy("list").agg(F.count("*").alias("times")).filter("times > 1")
     met = rows.join(shared, "list").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("times", "list"))).alias("lists"))
     rarest = F.slice("lists", F.lit(1), F.size("lists") - F.lit(matches - 1))
-    return met.filter(F.size("lists") >= matches).select("id", F.explode(rarest).alias("p")).select("p.list", "id")
+    prefix = met.filter(F.size("lists") >= matches).select("id", F.transform(rarest, lambda p: p["list"]).alias("prefix"))
+    bit = lambda total, p: total.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(p, 32).cast("int")))
+    mask = F.aggregate("prefix", F.lit(0).cast("long"), bit)
+    return prefix.select(F.explode("prefix").alias("list"), "id", mask.alias("mask"))
+
+
+def _likely(matches: int, percent: int) -> Column:
+    """Whether pairs (n_a, s_a, o_a, n_b, s_b, o_b) have enough collisions and may link."""
 
+    @F.arrow_udf(T.BooleanType())
+    def of(n_a: pa.Array, s_a: pa.Array, o_a: pa.Array, n_b: pa.Array, s_b: pa.Array, o_b: pa.Array) -> pa.Array:
+        rows = len(n_a)
+        if not rows:
+            return pa.array([], pa.bool_())
+        sizes = np.stack([n_a.to_numpy(), n_b.to_numpy()])
+        signatures = [s.flatten().to_numpy().reshape(rows, -1) for s in (s_a, s_b)]
+        good = (signatures[0] == signatures[1]).sum(axis=1) >= matches
+        good &= 100 * sizes.min(axis=0) >= percent * sizes.max(axis=0)
+        lengths = np.concatenate([o.value_lengths().to_numpy() for o in (o_a, o_b)])
+        sketches = Sketches(np.concatenate([o.flatten().to_numpy() for o in (o_a, o_b)]), np.append(0, np.cumsum(lengths)))
+        for i in np.flatnonzero(good):
+            good[i] = _may_link(sketches.differing(i, np.array([rows + i]))[0], sizes[:, i].sum(), percent)
+        return pa.array(good)
 
-def _near(percent: int, a: str = "n_a", b: str = "n_b") -> Column:
-    """Sizes that allow the similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    return of(*[F.col(f"{c}_{side}") for side in "ab" for c in "nso"])
 
 
 def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -215,26 +296,27 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def _leader_pairs(lists: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
     """Pairs of a member and its list's leader with enough collisions."""
     leaders = lists.groupBy("list").agg(F.min("id").alias("a"))
-    pairs = lists.join(leaders, "list").filter("id != a").select("a", F.col("id").alias("b")).distinct()
-    side = lambda name: sets.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"s_{name}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").filter(_near(percent))
-    equal = F.zip_with("s_a", "s_b", lambda x, y: (x == y).cast("int"))
-    count = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
-    return both.filter(count >= matches).select("a", "b")
+    pairs = lists.select("list", "id").join(leaders, "list").filter("id != a").select("a", F.col("id").alias("b")).distinct()
+    side = lambda name: sets.select(
+        F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sig").alias(f"s_{name}"), F.col("odd").alias(f"o_{name}")
+    )
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.filter(_likely(matches, percent)).select("a", "b")
 
 
-def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool, low: int, high: int, matches: int, percent: int):
+def cell_pairs(ids, first, current, sizes, half, masks, signatures, sketches: Sketches, leader, coordinate: int, split: bool, low: int, high: int, matches: int, percent: int):
     """Pairs of one cell to confirm in this turn, and whether later turns have more.
 
-    Members of different components meet; a turn takes the candidates ``low`` to ``high``
-    of each member, counted by the components before the first turn, so that turns do not
-    overlap.
+    Members of different components meet, each pair only in the first list that both have
+    in their prefix. A turn takes the candidates ``low`` to ``high`` of each member,
+    counted by the components before the first turn, so that turns do not overlap.
     """
     kinds, number = np.unique(first, return_inverse=True)
     main = np.bincount(number).argmax()
     others = np.flatnonzero((number != main) & (ids != leader))
     rank = np.full(len(ids), len(ids))
     rank[others] = np.arange(len(others))
+    bits = (masks[:, None] >> np.arange(signatures.shape[1]) & 1).astype(bool)
     a, b, more = [], [], False
     for i, x in enumerate(others):
         able = (number != number[x]) & (ids != leader) & ~(rank < i)
@@ -242,7 +324,11 @@ def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool
         if split:
             able &= half != half[x]
         met = np.flatnonzero(able)
-        met = met[(signatures[met] == signatures[x]).sum(axis=1) >= matches]
+        equal = signatures[met] == signatures[x]
+        enough = equal.sum(axis=1) >= matches
+        met, equal = met[enough], equal[enough]
+        met = met[(equal & bits[met] & bits[x]).argmax(axis=1) == coordinate]
+        met = met[_may_link(sketches.differing(x, met), sizes[met] + sizes[x], percent)]
         open_ = current[met] != current[x]
         more |= bool(open_[high:].any())
         met = met[low:high][open_[low:high]]
@@ -251,14 +337,14 @@ def cell_pairs(ids, first, current, sizes, half, signatures, leader, split: bool
     return a, b, more
 
 
-_CELL = "list, low, high, id, first, current, n, half, leader, sig"
+_CELL = "list, low, high, id, first, current, n, half, mask, leader, sig, odd"
 
 
 def _cells(start: int, end: int, matches: int, percent: int):
     """The pairs of the cells of one partition, sorted by (list, low, high)."""
 
-    def pairs(rows: list[np.ndarray], signatures: np.ndarray) -> pa.RecordBatch:
-        lists, low, high, ids, first, current, sizes, half, leader = rows
+    def pairs(rows: list[np.ndarray], signatures: np.ndarray, words: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        lists, low, high, ids, first, current, sizes, half, masks, leader = rows
         new = np.ones(len(ids) + 1, bool)
         new[1:-1] = (lists[1:] != lists[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         at = np.flatnonzero(new)
@@ -266,7 +352,8 @@ def _cells(start: int, end: int, matches: int, percent: int):
         for i, j in zip(at[:-1], at[1:]):
             s = slice(i, j)
             got = cell_pairs(
-                ids[s], first[s], current[s], sizes[s], half[s], signatures[s], leader[i], low[i] != high[i], start, end, matches, percent
+                ids[s], first[s], current[s], sizes[s], half[s], masks[s], signatures[s], Sketches(words, ends[i : j + 1]), leader[i], lists[i] >> 32, low[i] != high[i], start, end,
+                matches, percent,
             )
             a, b, more = a + got[0], b + got[1], more | got[2]
         found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
@@ -275,36 +362,41 @@ def _cells(start: int, end: int, matches: int, percent: int):
         return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, signatures = None, None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            got = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]
-            sig = batch.columns[-1].flatten().to_numpy().reshape(batch.num_rows, -1)
-            rows = got if rows is None else [np.concatenate(x) for x in zip(rows, got)]
-            signatures = sig if signatures is None else np.concatenate([signatures, sig])
-            # The last cell may go on in the next batch.
-            same = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])
-            cut = len(same) - int(same.sum())
-            if cut:
-                yield pairs([c[:cut] for c in rows], signatures[:cut])
-                rows, signatures = [c[cut:] for c in rows], signatures[cut:]
-        if rows is not None:
-            yield pairs(rows, signatures)
+            held.append(batch)
+            last = [c[batch.num_rows - 1].as_py() for c in batch.columns[:3]] if batch.num_rows else None
+            if last and [c[0].as_py() for c in held[0].columns[:3]] != last:
+                # All but the last cell are complete; that one may go on in the next batch.
+                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                same = np.all([c.to_numpy() == at for c, at in zip(table.columns[:3], last)], axis=0)
+                cut = len(same) - int(same.sum())
+                yield pairs(*_columns(table.slice(0, cut)))
+                held = [table.slice(cut)]
+        if sum(b.num_rows for b in held):
+            yield pairs(*_columns(pa.Table.from_batches(held).combine_chunks().to_batches()[0]))
 
     return run
 
 
+def _columns(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Plain columns, the matrix of signatures, and the sketches with where each ends."""
+    plain = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-2]]
+    signatures = batch.columns[-2].flatten().to_numpy().reshape(batch.num_rows, -1)
+    odd = batch.columns[-1]
+    return plain, signatures, odd.flatten().to_numpy(), np.append(0, np.cumsum(odd.value_lengths().to_numpy()))
+
+
 def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, current: DataFrame, half: int) -> DataFrame:
     """Members of the lists that still hold different components, dealt into cells."""
     state = lists.join(first, "id", "left").join(current, "id", "left")
-    state = state.select("list", "id", F.coalesce("first", "id").alias("first"), F.coalesce("current", "id").alias("current"))
+    state = state.select("list", "id", "mask", F.coalesce("first", "id").alias("first"), F.coalesce("current", "id").alias("current"))
     kinds = state.groupBy("list").agg(
         F.count("*").alias("times"), F.min("id").alias("leader"), F.min("current").alias("from"), F.max("current").alias("to")
     )
     # The leader has met the only other member of a list of two.
     kept = kinds.filter("times > 2 and `from` != `to`").select("list", "leader", F.ceil(F.col("times") / half).cast("int").alias("parts"))
-    rows = state.join(kept, "list").join(sets.select("id", "n", "sig"), "id")
+    rows = state.join(kept, "list").join(sets.select("id", "n", "sig", "odd"), "id")
     rows = rows.withColumn("half", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumn("low", F.least("half", "other")).withColumn("high", F.greatest("half", "other"))
@@ -313,7 +405,7 @@ def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, current:
 
 
 def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HALF, partners: int = PARTNERS) -> DataFrame:
-    """(id, root) of every set that links, from ``sets`` (id, n, sig).
+    """(id, root) of every set that links, from ``sets`` (id, n, sig, odd).
 
     ``full_of`` gets the ids that posted and returns their full sets, (id, members).
     """
@@ -359,9 +451,11 @@ def near_duplicates(
     text, null (and is kept) if nobody there has an id. Only the two columns named are
     read. A link has too few matches to be found with a chance below ``MISS``.
     """
+    if not 1 <= coordinates <= 64:
+        raise ValueError("a signature has 1 to 64 coordinates")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = stage(texts.select("doc_id", _signed(F.col("text"), shingle, coordinates).alias("s")).select("doc_id", "s.*"), "minhash")
-    classes = rows.filter("n > 0").groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("low"))
+    classes = rows.filter("n > 0").groupBy("k1", "k2", "n", "sig", "odd").agg(F.min("doc_id").alias("low"))
     # Numbers of the sets: fixed once written.
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
 
@@ -373,7 +467,7 @@ def near_duplicates(
         made = made.join(wanted, ["k1", "k2"])
         return made.select("id", "members").dropDuplicates(["id"])
 
-    root = linked(classes.select("id", "n", "sig"), full_of, least_matches(coordinates, percent), percent, half, partners)
+    root = linked(classes.select("id", "n", "sig", "odd"), full_of, least_matches(coordinates, percent), percent, half, partners)
     member = classes.join(root, "id", "left").select("k1", "k2", "low", F.coalesce("root", "id").alias("root"))
     lows = member.groupBy("root").agg(F.min("low").alias("component"))
     named = stage(member.join(lows, "root").select("k1", "k2", "component"), "minhash-members")
