@@ -133,6 +133,12 @@ def tail(k: Column, n: Column, rate: float) -> Column:
     return F.when(k > n * rate, F.lit(1.0)).otherwise(total)
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of the labelled ids."""
+    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1))
+    return marks.groupBy("doc_id").agg(F.max("quality").alias("good"))
+
+
 def cutoffs(counted: DataFrame, labels: DataFrame, max_rate: float = MAX_RATE, error: float = ERROR, cost: int = COST) -> DataFrame:
     """(stratum, signal, cutoff) for every list with a usable certified cutoff.
 
@@ -141,8 +147,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame, max_rate: float = MAX_RATE, e
     tests. All labelled rows take part; an id labelled twice counts with its largest
     label, and labels other than 0 and 1 are ignored.
     """
-    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1))
-    marks = marks.groupBy("doc_id").agg(F.max("quality").alias("good"))
+    marks = _marks(labels)
     c = F.col("counts")
     known = counted.filter(~base_failed(c)).join(marks, "doc_id")
     at = F.array(*[F.struct(F.lit(name).alias("signal"), _step(c, name).alias("step")) for name in SIGNALS])
@@ -221,8 +226,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns as they were."""
-    found = cutoffs(_narrow(docs), labels, **limits)
+    """The rows of ``docs`` that the rules keep, with their columns as they were.
+
+    Rows repeat, and ids may be null, as in ``quality_rules``, and an empty table stays
+    empty. Cutoffs only need the labelled documents, so the others are counted once.
+    """
+    labelled = docs.select("doc_id", "text", "lang").join(_marks(labels).select("doc_id"), "doc_id", "left_semi")
+    found = cutoffs(_narrow(labelled), labels, **limits)
     counts, stratum = free_name(docs, "counts"), free_name(docs, "stratum")
     verdict = free_name(docs, "kept")
     rows = with_counts(docs.withColumn(stratum, _stratum(F.col("lang"))), name=counts)

@@ -9,6 +9,8 @@ thousand features have weights and the length of a text does not matter.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,10 +19,10 @@ from pyspark.sql import types as T
 
 from sightline.llm import ftrl
 from sightline.llm.common import PLAIN, byte_slices, held_out
-from sightline.llm.training import FEATURES, learned, sample, struct_array
+from sightline.llm.training import FEATURES, Rows, learned, sample, struct_array
 
 #: Lengths of n-grams; feature numbers; labelled documents of each class; the cut-off.
-ORDERS, BITS, PER_CLASS, THRESHOLD = (4, 6, 8), 20, 2000, 0.5
+ORDERS, BITS, PER_CLASS, THRESHOLD = (4, 6, 8), 20, 2500, 0.5
 _BYTES, _PIECE = 4 << 20, 1 << 18
 #: Odd multipliers, one per place in an n-gram.
 _MIX = [np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF) for k in range(max(ORDERS))]
@@ -70,7 +72,7 @@ def _featured(text: Column, bits: int) -> Column:
     return of(text)
 
 
-def log_count_ratios(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int, smooth: float = 1.0) -> np.ndarray:
+def log_count_ratios(rows: Iterable[tuple[np.ndarray, np.ndarray, int]], size: int, smooth: float = 1.0) -> np.ndarray:
     """log(rate in label 1 / rate in label 0) per feature; 0 for features never seen."""
     counts = [np.full(size, smooth), np.full(size, smooth)]
     for at, _, label in rows:
@@ -89,14 +91,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits: in
     """
     rows, real = sample(docs, labels, "toxic", per_class)
 
-    def learn(rows: list) -> np.ndarray:
+    def learn(rows: Rows) -> np.ndarray:
         toxic = sum(label for _, _, label in rows)
         if not 0 < toxic < len(rows):
             return np.append(np.zeros(1 << bits), -1e-6)
         ratio = log_count_ratios(rows, 1 << bits)
-        values = ratio.astype(np.float32)
-        scaled = [(at, values[at], label) for at, _, label in rows]
-        weights = ftrl.train(scaled, 1 << bits, epochs=4, alpha=0.1, l1=2.0, l2=0.1)
+        weights = ftrl.train(rows.valued(ratio.astype(np.float32)), 1 << bits, epochs=4, alpha=0.1, l1=2.0, l2=0.1)
         weights[-1] += ftrl.prior_shift((len(rows) - toxic, toxic), real)
         weights[:-1] *= ratio
         return weights

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int) -
     """At most ``per_class`` documents of each label, and how many labels there are of each.
 
     The ids with the smallest hashes are taken, so the sample does not depend on the
-    order of rows. The ids are joined to the texts as a list whose length is bounded.
+    order of rows. The ids are joined to the texts as a list whose length is bounded. Of
+    several texts of an id the one with the smallest hash is read.
     """
     rows = labelled(labels, label_col)
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -42,22 +43,56 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int) -
     chosen = [rows.filter(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     both = F.broadcast(chosen[0].unionByName(chosen[1]))
     texts = docs.select(F.col("doc_id"), F.col("text")).join(both, "doc_id")
-    return texts, (counts.get(0, 0), counts.get(1, 0))
+    # A row for each id, whatever the number of rows that repeat it.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")
+    return texts.groupBy("doc_id", "label").agg(one), (counts.get(0, 0), counts.get(1, 0))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """(feature numbers, values, label) in order of id and features."""
-    out = []
-    for batch in batches:
-        ids, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i, (doc_id, label) in enumerate(zip(ids, labels)):
-            at = batch.column(2)[i].values.to_numpy().copy()
-            out.append((doc_id, at, batch.column(3)[i].values.to_numpy().astype(float), label))
-    out.sort(key=lambda r: (r[0], len(r[1]), r[1][:1].tolist()))
-    return [r[1:] for r in out]
+class Rows(Sequence):
+    """(feature numbers, values, label) of each row, as views of whole columns."""
 
+    def __init__(self, at: np.ndarray, x: np.ndarray, ends: tuple[np.ndarray, np.ndarray], labels: np.ndarray, order: np.ndarray, scale: np.ndarray | None = None) -> None:
+        self._at, self._x, self._ends, self._labels, self._order, self._scale = at, x, ends, labels, order, scale
 
-def learned(rows: DataFrame, size: int, learn: Callable[[list], np.ndarray]) -> np.ndarray:
+    def __len__(self) -> int:
+        return len(self._order)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        row = self._order[k]
+        (a, b), (c, d) = (e[row : row + 2] for e in self._ends)
+        at = self._at[a:b]
+        x = self._x[c:d].astype(float) if self._scale is None else self._scale[at]
+        return at, x, int(self._labels[row])
+
+    def valued(self, scale: np.ndarray) -> Rows:
+        """The same rows, with the value of a feature looked up in ``scale``."""
+        return Rows(self._at, self._x, self._ends, self._labels, self._order, scale)
+
+
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Rows:
+    """Rows of batches (doc_id, label, at, x) in order of id, then features.
+
+    The columns are put together once, in arrays large enough to go back to the system
+    when the task is done with them.
+    """
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        none = np.zeros(1, np.int64)
+        return Rows(np.empty(0, np.int32), np.empty(0, np.float32), (none, none), np.empty(0), np.empty(0, np.int64))
+
+    def joined(k: int, flat: bool) -> np.ndarray:
+        columns = [b.column(k).flatten() if flat else b.column(k) for b in batches]
+        return np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns])
+
+    ids = [i for b in batches for i in b.column(0).to_pylist()]
+    sizes = [np.concatenate([b.column(k).value_lengths().to_numpy(zero_copy_only=False) for b in batches]) for k in (2, 3)]
+    at, x, labels = joined(2, True), joined(3, True), joined(1, False)
+    ends = tuple(np.concatenate([[0], np.cumsum(n, dtype=np.int64)]) for n in sizes)
+    order = sorted(range(len(ids)), key=lambda r: (ids[r], sizes[0][r], at[ends[0][r] : ends[0][r] + 1].tolist()))
+    return Rows(at, x, ends, labels, np.array(order, np.int64))
+
+
+def learned(rows: DataFrame, size: int, learn: Callable[[Rows], np.ndarray]) -> np.ndarray:
     """The ``size + 1`` weights that ``learn`` finds from a bounded sample, in one task.
 
     Expects ``doc_id``, ``label`` and ``f`` (a FEATURES struct). The learners go through
@@ -66,14 +101,16 @@ def learned(rows: DataFrame, size: int, learn: Callable[[list], np.ndarray]) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = learn(_rows(batches)).astype(np.float32)
+        weights = learn(rows_of(batches)).astype(np.float32)
+        # The worker lives on after the task: it gives back what the sample took.
+        pa.default_memory_pool().release_unused()
         at = np.flatnonzero(weights).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights[at])], names=["at", "w"])
 
     narrow = rows.select("doc_id", "label", "f.at", "f.x").repartition(1)
     got = narrow.mapInArrow(run, "at int, w float").toArrow()
     if not got.num_rows:  # an empty sample may be planned as no task at all
-        return learn([]).astype(np.float32)
+        return learn(rows_of([])).astype(np.float32)
     weights = np.zeros(size + 1, np.float32)
     weights[got.column("at").to_numpy()] = got.column("w").to_numpy()
     return weights

@@ -4,13 +4,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.llm import ftrl, quality_model, toxicity
+from sightline.llm import ftrl, quality_model, toxicity, training
 from sightline.llm.common import PLAIN
 
 SF = "/root/testdata/sf0.1"
+BATCH = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float32()))])
 
 
 def test_ftrl_learns_and_stays_sparse():
@@ -118,3 +120,48 @@ def test_accepted_keeps_columns(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     kept = toxicity.accepted(docs, labels)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(0, 40, 2))
+
+
+def plain_features(text, bits):
+    words = [zlib.crc32(w.encode()) for w in quality_model._TOKEN.findall(text)]
+    pairs = [0x5EED if a == b else (a * 0x9E3779B1 ^ b * 0x85EBCA77) % (1 << 32) for a, b in zip(words, words[1:])]
+    n = Counter((v * 0xC2B2AE3D % (1 << 32)) >> (32 - bits) for v in words + pairs)
+    values = np.log1p([n[k] for k in sorted(n)])
+    return sorted(n), values / np.sqrt(values @ values)
+
+
+@pytest.mark.parametrize("piece", [1, 64, 1000, 1 << 20])
+def test_word_features_are_the_plain_ones_in_any_pieces(monkeypatch, piece):
+    rng = np.random.default_rng(piece)
+    text = " ".join(f"w{k}" if k % 7 else "\n!?" for k in rng.integers(0, 4000, 5000))
+    expected, values = plain_features(text, quality_model.BITS)
+    monkeypatch.setattr(quality_model, "_PIECE", piece)
+    at, x = quality_model.features(text.encode())
+    assert at.tolist() == expected
+    assert x == pytest.approx(values)
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    rows = [(1, f"text {k % 3}") for k in range(300)] + [(k, f"other {k}") for k in range(2, 60)] + [(None, "nobody")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("x"))
+    labels = spark.createDataFrame([(k, k % 2, 1) for k in range(1, 60)] + [(1, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found, counts = training.sample(docs, labels, "quality", 5)
+    got = found.collect()
+    assert len(got) == 10 and len({r.doc_id for r in got}) == 10 and sum(r.label for r in got) == 5
+    known = [k for k in range(1, 60) if zlib.crc32(str(k).encode()) % 5]
+    assert counts == (sum(k % 2 == 0 for k in known), sum(k % 2 for k in known))
+    all_rows = training.sample(docs, labels, "quality", 1000)[0]
+    texts = {r.doc_id: r.text for r in all_rows.collect()}
+    assert sorted(texts) == known and all(t.startswith("text") if k == 1 else t == f"other {k}" for k, t in texts.items())
+
+
+def test_rows_are_views_in_order():
+    batches = [
+        pa.RecordBatch.from_pydict({"doc_id": [7, 3], "label": [1, 0], "at": [[5, 6], []], "x": [[0.5, 1.5], []]}, BATCH),
+        pa.RecordBatch.from_pydict({"doc_id": [], "label": [], "at": [], "x": []}, BATCH),
+        pa.RecordBatch.from_pydict({"doc_id": [1], "label": [1], "at": [[2]], "x": [[2.5]]}, BATCH),
+    ]
+    rows = training.rows_of(batches)
+    assert [(at.tolist(), x.tolist(), label) for at, x, label in rows] == [([2], [2.5], 1), ([], [], 0), ([5, 6], [0.5, 1.5], 1)]
+    assert [x.tolist() for _, x, _ in rows.valued(np.arange(10) / 10)] == [[0.2], [], [0.5, 0.6]]
+    assert len(training.rows_of([])) == 0
