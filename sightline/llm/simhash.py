@@ -95,9 +95,14 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def forest(members: np.ndarray, max_bits: int, rows: int = 1024) -> np.ndarray:
+#: Fingerprints compared at a time: some 32 MB of differences.
+_COMPARED = 1 << 22
+
+
+def forest(members: np.ndarray, max_bits: int, rows: int | None = None) -> np.ndarray:
     """For each of the distinct fingerprints, the smallest index it is linked with."""
     n = len(members)
+    rows = rows or max(1, _COMPARED // max(n, 1))
     label = np.arange(n)
     while True:
         before = label.copy()
@@ -214,8 +219,8 @@ def keep_one(
     """The rows of ``docs`` with one document of each group of near-duplicates.
 
     The document with the smallest id stays; of rows that repeat that id in the group,
-    one with the smallest fingerprint. A row without an id stays if no row of its group
-    has one. An id in several groups is a document in each. The rows that go are found
+    one with the smallest fingerprint, and of those the one with the smallest hash of all
+    its columns. A row without an id stays if no row of its group has one. An id in several groups is a document in each. The rows that go are found
     on narrow columns; the documents meet only their ids.
     """
     mark, the_id, kept_fp = (free_name(docs, name) for name in ("fingerprint", "the_id", "kept_fp"))
@@ -241,7 +246,18 @@ def keep_one(
     several = several.join(kept, (F.col(id_col) == F.col(the_id)) & same, "left_semi")
     nobody = docs.filter(F.col(id_col).isNull()).withColumn(mark, value)
     nobody = nobody.join(kept.filter(F.col(the_id).isNull()).select(kept_fp), same, "left_semi")
-    return (
-        single.unionByName(several.dropDuplicates([id_col, mark]).drop(mark))
-        .unionByName(nobody.dropDuplicates([mark]).drop(mark))
-    )
+    return single.unionByName(_least(several, [id_col, mark]).drop(mark)).unionByName(_least(nobody, [mark]).drop(mark))
+
+
+def _least(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key, the one with the smallest hash of all columns.
+
+    Rows that share that hash are equal, so it does not matter which of them stays.
+    """
+    at, low = free_name(rows, "row_hash"), free_name(rows, "low_hash")
+    hashed = rows.withColumn(at, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+    lows = hashed.groupBy(*[F.col(f"`{k}`").alias(f"{low}_{i}") for i, k in enumerate(keys)]).agg(F.min(at).alias(low))
+    same = F.col(at) == F.col(low)
+    for i, k in enumerate(keys):
+        same = same & (F.col(f"`{k}`") == F.col(f"{low}_{i}"))
+    return hashed.join(lows, same, "left_semi").dropDuplicates([*keys, at]).drop(at)

@@ -129,3 +129,21 @@ def test_a_linked_group_without_ids_keeps_one_row(spark):
     nameless = docs.filter("doc_id is null")
     assert simhash.keep_one(nameless, max_bits=63, blocks=64).count() == 1
     assert [r.doc_id for r in simhash.keep_one(docs, max_bits=63, blocks=64).collect()] == [3]
+
+
+def test_ties_are_kept_by_a_rule(spark):
+    """Rows of one id and fingerprint that differ elsewhere: the same one stays in any order."""
+    rows = [(1, "a b c d", f"x{k}") for k in range(20)] + [(None, "nobody says this", f"y{k}") for k in range(20)] + [(1, "A b  c d", "x3")]
+    schema = "doc_id long, text string, fingerprint string"
+    kept = [
+        sorted(map(str, map(tuple, simhash.keep_one(spark.createDataFrame(order, schema).repartition(n)).collect())))
+        for n, order in ((1, rows), (7, rows[::-1]), (3, rows[10:] + rows[:10]))
+    ]
+    assert len(kept[0]) == 2 and kept[0] == kept[1] == kept[2]
+
+
+def test_a_large_key_is_compared_in_bounded_blocks(monkeypatch):
+    members = np.sort(np.random.default_rng(1).choice(1 << 14, 3000, replace=False)).astype(np.uint64)
+    whole = simhash.forest(members, 2)
+    monkeypatch.setattr(simhash, "_COMPARED", 1 << 12)
+    assert (simhash.forest(members, 2) == whole).all()
