@@ -38,7 +38,7 @@ from sightline.session import stage
 COORDINATES, MISS = 64, 1e-9
 #: Members of a list in one half of a cell; partners a member gets in the first turn, and
 #: at most in a later one (four times as many as in the turn before).
-HALF, PARTNERS, MOST_PARTNERS = 2048, 16, 1024
+HALF, PARTNERS, MOST_PARTNERS = 2048, 64, 1024
 _SEED = 42
 #: Bytes of text split into words at a time, shingles in one block of signature work.
 _PIECE, _BLOCK = 1 << 20, 512
@@ -232,12 +232,37 @@ def _signed(text: Column, size: int, count: int) -> Column:
     return of(text)
 
 
-def _full(size: int):
-    """Key and hashes of the sets of a partition's texts."""
+def _marked(value: Column, bits: int) -> Column:
+    """The place of a value among ``bits`` bits."""
+    return F.pmod(F.xxhash64(value), F.lit(bits)).cast("long")
+
+
+def _bitmap(values: DataFrame, column: str) -> np.ndarray:
+    """One bit for the hash of each value: about 16 bits a value, 16 MB at most.
+
+    Spark builds it in pieces of 4 KB. What it lets through by chance is dropped by the
+    join that follows; with more values it lets through more.
+    """
+    count = values.count()
+    bits = 1 << min(max((16 * count).bit_length(), 15), 27)
+    at = _marked(F.col(column), bits)
+    # Bucket numbers of these functions begin with 1.
+    rows = values.groupBy(F.bitmap_bucket_number(at + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("piece"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in rows.collect():
+        start = (row.bucket - 1) * 4096
+        out[start : start + 4096] = np.frombuffer(bytes(row.piece), np.uint8)[: len(out) - start]
+    return out
+
+
+def _full(size: int, wanted):
+    """Key and hashes of the sets of a partition's texts (text, place) whose place is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in byte_slices(batch.column(0), 4 * _PIECE):
+            at = batch.column(1).to_numpy()
+            found = (wanted.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            for texts in byte_slices(batch.column(0).filter(pa.array(found)), 4 * _PIECE):
                 sets = [s.view(np.int64) for s in _sets(pa.array(texts, pa.binary()), size)]
                 keys = [_key(s) if len(s) else (None, None) for s in sets]
                 columns = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
@@ -387,10 +412,11 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.nd
     return plain, signatures, odd.flatten().to_numpy(), np.append(0, np.cumsum(odd.value_lengths().to_numpy()))
 
 
-def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, current: DataFrame, half: int) -> DataFrame:
+def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, current: DataFrame | None, half: int) -> DataFrame:
     """Members of the lists that still hold different components, dealt into cells."""
-    state = lists.join(first, "id", "left").join(current, "id", "left")
-    state = state.select("list", "id", "mask", F.coalesce("first", "id").alias("first"), F.coalesce("current", "id").alias("current"))
+    state = lists.join(first, "id", "left").withColumn("first", F.coalesce("first", "id"))
+    state = state.withColumn("current", F.col("first")) if current is None else state.join(current, "id", "left")
+    state = state.select("list", "id", "mask", "first", F.coalesce("current", "id").alias("current"))
     kinds = state.groupBy("list").agg(
         F.count("*").alias("times"), F.min("id").alias("leader"), F.min("current").alias("from"), F.max("current").alias("to")
     )
@@ -416,9 +442,8 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
     links = stage(confirmed(pairs, full, percent), "minhash-links")
     root = components(links)
     first = root.select(F.col("node").alias("id"), F.col("root").alias("first"))
-    low, high, more = 0, partners, True
+    low, high, more, current = 0, partners, True, None
     while more:
-        current = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
         members = _open_members(lists, sets, first, current, half)
         found = stage(members.mapInArrow(_cells(low, high, matches, percent), "a long, b long"), "minhash-pairs")
         more = not found.filter("a is null").isEmpty()
@@ -427,6 +452,7 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
         if not fresh.isEmpty():
             links = links.union(fresh)
             root = components(links)
+            current = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
         low, high = high, high + min(4 * (high - low), MOST_PARTNERS)
     return root.select(F.col("node").alias("id"), "root")
 
@@ -461,9 +487,11 @@ def near_duplicates(
 
     def full_of(ids: DataFrame) -> DataFrame:
         wanted = stage(classes.join(ids, "id", "left_semi").select("id", "k1", "k2", F.col("low").alias("low_id")), "minhash-wanted")
-        read = texts.join(wanted.select("low_id").distinct(), F.col("doc_id").eqNullSafe(F.col("low_id")), "left_semi")
-        # No filter passes a map over batches, so only the texts wanted are hashed.
-        made = read.select("text").mapInArrow(_full(shingle), "k1 long, k2 long, members array<long>")
+        bitmap = _bitmap(wanted, "low_id")
+        placed = texts.select("text", _marked(F.col("doc_id"), 8 * len(bitmap)).alias("place"))
+        # Texts are not shuffled: those of other ids go before they are hashed.
+        shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+        made = placed.mapInArrow(_full(shingle, shared), "k1 long, k2 long, members array<long>")
         made = made.join(wanted, ["k1", "k2"])
         return made.select("id", "members").dropDuplicates(["id"])
 
