@@ -412,18 +412,27 @@ def _columns(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.nd
     return plain, signatures, odd.flatten().to_numpy(), np.append(0, np.cumsum(odd.value_lengths().to_numpy()))
 
 
-def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, current: DataFrame | None, half: int) -> DataFrame:
-    """Members of the lists that still hold different components, dealt into cells."""
-    state = lists.join(first, "id", "left").withColumn("first", F.coalesce("first", "id"))
-    state = state.withColumn("current", F.col("first")) if current is None else state.join(current, "id", "left")
-    state = state.select("list", "id", "mask", "first", F.coalesce("current", "id").alias("current"))
-    kinds = state.groupBy("list").agg(
-        F.count("*").alias("times"), F.min("id").alias("leader"), F.min("current").alias("from"), F.max("current").alias("to")
-    )
-    # The leader has met the only other member of a list of two.
-    kept = kinds.filter("times > 2 and `from` != `to`").select("list", "leader", F.ceil(F.col("times") / half).cast("int").alias("parts"))
-    rows = state.join(kept, "list").join(sets.select("id", "n", "sig", "odd"), "id")
-    rows = rows.withColumn("half", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+def _still_open(members: DataFrame, component: str) -> DataFrame:
+    """Members of the lists that hold different components; a closed list stays closed."""
+    kinds = members.groupBy("list").agg(F.min(component).alias("from"), F.max(component).alias("to"))
+    return members.join(kinds.filter("`from` != `to`").select("list"), "list", "left_semi")
+
+
+def _open_members(lists: DataFrame, sets: DataFrame, first: DataFrame, half: int) -> DataFrame:
+    """Members of the open lists, with all that a cell needs, written once.
+
+    Lists of two are done: the leader has met the only other member.
+    """
+    large = lists.groupBy("list").agg(F.count("*").alias("times"), F.min("id").alias("leader")).filter("times > 2")
+    large = large.select("list", "leader", F.ceil(F.col("times") / half).cast("int").alias("parts"))
+    members = lists.join(large, "list").join(first, "id", "left").withColumn("first", F.coalesce("first", "id"))
+    members = _still_open(stage(members, "minhash-members"), "first")
+    return stage(members.join(sets.select("id", "n", "sig", "odd"), "id"), "minhash-open")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members with ``current`` in the cells of their lists: pairs of halves."""
+    rows = members.withColumn("half", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumn("low", F.least("half", "other")).withColumn("high", F.greatest("half", "other"))
     columns = _CELL.split(", ")
@@ -442,17 +451,21 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
     links = stage(confirmed(pairs, full, percent), "minhash-links")
     root = components(links)
     first = root.select(F.col("node").alias("id"), F.col("root").alias("first"))
-    low, high, more, current = 0, partners, True, None
+    members = _open_members(lists, sets, first, half)
+    current = members.withColumn("current", F.col("first"))
+    low, high, more = 0, partners, True
     while more:
-        members = _open_members(lists, sets, first, current, half)
-        found = stage(members.mapInArrow(_cells(low, high, matches, percent), "a long, b long"), "minhash-pairs")
+        found = _dealt(current).mapInArrow(_cells(low, high, matches, percent), "a long, b long")
+        found = stage(found, "minhash-pairs")
         more = not found.filter("a is null").isEmpty()
         pairs = found.filter("a is not null").distinct()
         fresh = stage(confirmed(pairs, full, percent), "minhash-links")
         if not fresh.isEmpty():
             links = links.union(fresh)
             root = components(links)
-            current = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
+            named = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
+            current = members.join(named, "id", "left").withColumn("current", F.coalesce("current", "id"))
+            current = _still_open(current, "current")
         low, high = high, high + min(4 * (high - low), MOST_PARTNERS)
     return root.select(F.col("node").alias("id"), "root")
 
