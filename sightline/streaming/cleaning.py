@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,6 +24,8 @@ from sightline.streaming.state import ddl, use_state_store
 
 #: Keys of the state: as many tasks as can share it.
 BUCKETS = 128
+#: Ids of a bucket that share one entry of the state; bits of a hash, and of each level.
+LEAF, _BITS, _FAN = 512, 60, 3
 
 
 def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,6 +42,77 @@ def _mark_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.append_column("repeat", pa.array(flags, pa.bool_()))
 
 
+def _places(ids: list[str]) -> np.ndarray:
+    """Where ids are in the tree: the first bits of a digest."""
+    digests = b"".join([blake2b(i.encode(), digest_size=8).digest() for i in ids])
+    return (np.frombuffer(digests, ">u8") >> (64 - _BITS)).astype(np.int64)
+
+
+def _parts(places: np.ndarray, order: np.ndarray, left: int) -> list[np.ndarray]:
+    """``order`` cut where sorted places differ above their last ``left`` bits."""
+    nodes = places[order] >> left
+    return np.split(order, np.flatnonzero(nodes[1:] != nodes[:-1]) + 1)
+
+
+class SeenIds:
+    """The ids of one bucket, kept together in leaves of at most ``LEAF`` ids.
+
+    A state call costs the same for one id and for a leaf of them. Leaves form a tree over
+    the digests of the ids, and a full one is split: a batch reads and writes the leaves
+    its ids fall in and no others, however many ids there are. ``nodes`` is a map of state,
+    (level, prefix) to (split, ids, times of writing). With ``ttl_ms`` an id is forgotten
+    that long after it was written. The state expires by its last writing, so the nodes
+    above a written leaf are written, too.
+    """
+
+    def __init__(self, nodes, ttl_ms: int | None = None, now_ms: int = 0) -> None:
+        self._nodes, self._ttl_ms, self._now_ms = nodes, ttl_ms, now_ms
+
+    def add(self, ids: list[str]) -> np.ndarray:
+        """Enter distinct ids; which of them are new."""
+        new = np.zeros(len(ids), bool)
+        if ids:
+            places = _places(ids)
+            self._visit(0, ids, places, np.argsort(places, kind="stable"), new)
+        return new
+
+    def _visit(self, level: int, ids: list[str], places: np.ndarray, order: np.ndarray, new: np.ndarray) -> None:
+        left = _BITS - _FAN * level
+        node = (level, int(places[order[0]]) >> left)
+        split, held, written = self._nodes.getValue(node) or (False, "[]", "[]")
+        if split:
+            if self._ttl_ms is not None:
+                self._nodes.updateValue(node, (True, "", ""))
+            for part in _parts(places, order, left - _FAN):
+                self._visit(level + 1, ids, places, part, new)
+            return
+        held, written = json.loads(held), json.loads(written)
+        if self._ttl_ms is not None:
+            alive = [at for at, then in enumerate(written) if then + self._ttl_ms > self._now_ms]
+            held, written = [held[at] for at in alive], [written[at] for at in alive]
+        known = set(held)
+        found = [at for at in order.tolist() if ids[at] not in known]
+        if not found:
+            return
+        new[found] = True
+        held += [ids[at] for at in found]
+        if self._ttl_ms is not None:
+            written += [self._now_ms] * len(found)
+        self._write(level, node[1], held, written)
+
+    def _write(self, level: int, prefix: int, held: list[str], written: list[int]) -> None:
+        left = _BITS - _FAN * level
+        if len(held) <= LEAF or left < _FAN:
+            self._nodes.updateValue((level, prefix), (False, json.dumps(held), json.dumps(written)))
+            return
+        self._nodes.updateValue((level, prefix), (True, "", ""))
+        places = _places(held)
+        for part in _parts(places, np.argsort(places, kind="stable"), left - _FAN):
+            below = int(places[part[0]]) >> (left - _FAN)
+            at = part.tolist()
+            self._write(level + 1, below, [held[k] for k in at], [written[k] for k in at] if written else [])
+
+
 class FirstArrivals(StatefulProcessor):
     """Marks the first arrivals of a bucket of ids; rows decided without state pass through.
 
@@ -48,19 +124,17 @@ class FirstArrivals(StatefulProcessor):
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getMapState("seen", "event_id string", "arrival_us bigint", self._ttl_ms)
+        node, leaf = "level int, prefix bigint", "split boolean, ids string, written string"
+        self._nodes = handle.getMapState("nodes", node, leaf, self._ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         open_ = batch.loc[batch["valid"] & ~batch["repeat"], ["event_id", *S.ARRIVAL]]
         earliest = open_.sort_values(list(S.ARRIVAL)).drop_duplicates("event_id")
-        first = []
-        for at, event_id, arrival in zip(earliest.index, earliest["event_id"], earliest["arrival_us"].tolist()):
-            if not self._seen.containsKey((event_id,)):
-                self._seen.updateValue((event_id,), (arrival,))
-                first.append(at)
+        now_ms = 0 if self._ttl_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        new = SeenIds(self._nodes, self._ttl_ms, now_ms).add(earliest["event_id"].tolist())
         is_first = pd.Series(False, batch.index, dtype="boolean")
-        is_first[first] = True
+        is_first[earliest.index[new]] = True
         batch["is_first"] = is_first.mask(~batch["valid"])
         yield batch.drop(columns=["valid", "repeat", "bucket"])
 

@@ -29,6 +29,7 @@ from sightline.sources.topics import (
     write_topics,
 )
 from sightline.streaming.alerting import AlertState, Matcher, alerting_stream
+from sightline.streaming import cleaning
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream
 
@@ -197,6 +198,48 @@ def test_state_stays_as_small_as_a_span_of_the_ttl():
     assert list(state.handleInputRows(("s", 0), iter([off]), None)) == [] and not maps["wishes"].held
 
 
+class CountedMap(FakeMap):
+    """Counts its calls, and forgets entries a time after they were written."""
+
+    def __init__(self, ttl_ms=None):
+        super().__init__()
+        self.ttl_ms, self.now_ms, self.calls, self.times = ttl_ms, 0, 0, {}
+
+    def getValue(self, key):
+        self.calls += 1
+        if self.ttl_ms is not None and key in self.times and self.times[key] + self.ttl_ms <= self.now_ms:
+            return None
+        return super().getValue(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.times[key] = self.now_ms
+        super().updateValue(key, value)
+
+
+def test_ids_share_entries_of_the_state():
+    nodes, seen, rng = CountedMap(), set(), random.Random(3)
+    for size in (20_000, 1, 20_000, 0, 500):
+        ids = sorted({f"e\u00e9\x00\"{rng.randrange(40_000)}" for _ in range(size)}) + [""] * (size > 0)
+        nodes.calls = 0
+        assert cleaning.SeenIds(nodes).add(ids).tolist() == [i not in seen for i in ids]
+        # One lookup an id, and one entry for a new one, would be more than a call an id.
+        assert size < 1_000 or nodes.calls < len(ids) / 10
+        seen |= set(ids)
+    assert all(split or len(held) < 30_000 for split, held, _ in nodes.held.values())
+
+
+def test_ids_are_forgotten_after_their_time(monkeypatch):
+    monkeypatch.setattr(cleaning, "LEAF", 4)
+    nodes, written, rng = CountedMap(100), {}, random.Random(4)
+    for now in range(0, 2_000, 7):
+        nodes.now_ms = now
+        ids = sorted({str(rng.randrange(300 if now % 3 else 40)) for _ in range(rng.randrange(12))})
+        want = [i not in written or written[i] + 100 <= now for i in ids]
+        assert cleaning.SeenIds(nodes, 100, now).add(ids).tolist() == want
+        written |= {i: now for i, new in zip(ids, want) if new}
+
+
 def raw_rows(spark, texts, start):
     rows = [(S.RAW, b"k", t.encode(), 1000 + start + i, start + i) for i, t in enumerate(texts)]
     return spark.createDataFrame(
