@@ -155,6 +155,16 @@ def in_time() -> Column:
     return (arrival < F.col("closing_arrival_us")) | same
 
 
+def is_behind(seed: int | None = None, lateness_us: int = LATENESS_US) -> Column:
+    """Whether a row joined to ``closings`` on the left is not on time.
+
+    ``seed`` is the largest event time before the table the closings are of: the windows
+    it closed are closed for every row.
+    """
+    behind = F.coalesce(~in_time(), F.lit(False))
+    return behind if seed is None else behind | (F.col("window_end_us") <= F.lit(seed - lateness_us))
+
+
 def behind_watermark(
     clean: DataFrame,
     closed: DataFrame,
@@ -162,20 +172,22 @@ def behind_watermark(
     width_us: int = WINDOW_US,
     ranges: int | None = None,
     max_future_us: int | None = None,
+    seed: int | None = None,
 ) -> DataFrame:
     """The rows that are not on time, with their exact watermark and class.
 
-    ``closed`` tells which rows these are without sorting anything. Only they take
-    their columns through the running maximum; all others pass as bare positions.
+    ``closed`` tells which rows these are without sorting anything, with ``seed`` as in
+    ``is_behind``. Only they take their columns through the running maximum; all others
+    pass as bare positions.
     """
     rows = with_window(clean, width_us)
     columns = [c for c in rows.columns if c not in (*ARRIVAL, "et_us")]
-    behind = F.coalesce(~in_time(), F.lit(False))
+    behind = is_behind(seed, lateness_us)
     bare = rows.join(closed, "window_end_us", "left").select(
         *ARRIVAL, "et_us", moving(max_future_us).alias("_moving"), F.when(behind, F.struct(*columns)).alias("row")
     )
     cuts = ranges_of(usable(clean), ranges)
-    marked = running_max(bare, "_moving", "max_et_us", cuts=cuts).filter(F.col("row").isNotNull())
+    marked = running_max(bare, "_moving", "max_et_us", seed=seed, cuts=cuts).filter(F.col("row").isNotNull())
     watermark = F.col("max_et_us") - F.lit(lateness_us)
     return marked.select(
         *ARRIVAL, "et_us", "row.*", "max_et_us", watermark.alias("watermark_us")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sightline import schemas as S
 from sightline.operators import hotspot, quality
-from sightline.operators.eventtime import LATE, ON_TIME, closings, moving, usable, with_lateness
+from sightline.operators.eventtime import LATE, behind_watermark, closings, is_behind, moving, usable, with_window
 from sightline.session import configure, released_after, stage
 from sightline.sources.topics import records, write_topics
 from sightline.streaming.state import Versions
@@ -28,6 +28,7 @@ _OPEN = {
     "cnt": hotspot.TOTAL,
 }
 _LARGEST = {"max_et_us": "bigint"}
+_READ = ["event_id", "user_id", "species_code", "location_id", "et_us", "cnt"]
 
 
 class HotspotStream:
@@ -61,24 +62,28 @@ class HotspotStream:
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         before = self._largest.before(batch_id).first()
         seed = before["max_et_us"] if before else None
-        rows = stage(usable(batch), "hotspot-batch")
-        marked = stage(
-            with_lateness(rows, self._lateness_us, self._width_us, seed=seed, max_future_us=self._max_future_us),
-            "hotspot-marked",
-        )
+        # Only what the outputs read: the text of a record is wider than all of it.
+        rows = stage(usable(batch).select(*S.ARRIVAL, *_READ), "hotspot-batch")
         users = [*hotspot.KEYS, "user_id"]
-        opened = marked.filter(F.col("lateness") == ON_TIME).select(*users, "cnt")
-        merged = opened.unionByName(self._open.before(batch_id))
-        merged = stage(merged.groupBy(*users).agg(hotspot.summed().alias("cnt")), "hotspot-open")
-        ends = merged.select("window_end_us").distinct()
+        opened = self._open.before(batch_id)
+        ends = opened.select("window_end_us").distinct()
         closed = closings(rows, self._lateness_us, self._width_us, ends, self._max_future_us)
-        closed = stage(closed, "closings")
+        closed = stage(closed, "hotspot-closings")
+        behind = behind_watermark(
+            rows, closed, self._lateness_us, self._width_us, max_future_us=self._max_future_us, seed=seed
+        )
+        behind = stage(behind, "hotspot-behind")
+        # The windows the slices before closed stay closed, whatever closes them here.
+        on_time = with_window(rows, self._width_us).join(closed, "window_end_us", "left")
+        on_time = on_time.filter(~is_behind(seed, self._lateness_us)).select(*users, "cnt")
+        merged = on_time.unionByName(opened)
+        merged = stage(merged.groupBy(*users).agg(hotspot.summed().alias("cnt")), "hotspot-open")
 
         main = hotspot.totals(
             merged.join(closed, "window_end_us"), F.max("closing_watermark_us").alias("watermark_us")
         ).withColumns({"pane": F.lit("main"), "event_id": F.lit(None).cast("string")})
-        panes = main.unionByName(hotspot.late_panes(marked))
-        late = quality.late_signals(marked.filter(F.col("lateness") == LATE), self._now)
+        panes = main.unionByName(hotspot.late_panes(behind))
+        late = quality.late_signals(behind.filter(F.col("lateness") == LATE), self._now)
         metrics = records(hotspot.metric_records(panes), S.METRICS)
         signals = records(late, S.QUALITY).select("topic", "key", "value")
         out = metrics.unionByName(signals)

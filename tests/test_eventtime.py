@@ -166,3 +166,17 @@ def test_metric_ids_are_stable_and_distinct(spark):
         for _ in range(2)
     )
     assert first == again and len(set(first)) == len(first)
+
+
+def test_rows_behind_in_slices_equal_one_pass(spark):
+    """With the largest event time before a slice as seed, as the metric stream runs them."""
+    rows = model.random_sightings(random.Random(11), 150, 40 * model.MINUTE)
+    of = lambda part, seed: behind_watermark(clean(spark, part), closings(clean(spark, part)), seed=seed)
+    wanted = ["seq", "watermark_us", "lateness"]
+    whole = sorted(map(tuple, of(rows, None).select(*wanted).collect()))
+    found, seed = [], None
+    for at in range(0, len(rows), 50):
+        part = rows[at : at + 50]
+        found += map(tuple, of(part, seed).select(*wanted).collect())
+        seed = max([r["et_us"] for r in part] + ([] if seed is None else [seed]))
+    assert sorted(found) == whole and len(whole) > 3

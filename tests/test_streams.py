@@ -28,8 +28,8 @@ from sightline.sources.topics import (
     with_payload,
     write_topics,
 )
-from sightline.streaming.alerting import AlertState, Matcher, alerting_stream
 from sightline.streaming import cleaning
+from sightline.streaming.alerting import AlertState, Matcher, alerting_stream
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream
 
@@ -338,3 +338,13 @@ def test_broker_comes_from_the_environment(monkeypatch):
 def test_key_may_be_null(spark):
     out = spark.range(1).select(message("t", F.lit(None).cast("string"), F.lit("{}")).alias("m")).select("m.*")
     assert out.first().key is None and "alert_id" in S.ALERT.fieldNames() and alerts.SUPPRESSION
+
+
+def test_the_metric_stream_stages_what_its_outputs_read(spark, tmp_path, monkeypatch):
+    from sightline.streaming import metrics
+
+    staged, plain = {}, metrics.stage
+    monkeypatch.setattr(metrics, "stage", lambda df, label: staged.setdefault(label, df.columns) and plain(df, label))
+    rows = clean(spark, model.random_sightings(random.Random(7), 60, 30 * model.MINUTE))
+    HotspotStream(spark, str(tmp_path))(rows.withColumn("text", F.repeat(F.lit("x"), 1000)), 0)
+    assert not any("text" in columns for columns in staged.values()) and "cnt" in staged["hotspot-batch"]
