@@ -10,9 +10,12 @@ included: the alerts do not depend on how the arrivals were cut into batches.
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +32,8 @@ from sightline.streaming.state import ddl, use_state_store
 
 #: Blocks a species' users are dealt into; each sighting goes to all of them.
 BLOCKS = 4
+#: Users with changes in a micro-batch that are looked at one by one; beyond, every change counts.
+LOOKED_AT = 64
 
 Group = tuple[str, int]
 
@@ -116,6 +121,90 @@ class Matcher:
         return users
 
 
+class _Sightings:
+    """The sightings of one location and window in a micro-batch, in order of arrival."""
+
+    def __init__(self, group: Group, places: np.ndarray, arrivals: np.ndarray, birders: np.ndarray) -> None:
+        self.group, self.places, self._arrivals = group, places, arrivals
+        # Where a run of sightings by one birder ends.
+        self._turns = np.flatnonzero(birders[1:] != birders[:-1]) + 1
+        self.at = 0
+
+    def skip(self, state: _Raised, ttl_us: int | None, next_change: int | None) -> bool:
+        """Go on to the next sighting that may raise an alert; whether there is one."""
+        ends = [len(self.places)]
+        if state.waiting:
+            # They wait for a sighting by someone else.
+            turn = np.searchsorted(self._turns, self.at, "right")
+            ends.append(int(self._turns[turn]) if turn < len(self._turns) else ends[0])
+        if ttl_us is not None and state.expiring:
+            ends.append(int(np.searchsorted(self._arrivals, state.expiring[0][0] + ttl_us)))
+        if next_change is not None:
+            ends.append(int(np.searchsorted(self.places, next_change)))
+        self.at = max(self.at + 1, min(ends))
+        return self.at < len(self.places)
+
+
+def matched(matcher: Matcher, batch: pd.DataFrame, ttl_us: int | None) -> Iterator[tuple[int, str, str]]:
+    """(row, user, priority) of the alerts that a micro-batch of one key raises.
+
+    After a sighting nobody waits there but its own birder. So the next one that matters
+    follows an expiry, a wish of a user without an alert, or is another birder's; the
+    sightings before it are passed over.
+    """
+    kinds, arrivals = batch["kind"].to_numpy(), batch["arrival_us"].to_numpy()
+    order = np.lexsort((batch["seq"].to_numpy(), kinds, arrivals))
+    is_change = kinds[order] == _CHANGE
+    changes = np.flatnonzero(is_change).tolist()
+    changed = batch.loc[order[changes], ["user_id", "priority"]]
+    # A priority that is missing may come as another null.
+    wishes = list(zip(changed["user_id"].tolist(), changed["priority"].astype(object).where(changed["priority"].notna(), None).tolist()))
+    wished: dict[str, list[int]] = {}
+    starts = [place for place, (_, priority) in zip(changes, wishes) if priority is not None]
+    for place, (user, priority) in zip(changes, wishes):
+        if priority is not None:
+            wished.setdefault(user, []).append(place)
+
+    def next_wish(after: int, raised: dict[str, int]) -> int | None:
+        found = [starts] if len(wished) > LOOKED_AT else [wished[user] for user in wished.keys() - raised.keys()]
+        ahead = [at[k] for at in found if (k := bisect_right(at, after)) < len(at)]
+        return min(ahead, default=None)
+
+    places = np.flatnonzero(~is_change)
+    rows = order[places]
+    users = batch["user_id"].to_numpy()
+    where, locations = pd.factorize(batch["location_id"].to_numpy()[rows])
+    when, windows = pd.factorize(batch["window_start_us"].to_numpy()[rows])
+    who = pd.factorize(users[rows])[0]
+    code = where * max(1, len(windows)) + when
+    by_group = np.argsort(code, kind="stable")
+    cuts = np.flatnonzero(np.diff(code[by_group])) + 1
+    heap: list[tuple[int, int]] = []
+    groups: list[_Sightings] = []
+    for part in np.split(by_group, cuts) if len(by_group) else []:
+        group = (locations[where[part[0]]], int(windows[when[part[0]]]))
+        heap.append((int(places[part[0]]), len(groups)))
+        groups.append(_Sightings(group, places[part], arrivals[rows[part]], who[part]))
+    heapq.heapify(heap)
+    applied = 0
+    while heap:
+        place, number = heap[0]
+        until = bisect_left(changes, place)
+        for user, priority in wishes[applied:until]:
+            matcher.change(user, priority)
+        applied = until
+        row, seen = int(order[place]), groups[number]
+        for user in matcher.sighting(seen.group, users[row], int(arrivals[row])):
+            yield row, user, matcher.wishes[user]
+        state = matcher.groups[seen.group]
+        if seen.skip(state, ttl_us, next_wish(place, state.raised)):
+            heapq.heapreplace(heap, (int(seen.places[seen.at]), number))
+        else:
+            heapq.heappop(heap)
+    for user, priority in wishes[applied:]:
+        matcher.change(user, priority)
+
+
 class AlertState(StatefulProcessor):
     """Keeps a key's wishes and alerts in Spark's state.
 
@@ -137,24 +226,20 @@ class AlertState(StatefulProcessor):
         return dict(zip(held[0], held[1])) if held else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["arrival_us", "kind", "seq"])
+        batch = pd.concat(list(rows), ignore_index=True)
         matcher = Matcher({user: wish[0] for (user,), wish in self._wishes.iterator()}, self._load, self._ttl_us)
-        found: list[tuple] = []
-        names = ["kind", "user_id", "priority", "location_id", "window_start_us", "arrival_us", "seq", "event_id"]
-        for kind, user, priority, place, start, at, seq, event_id in zip(*(batch[n].tolist() for n in names)):
-            if kind == _CHANGE:
-                matcher.change(user, priority)
-                continue
-            for other in matcher.sighting((place, start), user, at):
-                found.append((other, key[0], place, start, at, seq, event_id, matcher.wishes[other]))
+        alerts_ = list(matched(matcher, batch, self._ttl_us))
+        names = ["location_id", "window_start_us", "arrival_us", "seq", "event_id"]
+        of = batch.loc[[row for row, _, _ in alerts_], names].reset_index(drop=True)
+        found = of.assign(user_id=[a[1] for a in alerts_], species_code=key[0], priority=[a[2] for a in alerts_])
         for user in set(matcher.changed):
             if user in matcher.wishes:
                 self._wishes.updateValue((user,), (matcher.wishes[user],))
             else:
                 self._wishes.removeKey((user,))
         self._store(matcher, int(batch["arrival_us"].max()))
-        if found:
-            yield pd.DataFrame(found, columns=list(_RAISED))
+        if len(found):
+            yield found[list(_RAISED)]
 
     def _store(self, matcher: Matcher, last: int) -> None:
         spans: dict[int, set[Group]] = {}

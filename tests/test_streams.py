@@ -28,7 +28,7 @@ from sightline.sources.topics import (
     with_payload,
     write_topics,
 )
-from sightline.streaming import cleaning
+from sightline.streaming import alerting, cleaning
 from sightline.streaming.alerting import AlertState, Matcher, alerting_stream
 from sightline.streaming.cleaning import cleaning_stream
 from sightline.streaming.metrics import HotspotStream
@@ -240,6 +240,36 @@ def test_ids_are_forgotten_after_their_time(monkeypatch):
         written |= {i: now for i, new in zip(ids, want) if new}
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_sightings_that_raise_nothing_are_passed_over(seed, monkeypatch):
+    rows, prefs = case(seed, n=900, changes=60)
+    for row in rows:
+        row["et_us"] = rows[0]["et_us"] + row["et_us"] % (25 * model.MINUTE)
+    for change in prefs[::3]:
+        change |= {"arrival_us": rows[0]["arrival_us"], "active": True}
+    ttl_us = [None, 40 * model.MINUTE, 200 * model.MINUTE][seed % 3]
+    asked, plain = [], Matcher.sighting
+    monkeypatch.setattr(Matcher, "sighting", lambda self, *of: asked.append(of) or plain(self, *of))
+    monkeypatch.setattr(alerting, "LOOKED_AT", 0 if seed % 4 == 3 else 64)
+    entered = [(r["arrival_us"], 1, r["seq"], r["user_id"], None, r["event_id"], r["location_id"], model.window(r["et_us"])[0], r["species_code"]) for r in rows]
+    entered += [(c["arrival_us"], 0, c["seq"], c["user_id"], c["priority"] if c["active"] else None, None, None, 0, c["species_code"]) for c in prefs]
+    columns = ["arrival_us", "kind", "seq", "user_id", "priority", "event_id", "location_id", "window_start_us", "species_code"]
+    states, got = {}, []
+    middle = rows[400]["arrival_us"]
+    for part in ([e for e in entered if e[0] < middle], [e for e in entered if e[0] >= middle]):
+        random.Random(seed).shuffle(part)
+        for species in sorted({e[-1] for e in part}):
+            if species not in states:
+                maps = {}
+                states[species] = AlertState(ttl_us)
+                states[species].init(type("Handle", (), {"getMapState": lambda _, name, *of: maps.setdefault(name, FakeMap())})())  # noqa: B023
+            batch = pd.DataFrame([e for e in part if e[-1] == species], columns=columns)
+            for found in states[species].handleInputRows((species, 0), iter([batch[:50], batch[50:]]), None):
+                got += [(r.user_id, species, r.location_id, r.window_start_us, r.event_id, r.priority) for r in found.itertuples()]
+    assert sorted(got) == sorted(model.alerts(rows, prefs, ttl_us=ttl_us))
+    assert len(asked) < (0.5 if seed % 4 < 3 else 0.8) * len(rows)
+
+
 def raw_rows(spark, texts, start):
     rows = [(S.RAW, b"k", t.encode(), 1000 + start + i, start + i) for i, t in enumerate(texts)]
     return spark.createDataFrame(
