@@ -15,7 +15,8 @@ in elements.
 Lists are taken in rounds, so that a group of copies is never expanded into its pairs.
 First every member meets the list's leader. What that merged is skipped from then on:
 only members of different components still meet, in cells of bounded size, each with a
-bounded number of partners a round, until no pair is left.
+bounded number of partners a round, until no pair is left. A round takes only the lists
+in which the one before left candidates.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from sightline.session import stage
 #: Coordinates of a signature, and the chance that a link has too few matches.
 COORDINATES, MISS = 64, 1e-9
 #: Members of a list in one half of a cell; partners a member gets in the first turn, and
-#: at most in a later one (four times as many as in the turn before).
+#: at most in a later one (sixteen times as many as in the turn before).
 HALF, PARTNERS, MOST_PARTNERS = 2048, 64, 1024
 _SEED = 42
 #: Bytes of text split into words at a time, shingles in one block of signature work.
@@ -373,17 +374,18 @@ def _cells(start: int, end: int, matches: int, percent: int):
         new = np.ones(len(ids) + 1, bool)
         new[1:-1] = (lists[1:] != lists[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         at = np.flatnonzero(new)
-        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], False
+        a, b, more = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
         for i, j in zip(at[:-1], at[1:]):
             s = slice(i, j)
             got = cell_pairs(
                 ids[s], first[s], current[s], sizes[s], half[s], masks[s], signatures[s], Sketches(words, ends[i : j + 1]), leader[i], lists[i] >> 32, low[i] != high[i], start, end,
                 matches, percent,
             )
-            a, b, more = a + got[0], b + got[1], more | got[2]
+            a, b = a + got[0], b + got[1]
+            more += [int(lists[i])] * got[2]
         found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-        # A row without a pair says that a later turn has more.
-        columns = [pa.array([*c.tolist(), *[None] * more], pa.int64()) for c in found]
+        # A row without a first member names a list of which a later turn has more.
+        columns = [pa.array([*c.tolist(), *rest], pa.int64()) for c, rest in zip(found, ([None] * len(more), more))]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,8 +447,8 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
     ``full_of`` gets the ids that posted and returns their full sets, (id, members).
     """
     lists = stage(posts(sets, matches), "minhash-posts")
-    full = stage(full_of(lists.select("id").distinct()), "minhash-full")
     sets = stage(sets.join(lists.select("id").distinct(), "id", "left_semi"), "minhash-sets")
+    full = stage(full_of(sets.select("id")), "minhash-full")
     pairs = stage(_leader_pairs(lists, sets, matches, percent), "minhash-pairs")
     links = stage(confirmed(pairs, full, percent), "minhash-links")
     root = components(links)
@@ -457,16 +459,20 @@ def linked(sets: DataFrame, full_of, matches: int, percent: int, half: int = HAL
     while more:
         found = _dealt(current).mapInArrow(_cells(low, high, matches, percent), "a long, b long")
         found = stage(found, "minhash-pairs")
-        more = not found.filter("a is null").isEmpty()
-        pairs = found.filter("a is not null").distinct()
-        fresh = stage(confirmed(pairs, full, percent), "minhash-links")
-        if not fresh.isEmpty():
-            links = links.union(fresh)
-            root = components(links)
-            named = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
-            current = members.join(named, "id", "left").withColumn("current", F.coalesce("current", "id"))
-            current = _still_open(current, "current")
-        low, high = high, high + min(4 * (high - low), MOST_PARTNERS)
+        total, pairs = found.agg(F.count("*"), F.count("a")).first()
+        more = total > pairs
+        if more:
+            going = found.filter("a is null").select(F.col("b").alias("list")).distinct()
+            members, current = (rows.join(going, "list", "left_semi") for rows in (members, current))
+        fresh = stage(confirmed(found.filter("a is not null").distinct(), full, percent), "minhash-links") if pairs else None
+        if fresh is not None and not fresh.isEmpty():
+            # The trees so far stand for the links that made them.
+            root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(fresh))
+            if more:
+                named = root.select(F.col("node").alias("id"), F.col("root").alias("current"))
+                current = members.join(named, "id", "left").withColumn("current", F.coalesce("current", "id"))
+                current = _still_open(current, "current")
+        low, high = high, high + min(16 * (high - low), MOST_PARTNERS)
     return root.select(F.col("node").alias("id"), "root")
 
 

@@ -209,3 +209,16 @@ def test_sketches_never_differ_in_more_bits_than_sets_in_members():
             assert not links or minhash._may_link(d, len(a) + len(b), 85)
             filtered += similar and not links and not minhash._may_link(d, len(a) + len(b), 85)
     assert filtered > 5
+
+
+def test_a_turn_takes_only_the_lists_with_more():
+    rng = np.random.default_rng(8)
+    sig = np.zeros((30, 4), np.int32)
+    rows = []
+    for name, size in ((7, 5), (9, 20)):
+        for i in range(size):
+            rows.append({"list": name, "low": 0, "high": 0, "id": i, "first": i, "current": i, "n": 100, "half": 0, "mask": 15, "leader": 0, "sig": sig[i].tolist(), "odd": rng.integers(0, 2, 8).tolist()})
+    schema = minhash.pa.schema([(c, minhash.pa.int64()) for c in minhash._CELL.split(", ")[:-2]] + [("sig", minhash.pa.list_(minhash.pa.int32())), ("odd", minhash.pa.list_(minhash.pa.int64()))])
+    batch = minhash.pa.RecordBatch.from_pylist(rows, schema)
+    left = [r["b"] for out in minhash._cells(0, 8, 4, 85)(iter([batch])) for r in out.to_pylist() if r["a"] is None]
+    assert left == [9]

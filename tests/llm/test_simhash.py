@@ -147,3 +147,19 @@ def test_a_large_key_is_compared_in_bounded_blocks(monkeypatch):
     whole = simhash.forest(members, 2)
     monkeypatch.setattr(simhash, "_COMPARED", 1 << 12)
     assert (simhash.forest(members, 2) == whole).all()
+
+
+@pytest.mark.parametrize("broadcast", [0, 1 << 16])
+def test_components_of_stars_need_no_round(spark, monkeypatch, broadcast):
+    from sightline.llm import components as c
+
+    written, stage = [], c.stage
+    monkeypatch.setattr(c, "stage", lambda df, label: written.append(label) or stage(df, label))
+    monkeypatch.setattr(c, "BROADCAST_NODES", broadcast)
+    stars = [(k, k % 7) for k in range(7, 60)] + [(3, 10), (8, 8), (None, 4)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert found == {k: k % 7 for k in range(60)} and len(written) == 1
+    chain = [(k, k + 1) for k in range(100, 140)] + [(300, 100), (300, 200), (300, 201), (201, 202)]
+    rows = components(spark.createDataFrame(chain, "a long, b long")).collect()
+    nodes = [*range(100, 141), 200, 201, 202, 300]
+    assert sorted((r.node, r.root) for r in rows) == [(k, 100) for k in nodes]
