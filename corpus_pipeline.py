@@ -9,31 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from sightline.llm import decontam, mixing, rules, simhash, toxicity
 from sightline.llm.common import table
-from sightline.session import stage
+from sightline.session import small_batches, stage
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
+    small_batches(spark)
     return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the certified cutoffs keep."""
+    small_batches(spark)
     return rules.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with a benchmark item."""
+    small_batches(spark)
     return decontam.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's share of the mix and its place in it."""
+    small_batches(spark)
     return mixing.mix(docs)
 
 

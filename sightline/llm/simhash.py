@@ -95,8 +95,8 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-#: Fingerprints compared at a time: some 32 MB of differences.
-_COMPARED = 1 << 22
+#: Fingerprints compared at a time: some 4 MB of differences, and as much of their labels.
+_COMPARED = 1 << 19
 
 
 def forest(members: np.ndarray, max_bits: int, rows: int | None = None) -> np.ndarray:

@@ -18,6 +18,12 @@ _SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+#: Rows of whole texts that Spark takes at a time: its defaults are made for narrow rows.
+_TEXT_ROWS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.parquet.columnarReaderBatchSize": 512,
+}
+
 
 # Paths staged by the running thread inside ``released_after``.
 _STAGED = threading.local()
@@ -31,6 +37,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the rows in a batch for tables with a whole text a row; lower settings stay.
+
+    Batches are held by the reader, by Spark's Arrow writer and by the Python worker of
+    every running task. Their size changes no result.
+    """
+    for name, rows in _TEXT_ROWS.items():
+        # A number below 1 stands for no bound.
+        if not 0 < int(spark.conf.get(name, "0")) <= rows:
+            spark.conf.set(name, rows)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 

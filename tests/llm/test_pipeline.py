@@ -60,3 +60,16 @@ def test_clashing_columns_pass_through(spark):
         kept = step(spark, docs, SF_DIR)
         assert kept.columns == docs.columns, name
         assert kept.filter("fingerprint = 'mine' and the_id = 'mine'").count() == kept.count() > 0
+
+
+def test_each_stage_bounds_the_rows_of_a_batch(spark):
+    docs = table(spark, SF_DIR, "documents")
+    for name, step in corpus_pipeline.STAGES:
+        for setting, default, least in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "7"), ("spark.sql.parquet.columnarReaderBatchSize", "4096", "5")):
+            for before, after in ((default, 1000), ("0", 1000), (least, int(least))):
+                if before == "0" and "arrow" not in setting:
+                    continue
+                spark.conf.set(setting, before)
+                step(spark, docs.limit(0), SF_DIR)
+                assert 0 < int(spark.conf.get(setting)) <= after, (name, setting)
+            spark.conf.set(setting, default)

@@ -163,3 +163,16 @@ def test_components_of_stars_need_no_round(spark, monkeypatch, broadcast):
     rows = components(spark.createDataFrame(chain, "a long, b long")).collect()
     nodes = [*range(100, 141), 200, 201, 202, 300]
     assert sorted((r.node, r.root) for r in rows) == [(k, 100) for k in nodes]
+
+
+def test_comparing_a_large_key_takes_little_memory():
+    import tracemalloc
+
+    members = np.random.default_rng(5).integers(0, 1 << 16, 3000).astype(np.uint64)
+    members = np.unique(members)
+    tracemalloc.start()
+    label = simhash.forest(members, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+    assert (label == simhash.forest(members, 2, rows=7)).all()
