@@ -21,11 +21,11 @@ from __future__ import annotations
 import ctypes
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +44,11 @@ COMMON = 1 << 16
 #: Steps in which the logarithms of joined words are added, so that any order adds up alike.
 _FINE = 1 << 24
 _BYTES = 4 << 20
-#: Positions scored at a time, so a long text needs no more memory than a short one.
-_CHUNK = 1 << 9
+#: Positions scored at a time; symbols of texts scored together, or one text.
+_CHUNK, _TOGETHER = 1 << 9, 1 << 18
+#: Where a padded text has a position's neighbours; the embeddings' first row of each place.
+_PLACES = np.array([k for k in range(2 * SIDE + 1) if k != SIDE])
+_FIRST_ROWS = np.arange(2 * SIDE)[:, None] * SYMBOLS
 
 
 def one_thread() -> None:
@@ -61,27 +64,42 @@ def one_thread() -> None:
 
 
 def words_of(text: bytes) -> list[bytes]:
+    """The words of one text; ``words_in`` takes those of many at a time."""
     return text.translate(PLAIN).split()
 
 
+def words_in(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of ``texts``, the place of every word among them, and the words of each text.
+
+    The places are in the order of the texts. No word becomes a Python object.
+    """
+    plain = np.frombuffer(b" ".join([b"", *texts, b""]).translate(PLAIN), np.uint8)
+    space = plain == 32
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(plain[~space])]
+    found = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    over = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    return found.dictionary, found.indices.to_numpy(), np.diff(over, prepend=0)
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) of every word of all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            words, numbers = list(counts.keys()), list(counts.values())
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(numbers, pa.int64())], names=["word", "n"])
-
+        waiting = pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
         for batch in batches:
             for run in byte_slices(batch.column(0), _BYTES):
-                for text in run:
-                    counts.update(words_of(text))
-                if len(counts) > KEPT_COUNTS:
-                    yield rows()
-        yield rows()
+                distinct, places, _ = words_in(run)
+                found = pa.table({"word": distinct, "n": np.bincount(places, minlength=len(distinct))})
+                both = pa.concat_tables([waiting, found]).group_by("word", use_threads=False)
+                waiting = both.aggregate([("n", "sum")]).rename_columns(["word", "n"])
+                if len(waiting) > KEPT_COUNTS:
+                    yield from waiting.to_batches()
+                    waiting = waiting.slice(0, 0)
+        yield from waiting.to_batches()
 
     counted = docs.select(text_col).mapInArrow(count, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -144,17 +162,13 @@ class Shares:
         return tails.join(self.rest, "word", "left").groupBy("row").agg(F.sum(steps).alias("rest"))
 
 
-def encoder(words: list[bytes]):
-    """Text to symbols: 0 is the edge, then the words, then groups of other words."""
-    known = {w: i + 1 for i, w in enumerate(words)}
+def symbols_of(distinct: pa.Array, words: pa.Array) -> np.ndarray:
+    """The symbols of words: 0 is the edge, then ``words``, then groups of other words."""
     first = len(words) + 1
-    groups = SYMBOLS - first
-
-    class Symbols(dict):
-        def __missing__(self, word: bytes) -> int:
-            return first + group_of(word, groups)
-
-    return Symbols(known)
+    ends = pc.binary_slice(distinct, -3).dictionary_encode()
+    groups = np.array([group_of(end, SYMBOLS - first) for end in ends.dictionary.to_pylist()], np.int64)
+    known = pc.index_in(distinct, value_set=words).fill_null(-1).to_numpy()
+    return np.where(known < 0, first + groups[ends.indices.to_numpy()], known + 1).astype(np.uint8)
 
 
 def encoded(docs: DataFrame, words: list[bytes], logs: dict[bytes, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,28 +182,27 @@ def encoded(docs: DataFrame, words: list[bytes], logs: dict[bytes, float] | None
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, log_of = shared.value
-        symbol = encoder(known)
-        symbol.update({w: symbol[w] for w in log_of})
-        get = symbol.__getitem__
+        known, having_log = pa.array(known, pa.binary()), pa.array(list(log_of), pa.binary())
+        log_at = np.array([*log_of.values(), math.nan])
         for batch in batches:
             at = 0
             for run in byte_slices(batch.column(2), _BYTES):
-                symbols, within, tails = [], [], []
-                for text in run:
-                    found = words_of(text)
-                    symbols.append(bytes(map(get, found)))
-                    total, others = 0.0, []
-                    for word, n in Counter(found).items():
-                        log = log_of.get(word)
-                        if log is None:
-                            others.append((word, n))
-                        else:
-                            total += n * log
-                    within.append(total)
-                    tails.append([{"word": w, "n": n} for w, n in others])
+                distinct, places, sizes = words_in(run)
+                symbols = symbols_of(distinct, known)[places]
+                logs = log_at[pc.index_in(distinct, value_set=having_log).fill_null(len(log_of)).to_numpy()][places]
+                owner = np.repeat(np.arange(len(run)), sizes)
+                joined = np.isnan(logs)
+                logs[joined] = 0.0
+                within = np.bincount(owner, logs, len(run)).astype(np.float64)
+                pairs, times = np.unique(owner[joined] * len(distinct) + places[joined], return_counts=True)
+                others = pa.StructArray.from_arrays([distinct.take(pa.array(pairs % max(1, len(distinct)))), pa.array(times, pa.int64())], fields=list(tail.value_type))
+                begins = np.searchsorted(pairs, np.arange(len(run) + 1) * len(distinct)).astype(np.int32)
                 ids = batch.slice(at, len(run))
                 at += len(run)
-                columns = [ids.column(0), ids.column(1), pa.array(symbols, pa.binary()), pa.array(within, pa.float64()), pa.array(tails, tail)]
+                offsets = np.zeros(len(run) + 1, np.int32)
+                np.cumsum(sizes, out=offsets[1:])
+                texts = pa.Array.from_buffers(pa.binary(), len(run), [None, pa.py_buffer(offsets), pa.py_buffer(symbols)])
+                columns = [ids.column(0), ids.column(1), texts, pa.array(within), pa.ListArray.from_arrays(begins, others, type=tail)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "symbols", "within", "tail"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -206,21 +219,36 @@ class Network:
         if vector is None:
             vector = np.random.default_rng(seed).normal(0, 0.1, sum(sizes))
             vector[-SYMBOLS:] = 0
-        self.vector = vector.astype(np.float32)
-        parts = np.split(self.vector, np.cumsum(sizes)[:-1])
-        self.embed, self.hidden, self.out, self.bias = (p.reshape(s) for p, s in zip(parts, self.SHAPES.values()))
-
-    def unscaled(self, around: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hidden values, exponentials by (symbol, n), their sums, log-probabilities of ``target``."""
-        h = self.embed[0][around[:, 0]]
+        self.vector, self._slope, self._size = vector.astype(np.float32), *np.zeros((2, sum(sizes)), np.float32)
+        parts = lambda v: (p.reshape(s) for p, s in zip(np.split(v, np.cumsum(sizes)[:-1]), self.SHAPES.values()))
+        self.embed, self.hidden, self.out, self.bias = parts(self.vector)
+        self._slopes = [*parts(self._slope)]
+        # What a call needs for its windows: embeddings, hidden values with a one, logits.
+        self._rows = np.ones((0, HIDDEN + 1), np.float32)
+
+    def unscaled(self, cells: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hidden values, exponentials by (symbol, n), their sums, log-probabilities of ``target``.
+
+        The first two are in memory that the next call uses again.
+        """
+        n = len(target)
+        if n > len(self._rows):
+            self._rows = np.ones((n, HIDDEN + 1), np.float32)
+            self._taken = np.empty(2 * SIDE * n * HIDDEN, np.float32)
+            self._logits = np.empty(SYMBOLS * n, np.float32)
+        taken = self._taken[: 2 * SIDE * n * HIDDEN].reshape(2 * SIDE, n, HIDDEN)
+        np.take(self.embed.reshape(-1, HIDDEN), cells, axis=0, out=taken, mode="clip")
+        h = taken[0]
         for k in range(1, 2 * SIDE):
-            h += self.embed[k][around[:, k]]
+            h += taken[k]
         h += self.hidden
         np.maximum(h, 0, out=h)
-        logits = self.out.T @ h.T
-        logits += self.bias[:, None]
+        self._rows[:n, :HIDDEN] = h
+        # ``bias`` follows ``out`` in the vector; the ones at the end of a row add it.
+        last = self.vector[-(HIDDEN + 1) * SYMBOLS :].reshape(HIDDEN + 1, SYMBOLS)
+        logits = np.matmul(last.T, self._rows[:n].T, out=self._logits[: SYMBOLS * n].reshape(SYMBOLS, n))
         logits -= logits.max(axis=0)
-        found = logits[target, np.arange(len(target))]
+        found = logits[target, np.arange(n)]
         np.exp(logits, out=logits)
         sums = logits.sum(axis=0)
         return h, logits, sums, found - np.log(sums)
@@ -236,43 +264,68 @@ class Network:
 
     def train(self, around: np.ndarray, target: np.ndarray, past: np.ndarray, rate: float = RATE) -> float:
         """One AdaGrad step on the mean log-loss; ``past`` holds squared gradients."""
-        n = len(target)
-        h, error, sums, logs = self.unscaled(around, target)
+        n, cells = len(target), cells_of(around)
+        h, error, sums, logs = self.unscaled(cells, target)
         loss = -float(logs.mean())
         error *= np.float32(1 / n) / sums
         error[target, np.arange(n)] -= np.float32(1 / n)
-        back = (error.T @ self.out.T) * (h > 0)
+        back = np.multiply((self.out @ error).T, h > 0, order="C")
         # Sums of ``back`` by place and symbol: equal ones are made neighbours.
-        cells = (around + np.arange(2 * SIDE) * SYMBOLS).astype(np.uint16).ravel()
+        cells = cells.astype(np.uint16).ravel()
         order = np.argsort(cells, kind="stable")
         cells = cells[order]
         starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-        embed = np.zeros_like(self.embed)
-        embed.reshape(-1, HIDDEN)[cells[starts]] = np.add.reduceat(back[order // (2 * SIDE)], starts, axis=0)
-        gradient = np.concatenate([embed.ravel(), back.sum(axis=0), (h.T @ error.T).ravel(), error.sum(axis=1)])
-        past += gradient * gradient
-        self.vector -= (rate * gradient / (np.sqrt(past) + 1e-4)).astype(np.float32)
+        embed, hidden, out, bias = self._slopes
+        embed[:] = 0
+        embed.reshape(-1, HIDDEN)[cells[starts]] = np.add.reduceat(back.take(order % n, axis=0), starts, axis=0)
+        back.sum(axis=0, out=hidden)
+        out[:] = (error @ h).T
+        error.sum(axis=1, out=bias)
+        past += np.multiply(self._slope, self._slope, out=self._size)
+        np.sqrt(past, out=self._size)
+        self._size += 1e-4
+        self._slope *= rate
+        self._slope /= self._size
+        self.vector -= self._slope
         return loss
 
+    def log_probs(self, texts: list[bytes]) -> list[float]:
+        """Per text, the sum over all positions of log P(symbol | its neighbours).
+
+        Texts share a pass, with edges between them; a text's sum does not depend on the others.
+        """
+        sizes = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        symbols = np.frombuffer(bytes(SIDE).join(texts), np.uint8)
+        padded, logs = padded_of(symbols), np.empty(sizes.sum(), np.float32)
+        for start in range(0, len(logs), _CHUNK):
+            at = np.arange(start, min(start + _CHUNK, len(logs)))
+            at += SIDE * np.searchsorted(ends, at, side="right")
+            logs[start : start + len(at)] = self.unscaled(cells_of(windows_at(padded, at)), symbols[at])[-1]
+        found = []
+        for end, size in zip(ends.tolist(), sizes.tolist()):
+            parts = (logs[k : min(k + _CHUNK, end)] for k in range(end - size, end, _CHUNK))
+            found.append(sum((float(p.sum(dtype=np.float64)) for p in parts), 0.0))
+        return found
+
     def log_prob(self, symbols: np.ndarray) -> float:
         """Sum over all positions of log P(symbol | its neighbours)."""
-        total = 0.0
-        padded = padded_of(symbols)
-        for start in range(0, len(symbols), _CHUNK):
-            at = np.arange(start, min(start + _CHUNK, len(symbols)))
-            logs = self.unscaled(windows_at(padded, at), symbols[at])[-1]
-            total += float(logs.sum(dtype=np.float64))
-        return total
+        return self.log_probs([symbols.astype(np.uint8).tobytes()])[0]
 
 
 def padded_of(symbols: np.ndarray) -> np.ndarray:
-    return np.pad(symbols, SIDE)
+    edge = np.zeros(SIDE, symbols.dtype)
+    return np.concatenate([edge, symbols, edge])
 
 
 def windows_at(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The neighbours of the positions ``at``: nearest last on the left, first on the right."""
-    places = [k for k in range(2 * SIDE + 1) if k != SIDE]
-    return padded[at[:, None] + np.array(places)]
+    return padded[at[:, None] + _PLACES]
+
+
+def cells_of(around: np.ndarray) -> np.ndarray:
+    """(2 SIDE, n): the rows of the embeddings, over all places, that the windows add up."""
+    return np.add(around.T, _FIRST_ROWS, dtype=np.intp, order="C")
 
 
 def positions(text: bytes, number: int, rounds: int) -> Iterator[np.ndarray]:
@@ -305,7 +358,7 @@ def _trained(vector: np.ndarray, number: int, rounds: int):
         for batch in batches:
             for start in range(0, len(batch), 64):
                 for text in batch.column(0).slice(start, 64).to_pylist():
-                    symbols = np.frombuffer(text, np.uint8).astype(np.int64)
+                    symbols = np.frombuffer(text, np.uint8)
                     padded = padded_of(symbols)
                     for at in positions(text, number, rounds):
                         around.append(windows_at(padded, at))
@@ -363,9 +416,8 @@ def score(symbols: DataFrame, net: Network, shares: Shares | None = None) -> Dat
     def of(texts: pa.Array) -> pa.Array:
         one_thread()
         model, out = Network(shared.value), []
-        for start in range(0, len(texts), 64):
-            for text in texts.slice(start, 64).to_pylist():
-                out.append(model.log_prob(np.frombuffer(text, np.uint8).astype(np.int64)))
+        for run in byte_slices(texts, _TOGETHER):
+            out += model.log_probs(run)
         return pa.array(out, pa.float64())
 
     log_prob = of(F.col("symbols")) + F.col("within")

@@ -131,3 +131,51 @@ def test_every_word_has_its_share_of_its_group(spark, monkeypatch):
         monkeypatch.setattr(lm, "COMMON", common)
         got = {r.doc_id: r.log_prob for r in lm.lm_scores(docs).collect()}
         assert all(abs(got[i] - e) < 1e-3 for i, e in enumerate(expected)), common
+
+
+def test_words_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(6)
+    pieces = [b" ", b"a", b"B", b"\n", b"\x00", b"9", b"-", "é".encode(), "中".encode(), b"\x85"]
+    for _ in range(200):
+        texts = [b"".join(pieces[k] for k in rng.integers(0, len(pieces), rng.integers(0, 12))) for _ in range(rng.integers(1, 6))]
+        distinct, places, sizes = lm.words_in(texts)
+        split = [lm.words_of(t) for t in texts]
+        assert [distinct[int(k)].as_py() for k in places] == [w for words in split for w in words]
+        assert len(set(distinct.to_pylist())) == len(distinct) and sizes.tolist() == [len(words) for words in split]
+
+
+def test_texts_share_passes_and_score_alike_among_any_others(monkeypatch):
+    rng = np.random.default_rng(7)
+    texts = [bytes(rng.integers(1, lm.SYMBOLS, n).astype(np.uint8)) for n in (0, 1, 3, 0, 40, 700, 1, 2 * lm.SIDE, 1)]
+    net, passes, plain = lm.Network(seed=5), [], lm.Network.unscaled
+    alone = [net.log_prob(np.frombuffer(t, np.uint8).astype(np.int64)) for t in texts]
+    assert abs(alone[4] - plain_log_prob(net, texts[4])) < 1e-3
+    monkeypatch.setattr(lm.Network, "unscaled", lambda *args: passes.append(1) or plain(*args))
+    assert np.allclose(net.log_probs(texts), alone, rtol=1e-6) and len(passes) == 2
+    assert net.log_probs([]) == [] and net.log_probs([b"", b""]) == [0, 0]
+
+
+def test_a_step_is_plain_adagrad():
+    rng = np.random.default_rng(8)
+    net = lm.Network(seed=2)
+    vector, past = net.vector.astype(float), np.zeros(len(net.vector), np.float32)
+    sums = np.zeros(len(vector))
+    for n in (600, 512, 7, 600):
+        # Few symbols, so that a cell has many windows, and many, so that it has one.
+        around, target = rng.integers(0, rng.choice([3, 40, lm.SYMBOLS]), (n, 2 * lm.SIDE)), rng.integers(0, lm.SYMBOLS, n)
+        before = lm.Network(vector)
+        h, logs = before.forward(around)
+        error = np.exp(logs.astype(float))
+        error[np.arange(n), target] -= 1
+        error /= n
+        back = (error @ before.out.T) * (h > 0)
+        embed = np.zeros(before.embed.shape)
+        for k in range(2 * lm.SIDE):
+            np.add.at(embed[k], around[:, k], back)
+        slope = np.concatenate([embed.ravel(), back.sum(axis=0), (h.T @ error).ravel(), error.sum(axis=0)])
+        sums += slope * slope
+        vector -= lm.RATE * slope / (np.sqrt(sums) + 1e-4)
+        net.train(around, target, past)
+        assert np.allclose(past, sums, rtol=1e-2, atol=1e-9)
+        assert np.abs(net.vector - vector).max() < 2e-3
+        vector = net.vector.astype(float)
